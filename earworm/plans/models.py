@@ -1,3 +1,145 @@
-"""Registered model queries (ALS, retrieval); filled in below."""
+"""Registered model queries: ALS fitting, scoring, tuning and retrieval.
 
-MODEL_REGISTRY = {}
+Model outputs are floating-point results of iterative fits, so they have no
+SQL oracle; tests/ checks their invariants instead.  Exact inner-product
+retrieval (``mips_exact``) does have one (plans/oracle.py).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from earworm.operators import factorize as fz
+from earworm.operators import ranking, ratings, retrieve, splits
+from earworm.plans.queries import _round, canonical_counts_f1, canonical_counts_f2
+from earworm.sources import testdata as td
+
+TOP = 10
+
+
+def _explicit_setup(spark, sf):
+    """als.py's input: listen counts above 1, users split 70/30 with hold-in."""
+    counts = ratings.filter_min_listens(canonical_counts_f1(spark, sf), 1)
+    idx = fz.index_ratings(counts)
+    labelled = splits.split_users(idx.ratings, 0.7, holdin=0.6)
+    train, val = splits.train_val(labelled)
+    return idx, train, val
+
+
+def _implicit_setup(spark, sf):
+    counts = canonical_counts_f2(spark, sf)
+    idx = fz.index_ratings(counts)
+    labelled = splits.split_rows(idx.ratings, 0.7, holdin=0.6)
+    train, val = splits.train_val(labelled)
+    train = train.checkpoint(eager=True)
+    model = fz.fit_als(fz.Indexed(train, idx.users, idx.items), rank=20, reg=0.1, max_iter=20,
+                       implicit=True, seed=1234)
+    return idx, train, val, model
+
+
+def als_explicit_rmse(spark: SparkSession, sf: str) -> DataFrame:
+    """R3 + R6 + E5: non-negative explicit ALS, RMSE on validation."""
+    idx, train, val = _explicit_setup(spark, sf)
+    model = fz.fit_als(fz.Indexed(train, idx.users, idx.items), rank=10, reg=0.1, max_iter=10,
+                       nonnegative=True)
+    scored = model.transform(val)
+    return _round(ranking.rmse(scored))
+
+
+def als_implicit_recs(spark, sf):
+    """R4 + R7: top-10 items for every validation user (long form)."""
+    idx, _, val, model = _implicit_setup(spark, sf)
+    return fz.recommend_users(model, idx, val.select("user_id"), TOP)
+
+
+def als_implicit_map(spark, sf):
+    """R4 + R7 + E1-E3: ranking metrics @10 of implicit ALS on validation."""
+    idx, _, val, model = _implicit_setup(spark, sf)
+    recs = fz.recommend_users(model, idx, val.select("user_id"), TOP)
+    truth = ranking.user_top_k(val, 100)
+    return _round(ranking.ranking_metrics(recs, truth, TOP))
+
+
+def als_tuned(spark, sf):
+    """E9 + E10 + E12: cross-validated grid by RMSE, one row per setting."""
+    idx, train, _ = _explicit_setup(spark, sf)
+    _, report = fz.tune_als(fz.Indexed(train, idx.users, idx.items),
+                            {"rank": [5, 10], "regParam": [0.05, 0.1]}, folds=2, max_iter=5,
+                            nonnegative=True)
+    return _round(report)
+
+
+def als_holdout_tuned(spark, sf):
+    """One holdout fit per setting, the minimum flagged."""
+    idx, train, _ = _explicit_setup(spark, sf)
+    _, report = fz.tune_als(fz.Indexed(train, idx.users, idx.items),
+                            {"rank": [5, 10], "maxIter": [5, 10]}, method="holdout", nonnegative=True)
+    return _round(report)
+
+
+def als_factors(spark, sf):
+    """Item factors of the implicit model, keyed by the original item id."""
+    idx, _, _, model = _implicit_setup(spark, sf)
+    _, items = fz.factors_with_ids(model, idx)
+    return items.select("id", F.size("features").alias("rank"),
+                        F.round(F.aggregate("features", F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm2"))
+
+
+def mips_exact(spark, sf):
+    """Exact top-10 by inner product, every embedding against all."""
+    vec = td.vectors_f3(spark, sf)
+    return _round(retrieve.mips_exact(vec, vec, TOP))
+
+
+def mips_exact_als(spark, sf):
+    """R10 on ALS factors: users' top-10 items by inner product."""
+    idx, _, _, model = _implicit_setup(spark, sf)
+    users, items = fz.factors_with_ids(model, idx)
+    return _round(retrieve.mips_exact(users, items, TOP))
+
+
+def mips_lsh(spark, sf):
+    """Approximate top-10 by inner product (LSH), every embedding."""
+    vec = td.vectors_f3(spark, sf)
+    return _round(retrieve.mips_lsh(vec, vec, TOP))
+
+
+def mips_lsh_recall(spark, sf):
+    """recall@10 of the LSH search against exact search."""
+    vec = td.vectors_f3(spark, sf)
+    return _round(retrieve.retrieval_recall(retrieve.mips_lsh(vec, vec, TOP),
+                                            retrieve.mips_exact(vec, vec, TOP)))
+
+
+def relevance_auc(spark, sf):
+    """AUC of the ALS score against "observed in validation" (D9)."""
+    idx, _, val, model = _implicit_setup(spark, sf)
+    recs = fz.recommend_users(model, idx, val.select("user_id"), TOP)
+    auc = ranking.relevance_auc(recs, val)
+    labelled = ranking.relevance_labels(recs, val)
+    return labelled.agg(F.count(F.lit(1)).alias("n_pairs"), F.sum("label").alias("n_relevant")) \
+        .withColumn("auc", F.round(F.lit(auc), 9))
+
+
+def hit_accuracy(spark, sf):
+    """Accuracy of "recommended" as a predictor of "observed"."""
+    idx, _, val, model = _implicit_setup(spark, sf)
+    recs = fz.recommend_users(model, idx, val.select("user_id"), TOP)
+    return _round(ranking.hit_accuracy(recs, val))
+
+
+MODEL_REGISTRY = {
+    "als_explicit_rmse": als_explicit_rmse,
+    "als_implicit_recs": als_implicit_recs,
+    "als_implicit_map": als_implicit_map,
+    "als_tuned": als_tuned,
+    "als_holdout_tuned": als_holdout_tuned,
+    "als_factors": als_factors,
+    "mips_exact": mips_exact,
+    "mips_exact_als": mips_exact_als,
+    "mips_lsh": mips_lsh,
+    "mips_lsh_recall": mips_lsh_recall,
+    "relevance_auc": relevance_auc,
+    "hit_accuracy": hit_accuracy,
+}

@@ -258,4 +258,13 @@ ORACLE = {
         select user_id, string_agg(cast(recording_msid as varchar), ',' order by rn) as items from (
           select *, row_number() over (partition by user_id order by listens desc, recording_msid) as rn
             from ({counts_of(F2_LOG)})) where rn <= {K} group by 1""",
+    "mips_exact": f"""
+        select query_id, cast(pos as integer) as pos, item_id, round(score, {DIGITS}) as score from (
+          select q.vec_id as query_id, i.vec_id as item_id,
+                 list_inner_product(cast(q.embedding as double[]), cast(i.embedding as double[])) as score,
+                 row_number() over (partition by q.vec_id
+                                    order by list_inner_product(cast(q.embedding as double[]),
+                                                                cast(i.embedding as double[])) desc,
+                                             i.vec_id) as pos
+            from embeddings q, embeddings i) where pos <= 10""",
 }
