@@ -21,60 +21,95 @@ def attach_tracks(log: DataFrame, tracks: DataFrame, how: str = "inner",
     return log.join(dim, item, how)
 
 
-def canonical_map(log: DataFrame, tracks: DataFrame, how: str = "inner",
-                  user: str = "user_id", item: str = "recording_msid",
+def canonical_map(log: DataFrame, tracks: DataFrame, item: str = "recording_msid",
                   ts: str = "timestamp", mbid: str = "recording_mbid") -> DataFrame:
-    """msid -> canonical msid, for every msid the log uses.
+    """msid -> canonical msid for every msid of the track table.
 
     The canonical msid of an mbid is the msid of its earliest listen, ties
     broken by the smaller msid.  Because min over rows of (ts, msid) equals min
-    over msids of (first ts of msid, msid), the whole rule runs on aggregates:
+    over msids of (first ts of msid, msid), the rule runs on aggregates:
 
-      1. first listen per msid           partial hash aggregate of the log
-      2. attach the mbid                  dimension-sized join
-      3. min_by per mbid                  dimension-sized aggregate
+      1. first listen per msid         partial hash aggregate of the log
+      2. attach the mbid, min_by per mbid   dimension-sized join + aggregate
+      3. every track msid -> its mbid's winner (or itself)
 
-    No self-join on the mbid (which would emit n^2 rows for a hot mbid) and no
-    window over a hot mbid.  With ``how='left'`` msids missing from the track
-    table map to themselves (null mbid).
+    No self-join on the mbid (which emits n^2 rows for a hot mbid), no window
+    over a hot mbid, and the log is read once here.  msids without an mbid, or
+    whose mbid was never listened to, map to themselves.
     """
     first_seen = log.groupBy(item).agg(F.min(ts).alias("_first_ts"))
-    with_mbid = first_seen.join(tracks.select(item, mbid), item, how)
+    dim = tracks.select(item, mbid)
     winners = (
-        with_mbid.where(F.col(mbid).isNotNull())
+        first_seen.join(dim.where(F.col(mbid).isNotNull()), item)
         .groupBy(mbid)
         .agg(F.min_by(F.col(item), F.struct(F.col("_first_ts"), F.col(item))).alias("_canonical"))
     )
-    return (
-        with_mbid.join(winners, mbid, "left")
-        .select(item, mbid, F.coalesce(F.col("_canonical"), F.col(item)).alias("canonical_msid"))
+    return dim.join(winners, mbid, "left").select(
+        item, mbid, F.coalesce(F.col("_canonical"), F.col(item)).alias("canonical_msid")
+    )
+
+
+def _resolve(log: DataFrame, tracks: DataFrame, how: str, user: str, item: str, ts: str,
+             mbid: str) -> DataFrame:
+    """The log with canonical items and a has-mbid flag: one join with the map.
+
+    With ``how='left'`` msids missing from the track table keep their id and
+    count as rows without mbid.  A canonical item is either an mbid's msid or
+    an msid without mbid, never both, so the flag is constant per item.
+    """
+    cmap = canonical_map(log, tracks, item, ts, mbid)
+    joined = log.join(cmap, item, how)
+    return joined.select(
+        user,
+        F.coalesce(F.col("canonical_msid"), F.col(item)).alias(item),
+        ts,
+        F.col(mbid).isNotNull().alias("_has_mbid"),
     )
 
 
 def canonicalize(log: DataFrame, tracks: DataFrame, dedupe: bool | str = True, how: str = "inner",
                  user: str = "user_id", item: str = "recording_msid",
                  ts: str = "timestamp", mbid: str = "recording_mbid") -> DataFrame:
-    """Resolve track identity: every msid of an mbid becomes one msid (I4).
+    """Resolve track identity row by row: every msid of an mbid becomes one
+    msid (I4, U1, P3, P11).
 
     Rows without an mbid keep their msid.  ``dedupe=True`` drops repeated
     (user, timestamp, item) rows in the mbid branch only (as the reference
     pipeline does); ``dedupe='both'`` in both branches; ``False`` in none.
-    One join of the log with a dimension-sized map replaces both the track
-    join and the reference's self-join.
+    The two branches share one resolved log; for counts use
+    ``canonical_listens``, which needs no union.
     """
-    cmap = canonical_map(log, tracks, how, user, item, ts, mbid)
-    resolved = log.join(cmap, item, how).select(
-        user, F.col("canonical_msid").alias(item), ts, mbid
-    )
+    resolved = _resolve(log, tracks, how, user, item, ts, mbid)
     if not dedupe:
-        return resolved.drop(mbid)
-    with_mbid = resolved.where(F.col(mbid).isNotNull()).drop(mbid).dropDuplicates([user, ts, item])
-    without = resolved.where(F.col(mbid).isNull()).drop(mbid)
+        return resolved.drop("_has_mbid")
+    with_mbid = resolved.where("_has_mbid").drop("_has_mbid").dropDuplicates([user, ts, item])
+    without = resolved.where(~F.col("_has_mbid")).drop("_has_mbid")
     if dedupe == "both":
         without = without.dropDuplicates([user, ts, item])
     return with_mbid.unionByName(without)
 
 
+def canonical_listens(log: DataFrame, tracks: DataFrame, dedupe: bool | str = True, how: str = "inner",
+                      user: str = "user_id", item: str = "recording_msid",
+                      ts: str = "timestamp", mbid: str = "recording_mbid",
+                      out: str = "listens") -> DataFrame:
+    """Listen counts of the canonicalized log in one pass (I4 + A1).
+
+    Equals ``count_listens(canonicalize(...))``.  With de-duplication it is two
+    partial aggregates: per (user, item, timestamp) -- which also collapses a
+    hot pair's repeats map-side -- then per (user, item), where an mbid row
+    counts once per timestamp and a row without mbid counts every time.
+    """
+    resolved = _resolve(log, tracks, how, user, item, ts, mbid)
+    if not dedupe:
+        return resolved.groupBy(user, item).agg(F.count(ts).alias(out))
+    per_ts = resolved.groupBy(user, item, ts).agg(
+        F.count(ts).alias("_n"), F.max("_has_mbid").alias("_has_mbid"))
+    once = F.when(F.col(ts).isNotNull(), F.lit(1)).otherwise(F.lit(0))
+    weight = once if dedupe == "both" else F.when(F.col("_has_mbid"), once).otherwise(F.col("_n"))
+    return per_ts.groupBy(user, item).agg(F.sum(weight).cast("bigint").alias(out))
+
+
 def dense_ids(values: DataFrame, key: str, id_col: str = "id", num_partitions: int | None = None,
               checkpoint: bool = True) -> DataFrame:
     """Dense 0..n-1 ids in ascending order of ``key``.

@@ -47,14 +47,15 @@ def collect_ranked(long_form: DataFrame, user: str = "user_id", item: str = "rec
 
 def per_user_ranking(predictions: DataFrame, truth: DataFrame, k: int | None = 100,
                      user: str = "user_id", item: str = "recording_msid",
-                     pos: str = "pos", users: str = "truth") -> DataFrame:
+                     pos: str = "pos", users="truth") -> DataFrame:
     """Per-user AP, NDCG, precision and recall.
 
     ``predictions`` without a user column is one list for everyone (popularity):
     it is broadcast (it has k rows) and joined to the truth on the item.
     ``users='truth'`` scores every truth user (a user without predictions
     scores 0); ``users='both'`` only users present in both (the reference's
-    inner join of truth and recommendations).
+    inner join of truth and recommendations); a DataFrame of users scores
+    exactly those (a user with an empty truth set scores 0, as in MLlib).
     """
     truth = truth.select(user, item).distinct()
     preds = predictions.select(*([user] if user in predictions.columns else []), pos, item)
@@ -73,7 +74,9 @@ def per_user_ranking(predictions: DataFrame, truth: DataFrame, k: int | None = 1
         F.count(F.lit(1)).alias("_hits"),
     )
     sizes = truth.groupBy(user).agg(F.count(F.lit(1)).alias("_t"))
-    if users == "both" and user in preds.columns:
+    if isinstance(users, DataFrame):
+        sizes = users.select(user).distinct().join(sizes, user, "left").fillna(0, subset=["_t"])
+    elif users == "both" and user in preds.columns:
         sizes = sizes.join(preds.select(user).distinct(), user, "left_semi")
 
     cap = F.col("_t") if k is None else F.least(F.col("_t"), F.lit(k))
@@ -92,7 +95,7 @@ def per_user_ranking(predictions: DataFrame, truth: DataFrame, k: int | None = 1
 
 def ranking_metrics(predictions: DataFrame, truth: DataFrame, k: int | None = 100,
                     user: str = "user_id", item: str = "recording_msid",
-                    pos: str = "pos", users: str = "truth") -> DataFrame:
+                    pos: str = "pos", users="truth") -> DataFrame:
     """One row: map, ndcg, precision, recall (means over users) and n_users."""
     per_user = per_user_ranking(predictions, truth, k, user, item, pos, users)
     return per_user.agg(

@@ -18,6 +18,7 @@ only the top k per (query, block).
 from __future__ import annotations
 
 import math
+import sys
 import time
 
 import numpy as np
@@ -30,6 +31,12 @@ from pyspark.sql.window import Window
 
 RESULT_SCHEMA = "query_id long, item_id long, score double"
 
+# The scoring functions below run in Python workers; ship them by value so
+# executors need no installed copy of this package.
+from pyspark import cloudpickle  # noqa: E402
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _top_k_rows(qids: np.ndarray, iids: np.ndarray, scores: np.ndarray, k: int) -> pd.DataFrame:
     """Best k items per query row of a score block, ties by smaller item id."""
@@ -149,12 +156,12 @@ def mips_lsh(queries: DataFrame, items: DataFrame, k: int = 10, id_col: str = "i
     # Items go to one item block and are copied to each query block of their
     # bucket; queries go to one query block and are copied to each item block.
     it_b = ki.join(sizes, ["_t", "_b"]).select(
-        "_t", "_b", F.pmod(F.xxhash64("_id"), F.col("_ib")).alias("_ix"),
+        "_t", "_b", F.pmod(F.xxhash64("_id"), F.col("_ib")).cast("int").alias("_ix"),
         F.explode(F.sequence(F.lit(0), F.col("_qb") - 1)).alias("_qx"),
         F.col("_id").alias("item_id"), F.col("_raw").alias("_iv"))
     qu_b = kq.join(sizes, ["_t", "_b"]).select(
         "_t", "_b", F.explode(F.sequence(F.lit(0), F.col("_ib") - 1)).alias("_ix"),
-        F.pmod(F.xxhash64("_id"), F.col("_qb")).alias("_qx"),
+        F.pmod(F.xxhash64("_id"), F.col("_qb")).cast("int").alias("_qx"),
         F.col("_id").alias("query_id"), F.col("_raw").alias("_qv"))
 
     def score(q: pd.DataFrame, i: pd.DataFrame) -> pd.DataFrame:
@@ -163,6 +170,7 @@ def mips_lsh(queries: DataFrame, items: DataFrame, k: int = 10, id_col: str = "i
         return _top_k_rows(q["query_id"].to_numpy(dtype=np.int64), i["item_id"].to_numpy(dtype=np.int64),
                            _matrix(q["_qv"]) @ _matrix(i["_iv"]).T, k)
 
+    # Both sides must carry identical key types, or cogroup hashes them apart.
     keys = ["_t", "_b", "_ix", "_qx"]
     cands = qu_b.groupBy(*keys).cogroup(it_b.groupBy(*keys)).applyInPandas(score, RESULT_SCHEMA)
     # The same pair can meet in several hash tables.

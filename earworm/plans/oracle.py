@@ -216,12 +216,15 @@ ORACLE = {
     "attach_left": LEFT_F1,
     "canonical_map": f"""
         with fs as (select recording_msid, min("timestamp") as first_ts from ({F2_LOG}) group by 1),
-             wm as (select fs.*, t.recording_mbid from fs join ({F2_TRACKS}) t using (recording_msid))
-        select recording_msid, recording_mbid,
-               case when recording_mbid is null then recording_msid
-                    else first_value(recording_msid) over (partition by recording_mbid
-                                                           order by first_ts, recording_msid) end as canonical_msid
-          from wm""",
+             t as ({F2_TRACKS}),
+             wm as (select t.recording_msid, t.recording_mbid, fs.first_ts
+                      from t join fs using (recording_msid) where t.recording_mbid is not null),
+             win as (select distinct recording_mbid,
+                            first_value(recording_msid) over (partition by recording_mbid
+                                                              order by first_ts, recording_msid) as w from wm)
+        select t.recording_msid, t.recording_mbid, coalesce(win.w, t.recording_msid) as canonical_msid
+          from t left join win using (recording_mbid)""",
+    "canonical_log": canonical_log(F2_LOG, F2_TRACKS),
     "canonical_counts_f2": CANON_F2,
     "canonical_counts_f2_nodedupe": CANON_F2_NODEDUPE,
     "canonical_counts_f1": CANON_F1,

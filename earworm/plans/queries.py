@@ -26,13 +26,11 @@ def _round(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 # ------------------------------------------------------------ building blocks
 def canonical_counts_f1(spark, sf, dedupe=True) -> DataFrame:
-    log = td.listens_f1(spark, sf)
-    return ratings.count_listens(identity.canonicalize(log, td.tracks_f1(spark, sf), dedupe=dedupe))
+    return identity.canonical_listens(td.listens_f1(spark, sf), td.tracks_f1(spark, sf), dedupe=dedupe)
 
 
 def canonical_counts_f2(spark, sf, dedupe=True) -> DataFrame:
-    log = td.listens_f2(spark, sf)
-    return ratings.count_listens(identity.canonicalize(log, td.tracks_f2(spark, sf), dedupe=dedupe))
+    return identity.canonical_listens(td.listens_f2(spark, sf), td.tracks_f2(spark, sf), dedupe=dedupe)
 
 
 def _popularity_eval(spark, sf, model: str, per_user: bool = False) -> DataFrame:
@@ -116,6 +114,11 @@ def canonical_map_f2(spark, sf):
     return identity.canonical_map(td.listens_f2(spark, sf), td.tracks_f2(spark, sf))
 
 
+def canonical_log_f2(spark, sf):
+    """I4 row by row: the canonicalized F2 log (mbid branch de-duplicated)."""
+    return identity.canonicalize(td.listens_f2(spark, sf), td.tracks_f2(spark, sf))
+
+
 def canonical_counts_f2_q(spark, sf):
     return canonical_counts_f2(spark, sf, dedupe=True)
 
@@ -247,6 +250,7 @@ REGISTRY = {
     "attach_inner": attach_inner,
     "attach_left": attach_left_f1,
     "canonical_map": canonical_map_f2,
+    "canonical_log": canonical_log_f2,
     "canonical_counts_f2": canonical_counts_f2_q,
     "canonical_counts_f2_nodedupe": canonical_counts_f2_nodedupe,
     "canonical_counts_f1": canonical_counts_f1_q,
