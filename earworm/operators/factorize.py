@@ -40,6 +40,13 @@ def index_ratings(ratings: DataFrame, user: str = "user_id", item: str = "record
                    users, items)
 
 
+def matrix_shape(indexed: Indexed) -> DataFrame:
+    """The shape of the user x item matrix (one row)."""
+    tagged = indexed.users.select(F.lit(True).alias("_u")).unionByName(
+        indexed.items.select(F.lit(False).alias("_u")))
+    return tagged.agg(F.count_if("_u").alias("n_users"), F.count_if(~F.col("_u")).alias("n_items"))
+
+
 def to_als_frame(ratings: DataFrame, user: str, item: str, value: str) -> DataFrame:
     """P10: int ids and float ratings.  ANSI casts raise on overflow."""
     return ratings.withColumns({

@@ -2,8 +2,8 @@
 
 Metrics are computed in long form.  Predictions are ``(user, pos, item)`` rows
 (or ``(pos, item)`` for one list shared by all users), truth is a set of
-``(user, item)`` rows.  Only hits are ever joined; the per-user sums run over at
-most k hit rows per user, so no group is unbounded.
+``(user, item)`` rows.  One aggregate per user; the only collected list is the
+user's hit positions, at most k long, so no group is unbounded.
 
 Formulas (positions from 1, T = truth set, k = cutoff, users with an empty T
 score 0), equal to MLlib's RankingMetrics with (prediction, truth) order:
@@ -47,45 +47,57 @@ def collect_ranked(long_form: DataFrame, user: str = "user_id", item: str = "rec
 
 def per_user_ranking(predictions: DataFrame, truth: DataFrame, k: int | None = 100,
                      user: str = "user_id", item: str = "recording_msid",
-                     pos: str = "pos", users="truth") -> DataFrame:
+                     pos: str = "pos", users="truth", distinct_truth: bool = True) -> DataFrame:
     """Per-user AP, NDCG, precision and recall.
 
+    One pass: truth rows are left-joined to the predictions (a hit gets its
+    position), then one aggregate per user gives |T|, the hit count, the DCG
+    and the sorted hit positions -- at most k of them -- from which AP
+    follows.  No window, and the truth is read once.
+
     ``predictions`` without a user column is one list for everyone (popularity):
-    it is broadcast (it has k rows) and joined to the truth on the item.
+    it is broadcast (it has k rows) and joined on the item.
     ``users='truth'`` scores every truth user (a user without predictions
     scores 0); ``users='both'`` only users present in both (the reference's
     inner join of truth and recommendations); a DataFrame of users scores
     exactly those (a user with an empty truth set scores 0, as in MLlib).
+    ``distinct_truth=False`` skips de-duplicating the truth when the caller
+    knows each (user, item) occurs once (e.g. it comes from an aggregate).
     """
-    truth = truth.select(user, item).distinct()
+    t = truth.select(user, item)
+    if distinct_truth:
+        t = t.distinct()
     preds = predictions.select(*([user] if user in predictions.columns else []), pos, item)
     if k is not None:
         preds = preds.where(F.col(pos) <= k)
     if user in preds.columns:
-        hits = truth.join(preds, [user, item])
+        joined = t.join(preds, [user, item], "left")
     else:
-        hits = truth.join(F.broadcast(preds), item)
+        joined = t.join(F.broadcast(preds), item, "left")
 
-    w = Window.partitionBy(user).orderBy(pos)
-    per_hit = hits.select(user, pos, F.row_number().over(w).alias("_rank"))
-    hit_sums = per_hit.groupBy(user).agg(
-        F.sum(F.col("_rank") / F.col(pos)).alias("_ap_sum"),
+    per_user = joined.groupBy(user).agg(
+        F.count(F.lit(1)).alias("_t"),
+        F.count(pos).alias("_hits"),
         F.sum(F.lit(1.0) / F.log(F.col(pos).cast("double") + 1.0)).alias("_dcg"),
-        F.count(F.lit(1)).alias("_hits"),
+        F.array_sort(F.collect_list(pos)).alias("_hp"),
     )
-    sizes = truth.groupBy(user).agg(F.count(F.lit(1)).alias("_t"))
     if isinstance(users, DataFrame):
-        sizes = users.select(user).distinct().join(sizes, user, "left").fillna(0, subset=["_t"])
+        per_user = users.select(user).distinct().join(per_user, user, "left")
     elif users == "both" and user in preds.columns:
-        sizes = sizes.join(preds.select(user).distinct(), user, "left_semi")
-
+        per_user = per_user.join(preds.select(user).distinct(), user, "left_semi")
+    per_user = per_user.fillna(0, subset=["_t", "_hits", "_dcg"])
+
+    # AP numerator: the j-th hit (1-based) at position p adds j / p.
+    ap_sum = F.aggregate(
+        F.transform(F.coalesce(F.col("_hp"), F.array().cast("array<int>")),
+                    lambda p, i: (i + 1).cast("double") / p),
+        F.lit(0.0), lambda acc, x: acc + x)
     cap = F.col("_t") if k is None else F.least(F.col("_t"), F.lit(k))
-    scored = sizes.join(hit_sums, user, "left").fillna(0, subset=["_ap_sum", "_dcg", "_hits"])
-    return scored.select(
+    return per_user.select(
         user,
         F.col("_t").alias("n_truth"),
         F.col("_hits").alias("n_hits"),
-        F.when(F.col("_t") > 0, F.col("_ap_sum") / cap).otherwise(0.0).alias("ap"),
+        F.when(F.col("_t") > 0, ap_sum / cap).otherwise(0.0).alias("ap"),
         F.when(F.col("_t") > 0, F.col("_dcg") / ideal_dcg(cap)).otherwise(0.0).alias("ndcg"),
         (F.col("_hits") / F.lit(float(k))).alias("precision") if k is not None
         else F.lit(None).cast("double").alias("precision"),
@@ -95,9 +107,9 @@ def per_user_ranking(predictions: DataFrame, truth: DataFrame, k: int | None = 1
 
 def ranking_metrics(predictions: DataFrame, truth: DataFrame, k: int | None = 100,
                     user: str = "user_id", item: str = "recording_msid",
-                    pos: str = "pos", users="truth") -> DataFrame:
+                    pos: str = "pos", users="truth", distinct_truth: bool = True) -> DataFrame:
     """One row: map, ndcg, precision, recall (means over users) and n_users."""
-    per_user = per_user_ranking(predictions, truth, k, user, item, pos, users)
+    per_user = per_user_ranking(predictions, truth, k, user, item, pos, users, distinct_truth)
     return per_user.agg(
         F.avg("ap").alias("map_at_k"),
         F.avg("ndcg").alias("ndcg_at_k"),

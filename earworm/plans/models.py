@@ -58,7 +58,38 @@ def als_implicit_map(spark, sf):
     idx, _, val, model = _implicit_setup(spark, sf)
     recs = fz.recommend_users(model, idx, val.select("user_id"), TOP)
     truth = ranking.user_top_k(val, 100)
-    return _round(ranking.ranking_metrics(recs, truth, TOP))
+    return _round(ranking.ranking_metrics(recs, truth, TOP, distinct_truth=False))
+
+
+def als_explicit_topk(spark, sf):
+    """R5 + R7 + E3 + E4: plain explicit ALS (rank 200, reg 0.01, 20
+    iterations), top-100 for validation users, precision@100, MAP without
+    cutoff and NDCG@100 against each user's validation items."""
+    idx, train, val = _explicit_setup(spark, sf)
+    model = fz.fit_als(fz.Indexed(train, idx.users, idx.items), rank=200, reg=0.01, max_iter=20)
+    recs = fz.recommend_users(model, idx, val.select("user_id"), 100)
+    at100 = ranking.per_user_ranking(recs, val, 100, users="both", distinct_truth=False)
+    no_cut = ranking.per_user_ranking(recs, val, None, users="both", distinct_truth=False)
+    per_user = at100.select("user_id", "precision", "ndcg").join(
+        no_cut.select("user_id", F.col("ap").alias("ap_all")), "user_id")
+    return _round(per_user.agg(F.avg("precision").alias("precision_at_k"), F.avg("ndcg").alias("ndcg_at_k"),
+                               F.avg("ap_all").alias("map_all"), F.count(F.lit(1)).alias("n_users")))
+
+
+def als_seen_precision(spark, sf):
+    """E6 (+ J10, I3): precision@100 on validation pairs whose user and item
+    occur in train, averaged over users with a validation pair; the factor
+    model is implicit ALS."""
+    idx, train, val, model = _implicit_setup(spark, sf)
+    seen = splits.restrict_to_seen(val, train)
+    recs = fz.recommend_users(model, idx, seen.select("user_id"), 100)
+    return _round(ranking.ranking_metrics(recs, seen, 100, distinct_truth=False)
+                  .select("precision_at_k", "n_users"))
+
+
+def als_matrix_shape(spark, sf):
+    """Users x items of the F2 rating matrix after identity resolution."""
+    return fz.matrix_shape(fz.index_ratings(canonical_counts_f2(spark, sf)))
 
 
 def als_tuned(spark, sf):
@@ -133,6 +164,9 @@ MODEL_REGISTRY = {
     "als_explicit_rmse": als_explicit_rmse,
     "als_implicit_recs": als_implicit_recs,
     "als_implicit_map": als_implicit_map,
+    "als_explicit_topk": als_explicit_topk,
+    "als_seen_precision": als_seen_precision,
+    "als_matrix_shape": als_matrix_shape,
     "als_tuned": als_tuned,
     "als_holdout_tuned": als_holdout_tuned,
     "als_factors": als_factors,

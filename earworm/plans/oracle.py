@@ -210,6 +210,8 @@ ORACLE = {
         select recording_msid, {r('sum(listens) / count(*)', 'avg_listens')}
           from ({counts_of(F2_LOG)}) group by 1""",
     "listen_counts_f1": counts_of(F1_LOG),
+    "listen_counts_sql": f"""select user_id, recording_msid, count(*) as total_listens
+        from ({F2_LOG}) group by 1, 2""",
     "listen_counts_f2": counts_of(F2_LOG),
     "attach_inner": f"""select l.recording_msid, l.user_id, l."timestamp", t.recording_mbid
         from ({F2_LOG}) l join ({F2_TRACKS}) t using (recording_msid)""",
@@ -233,6 +235,8 @@ ORACLE = {
     "encoded_ratings": f"""
         with c as ({CANON_F2}), k as ({dense_codes('recording_msid', CANON_F2, 'codes')})
         select c.user_id, k.codes as recording_msid, c.listens from c join k using (recording_msid)""",
+    "als_matrix_shape": f"""select count(distinct user_id) as n_users, count(distinct recording_msid) as n_items
+        from ({CANON_F2})""",
     "rating_profile_f1": profile(CANON_F1),
     "rating_profile_f2": profile(CANON_F2),
     "null_profile": f"""

@@ -42,8 +42,8 @@ def _popularity_eval(spark, sf, model: str, per_user: bool = False) -> DataFrame
            else popularity.popularity_average(train, K))
     truth = ranking.user_top_k(ratings.count_listens(val), K)
     if per_user:
-        return _round(ranking.per_user_ranking(top, truth, K))
-    return _round(ranking.ranking_metrics(top, truth, K))
+        return _round(ranking.per_user_ranking(top, truth, K, distinct_truth=False))
+    return _round(ranking.ranking_metrics(top, truth, K, distinct_truth=False))
 
 
 # ------------------------------------------------------------ popularity
@@ -235,7 +235,17 @@ def user_truth_lists(spark, sf):
                         .alias("items"))
 
 
+def listen_counts_sql(spark, sf):
+    """S8 + A1: the baseline's listen-count SQL over named views."""
+    from earworm.sources.views import register_views
+    register_views(spark, sf)
+    return spark.sql("""
+        SELECT user_id, recording_msid, COUNT(*) AS total_listens
+        FROM listens_f2 GROUP BY user_id, recording_msid""")
+
+
 REGISTRY = {
+    "listen_counts_sql": listen_counts_sql,
     "popularity_map": popularity_map,
     "popularity_user_metrics": popularity_user_metrics,
     "popularity_average_map": popularity_average_map,
