@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earworm.operators.identity import dense_ids
-from earworm.session import checkpoint_dir
+from earworm.session import checkpoint_dir, cut_lineage
 
 UIDX, IIDX = "_uidx", "_iidx"
 
@@ -32,12 +32,22 @@ class Indexed:
 
 
 def index_ratings(ratings: DataFrame, user: str = "user_id", item: str = "recording_msid",
-                  value: str = "listens") -> Indexed:
+                  value: str = "listens", checkpoint: bool = True) -> Indexed:
+    """Ratings with dense int user and item ids, plus the two id tables.
+
+    The ratings (an aggregate, far smaller than the log) are read by both id
+    passes, the join and every later fit and evaluation, so their lineage is
+    cut once into the shared checkpoint folder, and so is the indexed result.
+    """
+    if checkpoint:
+        ratings = cut_lineage(ratings.select(user, item, value))
     users = dense_ids(ratings, user, UIDX)
     items = dense_ids(ratings, item, IIDX)
     rated = ratings.join(users, user).join(items, item)
-    return Indexed(to_als_frame(rated, UIDX, IIDX, value).select(user, item, UIDX, IIDX, value),
-                   users, items)
+    indexed = to_als_frame(rated, UIDX, IIDX, value).select(user, item, UIDX, IIDX, value)
+    if checkpoint:
+        indexed = cut_lineage(indexed)
+    return Indexed(indexed, users, items)
 
 
 def matrix_shape(indexed: Indexed) -> DataFrame:
@@ -59,16 +69,28 @@ def to_als_frame(ratings: DataFrame, user: str, item: str, value: str) -> DataFr
 def als_estimator(rank: int = 10, reg: float = 0.1, max_iter: int = 10, implicit: bool = False,
                   alpha: float = 1.0, nonnegative: bool = False, seed: int = 1234,
                   value: str = "listens", cold_start: str = "drop",
-                  num_user_blocks: int = 10, num_item_blocks: int = 10,
+                  num_user_blocks: int | None = None, num_item_blocks: int | None = None,
                   checkpoint_interval: int = 10) -> ALS:
+    """The ALS estimator on the dense id columns.
+
+    Unset block counts are filled in by ``fit_als`` from the size of the
+    ratings.
+    """
     return ALS(
         rank=rank, regParam=reg, maxIter=max_iter, implicitPrefs=implicit, alpha=alpha,
         nonnegative=nonnegative, seed=seed, userCol=UIDX, itemCol=IIDX, ratingCol=value,
-        coldStartStrategy=cold_start, numUserBlocks=num_user_blocks, numItemBlocks=num_item_blocks,
-        checkpointInterval=checkpoint_interval,
+        coldStartStrategy=cold_start, numUserBlocks=num_user_blocks or 10,
+        numItemBlocks=num_item_blocks or 10, checkpointInterval=checkpoint_interval,
     )
 
 
+def default_blocks(ratings: DataFrame) -> int:
+    """ALS blocks: one per partition of the (checkpointed) ratings, but no
+    more than the cluster's cores, and at least 2."""
+    cores = ratings.sparkSession.sparkContext.defaultParallelism
+    return max(2, min(cores, ratings.rdd.getNumPartitions()))
+
+
 def fit_als(indexed: Indexed, value: str = "listens", **params) -> ALSModel:
     """R3 (explicit, e.g. nonnegative=True) and R4 (implicit=True).
 
@@ -77,6 +99,12 @@ def fit_als(indexed: Indexed, value: str = "listens", **params) -> ALSModel:
     iterations.
     """
     checkpoint_dir(indexed.ratings.sparkSession)
+    if params.get("num_user_blocks") is None or params.get("num_item_blocks") is None:
+        blocks = default_blocks(indexed.ratings)
+        params.setdefault("num_user_blocks", blocks)
+        params.setdefault("num_item_blocks", blocks)
+        params["num_user_blocks"] = params["num_user_blocks"] or blocks
+        params["num_item_blocks"] = params["num_item_blocks"] or blocks
     return als_estimator(value=value, **params).fit(indexed.ratings)
 
 
@@ -148,6 +176,9 @@ def tune_als(indexed: Indexed, grid: dict | None = None, folds: int = 2, paralle
     private JVM handles.
     """
     grid = grid or {"rank": [10, 20], "regParam": [0.05, 0.1], "maxIter": [5, 10]}
+    blocks = default_blocks(indexed.ratings)
+    fixed.setdefault("num_user_blocks", blocks)
+    fixed.setdefault("num_item_blocks", blocks)
     est = als_estimator(value=value, seed=seed, **fixed)
     builder = ParamGridBuilder()
     for name, values in grid.items():

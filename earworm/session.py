@@ -69,4 +69,6 @@ def cut_lineage(df, eager: bool = True):
     lineage.  Never a local (executor-disk) checkpoint.
     """
     checkpoint_dir(df.sparkSession)
+    # The write job after the materializing count re-reads the shuffle output
+    # of the last exchange, so only the final stage runs twice.
     return df.checkpoint(eager=eager)
