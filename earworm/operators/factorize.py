@@ -24,37 +24,86 @@ UIDX, IIDX = "_uidx", "_iidx"
 
 @dataclass
 class Indexed:
-    """Ratings with dense int ids, and the two id tables to map back."""
+    """Ratings with int ALS ids, and how to map ids back.
+
+    ``users`` / ``items`` are ``(id, _idx)`` tables, or None when the original
+    id is itself a valid ALS id (an integer in [0, 2^31)); ``user_type`` /
+    ``item_type`` are the original id types.
+    """
 
     ratings: DataFrame
-    users: DataFrame   # (user, _uidx)
-    items: DataFrame   # (item, _iidx)
+    users: DataFrame | None
+    items: DataFrame | None
+    user: str = "user_id"
+    item: str = "recording_msid"
+    user_type: str = "bigint"
+    item_type: str = "bigint"
 
 
-def index_ratings(ratings: DataFrame, user: str = "user_id", item: str = "recording_msid",
-                  value: str = "listens", checkpoint: bool = True) -> Indexed:
-    """Ratings with dense int user and item ids, plus the two id tables.
+_INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
+
+
+def _fits_int(ratings: DataFrame, cols: list[str]) -> dict[str, bool]:
+    """Which integral columns already lie in [0, 2^31): one aggregate."""
+    types = dict(ratings.dtypes)
+    cand = [c for c in cols if types[c] in _INTEGRAL]
+    if not cand:
+        return {c: False for c in cols}
+    aggs = [f(c).alias(f"{n}_{c}") for c in cand for n, f in (("lo", F.min), ("hi", F.max))]
+    row = ratings.agg(*aggs).first()
+    ok = {c: row[f"lo_{c}"] is not None and row[f"lo_{c}"] >= 0 and row[f"hi_{c}"] < 2**31 for c in cand}
+    return {c: ok.get(c, False) for c in cols}
+
 
-    The ratings (an aggregate, far smaller than the log) are read by both id
-    passes, the join and every later fit and evaluation, so their lineage is
-    cut once into the shared checkpoint folder, and so is the indexed result.
+def index_ratings(ratings: DataFrame, user: str = "user_id", item: str = "recording_msid",
+                  value: str = "listens", checkpoint: bool = True, dense: str = "auto") -> Indexed:
+    """Ratings with int user and item ids for ALS.
+
+    ``dense='auto'`` keeps an integral id that already fits an int (checked by
+    one min/max aggregate) and gives every other id column dense ids;
+    ``'always'`` gives dense ids to both.  The ratings (an aggregate, far
+    smaller than the log) are read by the id passes, the join and every later
+    fit and evaluation, so their lineage is cut once into the shared
+    checkpoint folder, and so is the indexed result.
     """
     if checkpoint:
         ratings = cut_lineage(ratings.select(user, item, value))
-    users = dense_ids(ratings, user, UIDX)
-    items = dense_ids(ratings, item, IIDX)
-    rated = ratings.join(users, user).join(items, item)
+    types = dict(ratings.dtypes)
+    keep = _fits_int(ratings, [user, item]) if dense == "auto" else {user: False, item: False}
+    users = None if keep[user] else dense_ids(ratings, user, UIDX)
+    items = None if keep[item] else dense_ids(ratings, item, IIDX)
+    idx = Indexed(ratings, users, items, user, item, types[user], types[item])
+    rated = _encode(_encode(ratings, idx, "user"), idx, "item")
     indexed = to_als_frame(rated, UIDX, IIDX, value).select(user, item, UIDX, IIDX, value)
     if checkpoint:
         indexed = cut_lineage(indexed)
-    return Indexed(indexed, users, items)
+    idx.ratings = indexed
+    return idx
+
+
+def _encode(df: DataFrame, idx: Indexed, side: str) -> DataFrame:
+    """Add the ALS id column of ``side`` ('user' or 'item') to ``df``."""
+    col, table, out = (idx.user, idx.users, UIDX) if side == "user" else (idx.item, idx.items, IIDX)
+    if table is None:
+        # Ids outside the int range cannot be known to the model: drop them,
+        # as the inner join with an id table would.
+        return df.where(F.col(col).between(0, 2**31 - 1)).withColumn(out, F.col(col).cast("int"))
+    return df.join(table, col)
+
+
+def _decode(df: DataFrame, idx: Indexed, side: str) -> DataFrame:
+    """Add the original id column of ``side`` to a frame holding its ALS id."""
+    col, table, key, typ = ((idx.user, idx.users, UIDX, idx.user_type) if side == "user"
+                            else (idx.item, idx.items, IIDX, idx.item_type))
+    if table is None:
+        return df.withColumn(col, F.col(key).cast(typ))
+    return df.join(table, key)
 
 
 def matrix_shape(indexed: Indexed) -> DataFrame:
     """The shape of the user x item matrix (one row)."""
-    tagged = indexed.users.select(F.lit(True).alias("_u")).unionByName(
-        indexed.items.select(F.lit(False).alias("_u")))
-    return tagged.agg(F.count_if("_u").alias("n_users"), F.count_if(~F.col("_u")).alias("n_items"))
+    return indexed.ratings.agg(F.count_distinct(UIDX).alias("n_users"),
+                               F.count_distinct(IIDX).alias("n_items"))
 
 
 def to_als_frame(ratings: DataFrame, user: str, item: str, value: str) -> DataFrame:
@@ -112,7 +161,7 @@ def score_pairs(model: ALSModel, indexed: Indexed, pairs: DataFrame, user: str =
                 item: str = "recording_msid") -> DataFrame:
     """The model's prediction for (user, item) pairs given in original ids.
     Pairs with an unknown user or item are dropped (cold start)."""
-    coded = pairs.join(indexed.users, user).join(indexed.items, item)
+    coded = _encode(_encode(pairs, indexed, "user"), indexed, "item")
     out = model.transform(coded)
     return out.where(~F.isnan("prediction")).drop(UIDX, IIDX)
 
@@ -124,12 +173,12 @@ def recommend_users(model: ALSModel, indexed: Indexed, users: DataFrame, k: int
     recommendForUserSubset scores blocks of users against blocks of items and
     keeps a bounded top-k per user; only k rows per user leave it.
     """
-    coded = users.select(user).distinct().join(indexed.users, user).select(UIDX)
+    coded = _encode(users.select(user).distinct(), indexed, "user").select(UIDX)
     recs = model.recommendForUserSubset(coded, k)
     longf = recs.select(UIDX, F.posexplode("recommendations").alias("_p", "_r")).select(
         UIDX, (F.col("_p") + 1).alias("pos"), F.col("_r")[IIDX].alias(IIDX), F.col("_r")["rating"].alias("score")
     )
-    return (longf.join(indexed.users, UIDX).join(indexed.items, IIDX)
+    return (_decode(_decode(longf, indexed, "user"), indexed, "item")
             .select(user, "pos", item, F.col("score").cast("double").alias("score")))
 
 
@@ -141,9 +190,9 @@ def factors(model: ALSModel) -> tuple[DataFrame, DataFrame]:
 def factors_with_ids(model: ALSModel, indexed: Indexed, user: str = "user_id",
                      item: str = "recording_msid") -> tuple[DataFrame, DataFrame]:
     """Factor tables keyed by the original ids (keeps ids comparable, D12)."""
-    u = model.userFactors.join(indexed.users, model.userFactors.id == indexed.users[UIDX]) \
+    u = _decode(model.userFactors.withColumnRenamed("id", UIDX), indexed, "user") \
         .select(F.col(user).alias("id"), "features")
-    i = model.itemFactors.join(indexed.items, model.itemFactors.id == indexed.items[IIDX]) \
+    i = _decode(model.itemFactors.withColumnRenamed("id", IIDX), indexed, "item") \
         .select(F.col(item).alias("id"), "features")
     return u, i
 

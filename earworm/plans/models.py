@@ -7,6 +7,8 @@ retrieval (``mips_exact``) does have one (plans/oracle.py).
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +35,7 @@ def _implicit_setup(spark, sf):
     labelled = splits.split_rows(idx.ratings, 0.7, holdin=0.6)
     train, val = splits.train_val(labelled)
     train = train.checkpoint(eager=True)
-    model = fz.fit_als(fz.Indexed(train, idx.users, idx.items), rank=20, reg=0.1, max_iter=20,
+    model = fz.fit_als(replace(idx, ratings=train), rank=20, reg=0.1, max_iter=20,
                        implicit=True, seed=1234)
     return idx, train, val, model
 
@@ -41,12 +43,20 @@ def _implicit_setup(spark, sf):
 def als_explicit_rmse(spark: SparkSession, sf: str) -> DataFrame:
     """R3 + R6 + E5: non-negative explicit ALS, RMSE on validation."""
     idx, train, val = _explicit_setup(spark, sf)
-    model = fz.fit_als(fz.Indexed(train, idx.users, idx.items), rank=10, reg=0.1, max_iter=10,
+    model = fz.fit_als(replace(idx, ratings=train), rank=20, reg=0.1, max_iter=15,
                        nonnegative=True)
     scored = model.transform(val)
     return _round(ranking.rmse(scored))
 
 
+def als_implicit_f1(spark, sf):
+    """R4 + R7: implicit ALS (rank 20, reg 0.1, 20 iterations, seed 1234) on
+    the F1 listen counts, then the top-10 items of every user."""
+    idx = fz.index_ratings(canonical_counts_f1(spark, sf))
+    model = fz.fit_als(idx, rank=20, reg=0.1, max_iter=20, implicit=True, seed=1234)
+    return _round(fz.recommend_users(model, idx, idx.ratings, TOP))
+
+
 def als_implicit_recs(spark, sf):
     """R4 + R7: top-10 items for every validation user (long form)."""
     idx, _, val, model = _implicit_setup(spark, sf)
@@ -66,7 +76,7 @@ def als_explicit_topk(spark, sf):
     iterations), top-100 for validation users, precision@100, MAP without
     cutoff and NDCG@100 against each user's validation items."""
     idx, train, val = _explicit_setup(spark, sf)
-    model = fz.fit_als(fz.Indexed(train, idx.users, idx.items), rank=200, reg=0.01, max_iter=20)
+    model = fz.fit_als(replace(idx, ratings=train), rank=200, reg=0.01, max_iter=20)
     recs = fz.recommend_users(model, idx, val.select("user_id"), 100)
     at100 = ranking.per_user_ranking(recs, val, 100, users="both", distinct_truth=False)
     no_cut = ranking.per_user_ranking(recs, val, None, users="both", distinct_truth=False)
@@ -95,7 +105,7 @@ def als_matrix_shape(spark, sf):
 def als_tuned(spark, sf):
     """E9 + E10 + E12: cross-validated grid by RMSE, one row per setting."""
     idx, train, _ = _explicit_setup(spark, sf)
-    _, report = fz.tune_als(fz.Indexed(train, idx.users, idx.items),
+    _, report = fz.tune_als(replace(idx, ratings=train),
                             {"rank": [5, 10], "regParam": [0.05, 0.1]}, folds=2, max_iter=5,
                             nonnegative=True)
     return _round(report)
@@ -104,7 +114,7 @@ def als_tuned(spark, sf):
 def als_holdout_tuned(spark, sf):
     """One holdout fit per setting, the minimum flagged."""
     idx, train, _ = _explicit_setup(spark, sf)
-    _, report = fz.tune_als(fz.Indexed(train, idx.users, idx.items),
+    _, report = fz.tune_als(replace(idx, ratings=train),
                             {"rank": [5, 10], "maxIter": [5, 10]}, method="holdout", nonnegative=True)
     return _round(report)
 
@@ -162,6 +172,7 @@ def hit_accuracy(spark, sf):
 
 MODEL_REGISTRY = {
     "als_explicit_rmse": als_explicit_rmse,
+    "als_implicit_f1": als_implicit_f1,
     "als_implicit_recs": als_implicit_recs,
     "als_implicit_map": als_implicit_map,
     "als_explicit_topk": als_explicit_topk,

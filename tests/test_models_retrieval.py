@@ -1,5 +1,7 @@
 """ALS invariants and inner-product retrieval against brute force."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ def explicit(spark):
     counts = ratings.filter_min_listens(canonical_counts_f1(spark, SF01), 1)
     idx = fz.index_ratings(counts)
     train, val = splits.train_val(splits.split_users(idx.ratings, 0.7, holdin=0.6))
-    model = fz.fit_als(fz.Indexed(train, idx.users, idx.items), rank=5, reg=0.1, max_iter=8, nonnegative=True)
+    model = fz.fit_als(replace(idx, ratings=train), rank=5, reg=0.1, max_iter=8, nonnegative=True)
     return idx, train, val, model
 
 
@@ -40,7 +42,7 @@ def test_recommend_k_rows_per_user_with_original_ids(explicit):
     recs = fz.recommend_users(model, idx, val.select("user_id"), 5)
     per_user = recs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.max("pos").alias("m"))
     assert per_user.where("n != 5 or m != 5").count() == 0
-    known = idx.items.select("recording_msid")
+    known = idx.ratings.select("recording_msid").distinct()
     assert recs.join(known, "recording_msid", "left_anti").count() == 0
 
 
@@ -107,3 +109,16 @@ def test_mips_lsh_recall_and_blocking(spark):
     a = retrieve.mips_lsh(vec, vec, 10, block_items=2048, block_queries=2048)
     b = retrieve.mips_lsh(vec, vec, 10, block_items=16, block_queries=16)
     assert a.select("query_id", "item_id").exceptAll(b.select("query_id", "item_id")).count() == 0
+
+
+def test_string_item_ids_take_the_dense_path(spark):
+    counts = ratings.filter_min_listens(canonical_counts_f1(spark, SF01), 1).withColumn(
+        "recording_msid", F.concat(F.lit("t"), F.col("recording_msid").cast("string")))
+    idx = fz.index_ratings(counts)
+    assert idx.users is None and idx.items is not None  # int users kept, string items coded
+    codes = idx.items.agg(F.min("_iidx"), F.max("_iidx"), F.count(F.lit(1))).first()
+    assert (codes[0], codes[1] + 1) == (0, codes[2])
+    model = fz.fit_als(idx, rank=4, max_iter=3)
+    recs = fz.recommend_users(model, idx, counts, 3)
+    assert dict(recs.dtypes)["recording_msid"] == "string"
+    assert recs.join(counts.select("recording_msid").distinct(), "recording_msid", "left_anti").count() == 0
