@@ -17,6 +17,10 @@ from pyspark.sql.streaming import StreamingQuery
 from earworm.schemas import INTERACTIONS
 from earworm.session import checkpoint_dir
 
+STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+DEFAULT_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+ROCKSDB_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def read_listen_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Parquet files of listens arriving in ``path`` (declared schema)."""
@@ -39,6 +43,11 @@ def start_listen_counts(stream: DataFrame, sink: str = "memory", name: str = "li
     micro-batch's updated counts are appended to Parquet at ``path`` with their
     batch id, so a reader takes the latest batch per (user, item)."""
     spark = stream.sparkSession
+    # One running count per (user, item) is as large as the rating matrix:
+    # keep it in RocksDB (off-heap, spills to local disk, snapshots to the
+    # checkpoint) unless the session already chose a state store.
+    if spark.conf.get(STATE_STORE_KEY, None) in (None, "", DEFAULT_STORE):
+        spark.conf.set(STATE_STORE_KEY, ROCKSDB_STORE)
     location = checkpoint_location or f"{checkpoint_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
     counts = stream_listen_counts(stream)
     writer = counts.writeStream.option("checkpointLocation", location)
