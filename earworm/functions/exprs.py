@@ -13,20 +13,30 @@ def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _sql_name(c) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
 def unit_hash(*keys, salt: str = "") -> Column:
     """A reproducible number in [0, 1) from the key columns.
 
     Rule: the first 8 hex digits of md5(salt || k1 [|| ':' || k2 ...]) read as an
     unsigned 32-bit integer, divided by 2^32.  Independent of partitioning and
     of row order, so a split is the same on every run and every cluster size,
-    and SQL engines with md5 can state it too.
+    and SQL engines with md5 can state it too.  Built as one SQL expression
+    (one round trip to the JVM instead of one per function).
     """
-    parts = [F.col(k).cast("string") if isinstance(k, str) else k.cast("string") for k in keys]
-    text = F.concat_ws(":", *parts) if len(parts) > 1 else parts[0]
+    if not all(isinstance(k, str) for k in keys):
+        parts = [F.col(k).cast("string") if isinstance(k, str) else k.cast("string") for k in keys]
+        text = F.concat_ws(":", *parts) if len(parts) > 1 else parts[0]
+        if salt:
+            text = F.concat(F.lit(salt), text)
+        return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(_TWO_POW_32)
+    parts = ", ".join(f"cast({_sql_name(k)} as string)" for k in keys)
+    text = f"concat_ws(':', {parts})" if len(keys) > 1 else parts
     if salt:
-        text = F.concat(F.lit(salt), text)
-    head = F.substring(F.md5(text), 1, 8)
-    return F.conv(head, 16, 10).cast("double") / F.lit(_TWO_POW_32)
+        text = f"concat('{salt}', {text})"
+    return F.expr(f"cast(conv(substring(md5({text}), 1, 8), 16, 10) as double) / {_TWO_POW_32!r}")
 
 
 def round_half_even(c, scale: int = 0) -> Column:
@@ -34,21 +44,8 @@ def round_half_even(c, scale: int = 0) -> Column:
     return F.bround(_as_col(c), scale)
 
 
-def ideal_dcg(m) -> Column:
-    """sum_{j=1..m} 1/ln(j+1): the DCG of a perfect list with m relevant items."""
-    m = _as_col(m)
-    return F.when(m <= 0, F.lit(0.0)).otherwise(
-        F.aggregate(
-            F.sequence(F.lit(1), m.cast("int")),
-            F.lit(0.0),
-            lambda acc, j: acc + F.lit(1.0) / F.log(j.cast("double") + F.lit(1.0)),
-        )
-    )
-
-
-def safe_ratio(num, den) -> Column:
-    """num / den as double, null (not an ANSI error) when den is 0."""
-    num, den = _as_col(num), _as_col(den)
-    return F.when(den == 0, F.lit(None).cast("double")).otherwise(
-        num.cast("double") / den.cast("double")
-    )
+def ideal_dcg_sql(m: str) -> str:
+    """SQL text of sum_{j=1..m} 1/ln(j+1), the DCG of a perfect list with m
+    relevant items, over the SQL expression ``m``."""
+    return (f"CASE WHEN {m} <= 0 THEN 0D ELSE aggregate(sequence(1, cast({m} as int)), 0D, "
+            f"(acc, j) -> acc + 1D / ln(cast(j as double) + 1D)) END")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from earworm.functions.exprs import ideal_dcg
+from earworm.functions.exprs import ideal_dcg_sql
 
 
 def user_top_k(ratings: DataFrame, k: int = 100, user: str = "user_id",
@@ -87,21 +87,19 @@ def per_user_ranking(predictions: DataFrame, truth: DataFrame, k: int | None = 1
         per_user = per_user.join(preds.select(user).distinct(), user, "left_semi")
     per_user = per_user.fillna(0, subset=["_t", "_hits", "_dcg"])
 
-    # AP numerator: the j-th hit (1-based) at position p adds j / p.
-    ap_sum = F.aggregate(
-        F.transform(F.coalesce(F.col("_hp"), F.array().cast("array<int>")),
-                    lambda p, i: (i + 1).cast("double") / p),
-        F.lit(0.0), lambda acc, x: acc + x)
-    cap = F.col("_t") if k is None else F.least(F.col("_t"), F.lit(k))
-    return per_user.select(
-        user,
-        F.col("_t").alias("n_truth"),
-        F.col("_hits").alias("n_hits"),
-        F.when(F.col("_t") > 0, ap_sum / cap).otherwise(0.0).alias("ap"),
-        F.when(F.col("_t") > 0, F.col("_dcg") / ideal_dcg(cap)).otherwise(0.0).alias("ndcg"),
-        (F.col("_hits") / F.lit(float(k))).alias("precision") if k is not None
-        else F.lit(None).cast("double").alias("precision"),
-        F.when(F.col("_t") > 0, F.col("_hits") / F.col("_t")).otherwise(0.0).alias("recall"),
+    # One SQL projection (one JVM round trip).  AP numerator: the j-th hit
+    # (1-based) at position p adds j / p.
+    cap = "_t" if k is None else f"least(_t, {int(k)})"
+    ap_sum = "aggregate(transform(coalesce(_hp, array()), (p, i) -> cast(i + 1 as double) / p), 0D, (a, x) -> a + x)"
+    precision = f"cast(_hits as double) / {float(k)!r}" if k is not None else "cast(null as double)"
+    return per_user.selectExpr(
+        f"`{user}`",
+        "_t AS n_truth",
+        "_hits AS n_hits",
+        f"CASE WHEN _t > 0 THEN {ap_sum} / {cap} ELSE 0D END AS ap",
+        f"CASE WHEN _t > 0 THEN _dcg / ({ideal_dcg_sql(cap)}) ELSE 0D END AS ndcg",
+        f"{precision} AS `precision`",
+        "CASE WHEN _t > 0 THEN cast(_hits as double) / _t ELSE 0D END AS recall",
     )
 
 

@@ -18,9 +18,9 @@ DIGITS = 9       # rounding of double results
 
 
 def _round(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    return df.select(*[
-        F.round(F.col(f.name), digits).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
-        for f in df.schema.fields
+    return df.selectExpr(*[
+        f"round(`{name}`, {digits}) AS `{name}`" if kind == "double" else f"`{name}`"
+        for name, kind in df.dtypes
     ])
 
 
