@@ -146,8 +146,8 @@ def overlap(split_sql: str) -> str:
            (select count(*) from (select user_id from tr intersect select user_id from va)) as common_users,
            (select count(*) from tr) as train_rows,
            (select count(*) from va) as val_rows,
-           (select count_if(listens = 1) from tr) as train_listens_eq_1,
-           (select count_if(listens = 1) from va) as val_listens_eq_1"""
+           (select cast(count_if(listens = 1) as bigint) from tr) as train_listens_eq_1,
+           (select cast(count_if(listens = 1) as bigint) from va) as val_listens_eq_1"""
 
 
 def seen_only(split_sql: str) -> str:
@@ -179,7 +179,7 @@ def profile(src: str) -> str:
     select count(*) as n_rows, count(distinct user_id) as n_users, count(distinct recording_msid) as n_items,
            {r('avg(listens)', 'mean_listens')}, min(listens) as min_listens, max(listens) as max_listens,
            {r('median(listens)', 'median_listens')}, quantile_disc(listens, 0.5) as approx_median_listens,
-           count_if(listens = 1) as n_listens_eq_1
+           cast(count_if(listens = 1) as bigint) as n_listens_eq_1
       from ({src})"""
 
 
@@ -240,9 +240,9 @@ ORACLE = {
     "rating_profile_f1": profile(CANON_F1),
     "rating_profile_f2": profile(CANON_F2),
     "null_profile": f"""
-        select count_if(recording_msid is null) as nulls_recording_msid, count_if(user_id is null) as nulls_user_id,
-               count_if("timestamp" is null) as nulls_timestamp,
-               count_if(recording_mbid is null) as nulls_recording_mbid
+        select cast(count_if(recording_msid is null) as bigint) as nulls_recording_msid, cast(count_if(user_id is null) as bigint) as nulls_user_id,
+               cast(count_if("timestamp" is null) as bigint) as nulls_timestamp,
+               cast(count_if(recording_mbid is null) as bigint) as nulls_recording_mbid
           from ({LEFT_F1})""",
     "complete_rows": f"""select * from ({LEFT_F1}) where recording_msid is not null and user_id is not null
                            and "timestamp" is not null and recording_mbid is not null""",

@@ -47,6 +47,15 @@ def rows_of(columns, records):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
+def type_mismatches(sdf, con, sql):
+    d_types = {r[0]: r[1] for r in con.execute(f"describe {sql}").fetchall()}
+    return {c: (t, d_types.get(c)) for c, t in sdf.dtypes if SPARK_TO_DUCK.get(t, t) != d_types.get(c)}
+
+
 def compare(spark, con, key, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -56,10 +65,11 @@ def compare(spark, con, key, fn, sql, sf_dir):
     res = con.execute(sql)
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()
+    types = type_mismatches(sdf, con, sql)
     ok_cols = sorted(s_cols) == sorted(d_cols)
     ok_n = len(s_rows) == len(d_rows)
     ok_v = ok_cols and ok_n and rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
-    return {"key": key, "cols": ok_cols, "rows": ok_n, "values": ok_v, "n_spark": len(s_rows),
+    return {"key": key, "cols": ok_cols, "rows": ok_n, "values": ok_v, "types": types, "n_spark": len(s_rows),
             "n_oracle": len(d_rows), "spark_cols": s_cols, "oracle_cols": d_cols, "sec": round(t1 - t0, 2)}
 
 
@@ -90,8 +100,8 @@ def main(argv):
         flag = "OK " if res["values"] else "BAD"
         bad += flag == "BAD"
         print(f"{key:32s} {flag} n={res['n_spark']}/{res['n_oracle']} cols={res['cols']} "
-              f"{res['sec']}s" + ("" if res["cols"] else f" {res['spark_cols']} vs {res['oracle_cols']}"),
-              flush=True)
+              f"{res['sec']}s" + ("" if res["cols"] else f" {res['spark_cols']} vs {res['oracle_cols']}")
+              + (f" TYPES {res['types']}" if res["types"] else ""), flush=True)
     print("failures:", bad)
     return bad
 

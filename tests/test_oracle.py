@@ -25,6 +25,7 @@ def test_query_matches_oracle(spark, con, key):
     assert res["cols"], (res["spark_cols"], res["oracle_cols"])
     assert res["rows"], (res["n_spark"], res["n_oracle"])
     assert res["values"]
+    assert not res["types"], res["types"]
 
 
 def test_entry_runs_on_smoke_data(spark):
