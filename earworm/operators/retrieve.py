@@ -128,12 +128,10 @@ def _augment(items: DataFrame, queries: DataFrame, id_col: str, vec_col: str):
     return it, qu, m2
 
 
-def mips_lsh(queries: DataFrame, items: DataFrame, k: int = 10, id_col: str = "id",
-             vec_col: str = "features", bucket_length: float | None = None, num_tables: int = 5,
-             block_items: int = 2048, block_queries: int = 2048, seed: int = 1234) -> DataFrame:
-    """Approximate top-k by inner product (returns the same columns as
-    ``mips_exact``).  ``bucket_length`` defaults to the largest item norm, so
-    it scales with the factors."""
+def _lsh_buckets(queries: DataFrame, items: DataFrame, id_col: str, vec_col: str,
+                 bucket_length: float | None, num_tables: int, seed: int):
+    """Hash both sides; returns (keyed items, keyed queries) with one row per
+    (vector, table): ``_id, _raw, _t, _b``."""
     it, qu, m2 = _augment(items, queries, id_col, vec_col)
     length = bucket_length or max(math.sqrt(m2 or 1.0), 1e-6)
     lsh = BucketedRandomProjectionLSH(inputCol="_aug", outputCol="_h", bucketLength=length,
@@ -143,7 +141,40 @@ def mips_lsh(queries: DataFrame, items: DataFrame, k: int = 10, id_col: str = "i
         hashed = lsh.transform(df).select("_id", "_raw", F.posexplode("_h").alias("_t", "_hv"))
         return hashed.select("_id", "_raw", "_t", vector_to_array("_hv")[0].alias("_b"))
 
-    ki, kq = keyed(it), keyed(qu)
+    return keyed(it), keyed(qu)
+
+
+def lsh_candidate_share(queries: DataFrame, items: DataFrame, id_col: str = "id",
+                        vec_col: str = "features", bucket_length: float | None = None,
+                        num_tables: int = 5, seed: int = 1234) -> DataFrame:
+    """Share of all (query, item) pairs that the LSH search scores
+    (pairs meeting in several tables counted once per table).  One row."""
+    ki, kq = _lsh_buckets(queries, items, id_col, vec_col, bucket_length, num_tables, seed)
+    ni = ki.groupBy("_t", "_b").agg(F.count(F.lit(1)).alias("_ni"))
+    nq = kq.groupBy("_t", "_b").agg(F.count(F.lit(1)).alias("_nq"))
+    zero = F.lit(0).cast("bigint")
+    parts = (
+        ni.join(nq, ["_t", "_b"]).select((F.col("_ni") * F.col("_nq")).alias("_p"),
+                                         zero.alias("_i"), zero.alias("_q"))
+        .unionByName(ki.where(F.col("_t") == 0).select(zero.alias("_p"), F.lit(1).cast("bigint").alias("_i"),
+                                                        zero.alias("_q")))
+        .unionByName(kq.where(F.col("_t") == 0).select(zero.alias("_p"), zero.alias("_i"),
+                                                        F.lit(1).cast("bigint").alias("_q")))
+    )
+    return parts.agg(F.sum("_p").alias("scored_pairs"), F.sum("_q").alias("n_queries"),
+                     F.sum("_i").alias("n_items")).select(
+        "scored_pairs", "n_queries", "n_items",
+        (F.col("scored_pairs") / (F.col("n_queries") * F.col("n_items") * F.lit(num_tables)))
+        .alias("candidate_share"))
+
+
+def mips_lsh(queries: DataFrame, items: DataFrame, k: int = 10, id_col: str = "id",
+             vec_col: str = "features", bucket_length: float | None = None, num_tables: int = 5,
+             block_items: int = 2048, block_queries: int = 2048, seed: int = 1234) -> DataFrame:
+    """Approximate top-k by inner product (returns the same columns as
+    ``mips_exact``).  ``bucket_length`` defaults to the largest item norm, so
+    it scales with the factors."""
+    ki, kq = _lsh_buckets(queries, items, id_col, vec_col, bucket_length, num_tables, seed)
     # Bucket sizes are one aggregate; the number of blocks of a bucket grows
     # with it, so a hot bucket becomes many bounded groups.
     ni = ki.groupBy("_t", "_b").agg(F.count(F.lit(1)).alias("_ni"))

@@ -153,6 +153,13 @@ def mips_lsh_recall(spark, sf):
                                             retrieve.mips_exact(vec, vec, TOP)))
 
 
+def mips_lsh_candidates(spark, sf):
+    """How many (query, item) pairs the LSH search scores, and their
+    share of all pairs per hash table."""
+    vec = td.vectors_f3(spark, sf)
+    return _round(retrieve.lsh_candidate_share(vec, vec))
+
+
 def relevance_auc(spark, sf):
     """AUC of the ALS score against "observed in validation" (D9)."""
     idx, _, val, model = _implicit_setup(spark, sf)
@@ -185,6 +192,7 @@ MODEL_REGISTRY = {
     "mips_exact_als": mips_exact_als,
     "mips_lsh": mips_lsh,
     "mips_lsh_recall": mips_lsh_recall,
+    "mips_lsh_candidates": mips_lsh_candidates,
     "relevance_auc": relevance_auc,
     "hit_accuracy": hit_accuracy,
 }

@@ -122,3 +122,11 @@ def test_string_item_ids_take_the_dense_path(spark):
     recs = fz.recommend_users(model, idx, counts, 3)
     assert dict(recs.dtypes)["recording_msid"] == "string"
     assert recs.join(counts.select("recording_msid").distinct(), "recording_msid", "left_anti").count() == 0
+
+
+def test_lsh_candidate_share_shrinks_with_bucket_length(spark):
+    vec = td.vectors_f3(spark, SF01)
+    wide = retrieve.lsh_candidate_share(vec, vec).first()
+    narrow = retrieve.lsh_candidate_share(vec, vec, bucket_length=0.05).first()
+    assert wide.n_queries == wide.n_items == vec.count()
+    assert 0 < narrow.candidate_share < wide.candidate_share <= 1
