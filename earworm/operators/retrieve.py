@@ -129,27 +129,38 @@ def _augment(items: DataFrame, queries: DataFrame, id_col: str, vec_col: str):
 
 
 def _lsh_buckets(queries: DataFrame, items: DataFrame, id_col: str, vec_col: str,
-                 bucket_length: float | None, num_tables: int, seed: int):
+                 bucket_length: float | None, num_tables: int, seed: int, hashes_per_table: int = 1):
     """Hash both sides; returns (keyed items, keyed queries) with one row per
-    (vector, table): ``_id, _raw, _t, _b``."""
+    (vector, table): ``_id, _raw, _t, _b``.
+
+    Each table's bucket is the combination of ``hashes_per_table`` random
+    projections (AND), tables are alternatives (OR): more hashes per table give
+    smaller buckets (fewer candidates), more tables give back recall.  The
+    bucket key is xxhash64 of the projection values; a collision only merges
+    two buckets, adding candidates, never losing one.
+    """
     it, qu, m2 = _augment(items, queries, id_col, vec_col)
     length = bucket_length or max(math.sqrt(m2 or 1.0), 1e-6)
+    r = max(1, int(hashes_per_table))
     lsh = BucketedRandomProjectionLSH(inputCol="_aug", outputCol="_h", bucketLength=length,
-                                      numHashTables=num_tables, seed=seed).fit(it)
+                                      numHashTables=num_tables * r, seed=seed).fit(it)
 
     def keyed(df: DataFrame) -> DataFrame:
-        hashed = lsh.transform(df).select("_id", "_raw", F.posexplode("_h").alias("_t", "_hv"))
-        return hashed.select("_id", "_raw", "_t", vector_to_array("_hv")[0].alias("_b"))
+        values = F.transform(F.col("_h"), lambda v: vector_to_array(v)[0])
+        keys = F.transform(F.sequence(F.lit(0), F.lit(num_tables - 1)),
+                           lambda t: F.xxhash64(F.slice(values, t * r + 1, r)))
+        return lsh.transform(df).select("_id", "_raw", F.posexplode(keys).alias("_t", "_b"))
 
     return keyed(it), keyed(qu)
 
 
 def lsh_candidate_share(queries: DataFrame, items: DataFrame, id_col: str = "id",
                         vec_col: str = "features", bucket_length: float | None = None,
-                        num_tables: int = 5, seed: int = 1234) -> DataFrame:
+                        num_tables: int = 5, seed: int = 1234, hashes_per_table: int = 1) -> DataFrame:
     """Share of all (query, item) pairs that the LSH search scores
     (pairs meeting in several tables counted once per table).  One row."""
-    ki, kq = _lsh_buckets(queries, items, id_col, vec_col, bucket_length, num_tables, seed)
+    ki, kq = _lsh_buckets(queries, items, id_col, vec_col, bucket_length, num_tables, seed,
+                          hashes_per_table)
     ni = ki.groupBy("_t", "_b").agg(F.count(F.lit(1)).alias("_ni"))
     nq = kq.groupBy("_t", "_b").agg(F.count(F.lit(1)).alias("_nq"))
     zero = F.lit(0).cast("bigint")
@@ -170,11 +181,13 @@ def lsh_candidate_share(queries: DataFrame, items: DataFrame, id_col: str = "id"
 
 def mips_lsh(queries: DataFrame, items: DataFrame, k: int = 10, id_col: str = "id",
              vec_col: str = "features", bucket_length: float | None = None, num_tables: int = 5,
-             block_items: int = 2048, block_queries: int = 2048, seed: int = 1234) -> DataFrame:
+             block_items: int = 2048, block_queries: int = 2048, seed: int = 1234,
+             hashes_per_table: int = 1) -> DataFrame:
     """Approximate top-k by inner product (returns the same columns as
     ``mips_exact``).  ``bucket_length`` defaults to the largest item norm, so
-    it scales with the factors."""
-    ki, kq = _lsh_buckets(queries, items, id_col, vec_col, bucket_length, num_tables, seed)
+    it scales with the factors; ``hashes_per_table`` > 1 sharpens buckets."""
+    ki, kq = _lsh_buckets(queries, items, id_col, vec_col, bucket_length, num_tables, seed,
+                          hashes_per_table)
     # Bucket sizes are one aggregate; the number of blocks of a bucket grows
     # with it, so a hot bucket becomes many bounded groups.
     ni = ki.groupBy("_t", "_b").agg(F.count(F.lit(1)).alias("_ni"))

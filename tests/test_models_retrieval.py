@@ -130,3 +130,14 @@ def test_lsh_candidate_share_shrinks_with_bucket_length(spark):
     narrow = retrieve.lsh_candidate_share(vec, vec, bucket_length=0.05).first()
     assert wide.n_queries == wide.n_items == vec.count()
     assert 0 < narrow.candidate_share < wide.candidate_share <= 1
+    sharper = retrieve.lsh_candidate_share(vec, vec, hashes_per_table=3).first()
+    assert sharper.candidate_share < wide.candidate_share
+
+
+def test_lsh_and_amplification_keeps_results_valid(spark):
+    vec = td.vectors_f3(spark, SF01)
+    exact = retrieve.mips_exact(vec, vec, 10)
+    approx = retrieve.mips_lsh(vec, vec, 10, hashes_per_table=2, num_tables=10)
+    got = approx.join(exact.select("query_id", "item_id", F.col("score").alias("s")), ["query_id", "item_id"])
+    assert got.where(F.abs(F.col("score") - F.col("s")) > 1e-9).count() == 0  # exact re-rank
+    assert retrieve.retrieval_recall(approx, exact).first().recall_at_k > 0.5
