@@ -237,6 +237,10 @@ ORACLE = {
         select c.user_id, k.codes as recording_msid, c.listens from c join k using (recording_msid)""",
     "als_matrix_shape": f"""select count(distinct user_id) as n_users, count(distinct recording_msid) as n_items
         from ({CANON_F2})""",
+    "prepared_splits": user_split(f"""
+        with c as ({CANON_F2}), k as ({dense_codes('recording_msid', CANON_F2, 'codes')})
+        select c.user_id, k.codes as recording_msid, c.listens from c join k using (recording_msid)""",
+        0.7, 0.6),
     "rating_profile_f1": profile(CANON_F1),
     "rating_profile_f2": profile(CANON_F2),
     "null_profile": f"""

@@ -152,6 +152,15 @@ def encoded_ratings(spark, sf):
     return identity.encode_items(counts, codes, code_col="codes", replace=True)
 
 
+def prepared_splits(spark, sf):
+    """The whole preparation of the listen log: identity resolution, counts,
+    dense item codes, 70/30 user split with 60 % hold-in (I4 A1 I1 J5 L2 L3)."""
+    counts = canonical_counts_f2(spark, sf)
+    codes = identity.dense_ids(counts, "recording_msid", "codes")
+    coded = identity.encode_items(counts, codes, code_col="codes", replace=True)
+    return splits.split_users(coded, 0.7, holdin=0.6)
+
+
 # ------------------------------------------------------------ profiles and filters
 def rating_profile_f1(spark, sf):
     return _round(profile.profile_ratings(canonical_counts_f1(spark, sf)))
@@ -267,6 +276,7 @@ REGISTRY = {
     "item_codes": item_codes,
     "track_codes": track_codes,
     "encoded_ratings": encoded_ratings,
+    "prepared_splits": prepared_splits,
     "rating_profile_f1": rating_profile_f1,
     "rating_profile_f2": rating_profile_f2,
     "null_profile": null_profile_f1,
