@@ -21,7 +21,7 @@ TOP = 10
 
 
 def _explicit_setup(spark, sf):
-    """als.py's input: listen counts above 1, users split 70/30 with hold-in."""
+    """Explicit-ALS input: listen counts above 1, users split 70/30 with hold-in."""
     counts = ratings.filter_min_listens(canonical_counts_f1(spark, sf), 1)
     idx = fz.index_ratings(counts)
     labelled = splits.split_users(idx.ratings, 0.7, holdin=0.6)
