@@ -158,6 +158,20 @@ def encode_items(df: DataFrame, codes: DataFrame, key: str = "recording_msid",
     return joined
 
 
+def encode_dense(df: DataFrame, key: str = "recording_msid", code_col: str = "codes",
+                 replace: bool = True, checkpoint: bool = True) -> DataFrame:
+    """Give ``key`` dense codes and substitute them in ``df`` (I1 + J5).
+
+    ``df`` is read twice (for the vocabulary and for the join) in two separate
+    executions, which cannot share an exchange, so its lineage is cut first
+    (unless ``checkpoint=False``): the input is computed once, not twice.
+    """
+    if checkpoint:
+        df = cut_lineage(df)
+    codes = dense_ids(df, key, code_col)
+    return encode_items(df, codes, key, code_col, replace=replace)
+
+
 def dedupe(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     """Row-wise de-duplication."""
     return df.dropDuplicates(subset) if subset else df.dropDuplicates()

@@ -147,17 +147,13 @@ def track_codes(spark, sf):
 
 def encoded_ratings(spark, sf):
     """Canonical counts with the item replaced by its dense code."""
-    counts = canonical_counts_f2(spark, sf)
-    codes = identity.dense_ids(counts, "recording_msid", "codes")
-    return identity.encode_items(counts, codes, code_col="codes", replace=True)
+    return identity.encode_dense(canonical_counts_f2(spark, sf), "recording_msid", "codes")
 
 
 def prepared_splits(spark, sf):
     """The whole preparation of the listen log: identity resolution, counts,
     dense item codes, 70/30 user split with 60 % hold-in (I4 A1 I1 J5 L2 L3)."""
-    counts = canonical_counts_f2(spark, sf)
-    codes = identity.dense_ids(counts, "recording_msid", "codes")
-    coded = identity.encode_items(counts, codes, code_col="codes", replace=True)
+    coded = identity.encode_dense(canonical_counts_f2(spark, sf), "recording_msid", "codes")
     return splits.split_users(coded, 0.7, holdin=0.6)
 
 
