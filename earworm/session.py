@@ -22,6 +22,9 @@ SCALE_DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files of frames nothing refers to any more are removed by
+    # Spark's context cleaner, so repeated jobs do not fill the shared folder.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
