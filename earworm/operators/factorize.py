@@ -75,7 +75,8 @@ def index_ratings(ratings: DataFrame, user: str = "user_id", item: str = "record
     idx = Indexed(ratings, users, items, user, item, types[user], types[item])
     rated = _encode(_encode(ratings, idx, "user"), idx, "item")
     indexed = to_als_frame(rated, UIDX, IIDX, value).select(user, item, UIDX, IIDX, value)
-    if checkpoint:
+    if checkpoint and (users is not None or items is not None):
+        # id-table joins were added: cut again (a projection needs no cut)
         indexed = cut_lineage(indexed)
     idx.ratings = indexed
     return idx
