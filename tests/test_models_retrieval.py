@@ -141,3 +141,9 @@ def test_lsh_and_amplification_keeps_results_valid(spark):
     got = approx.join(exact.select("query_id", "item_id", F.col("score").alias("s")), ["query_id", "item_id"])
     assert got.where(F.abs(F.col("score") - F.col("s")) > 1e-9).count() == 0  # exact re-rank
     assert retrieve.retrieval_recall(approx, exact).first().recall_at_k > 0.5
+
+
+def test_bench_retrieval_reports_recall_and_times(spark):
+    vec = td.vectors_f3(spark, SF01)
+    res = retrieve.bench_retrieval(vec, vec, 10)
+    assert 0.8 < res["recall_at_k"] <= 1.0 and res["exact_sec"] > 0 and res["lsh_sec"] > 0

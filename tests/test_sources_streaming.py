@@ -50,3 +50,25 @@ def test_streaming_counts_equal_batch_counts(spark, scratch):
     want = ratings.count_listens(log)
     q.stop()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_streaming_counts_to_parquet_sink(spark, scratch):
+    """Update-mode batches appended with their batch id; the latest batch per
+    (user, item) is the running count."""
+    from pyspark.sql.window import Window
+
+    log = td.listens_f1(spark, SF01)
+    src, out = f"{scratch}/in", f"{scratch}/out"
+    log.where(F.col("user_id") % 2 == 0).write.mode("append").parquet(src)
+    q = listens.start_listen_counts(listens.read_listen_stream(spark, src), sink="parquet", path=out,
+                                    checkpoint_location=f"{scratch}/ck")
+    q.processAllAvailable()
+    log.where(F.col("user_id") % 2 == 1).write.mode("append").parquet(src)
+    q.processAllAvailable()
+    q.stop()
+    batches = spark.read.parquet(out)
+    w = Window.partitionBy("user_id", "recording_msid").orderBy(F.col("batch_id").desc())
+    latest = batches.withColumn("r", F.row_number().over(w)).where("r = 1").select(
+        "user_id", "recording_msid", "listens")
+    want = ratings.count_listens(log)
+    assert latest.exceptAll(want).count() == 0 and want.exceptAll(latest).count() == 0
