@@ -69,10 +69,10 @@ def r(expr: str, name: str) -> str:
 
 
 # ------------------------------------------------------------------ popularity
-def popularity_eval(model: str, per_user: bool = False) -> str:
+def popularity_eval(model: str, per_user: bool = False, log: str = F2_LOG) -> str:
     score = "count(*)" if model == "total" else "cast(count(*) as double) / count(distinct user_id)"
     pu = f"""
-    with s as (select *, {H('u:', 'user_id')} < 0.6 as is_train from ({F2_LOG})),
+    with s as (select *, {H('u:', 'user_id')} < 0.6 as is_train from ({log})),
          tr as (select recording_msid, {score} as score from s where is_train group by 1),
          top as (select * from (select recording_msid,
                                        row_number() over (order by score desc, recording_msid) as pos
@@ -194,6 +194,8 @@ LEFT_F1 = f"""select l.recording_msid, l.user_id, l."timestamp", t.recording_mbi
 
 ORACLE = {
     "popularity_map": popularity_eval("total"),
+    "popularity_map_f1": popularity_eval("total", log=F1_LOG),
+    "popularity_average_map_f1": popularity_eval("average", log=F1_LOG),
     "popularity_user_metrics": popularity_eval("total", per_user=True),
     "popularity_average_map": popularity_eval("average"),
     "popularity_total_top": top_by("count(*)", F2_LOG),

@@ -33,10 +33,12 @@ def canonical_counts_f2(spark, sf, dedupe=True) -> DataFrame:
     return identity.canonical_listens(td.listens_f2(spark, sf), td.tracks_f2(spark, sf), dedupe=dedupe)
 
 
-def _popularity_eval(spark, sf, model: str, per_user: bool = False) -> DataFrame:
-    """The reference baseline on F2: users split 60/40, popularity list from
-    the train log, truth = each validation user's top-K by listens."""
-    labelled = splits.split_users(td.listens_f2(spark, sf), 0.6)
+def _popularity_eval(spark, sf, model: str, per_user: bool = False, log=None) -> DataFrame:
+    """The reference baseline (on F2 unless ``log`` is given): users split
+    60/40, popularity list from the train log, truth = each validation user's
+    top-K by listens."""
+    log = td.listens_f2(spark, sf) if log is None else log
+    labelled = splits.split_users(log, 0.6)
     train, val = splits.train_val(labelled)
     top = (popularity.popularity_total(train, K) if model == "total"
            else popularity.popularity_average(train, K))
@@ -52,6 +54,16 @@ def popularity_map(spark: SparkSession, sf: str) -> DataFrame:
     return _popularity_eval(spark, sf, "total")
 
 
+def popularity_map_f1(spark, sf):
+    """R1 + E1-E3 on the events log (F1)."""
+    return _popularity_eval(spark, sf, "total", log=td.listens_f1(spark, sf))
+
+
+def popularity_average_map_f1(spark, sf):
+    """R2 + E1-E3 on the events log (F1)."""
+    return _popularity_eval(spark, sf, "average", log=td.listens_f1(spark, sf))
+
+
 def popularity_user_metrics(spark, sf):
     """Per-user AP, NDCG, precision, recall of R1 (long form of E1-E3)."""
     return _popularity_eval(spark, sf, "total", per_user=True)
@@ -252,6 +264,8 @@ def listen_counts_sql(spark, sf):
 REGISTRY = {
     "listen_counts_sql": listen_counts_sql,
     "popularity_map": popularity_map,
+    "popularity_map_f1": popularity_map_f1,
+    "popularity_average_map_f1": popularity_average_map_f1,
     "popularity_user_metrics": popularity_user_metrics,
     "popularity_average_map": popularity_average_map,
     "popularity_total_top": popularity_total_top,
