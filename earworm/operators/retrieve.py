@@ -84,7 +84,16 @@ def mips_exact(queries: DataFrame, items: DataFrame, k: int = 10, id_col: str =
     items = items.select(F.col(id_col).cast("long").alias("_id"), F.col(vec_col).alias("_v"))
     stats = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_v")).alias("d")).first()
     n, d = int(stats["n"]), int(stats["d"] or 0)
-    shards = max(1, math.ceil(n * max(d, 1) * 8 / max_shard_bytes))
+    row_bytes = max(d, 1) * 8 + 8
+    shards = max(1, math.ceil(n * row_bytes / max_shard_bytes))
+    # Hash shards scatter around n / shards: prove the bound on the largest
+    # one (one small aggregate) before anything is collected, else double.
+    while shards > 1:
+        largest = items.groupBy(F.pmod(F.xxhash64("_id"), F.lit(shards)).alias("_s")) \
+            .agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+        if largest * row_bytes <= max_shard_bytes or shards >= n:
+            break
+        shards *= 2
     qframe = queries.select(F.col(id_col).cast("long").alias("_qid"), F.col(vec_col).alias("_qv"))
 
     parts = []
