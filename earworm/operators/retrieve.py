@@ -73,6 +73,22 @@ def _rank(cands: DataFrame, k: int) -> DataFrame:
         .where(F.col("pos") <= k)
 
 
+def _largest_shard(items: DataFrame, shards: int) -> int:
+    return items.groupBy(F.pmod(F.xxhash64("_id"), F.lit(shards)).alias("_s")) \
+        .agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+
+
+def _shard_count(items: DataFrame, n: int, row_bytes: int, max_bytes: int) -> int:
+    """Number of hash shards of ``items`` (column ``_id``) so that the largest
+    holds at most ``max_bytes``.  Hash shards scatter around n / shards, so the
+    bound is proven on the largest one (one small aggregate) before anything
+    is collected, doubling the count until it holds."""
+    shards = max(1, math.ceil(n * row_bytes / max_bytes))
+    while shards > 1 and shards < n and _largest_shard(items, shards) * row_bytes > max_bytes:
+        shards *= 2
+    return shards
+
+
 def mips_exact(queries: DataFrame, items: DataFrame, k: int = 10, id_col: str = "id",
                vec_col: str = "features", max_shard_bytes: int = 64 << 20) -> DataFrame:
     """Exact top-k items by inner product for every query vector.
@@ -85,15 +101,7 @@ def mips_exact(queries: DataFrame, items: DataFrame, k: int = 10, id_col: str =
     stats = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_v")).alias("d")).first()
     n, d = int(stats["n"]), int(stats["d"] or 0)
     row_bytes = max(d, 1) * 8 + 8
-    shards = max(1, math.ceil(n * row_bytes / max_shard_bytes))
-    # Hash shards scatter around n / shards: prove the bound on the largest
-    # one (one small aggregate) before anything is collected, else double.
-    while shards > 1:
-        largest = items.groupBy(F.pmod(F.xxhash64("_id"), F.lit(shards)).alias("_s")) \
-            .agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-        if largest * row_bytes <= max_shard_bytes or shards >= n:
-            break
-        shards *= 2
+    shards = _shard_count(items, n, row_bytes, max_shard_bytes)
     qframe = queries.select(F.col(id_col).cast("long").alias("_qid"), F.col(vec_col).alias("_qv"))
 
     parts = []

@@ -147,3 +147,15 @@ def test_bench_retrieval_reports_recall_and_times(spark):
     vec = td.vectors_f3(spark, SF01)
     res = retrieve.bench_retrieval(vec, vec, 10)
     assert 0.8 < res["recall_at_k"] <= 1.0 and res["exact_sec"] > 0 and res["lsh_sec"] > 0
+
+
+def test_shard_count_proves_the_size_bound(spark):
+    vec = td.vectors_f3(spark, SF01).select(F.col("id").alias("_id"), F.col("features").alias("_v"))
+    n = vec.count()
+    row_bytes = 64 * 8 + 8
+    for bound in (n * row_bytes, 20_000, 5_000, 2_000):
+        shards = retrieve._shard_count(vec, n, row_bytes, bound)
+        if shards > 1:
+            assert retrieve._largest_shard(vec, shards) * row_bytes <= bound or shards >= n
+        else:
+            assert n * row_bytes <= bound
