@@ -48,7 +48,9 @@ def text_measures(docs: DataFrame, text: str = "text") -> DataFrame:
         "_lines", F.filter(F.split(whole, "\n", -1), lambda line: line.rlike("[^\\x20\\x09-\\x0D]")))
     df = df.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w))).withColumn(
         "_chars", F.array_join("_words", ""))
-    n = F.size("_words")
+    # named more than once here, so that the optimizer does not inline the
+    # hashes into the loop over windows
+    n = F.size("_hashes")
     df = df.withColumn("_windows", F.when(n >= WINDOW, F.transform(
         F.sequence(F.lit(1), F.greatest(F.lit(1), n - (WINDOW - 1))),
         lambda i: F.xxhash64(F.slice("_hashes", i, WINDOW)))).otherwise(F.array().cast("array<bigint>")))

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from earworm.llm.multiset_hash import op2_multiset_hash
+from earworm.llm.pii import op1_pii
 from earworm.llm.quality import op3_quality_rules
 from earworm.llm.simhash import op9_simhash_near_dedup
 from earworm.llm.token_counts import op10_token_counts
 from earworm.llm.token_store import op8_token_store
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_multiset_hash": op2_multiset_hash,
     "op3_quality_rules": op3_quality_rules,
     "op8_token_store": op8_token_store,
