@@ -83,7 +83,7 @@ def text_measures(docs: DataFrame, text: str = "text") -> DataFrame:
                 bin_of("n_repeat_words", "n_words"), bin_of("_n_upper", "word_chars")).alias("_bins"))
 
 
-def _log_factorial(x: Column) -> Column:
+def log_factorial(x: Column) -> Column:
     """ln x! by Stirling's series at x + 11, to about 1e-12."""
     x = x.cast("double")
     w = x + 11.0
@@ -101,7 +101,7 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
     Summed downwards from the k-th probability; terms beyond 40 standard
     deviations are below any double and left out.
     """
-    at_k = F.exp(_log_factorial(n) - _log_factorial(k) - _log_factorial(n - k)
+    at_k = F.exp(log_factorial(n) - log_factorial(k) - log_factorial(n - k)
                  + k * math.log(p) + (n - k) * math.log1p(-p))
     terms = F.least(k.cast("double"), F.ceil(40 * F.sqrt(n * p)) + 50).cast("int")
     k_, n_ = k.cast("double"), n.cast("double")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from earworm.llm.mixing import op4_mixing
 from earworm.llm.multiset_hash import op2_multiset_hash
+from earworm.llm.pieces import op7_piece_viterbi
 from earworm.llm.pii import op1_pii
 from earworm.llm.quality import op3_quality_rules
 from earworm.llm.simhash import op9_simhash_near_dedup
@@ -13,6 +15,8 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_multiset_hash": op2_multiset_hash,
     "op3_quality_rules": op3_quality_rules,
+    "op4_mixing": op4_mixing,
+    "op7_piece_viterbi": op7_piece_viterbi,
     "op8_token_store": op8_token_store,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_token_counts": op10_token_counts,
