@@ -17,13 +17,13 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType
 
-from earworm.llm.chunks import PartCache
 from earworm.llm.store import documents
 from earworm.llm.token_counts import tokenizer_path
 
@@ -33,6 +33,20 @@ STRETCH = re.compile(r" +[^ ]*")
 SCHEMA = "doc_id bigint, ids array<int>, n_ids bigint, ids_crc32 bigint, decoded_equal boolean"
 
 
+class StretchCache(dict):
+    """``part -> encode(" " + part)``, emptied when it holds ``limit`` parts."""
+
+    def __init__(self, encode, limit: int):
+        super().__init__()
+        self.encode, self.limit = encode, limit
+
+    def __missing__(self, part: str) -> bytes:
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[part] = self.encode(" " + part)
+        return value
+
+
 class PieceModel:
     """Pieces and scores of a SentencePiece model file; encodes and decodes.
 
@@ -66,7 +80,7 @@ class PieceModel:
             raise ValueError("the model has no byte fallback")
         #: Of a character spelled in bytes: below every piece.
         self.fallback = min(scores) - 10.0
-        self.cache = PartCache(self._encode_stretch, limit=cache_parts)
+        self.cache = StretchCache(self._encode_stretch, cache_parts)
 
     def viterbi(self, stretch: str) -> list[int]:
         """Ids of the best path through a string in which spaces are marks."""
@@ -115,6 +129,11 @@ class PieceModel:
         return text[1:]
 
 
+@lru_cache(maxsize=2)  # a worker process keeps model and cache over its tasks
+def loaded(model_file: bytes, cache_parts: int = 500_000) -> PieceModel:
+    return PieceModel(model_file, cache_parts)
+
+
 def encode_pieces(docs: DataFrame, model_file: bytes, doc_id: str = "doc_id", text: str = "text",
                   cache_parts: int = 500_000) -> DataFrame:
     """(doc_id, ids, n_ids, ids_crc32, decoded_equal) of every row.
@@ -127,7 +146,7 @@ def encode_pieces(docs: DataFrame, model_file: bytes, doc_id: str = "doc_id", te
     file = docs.sparkSession.sparkContext.broadcast(model_file)
 
     def encode(batches):
-        model = PieceModel(file.value, cache_parts)
+        model = loaded(file.value, cache_parts)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):  # bounds what is held at once
                 rows = batch.slice(at, 256)
@@ -151,7 +170,7 @@ def decode_pieces(encoded: DataFrame, model_file: bytes, ids: str = "ids", out:
     kept = [c for c in encoded.columns if c != out]
 
     def decode(batches):
-        model = PieceModel(file.value)
+        model = loaded(file.value)
         for batch in batches:
             texts = [None if i is None else model.decode(i) for i in batch.column(kept.index(ids)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*kept, out])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from earworm.llm.licenses import op6_license_scan
 from earworm.llm.mixing import op4_mixing
 from earworm.llm.multiset_hash import op2_multiset_hash
 from earworm.llm.pieces import op7_piece_viterbi
@@ -10,12 +11,15 @@ from earworm.llm.quality import op3_quality_rules
 from earworm.llm.simhash import op9_simhash_near_dedup
 from earworm.llm.token_counts import op10_token_counts
 from earworm.llm.token_store import op8_token_store
+from earworm.llm.toxicity import op5_toxicity_chain
 
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_multiset_hash": op2_multiset_hash,
     "op3_quality_rules": op3_quality_rules,
     "op4_mixing": op4_mixing,
+    "op5_toxicity_chain": op5_toxicity_chain,
+    "op6_license_scan": op6_license_scan,
     "op7_piece_viterbi": op7_piece_viterbi,
     "op8_token_store": op8_token_store,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
