@@ -162,7 +162,7 @@ _ARROW = [("_part", pa.string()), ("_row", pa.int64()), ("_spans", pa.list_(_SPA
           ("_entities", pa.list_(pa.int64())), ("_term", pa.string()), ("_n_docs", pa.int64())]
 _DDL = ", ".join("_" + c for c in SCAN.split(", "))
 #: Terms that a task counts before it passes the counts on.
-HELD_TERMS = 200_000
+HELD_TERMS = 500_000
 
 
 def _scan(docs: DataFrame, text: str, window: int, path: str) -> None:
@@ -214,7 +214,7 @@ def _scan(docs: DataFrame, text: str, window: int, path: str) -> None:
             yield terms()
 
     out = StructType([*held.fields, *StructType.fromDDL(_DDL).fields])
-    docs.mapInArrow(scan, out).write.partitionBy("_part").parquet(path)
+    docs.mapInArrow(scan, out).write.partitionBy("_part").option("compression", "zstd").parquet(path)
 
 
 def find_private(docs: DataFrame, text: str = "text", window: int = 8, threshold: float = 0.8) -> DataFrame:
