@@ -22,7 +22,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from earworm.llm.store import documents
 from earworm.llm.token_counts import tokenizer_path
@@ -176,7 +176,7 @@ def decode_pieces(encoded: DataFrame, model_file: bytes, ids: str = "ids", out:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*kept, out])
 
     frame = encoded.select(*kept)
-    return frame.mapInArrow(decode, frame.schema.add(out, StringType()))
+    return frame.mapInArrow(decode, StructType([*frame.schema.fields, StructField(out, StringType())]))
 
 
 def piece_model() -> bytes:

@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from earworm.llm.components import component_roots
 from earworm.llm.store import documents, written
@@ -193,6 +194,34 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                            radius: int = RADIUS) -> DataFrame:
+    """One row of ``docs`` of each component: that of the least doc_id (null
+    last); of several such rows, one.
+
+    The rows are numbered and written once with their fingerprints; components
+    are found on numbers and fingerprints, and the survivors' rows read back by
+    a semi join on the (unique) number.
+    """
+    at = docs.columns.index(text)
+    kept = docs.schema
+
+    def hash_texts(batches):
+        for batch in batches:
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(at)], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64))],
+                                             names=[*batch.schema.names, "_fp"])
+
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    rows = written(numbered.mapInArrow(hash_texts, StructType([*numbered.schema.fields, StructField("_fp", LongType())])), "fingerprinted")
+    first = F.min(F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), "_row")).alias("first")
+    nodes = written(rows.groupBy(F.col("_fp").alias("fp")).agg(first), "nodes")
+    roots = written(component_roots(near_links(nodes.select("fp"), radius)), "roots")
+    survivors = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(
+        F.coalesce("root", "fp").alias("component")).agg(F.min("first").alias("first")).select("first._row")
+    return rows.join(survivors, "_row", "left_semi").select(*kept.names)
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """3-word-shingle SimHash components of all documents at 3 bits."""
     return near_duplicates(documents(spark, sf_dir))
