@@ -17,26 +17,23 @@ def _sql_name(c) -> str:
     return "`" + c.replace("`", "``") + "`"
 
 
-def unit_hash(*keys, salt: str = "") -> Column:
+#: How a null key is written in the hashed text.
+NULL_KEY = "\\N"
+
+
+def unit_hash(*keys: str, salt: str = "") -> Column:
     """A reproducible number in [0, 1) from the key columns.
 
     Rule: the first 8 hex digits of md5(salt || k1 [|| ':' || k2 ...]) read as an
-    unsigned 32-bit integer, divided by 2^32.  Independent of partitioning and
-    of row order, so a split is the same on every run and every cluster size,
-    and SQL engines with md5 can state it too.  Built as one SQL expression
-    (one round trip to the JVM instead of one per function).
+    unsigned 32-bit integer, divided by 2^32; a null key is written as ``\\N``, so
+    the result is never null and (null, 5) differs from (5, null).  Independent
+    of partitioning and of row order, so a split is the same on every run and
+    every cluster size, and SQL engines with md5 can state it too.  Built as one
+    SQL expression (one round trip to the JVM instead of one per function).
     """
-    if not all(isinstance(k, str) for k in keys):
-        parts = [F.col(k).cast("string") if isinstance(k, str) else k.cast("string") for k in keys]
-        text = F.concat_ws(":", *parts) if len(parts) > 1 else parts[0]
-        if salt:
-            text = F.concat(F.lit(salt), text)
-        return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(_TWO_POW_32)
-    parts = ", ".join(f"cast({_sql_name(k)} as string)" for k in keys)
-    text = f"concat_ws(':', {parts})" if len(keys) > 1 else parts
-    if salt:
-        text = f"concat('{salt}', {text})"
-    return F.expr(f"cast(conv(substring(md5({text}), 1, 8), 16, 10) as double) / {_TWO_POW_32!r}")
+    null = NULL_KEY.replace("\\", "\\\\")
+    parts = ", ':', ".join(f"coalesce(cast({_sql_name(k)} as string), '{null}')" for k in keys)
+    return F.expr(f"cast(conv(substring(md5(concat('{salt}', {parts})), 1, 8), 16, 10) as double) / {_TWO_POW_32!r}")
 
 
 def round_half_even(c, scale: int = 0) -> Column:

@@ -40,38 +40,23 @@ class Indexed:
     item_type: str = "bigint"
 
 
-_INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
-
-
-def _fits_int(ratings: DataFrame, cols: list[str]) -> dict[str, bool]:
-    """Which integral columns already lie in [0, 2^31): one aggregate."""
-    types = dict(ratings.dtypes)
-    cand = [c for c in cols if types[c] in _INTEGRAL]
-    if not cand:
-        return {c: False for c in cols}
-    aggs = [f(c).alias(f"{n}_{c}") for c in cand for n, f in (("lo", F.min), ("hi", F.max))]
-    row = ratings.agg(*aggs).first()
-    ok = {c: row[f"lo_{c}"] is not None and row[f"lo_{c}"] >= 0 and row[f"hi_{c}"] < 2**31 for c in cand}
-    return {c: ok.get(c, False) for c in cols}
-
-
 def index_ratings(ratings: DataFrame, user: str = "user_id", item: str = "recording_msid",
-                  value: str = "listens", checkpoint: bool = True, dense: str = "auto") -> Indexed:
+                  value: str = "listens", checkpoint: bool = True, keep_ids: tuple[str, ...] = ()) -> Indexed:
     """Ratings with int user and item ids for ALS.
 
-    ``dense='auto'`` keeps an integral id that already fits an int (checked by
-    one min/max aggregate) and gives every other id column dense ids;
-    ``'always'`` gives dense ids to both.  The ratings (an aggregate, far
+    Every id column gets dense ids, whatever its type and values, except those
+    named in ``keep_ids``: the caller states that they are integers in
+    [0, 2^31) (the cast raises otherwise).  The ratings (an aggregate, far
     smaller than the log) are read by the id passes, the join and every later
     fit and evaluation, so their lineage is cut once into the shared
-    checkpoint folder, and so is the indexed result.
+    checkpoint folder, and so is the indexed result; both and the id passes run
+    when this is called.
     """
     if checkpoint:
         ratings = cut_lineage(ratings.select(user, item, value))
     types = dict(ratings.dtypes)
-    keep = _fits_int(ratings, [user, item]) if dense == "auto" else {user: False, item: False}
-    users = None if keep[user] else dense_ids(ratings, user, UIDX)
-    items = None if keep[item] else dense_ids(ratings, item, IIDX)
+    users = None if user in keep_ids else dense_ids(ratings, user, UIDX)
+    items = None if item in keep_ids else dense_ids(ratings, item, IIDX)
     idx = Indexed(ratings, users, items, user, item, types[user], types[item])
     rated = _encode(_encode(ratings, idx, "user"), idx, "item")
     indexed = to_als_frame(rated, UIDX, IIDX, value).select(user, item, UIDX, IIDX, value)
@@ -102,9 +87,11 @@ def _decode(df: DataFrame, idx: Indexed, side: str) -> DataFrame:
 
 
 def matrix_shape(indexed: Indexed) -> DataFrame:
-    """The shape of the user x item matrix (one row)."""
-    return indexed.ratings.agg(F.count_distinct(UIDX).alias("n_users"),
-                               F.count_distinct(IIDX).alias("n_items"))
+    """The shape of the user x item matrix (one row); each side is counted
+    by its own group-by."""
+    users = indexed.ratings.groupBy(UIDX).agg(F.lit(1)).agg(F.count(UIDX).alias("n_users"))
+    items = indexed.ratings.groupBy(IIDX).agg(F.lit(1)).agg(F.count(IIDX))
+    return users.select("n_users", items.scalar().alias("n_items"))
 
 
 def to_als_frame(ratings: DataFrame, user: str, item: str, value: str) -> DataFrame:
@@ -116,45 +103,35 @@ def to_als_frame(ratings: DataFrame, user: str, item: str, value: str) -> DataFr
     })
 
 
+#: ALS initialises its factors block by block, so the blocks are part of the
+#: model: the same number on every cluster and for every size of data.  Set
+#: ``num_user_blocks`` / ``num_item_blocks`` for large data (a block's factors
+#: and ratings must fit an executor).
+ALS_BLOCKS = 4
+
+
 def als_estimator(rank: int = 10, reg: float = 0.1, max_iter: int = 10, implicit: bool = False,
                   alpha: float = 1.0, nonnegative: bool = False, seed: int = 1234,
                   value: str = "listens", cold_start: str = "drop",
-                  num_user_blocks: int | None = None, num_item_blocks: int | None = None,
+                  num_user_blocks: int = ALS_BLOCKS, num_item_blocks: int = ALS_BLOCKS,
                   checkpoint_interval: int = 10) -> ALS:
-    """The ALS estimator on the dense id columns.
-
-    Unset block counts are filled in by ``fit_als`` from the size of the
-    ratings.
-    """
+    """The ALS estimator on the dense id columns."""
     return ALS(
         rank=rank, regParam=reg, maxIter=max_iter, implicitPrefs=implicit, alpha=alpha,
         nonnegative=nonnegative, seed=seed, userCol=UIDX, itemCol=IIDX, ratingCol=value,
-        coldStartStrategy=cold_start, numUserBlocks=num_user_blocks or 10,
-        numItemBlocks=num_item_blocks or 10, checkpointInterval=checkpoint_interval,
+        coldStartStrategy=cold_start, numUserBlocks=num_user_blocks,
+        numItemBlocks=num_item_blocks, checkpointInterval=checkpoint_interval,
     )
 
 
-def default_blocks(ratings: DataFrame) -> int:
-    """ALS blocks: one per partition of the (checkpointed) ratings, but no
-    more than the cluster's cores, and at least 2."""
-    cores = ratings.sparkSession.sparkContext.defaultParallelism
-    return max(2, min(cores, ratings.rdd.getNumPartitions()))
-
-
 def fit_als(indexed: Indexed, value: str = "listens", **params) -> ALSModel:
     """R3 (explicit, e.g. nonnegative=True) and R4 (implicit=True).
 
-    Factor lineage is cut every ``checkpoint_interval`` iterations into the
-    session's checkpoint folder, so a lost executor does not replay all
-    iterations.
+    Runs when called.  Factor lineage is cut every ``checkpoint_interval``
+    iterations into the session's checkpoint folder, so a lost executor does
+    not replay all iterations.
     """
     checkpoint_dir(indexed.ratings.sparkSession)
-    if params.get("num_user_blocks") is None or params.get("num_item_blocks") is None:
-        blocks = default_blocks(indexed.ratings)
-        params.setdefault("num_user_blocks", blocks)
-        params.setdefault("num_item_blocks", blocks)
-        params["num_user_blocks"] = params["num_user_blocks"] or blocks
-        params["num_item_blocks"] = params["num_item_blocks"] or blocks
     return als_estimator(value=value, **params).fit(indexed.ratings)
 
 
@@ -226,9 +203,6 @@ def tune_als(indexed: Indexed, grid: dict | None = None, folds: int = 2, paralle
     private JVM handles.
     """
     grid = grid or {"rank": [10, 20], "regParam": [0.05, 0.1], "maxIter": [5, 10]}
-    blocks = default_blocks(indexed.ratings)
-    fixed.setdefault("num_user_blocks", blocks)
-    fixed.setdefault("num_item_blocks", blocks)
     est = als_estimator(value=value, seed=seed, **fixed)
     builder = ParamGridBuilder()
     for name, values in grid.items():

@@ -44,9 +44,11 @@ def canonical_map(log: DataFrame, tracks: DataFrame, item: str = "recording_msid
         .groupBy(mbid)
         .agg(F.min_by(F.col(item), F.struct(F.col("_first_ts"), F.col(item))).alias("_canonical"))
     )
-    return dim.join(winners, mbid, "left").select(
-        item, mbid, F.coalesce(F.col("_canonical"), F.col(item)).alias("canonical_msid")
-    )
+    # Tracks without an mbid need no join: as one null key they would all meet
+    # in one partition.
+    known = dim.where(F.col(mbid).isNotNull()).join(winners, mbid, "left").select(
+        item, mbid, F.coalesce(F.col("_canonical"), F.col(item)).alias("canonical_msid"))
+    return known.unionByName(dim.where(F.col(mbid).isNull()).select(item, mbid, F.col(item).alias("canonical_msid")))
 
 
 def _resolve(log: DataFrame, tracks: DataFrame, how: str, user: str, item: str, ts: str,
@@ -76,17 +78,18 @@ def canonicalize(log: DataFrame, tracks: DataFrame, dedupe: bool | str = True, h
     Rows without an mbid keep their msid.  ``dedupe=True`` drops repeated
     (user, timestamp, item) rows in the mbid branch only (as the reference
     pipeline does); ``dedupe='both'`` in both branches; ``False`` in none.
-    The two branches share one resolved log; for counts use
-    ``canonical_listens``, which needs no union.
+    The log is resolved and shuffled once; for counts use
+    ``canonical_listens``.
     """
     resolved = _resolve(log, tracks, how, user, item, ts, mbid)
     if not dedupe:
         return resolved.drop("_has_mbid")
-    with_mbid = resolved.where("_has_mbid").drop("_has_mbid").dropDuplicates([user, ts, item])
-    without = resolved.where(~F.col("_has_mbid")).drop("_has_mbid")
-    if dedupe == "both":
-        without = without.dropDuplicates([user, ts, item])
-    return with_mbid.unionByName(without)
+    # One count per (user, item, ts); whether an item has an mbid is a property
+    # of the item.  A row that may repeat is given back as often as it was.
+    rows = resolved.groupBy(user, item, ts).agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_has_mbid").alias("_has_mbid"))
+    times = F.lit(1) if dedupe == "both" else F.when(F.col("_has_mbid"), 1).otherwise(F.col("_n").cast("int"))
+    return rows.withColumn("_i", F.explode(F.sequence(F.lit(1), times))).select(user, item, ts)
 
 
 def canonical_listens(log: DataFrame, tracks: DataFrame, dedupe: bool | str = True, how: str = "inner",
@@ -170,8 +173,3 @@ def encode_dense(df: DataFrame, key: str = "recording_msid", code_col: str = "co
         df = cut_lineage(df)
     codes = dense_ids(df, key, code_col)
     return encode_items(df, codes, key, code_col, replace=replace)
-
-
-def dedupe(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
-    """Row-wise de-duplication."""
-    return df.dropDuplicates(subset) if subset else df.dropDuplicates()

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def _rank_top(scored: DataFrame, item: str, score: str, k: int) -> DataFrame:
+def top_of(scored: DataFrame, k: int = 100, item: str = "recording_msid", score: str = "score") -> DataFrame:
     """Top-k by score desc, item asc, with positions 1..k.
 
     ``orderBy().limit(k)`` plans as TakeOrderedAndProject: each partition keeps
@@ -36,7 +36,7 @@ def item_totals(log: DataFrame, item: str = "recording_msid", weight: str | None
 def popularity_total(log: DataFrame, k: int = 100, item: str = "recording_msid",
                      weight: str | None = None) -> DataFrame:
     """The k items with the most listens."""
-    return _rank_top(item_totals(log, item, weight, "score"), item, "score", k)
+    return top_of(item_totals(log, item, weight, "score"), k, item)
 
 
 def item_average_listens(log: DataFrame, item: str = "recording_msid", user: str = "user_id",
@@ -67,7 +67,7 @@ def popularity_average(log: DataFrame, k: int = 100, item: str = "recording_msid
                        user: str = "user_id") -> DataFrame:
     """R2: the k items with the highest average listens per listener."""
     avg = item_average_listens(log, item, user, "score").select(item, "score")
-    return _rank_top(avg, item, "score", k)
+    return top_of(avg, k, item)
 
 
 def popularity_list(top: DataFrame, item: str = "recording_msid",

@@ -5,16 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from earworm.operators.ordered import exact_median
+from earworm.session import write_once
+
 
 def profile_ratings(ratings: DataFrame, value: str = "listens", user: str = "user_id",
                     item: str = "recording_msid", exact_distinct: bool = True) -> DataFrame:
     """One row: rows, users, items, mean, min, max, exact median, approximate
     median, and the number of pairs with value = 1.
 
-    ``exact_distinct=False`` uses HyperLogLog++ (``approx_count_distinct``)
-    for the user and item counts, which needs no shuffle of the keys.
+    Users and items are counted each by their own group-by (a distinct count of
+    both in one aggregate would expand every row), the exact median by a
+    distributed histogram; they enter the row as scalar subqueries.  The
+    ratings are written once, as each of these reads them.
+    ``exact_distinct=False`` uses HyperLogLog++ for the user and item counts.
     """
-    distinct = F.count_distinct if exact_distinct else F.approx_count_distinct
+    ratings = write_once(ratings.select(user, item, value))
+
+    def distinct(key: str):
+        if not exact_distinct:
+            return F.approx_count_distinct(key)
+        return ratings.groupBy(key).agg(F.lit(1)).agg(F.count(key)).scalar()
+
     return ratings.agg(
         F.count(F.lit(1)).alias("n_rows"),
         distinct(user).alias("n_users"),
@@ -22,7 +34,7 @@ def profile_ratings(ratings: DataFrame, value: str = "listens", user: str = "use
         F.avg(value).alias("mean_listens"),
         F.min(value).alias("min_listens"),
         F.max(value).alias("max_listens"),
-        F.median(value).alias("median_listens"),
+        exact_median(ratings, value).scalar().alias("median_listens"),
         F.percentile_approx(value, 0.5).alias("approx_median_listens"),
         F.count_if(F.col(value) == 1).alias("n_listens_eq_1"),
     )

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from earworm.functions.exprs import ideal_dcg_sql
+from earworm.operators.ordered import running_totals
 
 
 def user_top_k(ratings: DataFrame, k: int = 100, user: str = "user_id",
@@ -136,18 +137,23 @@ def relevance_labels(recommendations: DataFrame, truth: DataFrame, user: str = "
     return recs.join(seen, [user, item], "left").fillna(0.0, subset=["label"])
 
 
-def relevance_auc(recommendations: DataFrame, truth: DataFrame, score: str = "score",
-                  user: str = "user_id", item: str = "recording_msid") -> float:
-    """Area under ROC of the model score against the relevance label.
+def relevance_auc(labelled: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """One row with the area under ROC of ``score`` against a 0/1 ``label``
+    (``relevance_labels`` makes one), n_pairs and n_relevant.
 
-    Uses Spark's BinaryClassificationEvaluator without down-sampling bins.
+    A rank sum over the histogram of scores: a score's positives beat all
+    negatives below it and half of those at it.  The running count of negatives
+    is distributed (``running_totals``).  Null when one label is missing.
     """
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-
-    labelled = relevance_labels(recommendations, truth, user, item)
-    ev = BinaryClassificationEvaluator(rawPredictionCol=score, labelCol="label",
-                                       metricName="areaUnderROC", numBins=0)
-    return ev.evaluate(labelled.withColumn(score, F.col(score).cast("double")))
+    hist = labelled.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("_s")).agg(
+        F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg"))
+    placed = running_totals(hist, "_s", "_neg")
+    beaten = F.sum(F.col("_pos") * (F.col("before__neg") + F.col("_neg") / 2.0))
+    pos, neg = F.sum("_pos"), F.sum("_neg")
+    return placed.agg(
+        F.coalesce(pos + neg, F.lit(0)).cast("bigint").alias("n_pairs"),
+        F.coalesce(pos, F.lit(0)).cast("bigint").alias("n_relevant"),
+        F.when((pos > 0) & (neg > 0), beaten / (pos.cast("double") * neg.cast("double"))).alias("auc"))
 
 
 def hit_accuracy(recommendations: DataFrame, truth: DataFrame, user: str = "user_id",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earworm.functions.exprs import round_half_even
+from earworm.operators.ordered import exact_median
 
 
 def count_listens(log: DataFrame, user: str = "user_id", item: str = "recording_msid",
@@ -24,21 +25,13 @@ def filter_min_listens(ratings: DataFrame, n: int = 1, value: str = "listens") -
     return ratings.where(F.col(value) > F.lit(n))
 
 
-def median_of(ratings: DataFrame, value: str = "listens") -> F.Column:
-    """Exact interpolating median as a scalar subquery.
-
-    ``percentile`` keeps a value -> count map per partition and merges the
-    maps; for counts (few distinct values) that map is tiny at any scale.
-    """
-    return ratings.select(F.median(value)).scalar()
-
-
 def filter_above_median(ratings: DataFrame, offset: float = 3.0, value: str = "listens") -> DataFrame:
     """Keep ``value > median(value) + offset`` (P5).
 
-    The median is a scalar subquery evaluated once, not a join.
+    The exact median comes from a distributed histogram (``exact_median``) and
+    enters as a scalar subquery, not a join.
     """
-    return ratings.where(F.col(value) > median_of(ratings, value) + F.lit(offset))
+    return ratings.where(F.col(value) > exact_median(ratings, value).scalar() + F.lit(offset))
 
 
 def center_ratings(ratings: DataFrame, user: str = "user_id", item: str = "recording_msid",

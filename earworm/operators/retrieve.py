@@ -1,242 +1,247 @@
 """Top-k inner-product retrieval over factor vectors.
 
-Exact search (``mips_exact``) never forms (query, item) rows.  The item table
-is cut into shards whose float64 matrix is at most ``max_shard_bytes`` (a
-checked bound); each shard is broadcast once and every Arrow batch of queries
-is scored against it with one matrix product, keeping the best k per query.
-Shard winners (k per query per shard) are merged by a per-query top-k.
-
-Approximate search (``mips_lsh``) reduces inner product to Euclidean distance
-(items get the extra coordinate sqrt(M^2 - |x|^2), queries get 0), hashes with
-Spark ML's BucketedRandomProjectionLSH, and scores a query only against the
-items sharing one of its buckets.  A bucket is cut into blocks of at most
-``block_items`` items and ``block_queries`` queries, so even a bucket holding a
-third of all items is spread over many bounded tasks; no pair is emitted,
-only the top k per (query, block).
+Both searches score on executors only, block against block: at most
+``block_items`` items with ``block_queries`` queries at a time, in tiles of
+``TILE`` queries, so a task holds a few tens of MB whatever the tables hold.
+No row of a pair is emitted: each block gives its best k per query, and a
+per-query top-k merges the blocks.
+
+Scores are sums in the order of the coordinates.  A matrix product finds the
+candidates of a tile with a margin for its rounding; the candidates are then
+summed in order, so a pair has the same score in every block and equal scores
+are equal.  Ties go to the smaller item id, whatever their number.
+
+Exact search (``mips_exact``) holds every query block against every item block.
+
+Approximate search (``mips_lsh``) splits the items by the power of two of their
+norm, reduces each class to nearest neighbours on the unit sphere (items are
+divided by the class's bound and get the coordinate that completes them to norm
+1, queries are normalised: the order of inner products does not depend on the
+query's norm), hashes with Spark ML's BucketedRandomProjectionLSH and scores a
+query against the items of its buckets.  A query with fewer than k candidates
+is searched exactly.
 """
 
 from __future__ import annotations
 
-import math
 import sys
 import time
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-RESULT_SCHEMA = "query_id long, item_id long, score double"
+from earworm.session import cut_lineage
 
 # The scoring functions below run in Python workers; ship them by value so
 # executors need no installed copy of this package.
-from pyspark import cloudpickle  # noqa: E402
-
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-
-def _top_k_rows(qids: np.ndarray, iids: np.ndarray, scores: np.ndarray, k: int) -> pd.DataFrame:
-    """Best k items per query row of a score block, ties by smaller item id."""
-    n_items = scores.shape[1]
-    kk = min(n_items, k)
-    if kk == 0:
-        return pd.DataFrame({"query_id": [], "item_id": [], "score": []})
-    # A margin of extra candidates keeps the id tie-break exact unless more
-    # than the margin of items tie at the k-th score.
-    take = min(n_items, k + 16)
-    if take < n_items:
-        cand = np.argpartition(-scores, take - 1, axis=1)[:, :take]
-    else:
-        cand = np.tile(np.arange(n_items), (scores.shape[0], 1))
-    cand_scores = np.take_along_axis(scores, cand, axis=1)
-    cand_ids = iids[cand]
-    order = np.lexsort((cand_ids, -cand_scores), axis=1)[:, :kk]
-    return pd.DataFrame({
-        "query_id": np.repeat(qids, kk),
-        "item_id": np.take_along_axis(cand_ids, order, axis=1).ravel(),
-        "score": np.take_along_axis(cand_scores, order, axis=1).ravel(),
-    })
+#: Queries of a block that are scored at a time, and pairs summed at a time.
+TILE, PAIRS = 256, 1 << 16
 
 
 def _matrix(series: pd.Series) -> np.ndarray:
-    return np.vstack([np.asarray(v, dtype=np.float64) for v in series]) if len(series) else np.zeros((0, 0))
+    return np.vstack([np.asarray(v, dtype=np.float64) for v in series])
+
+
+def _in_order(q: np.ndarray, x: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Inner products of the given pairs, summed in the order of coordinates."""
+    out = np.empty(len(rows))
+    for at in range(0, len(rows), PAIRS):
+        r, c = rows[at: at + PAIRS], cols[at: at + PAIRS]
+        total = np.zeros(len(r))
+        for j in range(q.shape[1]):
+            total += q[r, j] * x[c, j]
+        out[at: at + PAIRS] = total
+    return out
+
+
+def top_k_of_block(qids: np.ndarray, q: np.ndarray, iids: np.ndarray, x: np.ndarray, k: int) -> pd.DataFrame:
+    """The best k items of a block per query, ties by smaller item id."""
+    by_id = np.argsort(iids, kind="stable")
+    iids, x = iids[by_id], x[by_id]
+    n, kk = len(iids), min(k, len(iids))
+    reach = np.abs(x).sum(axis=1).max()
+    found = []
+    for at in range(0, len(qids), TILE):
+        tile = q[at: at + TILE]
+        scores = tile @ x.T
+        kth = np.partition(scores, n - kk, axis=1)[:, n - kk]
+        # more than the rounding of a sum of products can amount to
+        margin = 4 * x.shape[1] * np.finfo(np.float64).eps * reach * np.abs(tile).max(axis=1)
+        rows, cols = np.nonzero(scores >= (kth - margin)[:, None])
+        exact = _in_order(tile, x, rows, cols)
+        order = np.lexsort((cols, -exact, rows))
+        rows, cols, exact = rows[order], cols[order], exact[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows, "left")
+        kept = place < kk
+        found.append(pd.DataFrame({"query_id": qids[at + rows[kept]], "item_id": iids[cols[kept]],
+                                   "score": exact[kept]}))
+    return pd.concat(found)
+
+
+def _score_blocks(queries: DataFrame, items: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """Best k per (query, block) of blocks that share ``keys``; queries hold
+    query_id and _qv, items item_id and _iv, ids of any type."""
+    q_type, i_type = dict(queries.dtypes)["query_id"], dict(items.dtypes)["item_id"]
+
+    def score(q: pd.DataFrame, i: pd.DataFrame) -> pd.DataFrame:
+        if len(q) == 0 or len(i) == 0:
+            return pd.DataFrame({"query_id": [], "item_id": [], "score": []})
+        return top_k_of_block(q["query_id"].to_numpy(), _matrix(q["_qv"]), i["item_id"].to_numpy(),
+                              _matrix(i["_iv"]), k)
+
+    # Both sides must carry identical key types, or cogroup hashes them apart.
+    return queries.groupBy(*keys).cogroup(items.groupBy(*keys)).applyInPandas(
+        score, f"query_id {q_type}, item_id {i_type}, score double")
 
 
 def _rank(cands: DataFrame, k: int) -> DataFrame:
     """Merge candidates: per-query top-k by (score desc, item asc), positions 1..k.
-    Each query has at most k x (shards or blocks) candidates."""
+    Each query has at most k rows per block."""
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("item_id").asc())
     return cands.select("query_id", F.row_number().over(w).alias("pos"), "item_id", "score") \
         .where(F.col("pos") <= k)
 
 
-def _largest_shard(items: DataFrame, shards: int) -> int:
-    return items.groupBy(F.pmod(F.xxhash64("_id"), F.lit(shards)).alias("_s")) \
-        .agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+def _sides(queries: DataFrame, items: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with an id and a vector of both sides."""
+    q = queries.select(F.col(id_col).alias("query_id"), F.col(vec_col).alias("_qv")).dropna()
+    i = items.select(F.col(id_col).alias("item_id"), F.col(vec_col).alias("_iv")).dropna()
+    return q, i
 
 
-def _shard_count(items: DataFrame, n: int, row_bytes: int, max_bytes: int) -> int:
-    """Number of hash shards of ``items`` (column ``_id``) so that the largest
-    holds at most ``max_bytes``.  Hash shards scatter around n / shards, so the
-    bound is proven on the largest one (one small aggregate) before anything
-    is collected, doubling the count until it holds."""
-    shards = max(1, math.ceil(n * row_bytes / max_bytes))
-    while shards > 1 and shards < n and _largest_shard(items, shards) * row_bytes > max_bytes:
-        shards *= 2
-    return shards
+def _blocks(df: DataFrame, key: str, n: int, mine: str, other: str, n_other: int) -> DataFrame:
+    """Each row in one block of its side, copied to every block of the other."""
+    return df.withColumn(mine, F.pmod(F.xxhash64(key), F.lit(n)).cast("int")).withColumn(
+        other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
 
 
 def mips_exact(queries: DataFrame, items: DataFrame, k: int = 10, id_col: str = "id",
-               vec_col: str = "features", max_shard_bytes: int = 64 << 20) -> DataFrame:
+               vec_col: str = "features", block_items: int = 2048, block_queries: int = 2048) -> DataFrame:
     """Exact top-k items by inner product for every query vector.
 
-    Returns ``(query_id, pos, item_id, score)``.
+    Returns ``(query_id, pos, item_id, score)``; ids keep their type.  The two
+    sizes are counted first (two numbers come to the driver); they fix the
+    number of blocks, nothing else.
     """
-    spark = queries.sparkSession
-    sc = spark.sparkContext
-    items = items.select(F.col(id_col).cast("long").alias("_id"), F.col(vec_col).alias("_v"))
-    stats = items.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_v")).alias("d")).first()
-    n, d = int(stats["n"]), int(stats["d"] or 0)
-    row_bytes = max(d, 1) * 8 + 8
-    shards = _shard_count(items, n, row_bytes, max_shard_bytes)
-    qframe = queries.select(F.col(id_col).cast("long").alias("_qid"), F.col(vec_col).alias("_qv"))
-
-    parts = []
-    for s in range(shards):
-        shard = items.where(F.pmod(F.xxhash64("_id"), F.lit(shards)) == s) if shards > 1 else items
-        # Bounded by max_shard_bytes: the only data that passes the driver.
-        pdf = shard.toPandas()
-        ids = pdf["_id"].to_numpy(dtype=np.int64)
-        mat = _matrix(pdf["_v"])
-        bc = sc.broadcast((ids, mat))
-
-        def score(batches, bc=bc):
-            ids_, mat_ = bc.value
-            for b in batches:
-                if len(b) == 0 or len(ids_) == 0:
-                    continue
-                q = _matrix(b["_qv"])
-                yield _top_k_rows(b["_qid"].to_numpy(dtype=np.int64), ids_, q @ mat_.T, k)
-
-        parts.append(qframe.mapInPandas(score, RESULT_SCHEMA))
-    cands = parts[0]
-    for p in parts[1:]:
-        cands = cands.unionByName(p)
-    return _rank(cands, k)
-
-
-def _augment(items: DataFrame, queries: DataFrame, id_col: str, vec_col: str):
-    """MIPS -> nearest neighbour: items [x, sqrt(M^2-|x|^2)], queries [q, 0]."""
-    norm2 = F.aggregate(vec_col, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
-    m2 = float(items.select(F.max(norm2).alias("m2")).first()["m2"] or 0.0)
-    it = items.select(
-        F.col(id_col).cast("long").alias("_id"), F.col(vec_col).alias("_raw"),
-        array_to_vector(F.concat(F.transform(vec_col, lambda x: x.cast("double")),
-                                 F.array(F.sqrt(F.greatest(F.lit(m2) - norm2, F.lit(0.0)))))).alias("_aug"),
-    )
-    qu = queries.select(
-        F.col(id_col).cast("long").alias("_id"), F.col(vec_col).alias("_raw"),
-        array_to_vector(F.concat(F.transform(vec_col, lambda x: x.cast("double")),
-                                 F.array(F.lit(0.0)))).alias("_aug"),
-    )
-    return it, qu, m2
+    q, i = _sides(queries, items, id_col, vec_col)
+    n_q, n_i = (max(1, -(-df.count() // size)) for df, size in ((q, block_queries), (i, block_items)))
+    found = _score_blocks(_blocks(q, "query_id", n_q, "_qx", "_ix", n_i),
+                          _blocks(i, "item_id", n_i, "_ix", "_qx", n_q), ["_qx", "_ix"], k)
+    return _rank(found, k)
+
+
+def _norm(vec: str):
+    return F.sqrt(F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
 
 
-def _lsh_buckets(queries: DataFrame, items: DataFrame, id_col: str, vec_col: str,
-                 bucket_length: float | None, num_tables: int, seed: int, hashes_per_table: int = 1):
-    """Hash both sides; returns (keyed items, keyed queries) with one row per
-    (vector, table): ``_id, _raw, _t, _b``.
+def _lsh_buckets(queries: DataFrame, items: DataFrame, id_col: str, vec_col: str, bucket_length: float,
+                 num_tables: int, seed: int, hashes_per_table: int):
+    """(keyed queries, keyed items): one row per vector and table, with norm
+    class ``_c``, table ``_t`` and bucket ``_b``; queries once per class.
 
-    Each table's bucket is the combination of ``hashes_per_table`` random
-    projections (AND), tables are alternatives (OR): more hashes per table give
-    smaller buckets (fewer candidates), more tables give back recall.  The
-    bucket key is xxhash64 of the projection values; a collision only merges
-    two buckets, adding candidates, never losing one.
+    A class holds the items whose norm lies in (2^(c-1), 2^c]; its bound is a
+    fixed number, so an item of huge norm changes no other class.  Each table's
+    bucket is the combination of ``hashes_per_table`` projections (AND), tables
+    are alternatives (OR).  The bucket key is xxhash64 of the projections; a
+    collision only merges two buckets.
     """
-    it, qu, m2 = _augment(items, queries, id_col, vec_col)
-    length = bucket_length or max(math.sqrt(m2 or 1.0), 1e-6)
+    q, i = _sides(queries, items, id_col, vec_col)
+    i = i.withColumn("_n", _norm("_iv"))
+    i = i.withColumn("_c", F.when(F.col("_n") > 0, F.ceil(F.log2("_n"))).otherwise(-2000).cast("int"))
+    classes = i.select("_c").distinct()  # a row per power of two
+    bound = F.when(F.col("_n") > 0, F.pow(F.lit(2.0), F.col("_c"))).otherwise(1.0)
+    i = i.withColumn("_aug", array_to_vector(F.concat(
+        F.transform("_iv", lambda x: x.cast("double") / bound),
+        F.array(F.sqrt(F.greatest(F.lit(1.0) - (F.col("_n") / bound) * (F.col("_n") / bound), F.lit(0.0)))))))
+    length = F.greatest(_norm("_qv"), F.lit(sys.float_info.min))
+    q = q.withColumn("_aug", array_to_vector(F.concat(
+        F.transform("_qv", lambda x: x.cast("double") / length), F.array(F.lit(0.0)))))
     r = max(1, int(hashes_per_table))
-    lsh = BucketedRandomProjectionLSH(inputCol="_aug", outputCol="_h", bucketLength=length,
-                                      numHashTables=num_tables * r, seed=seed).fit(it)
+    lsh = BucketedRandomProjectionLSH(inputCol="_aug", outputCol="_h", bucketLength=bucket_length,
+                                      numHashTables=num_tables * r, seed=seed).fit(i)
 
-    def keyed(df: DataFrame) -> DataFrame:
+    def keyed(df: DataFrame, *keep: str) -> DataFrame:
         values = F.transform(F.col("_h"), lambda v: vector_to_array(v)[0])
         keys = F.transform(F.sequence(F.lit(0), F.lit(num_tables - 1)),
                            lambda t: F.xxhash64(F.slice(values, t * r + 1, r)))
-        return lsh.transform(df).select("_id", "_raw", F.posexplode(keys).alias("_t", "_b"))
+        return lsh.transform(df).select(*keep, F.posexplode(keys).alias("_t", "_b"))
+
+    # every query looks into every class
+    per_class = classes.agg(F.collect_list("_c").alias("_cs"))
+    q = q.select("*", F.explode(F.coalesce(per_class.scalar(), F.array().cast("array<int>"))).alias("_c"))
+    return keyed(q, "query_id", "_qv", "_c"), keyed(i, "item_id", "_iv", "_c")
+
+
+_KEY = ["_c", "_t", "_b"]
 
-    return keyed(it), keyed(qu)
 
+def _bucket_sizes(kq: DataFrame, ki: DataFrame) -> DataFrame:
+    ni = ki.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("_ni"))
+    nq = kq.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("_nq"))
+    return ni.join(nq, _KEY)
 
-def lsh_candidate_share(queries: DataFrame, items: DataFrame, id_col: str = "id",
-                        vec_col: str = "features", bucket_length: float | None = None,
-                        num_tables: int = 5, seed: int = 1234, hashes_per_table: int = 1) -> DataFrame:
-    """Share of all (query, item) pairs that the LSH search scores
-    (pairs meeting in several tables counted once per table).  One row."""
-    ki, kq = _lsh_buckets(queries, items, id_col, vec_col, bucket_length, num_tables, seed,
-                          hashes_per_table)
-    ni = ki.groupBy("_t", "_b").agg(F.count(F.lit(1)).alias("_ni"))
-    nq = kq.groupBy("_t", "_b").agg(F.count(F.lit(1)).alias("_nq"))
+
+#: Of the approximate search; see README for what they give on the fixture.
+LSH_DEFAULTS = {"bucket_length": 0.5, "num_tables": 6, "hashes_per_table": 2, "seed": 1234}
+
+
+def lsh_candidate_share(queries: DataFrame, items: DataFrame, id_col: str = "id", vec_col: str = "features",
+                        **lsh) -> DataFrame:
+    """The pairs that the LSH search scores, over all tables, and their
+    share of all (query, item) pairs.  Below 1 the search does less than brute
+    force.  One row."""
+    p = {**LSH_DEFAULTS, **lsh}
+    kq, ki = _lsh_buckets(queries, items, id_col, vec_col, **p)
+    q, i = _sides(queries, items, id_col, vec_col)
     zero = F.lit(0).cast("bigint")
+    one = F.lit(1).cast("bigint")
     parts = (
-        ni.join(nq, ["_t", "_b"]).select((F.col("_ni") * F.col("_nq")).alias("_p"),
-                                         zero.alias("_i"), zero.alias("_q"))
-        .unionByName(ki.where(F.col("_t") == 0).select(zero.alias("_p"), F.lit(1).cast("bigint").alias("_i"),
-                                                        zero.alias("_q")))
-        .unionByName(kq.where(F.col("_t") == 0).select(zero.alias("_p"), zero.alias("_i"),
-                                                        F.lit(1).cast("bigint").alias("_q")))
+        _bucket_sizes(kq, ki).select((F.col("_ni") * F.col("_nq")).alias("_p"), zero.alias("_i"), zero.alias("_q"))
+        .unionByName(i.select(zero.alias("_p"), one.alias("_i"), zero.alias("_q")))
+        .unionByName(q.select(zero.alias("_p"), zero.alias("_i"), one.alias("_q")))
     )
     return parts.agg(F.sum("_p").alias("scored_pairs"), F.sum("_q").alias("n_queries"),
                      F.sum("_i").alias("n_items")).select(
         "scored_pairs", "n_queries", "n_items",
-        (F.col("scored_pairs") / (F.col("n_queries") * F.col("n_items") * F.lit(num_tables)))
-        .alias("candidate_share"))
-
-
-def mips_lsh(queries: DataFrame, items: DataFrame, k: int = 10, id_col: str = "id",
-             vec_col: str = "features", bucket_length: float | None = None, num_tables: int = 5,
-             block_items: int = 2048, block_queries: int = 2048, seed: int = 1234,
-             hashes_per_table: int = 1) -> DataFrame:
-    """Approximate top-k by inner product (returns the same columns as
-    ``mips_exact``).  ``bucket_length`` defaults to the largest item norm, so
-    it scales with the factors; ``hashes_per_table`` > 1 sharpens buckets."""
-    ki, kq = _lsh_buckets(queries, items, id_col, vec_col, bucket_length, num_tables, seed,
-                          hashes_per_table)
-    # Bucket sizes are one aggregate; the number of blocks of a bucket grows
-    # with it, so a hot bucket becomes many bounded groups.
-    ni = ki.groupBy("_t", "_b").agg(F.count(F.lit(1)).alias("_ni"))
-    nq = kq.groupBy("_t", "_b").agg(F.count(F.lit(1)).alias("_nq"))
-    sizes = ni.join(nq, ["_t", "_b"]).select(
-        "_t", "_b",
-        F.greatest(F.lit(1), F.ceil(F.col("_ni") / block_items)).cast("int").alias("_ib"),
-        F.greatest(F.lit(1), F.ceil(F.col("_nq") / block_queries)).cast("int").alias("_qb"),
-    )
-    # Items go to one item block and are copied to each query block of their
-    # bucket; queries go to one query block and are copied to each item block.
-    it_b = ki.join(sizes, ["_t", "_b"]).select(
-        "_t", "_b", F.pmod(F.xxhash64("_id"), F.col("_ib")).cast("int").alias("_ix"),
-        F.explode(F.sequence(F.lit(0), F.col("_qb") - 1)).alias("_qx"),
-        F.col("_id").alias("item_id"), F.col("_raw").alias("_iv"))
-    qu_b = kq.join(sizes, ["_t", "_b"]).select(
-        "_t", "_b", F.explode(F.sequence(F.lit(0), F.col("_ib") - 1)).alias("_ix"),
-        F.pmod(F.xxhash64("_id"), F.col("_qb")).cast("int").alias("_qx"),
-        F.col("_id").alias("query_id"), F.col("_raw").alias("_qv"))
+        (F.col("scored_pairs") / (F.col("n_queries") * F.col("n_items"))).alias("candidate_share"))
 
-    def score(q: pd.DataFrame, i: pd.DataFrame) -> pd.DataFrame:
-        if len(q) == 0 or len(i) == 0:
-            return pd.DataFrame({"query_id": [], "item_id": [], "score": []})
-        return _top_k_rows(q["query_id"].to_numpy(dtype=np.int64), i["item_id"].to_numpy(dtype=np.int64),
-                           _matrix(q["_qv"]) @ _matrix(i["_iv"]).T, k)
 
-    # Both sides must carry identical key types, or cogroup hashes them apart.
-    keys = ["_t", "_b", "_ix", "_qx"]
-    cands = qu_b.groupBy(*keys).cogroup(it_b.groupBy(*keys)).applyInPandas(score, RESULT_SCHEMA)
+def mips_lsh(queries: DataFrame, items: DataFrame, k: int = 10, id_col: str = "id", vec_col: str = "features",
+             block_items: int = 2048, block_queries: int = 2048, **lsh) -> DataFrame:
+    """Approximate top-k by inner product (the columns of ``mips_exact``).
+
+    A bucket is dealt into blocks by its size, so one that holds a third of all
+    items is many bounded groups.  Every query gets its k items: those that
+    their buckets leave with fewer are searched exactly.
+    """
+    p = {**LSH_DEFAULTS, **lsh}
+    kq, ki = _lsh_buckets(queries, items, id_col, vec_col, **p)
+    sizes = _bucket_sizes(kq, ki).select(
+        *_KEY, F.ceil(F.col("_ni") / block_items).cast("int").alias("_ib"),
+        F.ceil(F.col("_nq") / block_queries).cast("int").alias("_qb"))
+    # Items go to one item block and are copied to each query block of their
+    # bucket; queries go to one query block and are copied to each item block.
+    it_b = ki.join(sizes, _KEY).select(
+        *_KEY, F.pmod(F.xxhash64("item_id"), F.col("_ib")).cast("int").alias("_ix"),
+        F.explode(F.sequence(F.lit(0), F.col("_qb") - 1)).alias("_qx"), "item_id", "_iv")
+    qu_b = kq.join(sizes, _KEY).select(
+        *_KEY, F.explode(F.sequence(F.lit(0), F.col("_ib") - 1)).alias("_ix"),
+        F.pmod(F.xxhash64("query_id"), F.col("_qb")).cast("int").alias("_qx"), "query_id", "_qv")
+    cands = _score_blocks(qu_b, it_b, [*_KEY, "_ix", "_qx"], k)
     # The same pair can meet in several hash tables.
-    cands = cands.groupBy("query_id", "item_id").agg(F.max("score").alias("score"))
-    return _rank(cands, k)
+    found = cut_lineage(_rank(cands.groupBy("query_id", "item_id").agg(F.max("score").alias("score")), k))
+    full = found.where(F.col("pos") == k).select(F.col("query_id").alias(id_col))
+    short = queries.join(full, id_col, "left_anti")
+    answered = found.join(full.withColumnRenamed(id_col, "query_id"), "query_id", "left_semi")
+    return answered.unionByName(mips_exact(short, items, k, id_col, vec_col, block_items, block_queries))
 
 
 def retrieval_recall(approx: DataFrame, exact: DataFrame) -> DataFrame:
@@ -251,9 +256,9 @@ def bench_retrieval(queries: DataFrame, items: DataFrame, k: int = 10, id_col: s
                     vec_col: str = "features", **lsh_params) -> dict:
     """recall@k of LSH against exact search, and the seconds of each."""
     t0 = time.time()
-    exact = mips_exact(queries, items, k, id_col, vec_col).checkpoint(eager=True)
+    exact = cut_lineage(mips_exact(queries, items, k, id_col, vec_col))
     t1 = time.time()
-    approx = mips_lsh(queries, items, k, id_col, vec_col, **lsh_params).checkpoint(eager=True)
+    approx = cut_lineage(mips_lsh(queries, items, k, id_col, vec_col, **lsh_params))
     t2 = time.time()
     rec = retrieval_recall(approx, exact).first()
     return {"recall_at_k": rec["recall_at_k"], "exact_sec": t1 - t0, "lsh_sec": t2 - t1}

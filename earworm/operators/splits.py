@@ -60,33 +60,35 @@ def restrict_to_seen(val: DataFrame, train: DataFrame, user: str = "user_id",
     )
 
 
-def split_overlap(train: DataFrame, val: DataFrame, user: str = "user_id",
-                  value: str | None = "listens") -> DataFrame:
-    """Sizes and user overlap of two splits in one row.
-
-    Both splits are tagged and unioned, grouped once by user (partial
-    aggregation, one shuffle), then summed; the intersect of the user sets is
-    the users with rows on both sides.
+def split_three(df: DataFrame, train_fraction: float = 0.6, val_fraction: float = 0.2,
+                user: str = "user_id", out: str = "split") -> DataFrame:
+    """Label rows 'train' / 'val' / 'test' by user."""
+    place = unit_hash(user, salt=USER_SALT)
+    return df.withColumn(out, F.when(place < F.lit(train_fraction), F.lit("train")).when(
+        place < F.lit(train_fraction + val_fraction), F.lit("val")).otherwise(F.lit("test")))
+
+
+def split_overlap(labelled: DataFrame, user: str = "user_id", value: str | None = "listens",
+                  label: str = "split", parts: tuple[str, ...] = ("train", "val")) -> DataFrame:
+    """Sizes and user overlap of the parts of a labelled frame in one row (L5,
+    U3, A10, A11, P7).
+
+    One group-by on the user with a partial aggregate, then a sum: a part's
+    users are those with rows in it, two parts' common users those with rows in
+    both.  With two parts the overlap is ``common_users``, with more
+    ``common_<a>_<b>`` for each pair.
     """
-    def tagged(df: DataFrame, tag: str) -> DataFrame:
-        v = F.col(value) if value else F.lit(None).cast("bigint")
-        return df.select(user, v.alias("_v"), F.lit(tag).alias("_tag"))
-
-    both = tagged(train, "train").unionByName(tagged(val, "val"))
-    per_user = both.groupBy(user).agg(
-        F.count_if(F.col("_tag") == "train").alias("_tr"),
-        F.count_if(F.col("_tag") == "val").alias("_vr"),
-        F.count_if((F.col("_tag") == "train") & (F.col("_v") == 1)).alias("_t1"),
-        F.count_if((F.col("_tag") == "val") & (F.col("_v") == 1)).alias("_v1"),
-    )
-    cols = [
-        F.count_if(F.col("_tr") > 0).alias("train_users"),
-        F.count_if(F.col("_vr") > 0).alias("val_users"),
-        F.count_if((F.col("_tr") > 0) & (F.col("_vr") > 0)).alias("common_users"),
-        F.sum("_tr").cast("bigint").alias("train_rows"),
-        F.sum("_vr").cast("bigint").alias("val_rows"),
-    ]
+    def rows_of(p: str):
+        return F.col(label) == F.lit(p)
+
+    per_user = labelled.groupBy(user).agg(*[x for p in parts for x in (
+        F.count_if(rows_of(p)).alias(f"_{p}"),
+        F.count_if(rows_of(p) & (F.col(value) == 1) if value else F.lit(False)).alias(f"_{p}_1"))])
+    pairs = [(a, b) for i, a in enumerate(parts) for b in parts[i + 1:]]
+    cols = [F.count_if(F.col(f"_{p}") > 0).alias(f"{p}_users") for p in parts]
+    cols += [F.count_if((F.col(f"_{a}") > 0) & (F.col(f"_{b}") > 0)).alias(
+        "common_users" if len(pairs) == 1 else f"common_{a}_{b}") for a, b in pairs]
+    cols += [F.coalesce(F.sum(f"_{p}"), F.lit(0)).cast("bigint").alias(f"{p}_rows") for p in parts]
     if value:
-        cols += [F.sum("_t1").cast("bigint").alias("train_listens_eq_1"),
-                 F.sum("_v1").cast("bigint").alias("val_listens_eq_1")]
+        cols += [F.coalesce(F.sum(f"_{p}_1"), F.lit(0)).cast("bigint").alias(f"{p}_listens_eq_1") for p in parts]
     return per_user.agg(*cols)

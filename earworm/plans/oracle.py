@@ -192,7 +192,140 @@ def dense_codes(key: str, src: str, name: str) -> str:
 LEFT_F1 = f"""select l.recording_msid, l.user_id, l."timestamp", t.recording_mbid
   from ({F1_LOG}) l left join ({F1_TRACKS}) t using (recording_msid)"""
 
+F1_TRACKS_GAPS = f"select * from ({F1_TRACKS}) where recording_msid % 13 <> 5"
+
+LEFT_GAPS = f"""select l.recording_msid, l.user_id, l."timestamp", t.recording_mbid
+  from ({F1_LOG}) l left join ({F1_TRACKS_GAPS}) t using (recording_msid)"""
+
+
+def canonical_log_left(log: str, tracks: str, both: bool) -> str:
+    """As canonical_log, with listens of tracks that the dimension lacks."""
+    without = "select distinct user_id, recording_msid, \"timestamp\" from j where recording_mbid is null" if both else \
+              "select user_id, recording_msid, \"timestamp\" from j where recording_mbid is null"
+    return f"""
+    with j as (select l.user_id, l.recording_msid, l."timestamp", t.recording_mbid
+                 from ({log}) l left join ({tracks}) t using (recording_msid)),
+         mb as (select user_id, "timestamp",
+                       first_value(recording_msid) over (partition by recording_mbid
+                                                         order by "timestamp", recording_msid) as recording_msid
+                  from j where recording_mbid is not null)
+    select distinct user_id, recording_msid, "timestamp" from mb
+    union all {without}"""
+
+
+def three_split(src: str) -> str:
+    h = H('u:', 'user_id')
+    return f"""select *, case when {h} < 0.6 then 'train' when {h} < 0.8 then 'val' else 'test' end as split from ({src})"""
+
+
+def overlap_three(split_sql: str) -> str:
+    parts = ("train", "val", "test")
+    users = {p: f"(select distinct user_id from s where split = '{p}')" for p in parts}
+    cols = [f"(select count(*) from {users[p]}) as {p}_users" for p in parts]
+    cols += [f"(select count(*) from (from {users[a]} intersect from {users[b]})) as common_{a}_{b}"
+             for a, b in (("train", "val"), ("train", "test"), ("val", "test"))]
+    cols += [f"(select count(*) from s where split = '{p}') as {p}_rows" for p in parts]
+    cols += [f"(select count(*) from s where split = '{p}' and listens = 1) as {p}_listens_eq_1" for p in parts]
+    return f"with s as ({split_sql}) select " + ", ".join(cols)
+
+
+def popularity_part(part: str) -> str:
+    """Metrics of the total-listens list of the train users on one part."""
+    return f"""
+    select avg(ap) as map_at_k, avg(ndcg) as ndcg_at_k, avg(p) as precision_at_k, avg(recall) as recall_at_k,
+           count(*) as n_users, '{part}' as split from (
+      select t.user_id, coalesce(h.ap, 0) / least(nt, {K}) as ap,
+             coalesce(dcg, 0) / list_sum(list_transform(range(1, least(nt, {K}) + 1), lambda j: 1.0 / ln(j + 1))) as ndcg,
+             coalesce(nh, 0) / {K}.0 as p, cast(coalesce(nh, 0) as double) / nt as recall
+        from (select user_id, count(*) as nt from truth where split = '{part}' group by 1) t
+        left join (select user_id, sum(rnk / pos) as ap, sum(1.0 / ln(pos + 1)) as dcg, count(*) as nh from (
+                     select user_id, pos, row_number() over (partition by user_id order by pos) as rnk
+                       from truth join top using (recording_msid) where split = '{part}') group by 1) h
+          using (user_id))"""
+
+
+POPULARITY_VAL_TEST = f"""
+    with c as ({three_split(counts_of(F2_LOG))}),
+         top as (select * from (select recording_msid, row_number() over (order by sum(listens) desc, recording_msid) as pos
+                                  from c where split = 'train' group by 1) where pos <= {K}),
+         truth as (select * from (select *, row_number() over (partition by user_id
+                                                               order by listens desc, recording_msid) as rn
+                                    from c where split <> 'train') where rn <= {K})
+    select {r('map_at_k', 'map_at_k')}, {r('ndcg_at_k', 'ndcg_at_k')}, {r('precision_at_k', 'precision_at_k')},
+           {r('recall_at_k', 'recall_at_k')}, n_users, split
+      from ({popularity_part('val')} union all {popularity_part('test')})"""
+
+FAVOURITES = f"""
+    c as ({CANON_F1}),
+    rec as (select * from (select user_id, recording_msid, row_number() over (partition by user_id
+                                                                              order by recording_msid) as pos
+                             from c) where pos <= 10),
+    obs as (select user_id, recording_msid from c where listens > 1)"""
+
 ORACLE = {
+    "attach_left_gaps": LEFT_GAPS,
+    "null_profile_gaps": f"""
+        select count(*) - count(recording_msid) as nulls_recording_msid, count(*) - count(user_id) as nulls_user_id,
+               count(*) - count("timestamp") as nulls_timestamp, count(*) - count(recording_mbid) as nulls_recording_mbid
+          from ({LEFT_GAPS})""",
+    "canonical_counts_left": counts_of(canonical_log_left(F1_LOG, F1_TRACKS_GAPS, both=False)),
+    "canonical_log_both": canonical_log_left(F1_LOG, F1_TRACKS_GAPS, both=True),
+    "encoded_left": f"""
+        with c as ({CANON_F2}),
+             k as (select recording_msid, cast(row_number() over (order by recording_msid) - 1 as integer) as codes
+                     from (select recording_msid from c group by 1 having sum(listens) > 2))
+        select c.recording_msid, c.user_id, c.listens, k.codes from c left join k using (recording_msid)""",
+    "string_ids_top": f"""
+        with l as (select user_id, 'msid-' || recording_msid as recording_msid, "timestamp" from ({F2_LOG})),
+             t as (select 'msid-' || recording_msid as recording_msid, recording_mbid from ({F2_TRACKS})),
+             n as (select recording_msid, sum(listens) as score
+                     from ({counts_of(canonical_log('select * from l', 'select * from t'))}) group by 1)
+        select cast(pos as integer) as pos, recording_msid, cast(score as bigint) as score from (
+          select *, row_number() over (order by score desc, recording_msid) as pos from n) where pos <= {K}""",
+    "split_overlap_three": overlap_three(three_split(CANON_F2)),
+    "popularity_val_test": POPULARITY_VAL_TEST,
+    "rmse_item_mean": f"""
+        with s as ({row_split(CANON_F2, 0.7, 0.6)}),
+             m as (select recording_msid, avg(listens) as p from s where split = 'train' group by 1)
+        select {r('sqrt(avg(power(listens - p, 2)))', 'rmse')}, count(*) as n_scored
+          from s join m using (recording_msid) where split = 'val'""",
+    "auc_popularity": f"""
+        with c as ({CANON_F1}), t as (select recording_msid, sum(listens) as score from c group by 1),
+             x as (select score, listens > 1 as rel from c join t using (recording_msid)),
+             k as (select rel, rank() over (order by score) + (count(*) over (partition by score) - 1) / 2.0 as rk from x)
+        select count(*) as n_pairs, cast(count_if(rel) as bigint) as n_relevant,
+               {r('(sum(rk) filter (rel) - count_if(rel) * (count_if(rel) + 1.0) / 2) / (count_if(rel) * cast(count_if(not rel) as double))', 'auc')}
+          from k""",
+    "hit_accuracy_lists": f"""
+        with {FAVOURITES},
+             u as (select user_id, recording_msid, max(r) as r, max(o) as o from (
+                     select user_id, recording_msid, 1 as r, 0 as o from rec where user_id in (select user_id from obs)
+                     union all select user_id, recording_msid, 0, 1 from obs) group by 1, 2)
+        select {r('avg(cast(r + o = 2 as integer))', 'accuracy')}, count(*) as n_pairs from u""",
+    "user_list_map": f"""
+        with {FAVOURITES},
+             n as (select user_id, count(*) as nt from obs group by 1),
+             h as (select user_id, sum(rnk / pos) as s, count(*) as nh from (
+                     select user_id, pos, row_number() over (partition by user_id order by pos) as rnk
+                       from rec join obs using (user_id, recording_msid)) group by 1)
+        select {r('avg(coalesce(s, 0) / nt)', 'map_all')}, {r('avg(coalesce(nh, 0) / cast(nt as double))', 'recall')},
+               count(*) as n_users from n left join h using (user_id)""",
+    "seen_precision_popularity": f"""
+        with s as ({row_split(CANON_F2, 0.7, None)}),
+             top as (select * from (select recording_msid, row_number() over (order by sum(listens) desc, recording_msid) as pos
+                                      from s where split = 'train' group by 1) where pos <= {K}),
+             seen as (select user_id, recording_msid from s where split = 'val'
+                         and user_id in (select user_id from s where split = 'train')
+                         and recording_msid in (select recording_msid from s where split = 'train'))
+        select {r('avg(hits) / ' + str(K) + '.0', 'precision_at_k')}, count(*) as n_users from (
+          select user_id, count(top.pos) as hits from seen left join top using (recording_msid) group by 1)""",
+    "mips_exact_ties": f"""
+        with v as (select 'v' || vec_id as id, list_transform(embedding[1:2], lambda x: cast(sign(x) as double)) as e
+                     from embeddings)
+        select query_id, cast(pos as integer) as pos, item_id, round(score, {DIGITS}) as score from (
+          select q.id as query_id, i.id as item_id, list_inner_product(q.e, i.e) as score,
+                 row_number() over (partition by q.id order by list_inner_product(q.e, i.e) desc, i.id) as pos
+            from v q, v i) where pos <= 10""",
     "popularity_map": popularity_eval("total"),
     "popularity_map_f1": popularity_eval("total", log=F1_LOG),
     "popularity_average_map_f1": popularity_eval("average", log=F1_LOG),

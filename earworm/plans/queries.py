@@ -7,10 +7,14 @@ so that results compare exactly with the SQL oracle (plans/oracle.py).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earworm.operators import identity, popularity, profile, ranking, ratings, splits
+from earworm.session import checkpoint_dir, write_once
+from earworm.sources import tables
 from earworm.sources import testdata as td
 
 K = 100          # list length of the popularity and ground-truth lists
@@ -33,16 +37,26 @@ def canonical_counts_f2(spark, sf, dedupe=True) -> DataFrame:
     return identity.canonical_listens(td.listens_f2(spark, sf), td.tracks_f2(spark, sf), dedupe=dedupe)
 
 
+def _split_counts(log: DataFrame, label=lambda df: splits.split_users(df, 0.6)) -> DataFrame:
+    """Listens per (user, item) with the user's split, written once: train
+    list, truth and reports all read these counts, the log only once."""
+    return write_once(label(ratings.count_listens(log, ts=None)))
+
+
+def _top_list(train: DataFrame, model: str) -> DataFrame:
+    """The popularity list from listen counts."""
+    if model == "total":
+        return popularity.popularity_total(train, K, weight="listens")
+    return popularity.top_of(popularity.average_two_level(train, out="score"), K)
+
+
 def _popularity_eval(spark, sf, model: str, per_user: bool = False, log=None) -> DataFrame:
     """The reference baseline (on F2 unless ``log`` is given): users split
     60/40, popularity list from the train log, truth = each validation user's
     top-K by listens."""
-    log = td.listens_f2(spark, sf) if log is None else log
-    labelled = splits.split_users(log, 0.6)
-    train, val = splits.train_val(labelled)
-    top = (popularity.popularity_total(train, K) if model == "total"
-           else popularity.popularity_average(train, K))
-    truth = ranking.user_top_k(ratings.count_listens(val), K)
+    counts = _split_counts(td.listens_f2(spark, sf) if log is None else log)
+    train, val = splits.train_val(counts)
+    top, truth = _top_list(train, model), ranking.user_top_k(val, K)
     if per_user:
         return _round(ranking.per_user_ranking(top, truth, K, distinct_truth=False))
     return _round(ranking.ranking_metrics(top, truth, K, distinct_truth=False))
@@ -221,22 +235,37 @@ def row_split_f1(spark, sf):
 
 
 def split_overlap_f1(spark, sf):
-    train, val = splits.train_val(holdin_split_f1(spark, sf))
-    return splits.split_overlap(train, val)
+    return splits.split_overlap(holdin_split_f1(spark, sf))
 
 
 def split_overlap_f2(spark, sf):
-    train, val = splits.train_val(splits.split_users(canonical_counts_f2(spark, sf), 0.7, holdin=0.6))
-    return splits.split_overlap(train, val)
+    return splits.split_overlap(splits.split_users(canonical_counts_f2(spark, sf), 0.7, holdin=0.6))
+
+
+def split_overlap_three(spark, sf):
+    """L5 U3 over three parts: sizes and pairwise common users of train, val
+    and test (F2, users 60/20/20)."""
+    return splits.split_overlap(splits.split_three(canonical_counts_f2(spark, sf)), parts=("train", "val", "test"))
+
+
+def popularity_val_test(spark, sf):
+    """R1 + E1-E3 on validation and on test (F2, users 60/20/20): one row each."""
+    counts = _split_counts(td.listens_f2(spark, sf), splits.split_three)
+    top = _top_list(splits.part(counts, "train"), "total")
+    scored = [ranking.ranking_metrics(top, ranking.user_top_k(splits.part(counts, p), K), K, distinct_truth=False)
+              .withColumn("split", F.lit(p)) for p in ("val", "test")]
+    return _round(scored[0].unionByName(scored[1]))
 
 
 def seen_only_f1(spark, sf):
-    train, val = splits.train_val(splits.split_users(canonical_counts_f1(spark, sf), 0.7, holdin=0.6))
+    labelled = write_once(splits.split_users(canonical_counts_f1(spark, sf), 0.7, holdin=0.6))
+    train, val = splits.train_val(labelled)
     return splits.restrict_to_seen(val, train)
 
 
 def seen_only_f2(spark, sf):
-    train, val = splits.train_val(splits.split_rows(canonical_counts_f2(spark, sf), 0.7, holdin=None))
+    labelled = write_once(splits.split_rows(canonical_counts_f2(spark, sf), 0.7, holdin=None))
+    train, val = splits.train_val(labelled)
     return splits.restrict_to_seen(val, train)
 
 
@@ -252,6 +281,104 @@ def user_truth_lists(spark, sf):
                         .alias("items"))
 
 
+# ------------------------------------------------------------ left flow, string ids
+def attach_left_gaps(spark, sf):
+    """J2 with tracks that the dimension lacks: their rows stay, mbid null."""
+    return identity.attach_tracks(td.listens_f1(spark, sf), td.tracks_f1_gaps(spark, sf), "left")
+
+
+def null_profile_gaps(spark, sf):
+    """P13 on a left join with unmatched rows."""
+    return profile.profile_nulls(attach_left_gaps(spark, sf))
+
+
+def canonical_counts_left(spark, sf):
+    """I4 + A1 keeping listens of unknown tracks (left join)."""
+    return identity.canonical_listens(td.listens_f1(spark, sf), td.tracks_f1_gaps(spark, sf), how="left")
+
+
+def canonical_log_both(spark, sf):
+    """I4 row by row, left join, de-duplicated in both branches."""
+    return identity.canonicalize(td.listens_f1(spark, sf), td.tracks_f1_gaps(spark, sf), dedupe="both", how="left")
+
+
+def encoded_left(spark, sf):
+    """Counts left-joined to the codes of the items listened to more than
+    twice in all; other items have a null code."""
+    counts = canonical_counts_f2(spark, sf)
+    frequent = popularity.item_totals(counts, weight="listens").where("total_listens > 2")
+    codes = identity.dense_ids(frequent, "recording_msid", "codes")
+    return identity.encode_items(counts, codes, how="left")
+
+
+def string_ids_top(spark, sf):
+    """The flow on text ids: log and tracks read by the library's readers
+    (S1, S2), identity, dense codes, popularity list with the text ids."""
+    folder = f"{checkpoint_dir(spark)}/string-ids-{uuid.uuid4().hex}"
+    text_id = F.concat(F.lit("msid-"), F.col("recording_msid").cast("string"))
+    tables.write_table(td.listens_f2(spark, sf).withColumn("recording_msid", text_id), f"{folder}/log")
+    tables.write_table(td.tracks_f2(spark, sf).withColumn("recording_msid", text_id), f"{folder}/tracks")
+    counts = identity.canonical_listens(tables.read_interactions(spark, f"{folder}/log"),
+                                        tables.read_tracks(spark, f"{folder}/tracks"))
+    codes = identity.dense_ids(counts, "recording_msid", "codes")
+    coded = identity.encode_items(counts, codes, replace=True)
+    top = popularity.popularity_total(coded, K, weight="listens")
+    return top.join(codes.withColumnsRenamed({"recording_msid": "item", "codes": "recording_msid"}),
+                    "recording_msid").select("pos", F.col("item").alias("recording_msid"), "score")
+
+
+# ------------------------------------------------------------ evaluators on predictors from the data
+def rmse_item_mean(spark, sf):
+    """E5 (+ R6's shape): each validation pair predicted by its item's train
+    mean; items without train rows are left out (F2, row split)."""
+    labelled = write_once(splits.split_rows(canonical_counts_f2(spark, sf), 0.7, holdin=0.6))
+    train, val = splits.train_val(labelled)
+    means = train.groupBy("recording_msid").agg(F.avg("listens").alias("prediction"))
+    return _round(ranking.rmse(val.join(means, "recording_msid", "left")))
+
+
+def auc_popularity(spark, sf):
+    """Does an item's total of listens tell which pairs are heard more than
+    once (F1)?"""
+    counts = write_once(canonical_counts_f1(spark, sf))
+    totals = popularity.item_totals(counts, weight="listens", out="score")
+    labelled = counts.join(totals, "recording_msid").withColumn("label", (F.col("listens") > 1).cast("int"))
+    return _round(ranking.relevance_auc(labelled))
+
+
+def _favourites(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """(recommended, observed): each user's first ten items by code of the F1
+    counts, and the pairs heard more than once."""
+    counts = write_once(canonical_counts_f1(spark, sf))
+    recommended = ranking.user_top_k(counts.withColumn("low", -F.col("recording_msid")), 10, score="low")
+    return recommended, ratings.filter_min_listens(counts, 1)
+
+
+def hit_accuracy_lists(spark, sf):
+    """E7 on per-user lists that the data give."""
+    recommended, observed = _favourites(spark, sf)
+    return _round(ranking.hit_accuracy(recommended, observed))
+
+
+def user_list_map(spark, sf):
+    """E4 + J9: average precision without cutoff of per-user lists, joined on
+    the user (users with both), as means."""
+    recommended, observed = _favourites(spark, sf)
+    per_user = ranking.per_user_ranking(recommended, observed, None, users="both", distinct_truth=False)
+    return _round(per_user.agg(F.avg("ap").alias("map_all"), F.avg("recall").alias("recall"),
+                               F.count(F.lit(1)).alias("n_users")))
+
+
+def seen_precision_popularity(spark, sf):
+    """precision@100 of the popularity list on validation pairs whose user
+    and item occur in train, over users with such a pair (F2, row split)."""
+    labelled = write_once(splits.split_rows(canonical_counts_f2(spark, sf), 0.7, holdin=None))
+    train, val = splits.train_val(labelled)
+    top = popularity.popularity_total(train, K, weight="listens")
+    seen = splits.restrict_to_seen(val, train)
+    return _round(ranking.ranking_metrics(top, seen, K, distinct_truth=False).select("precision_at_k", "n_users"))
+
+
 def listen_counts_sql(spark, sf):
     """S8 + A1: the baseline's listen-count SQL over named views."""
     from earworm.sources.views import register_views
@@ -304,4 +431,17 @@ REGISTRY = {
     "seen_only_f2": seen_only_f2,
     "user_top_k": user_top_k_f2,
     "user_truth_lists": user_truth_lists,
+    "split_overlap_three": split_overlap_three,
+    "popularity_val_test": popularity_val_test,
+    "attach_left_gaps": attach_left_gaps,
+    "null_profile_gaps": null_profile_gaps,
+    "canonical_counts_left": canonical_counts_left,
+    "canonical_log_both": canonical_log_both,
+    "encoded_left": encoded_left,
+    "string_ids_top": string_ids_top,
+    "rmse_item_mean": rmse_item_mean,
+    "auc_popularity": auc_popularity,
+    "hit_accuracy_lists": hit_accuracy_lists,
+    "user_list_map": user_list_map,
+    "seen_precision_popularity": seen_precision_popularity,
 }

@@ -42,6 +42,18 @@ FACTORS = T.StructType(
 )
 
 
+#: Id columns whose files may hold text as well as integers.
+ID_COLUMNS = ("user_id", "recording_msid")
+
+
+def with_id_types(schema: T.StructType, stored: T.StructType) -> T.StructType:
+    """``schema`` with text ids where the stored table has them."""
+    held = {f.name: f.dataType for f in stored.fields}
+    return T.StructType([
+        T.StructField(f.name, T.StringType() if f.name in ID_COLUMNS and isinstance(held.get(f.name), T.StringType)
+                      else f.dataType, f.nullable) for f in schema.fields])
+
+
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
     """Fail early, with the missing names, instead of renaming by position."""
     missing = [n for n in names if n not in df.columns]

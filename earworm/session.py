@@ -8,6 +8,7 @@ goes there.  Only when nothing is configured (local tests) do we create one.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -41,7 +42,7 @@ def build_session(
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "6g")
     )
     for key, value in {**SCALE_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(key, value)
@@ -52,18 +53,30 @@ def build_session(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The checkpoint folder of this session; set one only where none is set."""
+    """The checkpoint folder of this session.
+
+    Where none is set, a local session (one machine, one JVM) gets a temporary
+    one; on a cluster that folder would be another one on each machine, so a
+    shared folder must be configured.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="earworm-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def is_local(master: str) -> bool:
+    """Whether a master URL runs everything in one JVM."""
+    return master == "local" or master.startswith("local[")
+
+
 def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the session's shared checkpoint folder.
 
@@ -75,3 +88,12 @@ def cut_lineage(df, eager: bool = True):
     # The write job after the materializing count re-reads the shuffle output
     # of the last exchange, so only the final stage runs twice.
     return df.checkpoint(eager=eager)
+
+
+def write_once(df):
+    """``df`` as a Parquet table in the shared checkpoint folder, read back:
+    computed exactly once, whatever reads it."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from earworm.schemas import INTERACTIONS, RATINGS, TRACKS, require_columns
+from earworm.schemas import INTERACTIONS, RATINGS, TRACKS, require_columns, with_id_types
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                fmt: str = "parquet", **options) -> DataFrame:
-    """Columnar scan; with a schema, columns are selected by name and typed.
+    """Columnar scan; with a schema, columns are selected by name and typed
+    (user and item ids stay text where the file holds text).
 
     Filters and projections written later reach the Parquet scan
     (PushedFilters / ReadSchema), so callers never pre-select columns.
@@ -21,6 +22,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     df = reader.format(fmt).load(path)
     if schema is not None and fmt == "parquet":
         require_columns(df, *schema.fieldNames())
+        schema = with_id_types(schema, df.schema)
         df = df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
     return df
 

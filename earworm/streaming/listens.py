@@ -17,10 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 from earworm.schemas import INTERACTIONS
 from earworm.session import checkpoint_dir
 
-STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
-DEFAULT_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
-ROCKSDB_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def read_listen_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Parquet files of listens arriving in ``path`` (declared schema)."""
@@ -36,27 +32,29 @@ def stream_listen_counts(stream: DataFrame, user: str = "user_id", item: str = "
     return stream.groupBy(user, item).agg(F.count(ts).alias("listens"))
 
 
-def start_listen_counts(stream: DataFrame, sink: str = "memory", name: str = "listen_counts",
-                        path: str | None = None, checkpoint_location: str | None = None,
+def start_listen_counts(stream: DataFrame, path: str | None = None, sink: str = "parquet",
+                        name: str = "listen_counts", checkpoint_location: str | None = None,
                         trigger_once: bool = False) -> StreamingQuery:
-    """Start the counting query.  ``sink='memory'`` for tests; otherwise each
-    micro-batch's updated counts are appended to Parquet at ``path`` with their
-    batch id, so a reader takes the latest batch per (user, item)."""
+    """Start the counting query.
+
+    Each micro-batch's updated counts become the partition ``batch_id=<n>`` of
+    ``path``; a batch that is replayed after a failure replaces its partition,
+    so nothing is written twice, and a reader takes the latest batch per (user,
+    item).  ``sink='memory'`` keeps all counts on the driver: for tests only.
+    The state is as large as the rating matrix; name the RocksDB state store in
+    the session's configuration for large logs (it is not changed here).
+    """
     spark = stream.sparkSession
-    # One running count per (user, item) is as large as the rating matrix:
-    # keep it in RocksDB (off-heap, spills to local disk, snapshots to the
-    # checkpoint) unless the session already chose a state store.
-    if spark.conf.get(STATE_STORE_KEY, None) in (None, "", DEFAULT_STORE):
-        spark.conf.set(STATE_STORE_KEY, ROCKSDB_STORE)
     location = checkpoint_location or f"{checkpoint_dir(spark)}/stream-{name}-{uuid.uuid4().hex}"
-    counts = stream_listen_counts(stream)
-    writer = counts.writeStream.option("checkpointLocation", location)
+    writer = stream_listen_counts(stream).writeStream.option("checkpointLocation", location)
     if trigger_once:
         writer = writer.trigger(availableNow=True)
     if sink == "memory":
         return writer.outputMode("complete").format("memory").queryName(name).start()
+    if not path:
+        raise ValueError("a path is needed")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return writer.outputMode("update").foreachBatch(write_batch).start()

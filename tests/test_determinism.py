@@ -7,7 +7,7 @@ import __spark_entry__ as entry_mod
 from conftest import SF01
 
 KEYS = ["canonical_counts_f2", "user_top_k", "item_codes", "prepared_splits", "popularity_map",
-        "popularity_average_top", "centered_ratings", "split_overlap", "mips_exact"]
+        "popularity_average_top", "centered_ratings", "split_overlap", "mips_exact", "mips_exact_ties", "mips_lsh", "auc_popularity", "rating_profile_f1"]
 
 
 def _rows(spark, key, partitions):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from conftest import SF01
 from earworm.operators import splits
 from earworm.plans.queries import canonical_counts_f1
-from earworm.session import checkpoint_dir, cut_lineage
+from earworm.session import checkpoint_dir, cut_lineage, is_local, write_once
 from earworm.sources import tables
 
 
@@ -32,3 +32,39 @@ def test_splits_written_once_and_read_with_partition_pruning(spark, scratch):
     assert "PartitionFilters: [isnotnull(split" in plan and "(split#" in plan
     assert train.count() == labelled.where("split = 'train'").count()
     assert back.count() == labelled.count()
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    import pytest
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
+    assert [is_local(m) for m in ("local", "local[8]", "yarn", "spark://h:1", "local-cluster[2,1,512]")] == [
+        True, True, False, False, False]
+
+
+def test_write_once_computes_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    table = write_once(spark.range(100).mapInArrow(touch, "id bigint"))
+    assert table.count() == 100 and table.agg(F.sum("id")).first()[0] == 4950
+    assert seen.value == 100

@@ -46,7 +46,7 @@ def _exchanges_have_partial_agg(df):
 
 @pytest.mark.parametrize("build", [
     lambda s, log: ratings.count_listens(log),
-    lambda s, log: splits.split_overlap(*splits.train_val(splits.split_users(ratings.count_listens(log), 0.6))),
+    lambda s, log: splits.split_overlap(splits.split_users(ratings.count_listens(log), 0.6)),
     lambda s, log: ranking.user_top_k(ratings.count_listens(log), 10),
 ])
 def test_partial_aggregation_before_shuffle(spark, skewed, build):
@@ -69,3 +69,22 @@ def test_metrics_with_a_hot_user(spark, skewed):
     per_user = ranking.per_user_ranking(top, truth, 100, distinct_truth=False)
     row = per_user.where("user_id = 1").first()
     assert row.n_truth <= 100 and 0 <= row.ap <= 1 and 0 <= row.ndcg <= 1
+
+
+def test_tracks_without_mbid_do_not_meet_in_one_partition(spark):
+    """70 % of the tracks have no mbid; no join partition holds them all."""
+    tracks = spark.range(40_000).select(
+        F.col("id").alias("recording_msid"),
+        F.when(F.col("id") % 10 >= 7, F.concat(F.lit("b"), (F.col("id") % 6000).cast("string"))).alias("recording_mbid"))
+    log = spark.range(40_000).select((F.col("id") % 50).alias("user_id"), F.col("id").alias("recording_msid"),
+                                     F.lit("2020-01-01").cast("timestamp_ntz").alias("timestamp"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cmap = identity.canonical_map(log, tracks)
+        sizes = [r["count"] for r in cmap.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 40_000 and cmap.where("recording_mbid is null and canonical_msid <> recording_msid").count() == 0
+    assert max(sizes) < 0.3 * 40_000

@@ -36,13 +36,42 @@ def test_missing_column_fails(spark, scratch):
         raise AssertionError("expected a missing-column error")
 
 
+def test_text_ids_are_read_as_text(spark, scratch):
+    log = td.listens_f1(spark, SF01).withColumn("recording_msid", F.concat(F.lit("m"), F.col("recording_msid")))
+    tables.write_table(log, f"{scratch}/log")
+    back = tables.read_interactions(spark, f"{scratch}/log")
+    assert back.dtypes == [("user_id", "bigint"), ("recording_msid", "string"), ("timestamp", "timestamp_ntz")]
+    assert back.exceptAll(log).count() == 0 and back.count() == log.count()
+    tracks = td.tracks_f1(spark, SF01)
+    tables.write_table(tracks, f"{scratch}/tracks")
+    assert tables.read_tracks(spark, f"{scratch}/tracks").exceptAll(tracks).count() == 0
+
+
+def test_sorted_sink_orders_rows_within_files(spark, scratch):
+    counts = ratings.count_listens(td.listens_f1(spark, SF01))
+    tables.write_table(counts.coalesce(1), f"{scratch}/sorted", sort_by=["recording_msid", "user_id"])
+    got = [(r.recording_msid, r.user_id) for r in spark.read.parquet(f"{scratch}/sorted").coalesce(1).collect()]
+    assert got == sorted(got)
+
+
+def test_replayed_batch_is_written_once(spark, scratch):
+    log = td.listens_f1(spark, SF01)
+    src, out = f"{scratch}/in", f"{scratch}/out"
+    log.write.parquet(src)
+    for run in ("a", "b"):  # the second query starts anew and replays batch 0
+        q = listens.start_listen_counts(listens.read_listen_stream(spark, src), path=out,
+                                        checkpoint_location=f"{scratch}/ck-{run}", trigger_once=True)
+        q.awaitTermination()
+    assert spark.read.parquet(out).drop("batch_id").exceptAll(ratings.count_listens(log)).count() == 0
+
+
 def test_streaming_counts_equal_batch_counts(spark, scratch):
     log = td.listens_f1(spark, SF01)
     src = f"{scratch}/in"
     # two files arriving one after the other
     log.where(F.col("user_id") % 2 == 0).write.mode("append").parquet(src)
     stream = listens.read_listen_stream(spark, src)
-    q = listens.start_listen_counts(stream, name="lc_test", checkpoint_location=f"{scratch}/ck")
+    q = listens.start_listen_counts(stream, sink="memory", name="lc_test", checkpoint_location=f"{scratch}/ck")
     q.processAllAvailable()
     log.where(F.col("user_id") % 2 == 1).write.mode("append").parquet(src)
     q.processAllAvailable()
@@ -60,7 +89,7 @@ def test_streaming_counts_to_parquet_sink(spark, scratch):
     log = td.listens_f1(spark, SF01)
     src, out = f"{scratch}/in", f"{scratch}/out"
     log.where(F.col("user_id") % 2 == 0).write.mode("append").parquet(src)
-    q = listens.start_listen_counts(listens.read_listen_stream(spark, src), sink="parquet", path=out,
+    q = listens.start_listen_counts(listens.read_listen_stream(spark, src), path=out,
                                     checkpoint_location=f"{scratch}/ck")
     q.processAllAvailable()
     log.where(F.col("user_id") % 2 == 1).write.mode("append").parquet(src)

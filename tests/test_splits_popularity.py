@@ -30,8 +30,9 @@ def test_user_split_keeps_users_whole(spark):
 
 
 def test_holdin_makes_validation_users_known(spark):
-    train, val = splits.train_val(splits.split_users(canonical_counts_f1(spark, SF01), 0.7, holdin=0.6))
-    row = splits.split_overlap(train, val).first()
+    labelled = splits.split_users(canonical_counts_f1(spark, SF01), 0.7, holdin=0.6)
+    train, val = splits.train_val(labelled)
+    row = splits.split_overlap(labelled).first()
     assert row.common_users == row.val_users > 0
     assert splits.restrict_to_seen(val, train).count() > 0
 
@@ -69,3 +70,35 @@ def test_half_even_rounding(spark):
     df = spark.createDataFrame([(0.5,), (1.5,), (2.5,), (-0.5,), (-1.5,)], "x double")
     assert [r.y for r in df.select(round_half_even("x").alias("y")).collect()] == \
         pytest.approx([0.0, 2.0, 2.0, -0.0, -2.0])
+
+
+def test_exact_median_and_running_totals(spark):
+    from earworm.operators.ordered import exact_median, running_totals
+
+    for values, want in (([3], 3.0), ([1, 2], 1.5), ([5, 1, 1, 9], 3.0), ([2, 2, 2, 7, None], 2.0)):
+        df = spark.createDataFrame([(v,) for v in values], "x long")
+        assert exact_median(df, "x").first()[0] == want
+    empty = spark.createDataFrame([], "x long")
+    assert exact_median(empty, "x").first()[0] is None
+    rows = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
+    got = {r.k: r.before_v for r in running_totals(rows, "k", "v").collect()}
+    total = 0
+    for k in range(1000):
+        assert got[k] == total
+        total += k % 7
+
+
+def test_unit_hash_tells_null_keys_apart(spark):
+    from earworm.functions.exprs import unit_hash
+
+    df = spark.createDataFrame([(None, 5), (5, None), (None, None)], "a long, b long")
+    got = [r.h for r in df.select(unit_hash("a", "b", salt="x").alias("h")).collect()]
+    assert None not in got and len(set(got)) == 3
+
+
+def test_profile_and_shape_need_no_expand_nor_one_task_median(spark):
+    from earworm.plans import models, queries
+
+    for build in (queries.rating_profile_f1, queries.above_median_f1w, models.als_matrix_shape):
+        plan = build(spark, SF01)._jdf.queryExecution().toString()
+        assert "Expand" not in plan and "median(" not in plan.lower().replace("median_listens", "")
