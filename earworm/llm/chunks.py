@@ -15,23 +15,53 @@ import re
 SURE_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
+LETTERS, MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", ".,;:!?"
+#: More sure cuts for pre-tokenizers that take letters, other marks and white
+#: space apart: behind a run of letters that a mark or a line's end follows, and
+#: on both sides of a single line feed between a letter or mark and a letter.
+INNER_CUT = re.compile(
+    f"(?<=[{LETTERS}])(?=[{MARKS}\n])|(?<=[{MARKS}])(?=\n[{LETTERS}])|(?<=[{LETTERS}{MARKS}]\n)(?=[{LETTERS}])")
+
+
 class Unsure(Exception):
     """A part begins or ends with white space: the simple cut does not hold."""
 
 
 class PartCache(dict):
-    """``part -> encode(" " + part)``, emptied when it holds ``limit`` parts."""
+    """``part -> encode(" " + part)``, emptied when it holds ``limit`` parts.
+
+    With ``join``, a part with inner cuts is put together from its pieces: the
+    first is a part by itself, the others are kept as they stand (at most
+    ``limit`` of them).  ``word``, if given, encodes a part of ASCII letters.
+    """
 
-    def __init__(self, encode, limit: int = 400_000):
+    def __init__(self, encode, join=None, word=None, limit: int = 500_000):
         super().__init__()
-        self.encode, self.limit = encode, limit
+        self.encode, self.join, self.word, self.limit, self.inner = encode, join, word, limit, {}
 
     def __missing__(self, part: str):
-        if not part or part[0].isspace() or part[-1].isspace():
-            raise Unsure
         if len(self) >= self.limit:
             self.clear()
-        value = self[part] = self.encode(" " + part)
+        if self.word and part.isalpha() and part.isascii():
+            value = self[part] = self.word(part)
+            return value
+        if not part or part[0].isspace() or part[-1].isspace():
+            raise Unsure
+        value = self[part] = self._composed(part) if self.join else self.encode(" " + part)
+        return value
+
+    def _composed(self, part: str):
+        first, *rest = INNER_CUT.split(part)
+        if not rest:
+            return self.encode(" " + part)
+        return self.join([self[first], *map(self._piece, rest)])
+
+    def _piece(self, piece: str):
+        value = self.inner.get(piece)
+        if value is None:
+            if len(self.inner) >= self.limit:
+                self.inner.clear()
+            value = self.inner[piece] = self.encode(piece)
         return value
 
 

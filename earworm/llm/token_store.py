@@ -20,15 +20,17 @@ bits each plus the samples.
 from __future__ import annotations
 
 import zlib
+from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from earworm.llm.chunks import SURE_CUT
+from earworm.llm.chunks import INNER_CUT, SURE_CUT, PartCache, encode_parts
 from earworm.llm.store import documents, shared_path
-from earworm.llm.token_counts import load_tokenizer, tokenizer_path
+from earworm.llm.token_counts import SPACE_MARK, load_tokenizer, lone_words, tokenizer_path
 
 SHARD = ("part int, first bigint, doc_ids array<bigint>, n_ids bigint, low_bits int, low binary, high binary, "
          "samples binary, ids binary, id_bytes int")
@@ -91,28 +93,30 @@ class EliasFano:
         return ((places - np.arange(self.n)) << self.low_bits) | low
 
 
-class BatchEncoder:
-    """Ids of whole texts as bytes: the library encodes each part that its
-    cache of at most ``limit`` parts does not hold, many in one call."""
+@lru_cache(maxsize=2)  # a worker process keeps tokenizer and cache over its tasks
+def text_encoder(tokenizer_json: bytes, cache_parts: int = 500_000):
+    """(``text -> ids``, dtype): ids of whole texts as bytes.  The library
+    encodes the pieces between sure cuts, each once while the cache holds it.
+    Special strings hold no sure cut, so the library sees them whole."""
+    tokenizer = load_tokenizer(tokenizer_json)
+    kind = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    if any(SURE_CUT.search(t) or len(INNER_CUT.split(t)) > 1 for t in special):
+        raise ValueError("a special string could be cut")
+    lone_word, tokenize = lone_words(tokenizer), tokenizer.model.tokenize
+    code = {"<u2": "H", "<u4": "I"}[kind]
 
-    def __init__(self, tokenizer, kind: str, limit: int = 400_000):
-        self.tokenizer, self.kind, self.limit, self.known = tokenizer, kind, limit, {}
+    def encode(piece: str) -> bytes:
+        word = lone_word(piece)
+        if word is None:
+            return array(code, tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        return array(code, [t.id for t in tokenize(word)]).tobytes()
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [[" " + p if i else p for i, p in enumerate(self.parts(t))] for t in texts]
-        if len(self.known) > self.limit:
-            self.known.clear()
-        new = [p for p in set().union(*cut) if p not in self.known]
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update((p, np.array(e.ids, self.kind).tobytes()) for p, e in zip(new, encoded))
-        return [b"".join(map(self.known.__getitem__, c)) for c in cut]
+    def encode_word(part: str) -> bytes:
+        return array(code, [t.id for t in tokenize(SPACE_MARK + part)]).tobytes()
 
-    @staticmethod
-    def parts(text: str) -> list[str]:
-        parts = text.split(" ")
-        if any(not p or p[0].isspace() or p[-1].isspace() for p in parts):
-            return SURE_CUT.split(text) if text else []
-        return parts
+    cache = PartCache(encode, b"".join, encode_word, cache_parts)
+    return (lambda text: b"".join(encode_parts(text, cache))), kind
 
 
 def _pack(part: int, first: int, doc_ids: list, pieces: list[bytes], width: int) -> dict:
@@ -146,9 +150,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: bytes, end_id: int
     def pack(batches):
         from pyspark import TaskContext
 
-        tokenizer = load_tokenizer(file.value)
-        kind = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        encode, width = BatchEncoder(tokenizer, kind), int(kind[-1])
+        encode, kind = text_encoder(file.value)
+        width = int(kind[-1])
         tail = b"" if end_id is None else np.array([end_id], kind).tobytes()
         part, first, held = TaskContext.get().partitionId(), 0, 0
         ids, pieces = [], []
@@ -156,7 +159,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: bytes, end_id: int
             for at in range(0, batch.num_rows, 128):
                 rows = batch.slice(at, 128)
                 ids += rows.column(0).to_pylist()
-                new = [b + tail for b in encode([t or "" for t in rows.column(1).to_pylist()])]
+                new = [encode(t or "") + tail for t in rows.column(1).to_pylist()]
                 pieces += new
                 held += sum(map(len, new)) // width
                 if held >= shard_ids:
