@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from earworm.llm.store import documents, shared_path
+from earworm.llm.store import documents, neutral, shared_path
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 #: In the order in which spans are listed.
@@ -284,18 +284,20 @@ def sanitise(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
 
 def sanitised(docs: DataFrame, text: str = "text", window: int = 8, threshold: float = 0.8) -> DataFrame:
     """``docs`` with every private span and revealing term of ``text`` replaced."""
+    rows, (name,) = neutral(docs, text)
+    at = rows.columns.index(name)
+
     def apply(batches):
         for batch in batches:
-            at = batch.schema.get_field_index(text)
             new = [sanitise(t, [(s["kind"], s["start"], s["end"]) for s in spans])
                    for t, spans in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())]
             columns = batch.columns[:-1]
             columns[at] = pa.array(new, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(batch.schema)[:-1]))
 
-    found = find_private(docs, text, window, threshold)
+    found = find_private(rows, name, window, threshold)
     clean = found.where("size(_spans) = 0").drop("_spans")
-    return clean.unionByName(found.where("size(_spans) > 0").mapInArrow(apply, docs.schema))
+    return clean.unionByName(found.where("size(_spans) > 0").mapInArrow(apply, rows.schema)).toDF(*docs.columns)
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def neutral(docs: DataFrame, *roles: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with columns named by their place, which no column that an
+    operator adds can clash with, and the new names of ``roles``."""
+    names = [f"column {i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), [names[docs.columns.index(r)] for r in roles]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet into the shared folder and read back.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, "
-          "fp bigint, hashes string, size bigint, spans string, term string")
+          "fp bigint, _row string, _size bigint, _spans string, _part string")
 
 WORDS = "the and of onen heer tion ering éaux ßch niño reer blehe anst thou".split()
 

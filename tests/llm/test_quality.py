@@ -1,0 +1,104 @@
+"""op3: the counts by brute force, the binomial bound and the guarantee."""
+
+import collections
+import math
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from earworm.llm import quality
+from llm_corpus import frame, rows
+
+
+def brute_counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = [tuple(words[i:i + 8]) for i in range(len(words) - 7)]
+    often, covered = collections.Counter(windows), set()
+    for i, w in enumerate(windows):
+        if often[w] > 1:
+            covered.update(range(i, i + 8))
+    seen, dup = set(), 0
+    for line in (text or "").split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    joined = "".join(words)
+    return len(words), len(joined), sum(c in "#*$%&|<>" for c in joined), dup, len(covered)
+
+
+REPEATS = ["a b c d e f g h " * 5, "w " * 30, "x\nx\nx \n\n\n", "$$$ ### <a> | b\n" * 3, "1 2 3 4 5 6 7 8 9 1 2 3 4 5 6 7 8 9",
+           "é x y", "a\x1cb c"]
+
+
+def labels_of(spark, data):
+    return spark.createDataFrame(data, "doc_id bigint, quality int, toxic int")
+
+
+def test_counts_equal_brute_force(spark):
+    data = rows() + [(700 + i, t, "en", "a", 0, 0, "", 0, "", "") for i, t in enumerate(REPEATS)]
+    got = quality.quality_verdicts(frame(spark, data), labels_of(spark, [(1, 1, 0), (None, 1, 0), (4, None, 0)])).collect()
+    want = sorted((str(d[0]), *(c := brute_counts(d[1])), c[0] < 20 or 100 * c[4] > 30 * c[0]) for d in data)
+    assert sorted((str(r.doc_id), r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
+                  for r in got) == want
+    assert all(r.kept == (not r.base_failed) for r in got)  # one label proves nothing
+
+
+def test_binomial_cdf_is_exact(spark):
+    cases = [(k, n, p) for p in (0.005, 0.05) for n in (1, 7, 100, 2500) for k in range(0, int(n * p) + 1, max(1, int(n * p) // 4))]
+    for p in (0.005, 0.05):
+        df = spark.createDataFrame([(k, n) for k, n, q in cases if q == p], "k bigint, n bigint")
+        for r in df.select("k", "n", quality.binomial_cdf(F.col("k"), F.col("n"), p).alias("c")).collect():
+            want = math.fsum(math.comb(r.n, i) * p ** i * (1 - p) ** (r.n - i) for i in range(r.k + 1))
+            assert abs(r.c - want) <= 1e-9 * want
+    big = spark.createDataFrame([(9_000, 10_000_000)], "k bigint, n bigint").select(
+        quality.binomial_cdf(F.col("k"), F.col("n"), 0.001)).first()[0]
+    assert 0 < big < 1e-15  # ten standard deviations below the mean
+
+
+def test_cutoffs_equal_brute_force_and_respect_the_limit(spark):
+    rng = random.Random(3)
+    data = []
+    for stratum, n in (("a", 4000), ("b", 900), ("few", 20)):
+        for _ in range(n):
+            bins = [min(50, int(rng.expovariate(0.3))), 0, rng.choice([0] * 30 + [40]), rng.randint(0, 50)]
+            data.append((stratum, int(rng.random() < 0.8), bins))
+    df = spark.createDataFrame(data, "stratum string, good int, _bins array<int>")
+    got = {r.stratum: r.cutoffs for r in quality.select_cutoffs(df, 0.04, 0.05).collect()}
+    limit, level = 0.04 / 4, 0.05 / (3 * 4)
+    for stratum in ("a", "b", "few"):
+        good = [b for s, g, b in data if s == stratum and g]
+        for rule in range(4):
+            best = None
+            for cut in range(49, -1, -1):
+                above = sum(b[rule] > cut for b in good)
+                p = sum(math.comb(len(good), i) * limit ** i * (1 - limit) ** (len(good) - i) for i in range(above + 1))
+                if p > level:
+                    break
+                best = cut
+            assert got[stratum][rule] == best
+            if best is not None:
+                assert sum(b[rule] > best for b in good) <= limit * len(good)
+    assert set(got["few"].values()) == {None}
+
+
+def test_bad_documents_go_and_good_ones_stay(spark):
+    rng = random.Random(6)
+    plain = [(i, " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(30)), "en", "a", 0, 0, "", 0, "", "")
+             for i in range(3000)]
+    junk = [(10_000 + i, " ".join("".join(rng.choice("abcd") for _ in range(4)) + "###" for _ in range(30)), "en", "a",
+             0, 0, "", 0, "", "") for i in range(50)]
+    got = {r.doc_id: r for r in quality.quality_verdicts(
+        frame(spark, plain + junk), labels_of(spark, [(i, 1, 0) for i in range(3000)])).collect()}
+    assert all(got[i].kept for i in range(3000))
+    assert all(not got[10_000 + i].kept and got[10_000 + i].failed_rules == "symbols" for i in range(50))
+
+
+def test_empty_tables(spark):
+    assert quality.quality_verdicts(frame(spark, []), labels_of(spark, [])).count() == 0
+    assert quality.quality_verdicts(frame(spark), labels_of(spark, [])).count() == len(rows())
+
+
+def test_runs_without_python(spark):
+    plan = quality.text_measures(frame(spark))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
