@@ -83,16 +83,22 @@ def text_measures(docs: DataFrame, text: str = "text") -> DataFrame:
                 bin_of("n_repeat_words", "n_words"), bin_of("_n_upper", "word_chars")).alias("_bins"))
 
 
+def named(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once and named by a lambda: its
+    expression does not grow with the number of times it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def log_factorial(x: Column) -> Column:
     """ln x! by Stirling's series at x + 11, to about 1e-12."""
-    x = x.cast("double")
-    w = x + 11.0
-    series = ((w - 0.5) * F.log(w) - w + 0.5 * math.log(2 * math.pi)
-              + 1.0 / (12.0 * w) - 1.0 / (360.0 * w * w * w) + 1.0 / (1260.0 * F.pow(w, F.lit(5.0))) - 1.0 / (1680.0 * F.pow(w, F.lit(7.0))))
-    shift = F.lit(0.0)
-    for i in range(1, 11):
-        shift = shift + F.log(x + float(i))
-    return series - shift
+    def series(x: Column) -> Column:
+        w = x + 11.0
+        stirling = ((w - 0.5) * F.log(w) - w + 0.5 * math.log(2 * math.pi)
+                    + 1.0 / (12.0 * w) - 1.0 / (360.0 * w * w * w) + 1.0 / (1260.0 * F.pow(w, F.lit(5.0)))
+                    - 1.0 / (1680.0 * F.pow(w, F.lit(7.0))))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(10)), stirling, lambda acc, i: acc - F.log(x + i))
+
+    return named(x.cast("double"), series)
 
 
 def binomial_cdf(k: Column, n: Column, p: float) -> Column:
@@ -169,3 +175,45 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang",
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality verdicts of all documents, calibrated on all labels."""
     return quality_verdicts(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+ORACLE_SQL = r"""
+with d as (select doc_id, coalesce(text, '') as text, coalesce(lang, '(null)') as stratum from documents),
+     w as (select *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') as words,
+                  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from d),
+     g as (select doc_id, i, list_slice(words, i, i + 7) as gram
+             from (select doc_id, words, unnest(range(1, len(words) - 6)) as i from w where len(words) >= 8)),
+     twice as (select doc_id, i from g qualify count(*) over (partition by doc_id, gram) > 1),
+     covered as (select doc_id, count(distinct i + j) as n from (select doc_id, i, unnest(range(0, 8)) as j from twice)
+                  group by doc_id),
+     m as (select doc_id, stratum, cast(len(words) as bigint) as n_words,
+                  cast(length(array_to_string(words, '')) as bigint) as word_chars,
+                  cast(length(regexp_replace(array_to_string(words, ''), '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+                  cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines,
+                  cast(coalesce(n, 0) as bigint) as n_repeat_words, len(lines) as n_lines,
+                  length(regexp_replace(array_to_string(words, ''), '[^A-Z]', '', 'g')) as n_upper
+             from w left join covered using (doc_id)),
+     b as (select *, case when word_chars > 0 then (n_symbols * 50 + word_chars - 1) // word_chars else 0 end as b0,
+                  case when n_lines > 0 then (n_dup_lines * 50 + n_lines - 1) // n_lines else 0 end as b1,
+                  case when n_words > 0 then (n_repeat_words * 50 + n_words - 1) // n_words else 0 end as b2,
+                  case when word_chars > 0 then (n_upper * 50 + word_chars - 1) // word_chars else 0 end as b3 from m),
+     l as (select doc_id from labels where quality is not null group by doc_id having min(quality) = 1),
+     good as (unpivot (select stratum, b0, b1, b2, b3 from b join l using (doc_id)) on b0, b1, b2, b3 into name rule value bin),
+     tests as (select 4 * count(distinct stratum) as n from good),
+     above as (select stratum, rule, cut, count(*) as n, count(*) filter (bin > cut) as k
+                 from good, (select unnest(range(0, 50)) as cut) group by all),
+     tested as (select *, case when k > n * 0.005 then 1.0 else list_sum(list_transform(range(0, k + 1), lambda i:
+                         exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.005) + (n - i) * ln(0.995)))) end as p
+                  from above),
+     cuts as (select stratum, rule, coalesce(max(cut) filter (p > 0.05 / (select n from tests)), -1) + 1 as cut
+                from tested group by all),
+     c as (select stratum, max(cut) filter (rule = 'b0') as c0, max(cut) filter (rule = 'b1') as c1,
+                  max(cut) filter (rule = 'b2') as c2, max(cut) filter (rule = 'b3') as c3
+             from cuts where cut < 50 group by all),
+     v as (select b.*, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+                  concat_ws(',', case when b0 > c0 then 'symbols' end, case when b1 > c1 then 'dup_lines' end,
+                            case when b2 > c2 then 'repeats' end, case when b3 > c3 then 'upper' end) as failed_rules
+             from b left join c using (stratum))
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failed_rules,
+       not base_failed and failed_rules = '' as kept
+  from v"""
