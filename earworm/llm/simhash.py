@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from earworm.llm.components import component_roots
-from earworm.llm.store import documents, written
+from earworm.llm.store import documents, neutral, written
 
 RADIUS = 3
 SHINGLE = 3
@@ -189,7 +189,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     linked = nodes.join(roots.withColumnRenamed("node", "fp"), "fp")
     named = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     members = written(linked.join(named, "root").select("fp", "component_id"), "members")
-    per_fp = nodes.join(members, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
+    # written, so that both sides of the last join are plain exchanges and a
+    # fingerprint of many rows can be split
+    per_fp = written(nodes.join(members, "fp", "left").select(
+        "fp", F.coalesce("component_id", "least").alias("component_id")), "components")
     return rows.join(per_fp, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -203,8 +206,8 @@ def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str =
     are found on numbers and fingerprints, and the survivors' rows read back by
     a semi join on the (unique) number.
     """
-    at = docs.columns.index(text)
-    kept = docs.schema
+    plain, (doc_id, text) = neutral(docs, doc_id, text)
+    at = plain.columns.index(text)
 
     def hash_texts(batches):
         for batch in batches:
@@ -212,14 +215,14 @@ def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str =
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64))],
                                              names=[*batch.schema.names, "_fp"])
 
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    numbered = plain.withColumn("_row", F.monotonically_increasing_id())
     rows = written(numbered.mapInArrow(hash_texts, StructType([*numbered.schema.fields, StructField("_fp", LongType())])), "fingerprinted")
-    first = F.min(F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), "_row")).alias("first")
+    first = F.min(F.struct(F.col(f"`{doc_id}`").isNull().alias("no_id"), F.col(f"`{doc_id}`").alias("id"), "_row")).alias("first")
     nodes = written(rows.groupBy(F.col("_fp").alias("fp")).agg(first), "nodes")
     roots = written(component_roots(near_links(nodes.select("fp"), radius)), "roots")
     survivors = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(
         F.coalesce("root", "fp").alias("component")).agg(F.min("first").alias("first")).select("first._row")
-    return rows.join(survivors, "_row", "left_semi").select(*kept.names)
+    return rows.join(survivors, "_row", "left_semi").drop("_row", "_fp").toDF(*docs.columns)
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
