@@ -28,12 +28,12 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from earworm.llm.quality import SPACE, log_factorial
-from earworm.llm.store import documents, written
+from earworm.llm.quality import SPACE, log_factorial, named
+from earworm.llm.store import documents, neutral, written
 
 WEIGHTS = (5, 2, 1)
-#: Sources beyond this number (or of longer names in sum) are joined by shuffle.
-BROADCAST_SOURCES, BROADCAST_CHARS = 100_000, 8_000_000
+#: Tables over sources are broadcast up to this size.
+BROADCAST_BYTES = 16 << 20
 #: Blocks per group of the two-level running sums.
 GROUP = 1024
 
@@ -81,23 +81,33 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...], share: float, m
 def hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> Column:
     """The number of marked ones among ``drawn`` of ``total``, by inversion of
     the distribution function at ``u`` (within 12 standard deviations and 2)."""
-    n, k, d = total.cast("double"), marked.cast("double"), drawn.cast("double")
-    mean = F.when(n > 0, d * k / F.greatest(n, F.lit(1.0))).otherwise(0.0)
-    spread = F.ceil(12 * F.sqrt(F.greatest(F.lit(0.0), mean * (n - k) * (n - d) / F.greatest(n * (n - 1), F.lit(1.0))))) + 2
-    low = F.greatest(F.lit(0.0), d - (n - k), F.floor(mean) - spread).cast("bigint")
-    high = F.least(k, d, F.ceil(mean) + spread).cast("bigint")
-
     def choose(a: Column, b: Column) -> Column:
         return log_factorial(a) - log_factorial(b) - log_factorial(a - b)
 
-    at_low = F.exp(choose(k, low) + choose(n - k, d - low) - choose(n, d))
-    return F.aggregate(
-        F.sequence(low, F.greatest(low, high)),
-        F.struct(at_low.alias("p"), F.lit(0.0).alias("below"), low.alias("x")),
-        lambda acc, i: F.struct(
-            (acc["p"] * (k - i) * (d - i) / ((i + 1.0) * F.greatest(n - k - d + i + 1.0, F.lit(1.0)))).alias("p"),
-            (acc["below"] + acc["p"]).alias("below"),
-            F.when(acc["below"] < u, i).otherwise(acc["x"]).alias("x")))["x"]
+    def invert(v: Column) -> Column:
+        n, k, d, u, low, high = (v[c] for c in ("n", "k", "d", "u", "low", "high"))
+        at_low = F.exp(choose(k, low) + choose(n - k, d - low) - choose(n, d))
+        return F.aggregate(
+            F.sequence(low, F.greatest(low, high)),
+            F.struct(at_low.alias("p"), F.lit(0.0).alias("below"), low.alias("x")),
+            lambda acc, i: F.struct(
+                (acc["p"] * (k - i) * (d - i) / ((i + 1.0) * F.greatest(n - k - d + i + 1.0, F.lit(1.0)))).alias("p"),
+                (acc["below"] + acc["p"]).alias("below"),
+                F.when(acc["below"] < u, i).otherwise(acc["x"]).alias("x")))["x"]
+
+    def bounds(v: Column) -> Column:
+        n, k, d, mean = (v[c] for c in ("n", "k", "d", "mean"))
+        spread = F.ceil(12 * F.sqrt(F.greatest(
+            F.lit(0.0), mean * (n - k) * (n - d) / F.greatest(n * (n - 1), F.lit(1.0))))) + 2
+        return named(spread, lambda s: F.struct(
+            n.alias("n"), k.alias("k"), d.alias("d"), v["u"].alias("u"),
+            F.greatest(F.lit(0.0), d - (n - k), F.floor(mean) - s).cast("bigint").alias("low"),
+            F.least(k, d, F.ceil(mean) + s).cast("bigint").alias("high")))
+
+    n, k, d = total.cast("double"), marked.cast("double"), drawn.cast("double")
+    given = F.struct(n.alias("n"), k.alias("k"), d.alias("d"), u.alias("u"),
+                     (d * k / F.greatest(n, F.lit(1.0))).alias("mean"))
+    return named(named(given, bounds), invert)
 
 
 def split_quotas(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
@@ -116,10 +126,9 @@ def split_quotas(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
             i = F.size(acc["left"])
             x = hypergeometric(acc["total"], marked, acc["drawn"],
                                _uniform(F.lit(seed), F.lit("tree"), F.lit(level), F.col("node"), i))
-            # x is needed three times: a one-element loop names it
-            return F.transform(F.array(x), lambda x: F.struct(
+            return named(x, lambda x: F.struct(
                 (acc["total"] - marked).alias("total"), (acc["drawn"] - x).alias("drawn"),
-                F.concat(acc["left"], F.array(x)).alias("left")))[0]
+                F.concat(acc["left"], F.array(x)).alias("left")))
 
         nodes = nodes.withColumn("total", total)
         left = F.aggregate("counts", F.struct(
@@ -136,22 +145,34 @@ def split_quotas(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.struct("node", "end"))), lambda x: x["end"]).alias("ends"))
 
 
-def _few(sources: DataFrame, key: str) -> DataFrame:
-    """``sources`` marked for broadcast where its measured size allows it."""
+def _few(sources: DataFrame, key: str, numbers: int = 1) -> DataFrame:
+    """``sources`` marked for broadcast where its measured size allows it: rows
+    of ``numbers`` bigints and a key; beyond it is joined by shuffle."""
     n, chars = sources.agg(F.count(F.lit(1)), F.sum(F.length(key))).first()
-    return F.broadcast(sources) if n <= BROADCAST_SOURCES and (chars or 0) <= BROADCAST_CHARS else sources
+    return F.broadcast(sources) if 8 * numbers * n + 4 * (chars or 0) <= BROADCAST_BYTES else sources
+
+
+def _place(ends: Column, value: Column, depth: int) -> Column:
+    """How many of the 2^depth ascending ``ends`` are at or below ``value``, by
+    bisection."""
+    step = F.aggregate(
+        F.sequence(F.lit(depth - 1), F.lit(0), F.lit(-1)), F.lit(0),
+        lambda at, i: F.when(F.get(ends, at + F.pow(F.lit(2), i).cast("int") - 1) <= value,
+                             at + F.pow(F.lit(2), i).cast("int")).otherwise(at)) if depth else F.lit(0)
+    return step + (F.get(ends, step) <= value).cast("int")
 
 
 def mix(sized: DataFrame, sizes: DataFrame, doc_id: str = "doc_id", weights: tuple[float, ...] = WEIGHTS,
         share: float = 1.5, max_repeat: float = 2.0, block_words: int = 200_000, shard_words: int = 8_000_000,
-        seed: int = 42) -> DataFrame:
+        max_shards: int = 65_536, seed: int = 42) -> DataFrame:
     """``sized`` with source_size, target, taken_1 and taken_2 (words taken in
     the first and second pass) and shard_1, shard_2 (null where nothing is).
 
     ``sized`` comes from ``with_sizes``; ``sizes`` has its _key, _size and _u
     and should be a written table, as it is read for the sources and for the
     blocks.  Rows are shuffled once, by block, so a source of a third of all
-    rows is as many tasks as it has blocks.  Empty documents take 0 words; rows
+    rows is as many tasks as it has blocks.  Shards hold about ``shard_words``
+    words, more where that would make over ``max_shards``.  Empty documents take 0 words; rows
     with equal ids follow one another; an empty table stays empty.
     """
     if not 0 < max_repeat <= 2:
@@ -187,14 +208,14 @@ def mix(sized: DataFrame, sizes: DataFrame, doc_id: str = "doc_id", weights: tup
         F.count_if(F.col("at") + F.col("source_size") < F.col("quota")).alias("n_2"))
     taken = written(taken.withColumn("blocks", F.col("n_1") + F.col("n_2")), "taken")
     quota = sources.agg(F.sum("quota")).first()[0] or 0
-    depth = max(0, math.ceil(math.log2(max(1, quota / shard_words))))
+    depth = max(0, math.ceil(math.log2(max(1, min(max_shards, quota / shard_words)))))
     ends = split_quotas(taken.select("rank", "blocks"), depth, seed)
     ends = written(taken.select("_key", "rank", "n_1", "n_2").join(ends, "rank").drop("rank"), "shards")
 
     def shard(ordinal: Column) -> Column:
-        return F.size(F.filter("ends", lambda end: end <= ordinal))
+        return _place(F.col("ends"), ordinal, depth)
 
-    blocks = blocks.join(_few(ends, "_key"), "_key").select(
+    blocks = blocks.join(_few(ends, "_key", 2 ** depth + 3), "_key").select(
         "_key", "_block", "at", "quota", "source_size", "target",
         F.when(F.col("ordinal") < F.col("n_1"), shard(F.col("ordinal"))).alias("shard_1"),
         F.when(F.col("ordinal") < F.col("n_2"), shard(F.col("ordinal") + F.col("n_1"))).alias("shard_2"))
@@ -224,16 +245,17 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     A document that is cut (one a source and pass at most) keeps its first
     words, single-spaced.  Documents of no words are not taken.
     """
-    sized = with_sizes(docs, seed, doc_id, text, source)
+    plain, (doc_id, text, source) = neutral(docs, doc_id, text, source)
+    sized = with_sizes(plain, seed, doc_id, text, source)
     rows = mix(sized, _sizes(sized), doc_id, seed=seed, **options)
     passes = F.filter(F.array(*[F.struct(F.lit(p).alias("run"), F.col(f"taken_{p}").alias("n"),
                                          F.col(f"shard_{p}").alias("shard")) for p in (1, 2)]), lambda x: x["n"] > 0)
     rows = rows.withColumn("_pass", F.explode(passes))
-    cut = F.array_join(F.slice(F.array_remove(F.split(F.col(text), SPACE, -1), ""), 1, F.col("_pass.n").cast("int")), " ")
+    cut = F.array_join(F.slice(F.array_remove(F.split(F.col(text).cast("string"), SPACE, -1), ""), 1, F.col("_pass.n").cast("int")), " ")
     rows = rows.withColumn(text, F.when(F.col("_pass.n") < F.col("_size"), cut).otherwise(F.col(text)))
     order = F.xxhash64(F.lit(seed), F.lit("shuffle"), F.col("_pass.shard"), F.col(doc_id), F.col("_pass.run"))
     return (rows.withColumn("_shard", F.col("_pass.shard")).withColumn("_order", order)
-            .repartition("_shard").sortWithinPartitions("_shard", "_order").select(*docs.columns))
+            .repartition("_shard").sortWithinPartitions("_shard", "_order").select(*plain.columns).toDF(*docs.columns))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
