@@ -165,12 +165,15 @@ _DDL = ", ".join("_" + c for c in SCAN.split(", "))
 HELD_TERMS = 500_000
 
 
-def _scan(docs: DataFrame, text: str, window: int, path: str) -> None:
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _scan(docs: DataFrame, text: str, keep: list[str], window: int, path: str) -> StructType:
     """One pass over the texts writes two tables: ``_part=row``, the rows with
-    their columns, spans and contexts, and ``_part=term``, partial document
-    counts of terms and classes."""
-    held = docs.schema
-    at = docs.columns.index(text)
+    the columns to keep, spans and contexts, and ``_part=term``, partial
+    document counts of terms and classes.  Returns their schema."""
+    at, kept = docs.columns.index(text), [docs.columns.index(c) for c in keep]
 
     def scan(batches):
         from pyspark import TaskContext
@@ -186,7 +189,7 @@ def _scan(docs: DataFrame, text: str, window: int, path: str) -> None:
                 [values.get(f.name, e) for f, e in zip(schema, empty)], schema=schema)
 
         for batch in batches:
-            schema = pa.schema([*batch.schema, *[pa.field(*f) for f in _ARROW]])
+            schema = pa.schema([*(batch.schema.field(i) for i in kept), *[pa.field(*f) for f in _ARROW]])
             rows, spans, near, entities = [], [], [], []
             for value in batch.column(at):
                 whole = value.as_py() or ""
@@ -207,19 +210,21 @@ def _scan(docs: DataFrame, text: str, window: int, path: str) -> None:
                     counts.clear()
             n = len(rows)
             yield pa.RecordBatch.from_arrays([
-                *batch.columns, pa.array(["row"] * n), pa.array(rows, pa.int64()), pa.array(spans, _ARROW[2][1]),
+                *(batch.column(i) for i in kept), pa.array(["row"] * n), pa.array(rows, pa.int64()), pa.array(spans, _ARROW[2][1]),
                 pa.array(near, _ARROW[3][1]), pa.array(entities, _ARROW[4][1]), pa.nulls(n, pa.string()),
                 pa.nulls(n, pa.int64())], schema=schema)
         if counts:
             yield terms()
 
-    out = StructType([*held.fields, *StructType.fromDDL(_DDL).fields])
+    out = StructType([*(docs.schema[c] for c in keep), *StructType.fromDDL(_DDL).fields])
     docs.mapInArrow(scan, out).write.partitionBy("_part").option("compression", "zstd").parquet(path)
+    return out
 
 
-def find_private(docs: DataFrame, text: str = "text", window: int = 8, threshold: float = 0.8) -> DataFrame:
-    """``docs`` with ``_spans``: every base span and every term span of the row,
-    by kind as listed, then start.
+def find_private(docs: DataFrame, text: str = "text", window: int = 8, threshold: float = 0.8,
+                 keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with ``_spans``: every base span and
+    every term span of the row, by kind as listed, then start.
 
     The texts are read once.  Term counts are added up per task, then by a
     partial aggregate; the statistics are joins of aggregates; the verdicts
@@ -230,9 +235,8 @@ def find_private(docs: DataFrame, text: str = "text", window: int = 8, threshold
     written).  An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    path = shared_path(spark, "pii")
-    _scan(docs, text, window, path)
-    schema = StructType([*docs.schema.fields, *StructType.fromDDL(_DDL).fields])
+    path, keep = shared_path(spark, "pii"), docs.columns if keep is None else keep
+    schema = _scan(docs, text, keep, window, path)
     written = spark.read.schema(schema).parquet(path)
     rows = written.where("_part = 'row'").drop("_part", "_term", "_n_docs")
     n_docs = rows.count()
@@ -258,8 +262,8 @@ def find_private(docs: DataFrame, text: str = "text", window: int = 8, threshold
              .groupBy("_row", "start", "end").agg(F.max("kind").alias("kind"))  # removed beats generalised
              .groupBy("_row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("_terms")))
     with_base = rows.where("size(_spans) > 0").join(found, "_row", "left")
-    return rows.where("size(_spans) = 0").select(*docs.columns, "_spans").unionByName(
-        with_base.select(*docs.columns, F.concat("_spans", F.array_sort(
+    return rows.where("size(_spans) = 0").select(*map(_quoted, keep), "_spans").unionByName(
+        with_base.select(*map(_quoted, keep), F.concat("_spans", F.array_sort(
             F.coalesce("_terms", F.array().cast("array<struct<kind:string,start:int,end:int>>")),
             lambda a, b: F.when(a["kind"] == b["kind"], a["start"] - b["start"]).when(a["kind"] == "term", -1)
             .otherwise(1))).alias("_spans")))
@@ -302,7 +306,7 @@ def sanitised(docs: DataFrame, text: str = "text", window: int = 8, threshold: f
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and term spans of all documents."""
-    found = find_private(documents(spark, sf_dir).select("doc_id", "text"))
+    found = find_private(documents(spark, sf_dir).select("doc_id", "text"), keep=["doc_id"])
 
     def digest(batches):
         for batch in batches:
