@@ -28,7 +28,9 @@ class Unsure(Exception):
 
 
 class PartCache(dict):
-    """``part -> encode(" " + part)``, emptied when it holds ``limit`` parts.
+    """``part -> encode(" " + part)`` of at most twice ``limit`` parts: when
+    ``limit`` are held they become the old generation, in place of the last one,
+    and those met again move to the new.
 
     With ``join``, a part with inner cuts is put together from its pieces: the
     first is a part by itself, the others are kept as they stand (at most
@@ -37,11 +39,15 @@ class PartCache(dict):
 
     def __init__(self, encode, join=None, word=None, limit: int = 500_000):
         super().__init__()
-        self.encode, self.join, self.word, self.limit, self.inner = encode, join, word, limit, {}
+        self.encode, self.join, self.word, self.limit, self.inner, self.old = encode, join, word, limit, {}, {}
 
     def __missing__(self, part: str):
         if len(self) >= self.limit:
+            self.old = dict(self)
             self.clear()
+        if (value := self.old.get(part)) is not None:
+            self[part] = value
+            return value
         if self.word and part.isalpha() and part.isascii():
             value = self[part] = self.word(part)
             return value

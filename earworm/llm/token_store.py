@@ -156,12 +156,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: bytes, end_id: int
         part, first, held = TaskContext.get().partitionId(), 0, 0
         ids, pieces = [], []
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                rows = batch.slice(at, 128)
-                ids += rows.column(0).to_pylist()
-                new = [encode(t or "") + tail for t in rows.column(1).to_pylist()]
-                pieces += new
-                held += sum(map(len, new)) // width
+            for row_id, text_value in zip(batch.column(0), batch.column(1)):
+                ids.append(row_id.as_py())
+                pieces.append(encode(text_value.as_py() or "") + tail)
+                held += len(pieces[-1]) // width
                 if held >= shard_ids:
                     yield pa.RecordBatch.from_pylist([_pack(part, first, ids, pieces, width)], _ARROW)
                     first, held, ids, pieces = first + held, 0, [], []

@@ -92,6 +92,14 @@ def test_quotas_add_up(spark):
     assert got[3] == {r["rank"]: r.ends for r in mixing.split_quotas(df, 4, 7).collect()}[3]
 
 
+def test_place_by_bisection(spark):
+    for depth in (0, 1, 3):
+        ends = sorted((7 * i * i) % 23 for i in range(2 ** depth))
+        df = spark.range(-1, 30).select("id", F.array(*[F.lit(e) for e in ends]).alias("ends"))
+        got = df.select("id", mixing._place(F.col("ends"), F.col("id"), depth).alias("n")).collect()
+        assert all(r.n == sum(e <= r.id for e in ends) for r in got)
+
+
 def test_documents_of_the_mix(spark):
     data = rows()
     out = mixing.mixed_documents(frame(spark, data), block_words=100, shard_words=500)
