@@ -163,7 +163,7 @@ def _place(ends: Column, value: Column, depth: int) -> Column:
 
 
 def mix(sized: DataFrame, sizes: DataFrame, doc_id: str = "doc_id", weights: tuple[float, ...] = WEIGHTS,
-        share: float = 1.5, max_repeat: float = 2.0, block_words: int = 200_000, shard_words: int = 8_000_000,
+        share: float = 1.5, max_repeat: float = 2.0, block_words: int = 200_000, shard_words: int = 2_000_000,
         max_shards: int = 65_536, seed: int = 42) -> DataFrame:
     """``sized`` with source_size, target, taken_1 and taken_2 (words taken in
     the first and second pass) and shard_1, shard_2 (null where nothing is).
