@@ -13,7 +13,8 @@ import re
 
 #: A space with a non-space on either side: a sure cut.
 SURE_CUT = re.compile(r"(?<=\S) (?=\S)")
-
+#: Longer parts are encoded anew each time, so a full cache stays small.
+CACHED_CHARS = 64
 
 LETTERS, MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", ".,;:!?"
 #: More sure cuts for pre-tokenizers that take letters, other marks and white
@@ -30,7 +31,8 @@ class Unsure(Exception):
 class PartCache(dict):
     """``part -> encode(" " + part)`` of at most twice ``limit`` parts: when
     ``limit`` are held they become the old generation, in place of the last one,
-    and those met again move to the new.
+    and those met again move to the new.  Parts of over ``CACHED_CHARS``
+    characters are not kept.
 
     With ``join``, a part with inner cuts is put together from its pieces: the
     first is a part by itself, the others are kept as they stand (at most
@@ -42,18 +44,20 @@ class PartCache(dict):
         self.encode, self.join, self.word, self.limit, self.inner, self.old = encode, join, word, limit, {}, {}
 
     def __missing__(self, part: str):
+        value = self.old.get(part)
+        if value is None:
+            if self.word and part.isalpha() and part.isascii():
+                value = self.word(part)
+            elif not part or part[0].isspace() or part[-1].isspace():
+                raise Unsure
+            else:
+                value = self._composed(part) if self.join else self.encode(" " + part)
+            if len(part) > CACHED_CHARS:
+                return value
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
-        if (value := self.old.get(part)) is not None:
-            self[part] = value
-            return value
-        if self.word and part.isalpha() and part.isascii():
-            value = self[part] = self.word(part)
-            return value
-        if not part or part[0].isspace() or part[-1].isspace():
-            raise Unsure
-        value = self[part] = self._composed(part) if self.join else self.encode(" " + part)
+        self[part] = value
         return value
 
     def _composed(self, part: str):
@@ -65,9 +69,11 @@ class PartCache(dict):
     def _piece(self, piece: str):
         value = self.inner.get(piece)
         if value is None:
-            if len(self.inner) >= self.limit:
-                self.inner.clear()
-            value = self.inner[piece] = self.encode(piece)
+            value = self.encode(piece)
+            if len(piece) <= CACHED_CHARS:
+                if len(self.inner) >= self.limit:
+                    self.inner.clear()
+                self.inner[piece] = value
         return value
 
 

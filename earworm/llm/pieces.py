@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from earworm.llm.chunks import CACHED_CHARS
 from earworm.llm.store import documents
 from earworm.llm.token_counts import tokenizer_path
 
@@ -34,16 +35,19 @@ SCHEMA = "doc_id bigint, ids array<int>, n_ids bigint, ids_crc32 bigint, decoded
 
 
 class StretchCache(dict):
-    """``part -> encode(" " + part)``, emptied when it holds ``limit`` parts."""
+    """``part -> encode(" " + part)``, emptied when it holds ``limit`` parts;
+    those of over ``CACHED_CHARS`` characters are not kept."""
 
     def __init__(self, encode, limit: int):
         super().__init__()
         self.encode, self.limit = encode, limit
 
     def __missing__(self, part: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[part] = self.encode(" " + part)
+        value = self.encode(" " + part)
+        if len(part) <= CACHED_CHARS:
+            if len(self) >= self.limit:
+                self.clear()
+            self[part] = value
         return value
 
 

@@ -40,6 +40,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 WORD = re.compile(r"[^\W\d_]+")
 CLASS_LETTERS = 3
+#: Longer runs of letters are no terms.
+TERM_CHARS = 64
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -123,7 +125,7 @@ def _neighbours(text: str, start: int, end: int, window: int) -> list[tuple[int,
         before = before[1:]
     if after and hi < len(text) and after[-1][1] == hi:
         after = after[:-1]
-    return before[-window:] + after[:window]
+    return [(a, b) for a, b in before[-window:] + after[:window] if b - a <= TERM_CHARS]
 
 
 def contexts(text: str, spans: list[tuple[str, int, int]], window: int) -> list[dict]:
@@ -200,7 +202,7 @@ def _scan(docs: DataFrame, text: str, keep: list[str], window: int, path: str) -
                 near.append(around)
                 entities.append(sorted({entity_of(whole, *s) for s in found}))
                 row += 1
-                words = {w.lower() for w in set(WORD.findall(whole))}
+                words = {w.lower() for w in set(WORD.findall(whole)) if len(w) <= TERM_CHARS}
                 for term in words:
                     counts[term] = counts.get(term, 0) + 1
                 for term in {w[:CLASS_LETTERS] for w in words}:

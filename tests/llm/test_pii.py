@@ -44,7 +44,6 @@ def test_base_spans_equal_the_patterns():
 
 def test_contract_columns(spark):
     data = rows() + [(800, "Mail a.b@c.de, +49 30 1234567 or 10.0.0.255!", "en", "a", 0, 0, "", 0, "", "")]
-    import __spark_entry__  # noqa: F401
     from earworm.session import checkpoint_dir
 
     path = f"{checkpoint_dir(spark)}/pii-docs"
