@@ -6,15 +6,17 @@ lane by lane:
 
   lane 0          1 (modulo 2^32: the number of paragraphs)
   lanes 1-8       eight dense 32-bit values, for equality
-  lanes 9-200     three groups of 64: a 32-bit value in one lane of the group,
-                  zero in the others; the second group takes in one paragraph
-                  in 8, the third one in 64 (by hash), the first all
+  lanes 9-1288    twenty groups of 64: a 32-bit value in one lane of the group,
+                  zero in the others; the first group takes in all paragraphs,
+                  each further one 1 in 8 of those before it (by hash)
 
 Sums do not depend on order, and adding or subtracting a paragraph's vector
 inserts or deletes it (``combine``).  The sparse lanes tell how much two
 fingerprints share: the lanes of a group that differ estimate, by linear
 counting, the size of the symmetric difference, and the first group that is
-not full is read.  All of it is SQL functions.
+not full is read; some group is not at any bigint count of paragraphs.  Groups
+that took in nothing are zeros, which are not computed lane by lane nor
+shuffled.  All of it is SQL functions.
 """
 
 from __future__ import annotations
@@ -25,8 +27,11 @@ from pyspark.sql import functions as F
 from earworm.llm.store import documents
 
 DENSE, SPARSE = 8, 64
-#: One paragraph in so many goes to each sparse group.
-GROUPS = (1, 8, 64)
+#: One paragraph in so many goes to each sparse group; the last one is not full
+#: with 2^63 distinct paragraphs (64 ln(64 / 12) 8^19 = 1.5e19).
+GROUPS = tuple(8 ** i for i in range(20))
+#: The groups from here on are empty in most texts.
+FIRST = 3
 LANES = 1 + DENSE + SPARSE * len(GROUPS)
 #: A group with more differing lanes than this is too full to count by.
 FULL = 52
@@ -49,13 +54,17 @@ def paragraph_hashes(text: Column) -> Column:
         F.xxhash64(p).alias("h"), F.xxhash64(p, F.lit("second")).alias("g")))
 
 
+def _zeros(n: int) -> Column:
+    return F.array_repeat(F.lit(0).cast("bigint"), n)
+
+
 def _group(hashes: str) -> Column:
     """A sparse group's lanes.  The column is named twice, which also keeps the
     optimizer from inlining its expression into the loop over lanes."""
     lanes = F.transform(
         F.sequence(F.lit(0), F.lit(SPARSE - 1)),
         lambda b: _sum(F.filter(hashes, lambda x: F.pmod(x["g"], F.lit(SPARSE)) == b), lambda x: _low(x["h"])))
-    return F.when(F.size(hashes) == 0, F.array_repeat(F.lit(0).cast("bigint"), SPARSE)).otherwise(lanes)
+    return F.when(F.size(hashes) == 0, _zeros(SPARSE)).otherwise(lanes)
 
 
 def with_lanes(rows: DataFrame, text: str, out: str) -> DataFrame:
@@ -63,15 +72,33 @@ def with_lanes(rows: DataFrame, text: str, out: str) -> DataFrame:
     kept = rows.columns
     rows = rows.withColumn("_hashes", paragraph_hashes(F.col(text)))
 
-    def one_in(n: int) -> Column:
-        return F.filter("_hashes", lambda x: F.pmod(F.shiftright(x["g"], 8), F.lit(n)) == 0).alias(f"_hashes_{n}")
+    def one_in(hashes: str, n: int) -> Column:
+        return F.filter(hashes, lambda x: F.pmod(F.shiftright(x["g"], 6), F.lit(n).cast("bigint")) == 0).alias(f"_hashes_{n}")
 
-    rows = rows.select("*", *map(one_in, GROUPS))
+    few = GROUPS[FIRST]  # what the sparser groups take in is among this one's
+    rows = rows.select("*", *[one_in("_hashes", n) for n in GROUPS[:FIRST + 1]])
+    rows = rows.select("*", *[one_in(f"_hashes_{few}", n) for n in GROUPS[FIRST + 1:]])
     dense = [_sum(F.col("_hashes"), lambda x, i=i: _low(F.xxhash64(x["h"], x["g"], F.lit(i)))) for i in range(DENSE)]
-    lanes = F.concat(F.array(F.size("_hashes").cast("bigint"), *dense), *[_group(f"_hashes_{n}") for n in GROUPS])
+    groups = [_group(f"_hashes_{n}") for n in GROUPS]
+    rest = F.when(F.size(f"_hashes_{few}") == 0, _zeros(SPARSE * (len(GROUPS) - FIRST))).otherwise(F.concat(*groups[FIRST:]))
+    lanes = F.concat(F.array(F.size("_hashes").cast("bigint"), *dense), *groups[:FIRST], rest)
     return rows.select(*kept, lanes.alias(out))
 
 
+def short(lanes: Column) -> Column:
+    """The lanes without the sparse groups that are zeros to the end."""
+    out = F.when(F.lit(False), lanes)
+    for group in range(FIRST, len(GROUPS)):
+        upto = 1 + DENSE + SPARSE * group
+        out = out.when(F.array_max(F.slice(lanes, upto + 1, LANES - upto)) == 0, F.slice(lanes, 1, upto))
+    return out.otherwise(lanes)
+
+
+def whole(lanes: Column) -> Column:
+    """All lanes of what ``short`` gave."""
+    return F.concat(lanes, F.array_repeat(F.lit(0).cast("bigint"), F.lit(LANES) - F.size(lanes)))
+
+
 def combine(left: Column, right: Column, sign: int = 1) -> Column:
     """Lanes of the union of two multisets, or, with ``sign=-1``, of what is
     left of the first when the second is taken out."""
@@ -79,7 +106,8 @@ def combine(left: Column, right: Column, sign: int = 1) -> Column:
 
 
 def hex_of(lanes: Column) -> Column:
-    return F.lower(F.array_join(F.transform(lanes, lambda v: F.lpad(F.hex(v), 8, "0")), ""))
+    used = F.lower(F.array_join(F.transform(short(lanes), lambda v: F.lpad(F.hex(v), 8, "0")), ""))
+    return F.rpad(used, 8 * LANES, "0")
 
 
 def likeness(left: Column, right: Column) -> Column:
@@ -89,8 +117,7 @@ def likeness(left: Column, right: Column) -> Column:
     Both are counted by the lanes of one group, the first that is not too full:
     u from the lanes that differ, s from the equal, non-zero ones among the
     rest (paragraphs that share a lane are allowed for).  Near exact for some
-    ten paragraphs, within about 15 per cent for thousands.  Where even the
-    sparsest group is full nothing shared can be shown and the likeness is 0.
+    ten paragraphs, within about 15 per cent for any greater number.
     """
     def lanes(group: int, test) -> Column:
         at = 2 + DENSE + group * SPARSE
@@ -183,13 +210,15 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     Rows of equal doc_id follow one another by text; a null doc_id comes last;
     one lone row follows itself.  Null text counts as empty.
     """
-    rows = with_next(fingerprints(docs, doc_id, text), "doc_id", "text", ["text", "lanes"], buckets)
+    rows = fingerprints(docs, doc_id, text).withColumn("lanes", short(F.col("lanes")))
+    rows = with_next(rows, "doc_id", "text", ["text", "lanes"], buckets)
     n_chars = F.char_length("text").cast("bigint")
     half = F.floor(n_chars / 2).cast("int")
     rows = rows.withColumn("n_chars", n_chars).withColumn(
         "edited", F.concat(F.substr("text", F.lit(1), F.col("n_chars").cast("int") - half),
                            F.substr("next_text", F.lit(1), half)))
-    rows = with_lanes(rows.select("doc_id", "n_chars", "lanes", "next_lanes", "edited"), "edited", "edited_lanes")
+    rows = with_lanes(rows.select("doc_id", "n_chars", whole(F.col("lanes")).alias("lanes"),
+                                  whole(F.col("next_lanes")).alias("next_lanes"), "edited"), "edited", "edited_lanes")
     return rows.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), hex_of(F.col("lanes")).alias("fingerprint"),
         hex_of(F.col("edited_lanes")).alias("edited_fingerprint"),

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 
 from pyspark.sql import functions as F
 
@@ -67,6 +68,30 @@ def test_likeness_of_long_texts(spark):
     assert abs(df.select(mh.likeness(F.col("la"), F.col("lb"))).first()[0] - 0.5) < 0.25
 
 
+def test_likeness_at_any_number_of_lines(spark):
+    for n in (50_000, 1_000_000):
+        numbers = spark.range(n + n // 2)
+        line = F.format_string("line %d", "id")
+        df = numbers.agg(F.array_join(F.collect_list(F.when(F.col("id") < n, line)), "\n").alias("a"),
+                         F.array_join(F.collect_list(F.when(F.col("id") >= n // 2, line)), "\n").alias("b"))
+        df = mh.with_lanes(mh.with_lanes(df, "a", "la"), "b", "lb")
+        a, b, got = df.select("a", "b", mh.likeness(F.col("la"), F.col("lb"))).first()
+        assert abs(got - likeness(a, b)) < 0.25
+
+
+def test_some_group_is_readable_at_any_bigint_count():
+    assert math.log(mh.SPARSE / (mh.SPARSE - mh.FULL)) * mh.SPARSE * mh.GROUPS[-1] > 2 ** 63
+    assert all(b == 8 * a for a, b in zip(mh.GROUPS, mh.GROUPS[1:])) and mh.GROUPS[-1] <= 2 ** 57
+
+
+def test_short_lanes_are_whole_again(spark):
+    df = spark.createDataFrame([("\n".join(map(str, range(n))),) for n in (0, 3, 900, 20_000)], "t string")
+    df = mh.with_lanes(df, "t", "l")
+    for r in df.select("l", mh.short(F.col("l")).alias("s"), mh.whole(mh.short(F.col("l"))).alias("w"),
+                       mh.hex_of(F.col("l")).alias("h")).collect():
+        assert r.w == r.l and len(r.s) < len(r.l) and r.h == "".join(f"{v:08x}" for v in r.l)
+
+
 def test_next_row_under_any_bucket_number(spark):
     df = spark.range(0, 300, 3).select(F.col("id"), F.col("id").cast("string").alias("t")).repartition(7)
     for buckets in (1, 2, 9, 200, 5000):
