@@ -7,27 +7,30 @@ which t stands within ``window`` words of a mention of c, out of N,
 
     disclosure(c, t) = PMI(c; t) / IC(c) = ln(n_ct N / (n_c n_t)) / ln(N / n_c)
 
-is 1 if t is only ever found beside c.  Near a mention of c, a term at or above
-``threshold`` is generalised to its class (its first letters and ``*``) if the
-class's own disclosure is below the threshold, and removed otherwise.  One
-context proves nothing about a corpus: a term counts only if it is found with
-the entity in two documents and in two different contexts, so a word that is
-unique, or merely copied along with its passage, stays.
+is 1 if t is only ever found beside c.  A term at or above ``threshold`` is
+generalised to its class (its first letters and ``*``) if the class's own
+disclosure is below the threshold, and removed otherwise; where it stands, near
+a mention or not, and in every text.  One context proves nothing about a
+corpus: a term counts only if it is found with the entity in two documents and
+in two different contexts, so a word that is unique, or merely copied along
+with its passage, stays.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from bisect import bisect_left
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from earworm.llm.store import documents, neutral, shared_path
+from earworm.llm.store import documents, neutral, shared_path, written
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 #: In the order in which spans are listed.
@@ -155,16 +158,18 @@ def _inside(mails: list[tuple[int, int]], a: int, b: int) -> bool:
 
 
 SCAN = ("part string, row bigint, spans array<struct<kind:string,start:int,end:int>>, "
-        "contexts array<struct<entity:bigint,term:string,is_class:boolean,start:int,end:int,context:bigint,n:int>>, "
+        "contexts array<struct<entity:bigint,term:string,is_class:boolean,context:bigint,n:int>>, "
         "entities array<bigint>, term string, n_docs bigint")
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-_CONTEXT = pa.struct([("entity", pa.int64()), ("term", pa.string()), ("is_class", pa.bool_()), ("start", pa.int32()),
-                      ("end", pa.int32()), ("context", pa.int64()), ("n", pa.int32())])
+_CONTEXT = pa.struct([("entity", pa.int64()), ("term", pa.string()), ("is_class", pa.bool_()),
+                      ("context", pa.int64()), ("n", pa.int32())])
 _ARROW = [("_part", pa.string()), ("_row", pa.int64()), ("_spans", pa.list_(_SPAN)), ("_contexts", pa.list_(_CONTEXT)),
           ("_entities", pa.list_(pa.int64())), ("_term", pa.string()), ("_n_docs", pa.int64())]
 _DDL = ", ".join("_" + c for c in SCAN.split(", "))
 #: Terms that a task counts before it passes the counts on.
 HELD_TERMS = 500_000
+#: Bits that tell which terms or rows cannot match, whatever their number.
+SLOTS = 1 << 24
 
 
 def _quoted(name: str) -> str:
@@ -223,31 +228,85 @@ def _scan(docs: DataFrame, text: str, keep: list[str], window: int, path: str) -
     return out
 
 
+def _slots(df: DataFrame, number) -> DataFrame:
+    """(slot_word, bits): a bit for each of ``SLOTS`` that a ``number`` falls
+    on; at most SLOTS / 64 rows."""
+    slot = F.pmod(number, F.lit(SLOTS).cast("bigint"))
+    return (df.select(F.shiftright(slot, 6).alias("slot_word"), F.pmod(slot, F.lit(64)).cast("int").alias("bit"))
+            .groupBy("slot_word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")))
+
+
+def _occurrences(rows: DataFrame, text: str, terms: DataFrame) -> DataFrame:
+    """(_row, term, places) of each row and each term in it that may be one of
+    ``terms``: all that are, and some that share a slot with one."""
+    table = _slots(terms, F.crc32(F.encode("term", "UTF-8"))).toArrow()
+    bits = np.zeros(SLOTS // 64, "<i8")
+    bits[table["slot_word"].to_numpy()] = table["bits"].to_numpy()
+    sent = rows.sparkSession.sparkContext.broadcast(bits.tobytes())
+    names = ["_row", "term", "places"]
+    place = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+    def find(batches):
+        held = sent.value
+        known: dict[str, str | None] = {}  # words met: their term if it may be asked for
+
+        def term_at(word: str) -> str | None:
+            if word not in known:
+                if len(known) >= HELD_TERMS:
+                    known.clear()
+                term = word.lower()
+                slot = zlib.crc32(term.encode()) % SLOTS
+                known[word] = term if held[slot >> 3] >> (slot & 7) & 1 else None
+            return known[word]
+
+        for batch in batches:
+            at, terms, places = [], [], []
+            for row, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                whole = value.as_py() or ""
+                if not any([term_at(w) for w in set(WORD.findall(whole)) if len(w) <= TERM_CHARS]):
+                    continue
+                mails, here = emails(whole), {}
+                for m in WORD.finditer(whole):
+                    term = term_at(m[0]) if len(m[0]) <= TERM_CHARS else None
+                    if term is not None and not _inside(mails, *m.span()):
+                        here.setdefault(term, []).append({"start": m.start(), "end": m.end()})
+                at += [row] * len(here)
+                terms += here.keys()
+                places += here.values()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at, pa.int64()), pa.array(terms, pa.string()), pa.array(places, place)], names=names)
+
+    return rows.select("_row", _quoted(text)).mapInArrow(
+        find, "_row bigint, term string, places array<struct<start:int,end:int>>")
+
+
 def find_private(docs: DataFrame, text: str = "text", window: int = 8, threshold: float = 0.8,
                  keep: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with ``_spans``: every base span and
     every term span of the row, by kind as listed, then start.
 
-    The texts are read once.  Term counts are added up per task, then by a
-    partial aggregate; the statistics are joins of aggregates; the verdicts
-    (entity, term) meet the contexts, not the texts.  An entity that a third of
-    all rows mention is one row of the statistics, and its contexts a skewed
-    join that adaptive execution splits.  Null or empty text: no spans.
-    Repeated rows keep their own spans (rows are numbered when they are
-    written).  An empty table gives an empty result.
+    The texts are read once and written, with what was found, to the shared
+    folder.  Term counts are added up per task, then by a partial aggregate;
+    the statistics are joins of aggregates.  The terms that reveal an entity
+    then meet the distinct (row, term) of the written texts; bits that are sent
+    to all tasks leave out most of those that match none.  An entity or a term
+    that a third of all rows hold is a skewed join that adaptive execution
+    splits.  Null or empty text: no spans.  Repeated rows keep their own spans
+    (rows are numbered when they are written).  An empty table gives an empty
+    result.
     """
     spark = docs.sparkSession
     path, keep = shared_path(spark, "pii"), docs.columns if keep is None else keep
-    schema = _scan(docs, text, keep, window, path)
-    written = spark.read.schema(schema).parquet(path)
-    rows = written.where("_part = 'row'").drop("_part", "_term", "_n_docs")
+    schema = _scan(docs, text, keep if text in keep else [*keep, text], window, path)
+    scanned = spark.read.schema(schema).parquet(path)
+    rows = scanned.where("_part = 'row'").drop("_part", "_term", "_n_docs")
     n_docs = rows.count()
-    near = rows.where("size(_contexts) > 0").select("_row", F.explode("_contexts").alias("c")).select("_row", "c.*")
+    near = rows.where("size(_contexts) > 0").select(F.explode("_contexts").alias("c")).select("c.*")
     pairs = (near.groupBy("entity", "term", "is_class")
              .agg(F.sum("n").alias("n_ct"), F.min("context").alias("c0"), F.max("context").alias("c1"))
              .where("n_ct >= 2 and c0 <> c1").drop("c0", "c1"))
     entities = rows.select(F.explode("_entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
-    terms = (written.where("_part = 'term'").select(F.col("_term").alias("term"), F.col("_n_docs").alias("n"))
+    terms = (scanned.where("_part = 'term'").select(F.col("_term").alias("term"), F.col("_n_docs").alias("n"))
              .groupBy("term").agg(F.sum("n").alias("n_t")))
     scored = pairs.join(entities, "entity").where(F.col("n_c") < n_docs).join(terms, "term").select(
         "entity", "term", "is_class",
@@ -256,19 +315,28 @@ def find_private(docs: DataFrame, text: str = "text", window: int = 8, threshold
     # a class reveals what its own count says; unproven ones do not
     revealing = scored.where("reveals")
     classes = revealing.where("is_class").select("entity", F.col("term").alias("_class"), F.lit(True).alias("closed"))
-    verdicts = (revealing.where("not is_class")
-                .withColumn("_class", F.concat(F.substring("term", 1, CLASS_LETTERS), F.lit("*")))
-                .join(classes, ["entity", "_class"], "left")
-                .select("entity", "term", F.when(F.col("closed"), F.lit("term")).otherwise(F.lit("class")).alias("kind")))
-    found = (near.where("not is_class").join(verdicts, ["entity", "term"])
-             .groupBy("_row", "start", "end").agg(F.max("kind").alias("kind"))  # removed beats generalised
-             .groupBy("_row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("_terms")))
-    with_base = rows.where("size(_spans) > 0").join(found, "_row", "left")
-    return rows.where("size(_spans) = 0").select(*map(_quoted, keep), "_spans").unionByName(
-        with_base.select(*map(_quoted, keep), F.concat("_spans", F.array_sort(
-            F.coalesce("_terms", F.array().cast("array<struct<kind:string,start:int,end:int>>")),
-            lambda a, b: F.when(a["kind"] == b["kind"], a["start"] - b["start"]).when(a["kind"] == "term", -1)
-            .otherwise(1))).alias("_spans")))
+    verdicts = written(
+        revealing.where("not is_class")
+        .withColumn("_class", F.concat(F.substring("term", 1, CLASS_LETTERS), F.lit("*")))
+        .join(classes, ["entity", "_class"], "left")
+        .select("term", F.when(F.col("closed"), F.lit("term")).otherwise(F.lit("class")).alias("kind"))
+        .groupBy("term").agg(F.max("kind").alias("kind")), "verdicts")  # removed beats generalised
+    found = written(
+        _occurrences(rows, text, verdicts).join(verdicts, "term")
+        .select("_row", F.transform("places", lambda p: F.struct("kind", p["start"], p["end"])).alias("places"))
+        .groupBy("_row").agg(F.array_sort(F.flatten(F.collect_list("places")), lambda a, b: F.when(
+            a["kind"] == b["kind"], a["start"] - b["start"]).when(a["kind"] == "term", -1).otherwise(1)).alias("_terms")),
+        "terms")
+    # rows that surely hold no such term are not shuffled
+    number = F.xxhash64("_row")
+    slot = F.pmod(number, F.lit(SLOTS).cast("bigint"))
+    marked = rows.select(*map(_quoted, keep), "_spans", "_row", F.shiftright(slot, 6).alias("slot_word"),
+                         F.pmod(slot, F.lit(64)).cast("int").alias("_bit")).join(
+        F.broadcast(_slots(found, number)), "slot_word", "left").withColumn(
+        "_may", F.coalesce(F.expr("shiftright(bits, _bit) & 1L"), F.lit(0)) == 1)
+    return marked.where("not _may").select(*map(_quoted, keep), "_spans").unionByName(
+        marked.where("_may").join(found, "_row", "left").select(*map(_quoted, keep), F.concat(
+            "_spans", F.coalesce("_terms", F.array().cast("array<struct<kind:string,start:int,end:int>>"))).alias("_spans")))
 
 
 def sanitise(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:

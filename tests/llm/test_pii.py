@@ -92,6 +92,23 @@ def test_disclosure_and_generalisation(spark):
                for r in pii.find_private(df).collect() if "Zyglot" in r.text)
 
 
+def test_proven_terms_go_in_every_text(spark):
+    texts = corpus()
+    n = len(texts)
+    far = ["ZYGLOT one two", "ann@ex.org " + "ten " * 30 + "zyglot x@zyglot.org"]
+    df = spark.createDataFrame(list(enumerate(texts + far)), "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: [(s.kind, r.text[s.start:s.end]) for s in r._spans] for r in pii.find_private(df).collect()}
+    assert got[n] == [("class", "ZYGLOT")]
+    assert got[n + 1] == [("email", "ann@ex.org"), ("email", "x@zyglot.org"), ("class", "zyglot")]
+    assert all(("class", "Zyglot") in got[i] for i in range(12)) and len(got) == n + 2
+    clean = {r.doc_id: r.text for r in pii.sanitised(df).collect()}
+    assert clean[n] == "ZYG* one two" and clean[n + 1].endswith("ten zyg* [EMAIL]")
+    # op1 keeps no texts
+    kept = pii.find_private(df, keep=["doc_id"])
+    assert kept.columns == ["doc_id", "_spans"]
+    assert {r.doc_id: len(r._spans) for r in kept.collect()} == {i: len(s) for i, s in got.items()}
+
+
 def test_one_document_or_one_copied_passage_proves_nothing(spark):
     texts = ["Zyglot lives at bob@ex.org near Oxbow"] * 30 + [f"plain words {i}" for i in range(300)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
