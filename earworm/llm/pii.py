@@ -21,7 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +43,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 WORD = re.compile(r"[^\W\d_]+")
 CLASS_LETTERS = 3
-#: Longer runs of letters are no terms.
+#: Longer runs of letters are known by their first letters and a 64-bit hash.
 TERM_CHARS = 64
 
 
@@ -117,32 +117,30 @@ def class_of(term: str) -> str:
     return term[:CLASS_LETTERS] + "*"
 
 
-def _neighbours(text: str, start: int, end: int, window: int) -> list[tuple[int, int]]:
-    """Up to ``window`` words on each side, read from as many characters as
-    surely hold them (64 a word); a word cut by that margin is left out."""
-    reach = 64 * window
-    lo, hi = max(0, start - reach), min(len(text), end + reach)
-    before = [m.span() for m in WORD.finditer(text, lo, start)]
-    after = [m.span() for m in WORD.finditer(text, end, hi)]
-    if before and lo and before[0][0] == lo:
-        before = before[1:]
-    if after and hi < len(text) and after[-1][1] == hi:
-        after = after[:-1]
-    return [(a, b) for a, b in before[-window:] + after[:window] if b - a <= TERM_CHARS]
+def term_of(word: str) -> str:
+    """What a word is counted as: its lower case, or, for a run of over
+    ``TERM_CHARS``, first letters and hash, which no word is (# is no letter)."""
+    term = word.lower()
+    return term if len(term) <= TERM_CHARS else (
+        f"{term[:CLASS_LETTERS]}#{xxhash.xxh64_hexdigest(term)}")
 
 
 def contexts(text: str, spans: list[tuple[str, int, int]], window: int) -> list[dict]:
     """The words around each mention; ``n`` is 1 where the term stands with the
-    entity for the first time in this text.  Linear in the mentions."""
+    entity for the first time in this text.  The words are found once for all
+    mentions, so each has its ``window`` words a side, however far they are."""
     mails = [(a, b) for kind, a, b in spans if kind == "email"]
+    found = [m.span() for m in WORD.finditer(text)]
+    starts, ends = [a for a, _ in found], [b for _, b in found]
     out, seen = [], set()
     for kind, start, end in spans:
         entity = entity_of(text, kind, start, end)
-        words = [(a, b) for a, b in _neighbours(text, start, end, window)
+        before, after = bisect_right(ends, start), bisect_left(starts, end)
+        words = [(a, b) for a, b in found[max(0, before - window): before] + found[after: after + window]
                  if not _inside(mails, a, b)]
         context = xxhash.xxh64_intdigest(" ".join(text[a:b].lower() for a, b in words)) - (1 << 63)
         for a, b in words:
-            term = text[a:b].lower()
+            term = term_of(text[a:b])
             for name, is_class in ((term, False), (class_of(term), True)):
                 out.append({"entity": entity, "term": name, "is_class": is_class, "start": a, "end": b,
                             "context": context, "n": int((entity, name) not in seen)})
@@ -207,7 +205,7 @@ def _scan(docs: DataFrame, text: str, keep: list[str], window: int, path: str) -
                 near.append(around)
                 entities.append(sorted({entity_of(whole, *s) for s in found}))
                 row += 1
-                words = {w.lower() for w in set(WORD.findall(whole)) if len(w) <= TERM_CHARS}
+                words = {term_of(w) for w in set(WORD.findall(whole))}
                 for term in words:
                     counts[term] = counts.get(term, 0) + 1
                 for term in {w[:CLASS_LETTERS] for w in words}:
@@ -250,24 +248,28 @@ def _occurrences(rows: DataFrame, text: str, terms: DataFrame) -> DataFrame:
         held = sent.value
         known: dict[str, str | None] = {}  # words met: their term if it may be asked for
 
+        def asked(term: str) -> str | None:
+            slot = zlib.crc32(term.encode()) % SLOTS
+            return term if held[slot >> 3] >> (slot & 7) & 1 else None
+
         def term_at(word: str) -> str | None:
+            if len(word) > TERM_CHARS:
+                return asked(term_of(word))
             if word not in known:
                 if len(known) >= HELD_TERMS:
                     known.clear()
-                term = word.lower()
-                slot = zlib.crc32(term.encode()) % SLOTS
-                known[word] = term if held[slot >> 3] >> (slot & 7) & 1 else None
+                known[word] = asked(term_of(word))
             return known[word]
 
         for batch in batches:
             at, terms, places = [], [], []
             for row, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 whole = value.as_py() or ""
-                if not any([term_at(w) for w in set(WORD.findall(whole)) if len(w) <= TERM_CHARS]):
+                if not any(map(term_at, set(WORD.findall(whole)))):
                     continue
                 mails, here = emails(whole), {}
                 for m in WORD.finditer(whole):
-                    term = term_at(m[0]) if len(m[0]) <= TERM_CHARS else None
+                    term = term_at(m[0])
                     if term is not None and not _inside(mails, *m.span()):
                         here.setdefault(term, []).append({"start": m.start(), "end": m.end()})
                 at += [row] * len(here)

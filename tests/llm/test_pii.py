@@ -140,6 +140,26 @@ def test_windows_of_long_runs():
     assert [(c["term"], c["start"]) for c in near if not c["is_class"]] == [("two", 4), ("three", 15)]
 
 
+def test_windows_hold_their_words_at_any_distance():
+    far = " ".join(["12 34; --"] * 400)
+    t = f"one two {far} a@b.co {far} three {'x' * 10_000} five"
+    (span,) = [s for s in pii.base_spans(t) if s[0] == "email"]
+    near = [t[c["start"]:c["end"]] for c in pii.contexts(t, [span], 2) if not c["is_class"]]
+    assert near == ["one", "two", "three", "x" * 10_000]
+    assert all(len(c["term"]) <= pii.TERM_CHARS for c in pii.contexts(t, [span], 2))
+
+
+def test_long_runs_are_assessed(spark):
+    run, rng = "Qu" + "ab" * 200, random.Random(2)
+    texts = [f"{rng.choice(t)} {run} {'1 ' * 300} ann@ex.org {rng.choice(t)}" for t in [["red", "blue", "green"]] * 12]
+    texts += [" ".join(rng.choice(["red", "blue", "green", "quail"]) for _ in range(12)) for _ in range(200)]
+    texts += [f"only {run.upper()}", f"only {run}a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: {r.text[s.start:s.end].lower() for s in r._spans if s.kind in ("term", "class")}
+           for r in pii.find_private(df).collect()}
+    assert all(run.lower() in got[i] for i in (*range(12), len(texts) - 2)) and not got[len(texts) - 1]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert pii.sanitised(df).count() == 0 and pii.find_private(df.select("doc_id", "text")).count() == 0
