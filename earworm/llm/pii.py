@@ -9,7 +9,8 @@ which t stands within ``window`` words of a mention of c, out of N,
 
 is 1 if t is only ever found beside c.  A term at or above ``threshold`` is
 generalised to its class (its first letters and ``*``) if the class's own
-disclosure is below the threshold, and removed otherwise; where it stands, near
+disclosure is below the threshold and the term has further letters, which the
+class leaves out, and removed otherwise; where it stands, near
 a mention or not, and in every text.  One context proves nothing about a
 corpus: a term counts only if it is found with the entity in two documents and
 in two different contexts, so a word that is unique, or merely copied along
@@ -321,11 +322,14 @@ def find_private(docs: DataFrame, text: str = "text", window: int = 8, threshold
         revealing.where("not is_class")
         .withColumn("_class", F.concat(F.substring("term", 1, CLASS_LETTERS), F.lit("*")))
         .join(classes, ["entity", "_class"], "left")
-        .select("term", F.when(F.col("closed"), F.lit("term")).otherwise(F.lit("class")).alias("kind"))
+        .select("term", F.when(F.col("closed") | (F.length("term") <= CLASS_LETTERS), F.lit("term"))
+                .otherwise(F.lit("class")).alias("kind"))
         .groupBy("term").agg(F.max("kind").alias("kind")), "verdicts")  # removed beats generalised
     found = written(
         _occurrences(rows, text, verdicts).join(verdicts, "term")
-        .select("_row", F.transform("places", lambda p: F.struct("kind", p["start"], p["end"])).alias("places"))
+        .select("_row", F.transform("places", lambda p: F.struct(  # lower case can be longer than what stands there
+            F.when(p["end"] - p["start"] <= CLASS_LETTERS, F.lit("term")).otherwise(F.col("kind")).alias("kind"),
+            p["start"].alias("start"), p["end"].alias("end"))).alias("places"))
         .groupBy("_row").agg(F.array_sort(F.flatten(F.collect_list("places")), lambda a, b: F.when(
             a["kind"] == b["kind"], a["start"] - b["start"]).when(a["kind"] == "term", -1).otherwise(1)).alias("_terms")),
         "terms")
