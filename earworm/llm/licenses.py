@@ -120,6 +120,7 @@ class Template:
     def __init__(self, name: str, text: str, coverage: float):
         self.name, self.words = name, words_of(text)
         self.telling = Counter(w for w in self.words if w not in PLAIN)
+        self.place = {w: i for i, w in enumerate(self.words) if self.telling[w] == 1}
         self.allowed = int(len(self.words) * (1 - coverage) + 1e-9)  # words that may be missing
         self.needed = sum(self.telling.values()) - self.allowed
         if self.needed < 1:
@@ -148,6 +149,25 @@ class Template:
             else:  # many notices in a row: overlapping windows, each notice whole in one
                 for at in range(lo, hi, reach):
                     yield at, min(hi, at + 2 * reach)
+            here = Counter(words[i] for i in group)
+            if any(n > self.telling[w] for w, n in here.items()):
+                # perhaps more notices than one, whose words are no anchors when
+                # aligned together: windows from where a word says one starts
+                starts = {max(lo, i - self.place[words[i]]) for i in group if words[i] in self.place}
+                ends = {(at, min(hi, at + n)) for at in starts for n in (reach, reach + self.allowed, 2 * reach)}
+                for at, end in sorted(ends):
+                    if self.possible(Counter(words[at:end])):
+                        yield at, end
+
+
+def apart(hits: list[tuple], order) -> list[tuple]:
+    """Hits that do not overlap, the first by ``order`` before others; by start."""
+    kept: list[tuple] = []
+    for hit in sorted(hits, key=order):
+        at = bisect_left(kept, hit[1], key=lambda h: h[1])
+        if (at == 0 or kept[at - 1][2] <= hit[1]) and (at == len(kept) or hit[2] <= kept[at][1]):
+            kept.insert(at, hit)
+    return kept
 
 
 def scan(text: str, templates: list[Template], vocabulary: frozenset[str], coverage: float) -> list[tuple]:
@@ -172,20 +192,11 @@ def scan(text: str, templates: list[Template], vocabulary: frozenset[str], cover
             share = len(pairs) / len(t.words)
             if share >= coverage:
                 first, last = lo + pairs[0][0], lo + pairs[-1][0]
-                hit = (t.name, found[first].start(), found[last].end(), share, len(pairs))
-                if best and hit[1] < best[-1][2]:
-                    best[-1] = max(best[-1], hit, key=lambda h: h[4])
-                else:
-                    best.append(hit)
-        out += best
+                best.append((t.name, found[first].start(), found[last].end(), share, len(pairs)))
+        # of one notice in several windows: most words matched, then closest together
+        out += apart(best, lambda h: (-h[4], h[2] - h[1], h[1]))
     # one notice, several templates: the one with most words matched, then covered
-    kept: list[tuple] = []
-    for hit in sorted(out, key=lambda h: (h[1], h[0])):
-        if kept and hit[1] < kept[-1][2]:
-            kept[-1] = max(kept[-1], hit, key=lambda h: (h[4], h[3]))
-        else:
-            kept.append(hit)
-    return [hit[:4] for hit in kept]
+    return [hit[:4] for hit in apart(out, lambda h: (-h[4], -h[3], h[1], h[0]))]
 
 
 def license_spans(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = 0.8,

@@ -75,6 +75,30 @@ def test_many_notices_in_one_text():
     assert names[-2:] == ["GPL", "MIT-notice"] and set(names[:-2]) == {"MIT"} and len(names) > 10
 
 
+def test_repeated_notices_are_each_found():
+    templates, vocabulary = made()
+    rng = random.Random(6)
+    for name, notice in licenses.TEMPLATES.items():
+        reach = len(licenses.words_of(notice))
+        for n in (1, 2, 3, 4):
+            for gap in (0, 1, reach // 2, reach, 2 * reach):
+                row = (" " + "gap " * gap).join([notice] * n)
+                for before, after in ((0, 0), (0, 300), (300, 0), (300, 300), (reach // 2, 2)):
+                    t = f"{text(rng, before)}\n{row}\n{text(rng, after)}"
+                    hits = licenses.scan(t, templates, vocabulary, 0.8)
+                    assert [h[0] for h in hits] == [name] * n, (name, n, gap, before, after)
+                    assert all(licenses.words_of(t[a:b]) == licenses.words_of(notice) for _, a, b, _ in hits)
+
+
+def test_repeated_damaged_notices_are_each_found():
+    templates, vocabulary = made()
+    words = licenses.TEMPLATES["MIT-notice"].split()
+    damaged = " ".join("zzz" if i % 10 == 5 else w for i, w in enumerate(words))
+    for n in (2, 3, 4):
+        hits = licenses.scan(" ".join([damaged] * n), templates, vocabulary, 0.8)
+        assert [h[0] for h in hits] == ["MIT-notice"] * n
+
+
 def test_plain_texts_have_none():
     templates, vocabulary = made()
     rng = random.Random(5)
