@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from earworm.llm import quality
+from earworm.llm.byte_bpe import op11_byte_bpe
 from earworm.llm.licenses import op6_license_scan
 from earworm.llm.mixing import op4_mixing
 from earworm.llm.multiset_hash import op2_multiset_hash
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_token_store": op8_token_store,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_byte_bpe": op11_byte_bpe,
 }
 
 #: The others rest on hashes, tokenizers, fitted models or spans: tests/llm holds
