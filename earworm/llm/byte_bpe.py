@@ -42,7 +42,7 @@ class Merges:
     tokens may stand side by side."""
 
     #: Answers of ``alive`` that are kept.
-    MAX_ALIVE = 500_000
+    MAX_ALIVE = 300_000
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
@@ -70,7 +70,7 @@ class Merges:
         for key, node in self.child.items():
             self._children.setdefault(key >> 8, []).append(node)
         self._longer: dict[int, list[int]] = {}
-        self._alive: dict[tuple[int, int], bool] = {}
+        self._alive: dict[int, bool] = {}
 
     def merge(self, text: bytes, below: int) -> list[bytes]:
         """Parts of ``text`` after all merges of ranks under ``below``, least
@@ -117,13 +117,14 @@ class Merges:
     def alive(self, last: int, node: int) -> bool:
         """Whether a token that goes on from ``node`` may stand behind ``last``
         (-1: at the start)."""
-        known = self._alive.get((last, node))
+        key = (last + 1) << 32 | node
+        known = self._alive.get(key)
         if known is None:
             if len(self._alive) >= self.MAX_ALIVE:
                 self._alive.clear()
             longer = self.longer(node)
             known = bool(longer) if last < 0 else any(self.neighbours(last, t) for t in longer)
-            self._alive[last, node] = known
+            self._alive[key] = known
         return known
 
 
@@ -150,7 +151,7 @@ class State(dict):
 class Encoder:
     """The deterministic machine over the bytes of one pre-token."""
 
-    def __init__(self, merges: Merges, max_states: int = 300_000):
+    def __init__(self, merges: Merges, max_states: int = 200_000):
         self.merges, self.max_states = merges, max_states
         self._forget()
 
@@ -320,9 +321,10 @@ def token_decoder(data: bytes) -> Decoder:
 
 
 def encode_ids(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text", ids: str = "ids",
-               cache_words: int = 400_000, max_states: int = 300_000) -> DataFrame:
+               decoded: str | None = None, cache_words: int = 250_000, max_states: int = 200_000) -> DataFrame:
     """``docs`` with the token ids of each row's whole text in ``ids`` (array
-    of int) in place of ``text``.
+    of int) in place of ``text``, and, if asked for, what the ids decode to in
+    ``decoded``.
 
     ``ranks`` is the content of a rank file (its size is the vocabulary's, not
     the data's; it is broadcast), ``pattern`` splits a text into the parts
@@ -334,23 +336,28 @@ def encode_ids(docs: DataFrame, ranks: bytes, pattern: str, text: str = "text",
     import regex
 
     regex.compile(pattern)  # a wrong pattern is told here, not in a task
-    names = [c for c in docs.columns if c != text] + [ids]
+    names = [c for c in docs.columns if c != text] + [ids] + ([decoded] if decoded else [])
     plain, (text_column,) = neutral(docs, text)
     kept = [c for c in plain.columns if c != text_column]
     file = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def encode(batches):
         words = word_ids(file.value, cache_words, max_states)
+        decoder = Decoder(words.encode.merges.bytes)
         split, look = regex.compile(pattern).findall, words.__getitem__
         for batch in batches:
             parts = [b"".join(map(look, split(t))) for t in pc.fill_null(batch.column(0), "").to_pylist()]
             ends = np.cumsum([0] + [len(p) // 4 for p in parts])
             flat = pa.array(np.frombuffer(b"".join(parts), np.int32))
-            ids_column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], ids_column], names=[*kept, "ids"])
+            made = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)]
+            if decoded:
+                made.append(pa.array([decoder.feed(memoryview(p).cast("i")) + decoder.end() for p in parts], pa.string()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *made], schema.names)
 
     slim = plain.select(F.col(text_column).cast("string"), *kept)
     schema = slim.select(*kept).schema.add("ids", ArrayType(IntegerType()))
+    if decoded:
+        schema = schema.add("decoded", "string")
     return slim.mapInArrow(encode, schema).toDF(*names)
 
 
@@ -382,9 +389,9 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = f.read()
-    encoded = encode_ids(documents(spark, sf_dir).select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    counted = encoded.select(
+    encoded = encode_ids(documents(spark, sf_dir).select("doc_id", "text"), ranks, public_tokenizers.PATTERN,
+                         decoded="decoded")
+    return encoded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), "ids")
-    return decode_ids(counted, ranks).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

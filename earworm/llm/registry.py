@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from earworm.llm import quality
+from earworm.llm import filter_audit, quality
 from earworm.llm.byte_bpe import op11_byte_bpe
+from earworm.llm.filter_audit import op13_filter_audit
 from earworm.llm.licenses import op6_license_scan
 from earworm.llm.mixing import op4_mixing
 from earworm.llm.multiset_hash import op2_multiset_hash
@@ -14,6 +15,7 @@ from earworm.llm.simhash import op9_simhash_near_dedup
 from earworm.llm.token_counts import op10_token_counts
 from earworm.llm.token_store import op8_token_store
 from earworm.llm.toxicity import op5_toxicity_chain
+from earworm.llm.turns import op12_conversation_repair
 
 QUERIES = {
     "op1_pii": op1_pii,
@@ -27,10 +29,13 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_token_counts": op10_token_counts,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 #: The others rest on hashes, tokenizers, fitted models or spans: tests/llm holds
 #: them against brute force.
 ORACLE: dict[str, str] = {
     "op3_quality_rules": quality.ORACLE_SQL,
+    "op13_filter_audit": filter_audit.ORACLE_SQL,
 }

@@ -114,6 +114,8 @@ def test_tables(spark, ranks, library):
     assert encoded.columns == [c for c in docs.columns if c != "text"] + ["tokens"]
     want = sorted((str(d[0]), d[5], library.encode_ordinary(d[1] or "")) for d in data)
     assert sorted((str(r.doc_id), r["ids"], r.tokens) for r in encoded.collect()) == want
+    both = byte_bpe.encode_ids(docs, ranks, public_tokenizers.PATTERN, ids="tokens", decoded="decoded")
+    assert sorted((str(r.doc_id), r.decoded) for r in both.collect()) == sorted((str(d[0]), d[1] or "") for d in data)
     back = byte_bpe.decode_ids(encoded, ranks, "tokens")
     assert sorted((str(r.doc_id), r.text) for r in back.collect()) == sorted((str(d[0]), d[1] or "") for d in data)
     assert byte_bpe.encode_ids(frame(spark, []), ranks, public_tokenizers.PATTERN).count() == 0
