@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earworm.operators.ordered import exact_median
+from earworm.operators.ordered import median_between, sketch_bracket
 from earworm.session import write_once
 
 
@@ -15,29 +15,40 @@ def profile_ratings(ratings: DataFrame, value: str = "listens", user: str = "use
     median, and the number of pairs with value = 1.
 
     Users and items are counted each by their own group-by (a distinct count of
-    both in one aggregate would expand every row), the exact median by a
-    distributed histogram; they enter the row as scalar subqueries.  The
-    ratings are written once, as each of these reads them.
-    ``exact_distinct=False`` uses HyperLogLog++ for the user and item counts.
+    both in one aggregate would expand every row).  One pass over the ratings
+    gives all plain figures and a sketch that brackets the median; a filtered
+    pass selects the median's exact values.  The ratings are written once, as
+    each of these reads them; the figures but the two counts are computed when
+    this is called.  ``exact_distinct=False`` uses HyperLogLog++ for the user
+    and item counts.
     """
     ratings = write_once(ratings.select(user, item, value))
 
     def distinct(key: str):
         if not exact_distinct:
-            return F.approx_count_distinct(key)
+            return ratings.agg(F.approx_count_distinct(key)).scalar()
         return ratings.groupBy(key).agg(F.lit(1)).agg(F.count(key)).scalar()
 
-    return ratings.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        distinct(user).alias("n_users"),
-        distinct(item).alias("n_items"),
-        F.avg(value).alias("mean_listens"),
-        F.min(value).alias("min_listens"),
-        F.max(value).alias("max_listens"),
-        exact_median(ratings, value).scalar().alias("median_listens"),
-        F.percentile_approx(value, 0.5).alias("approx_median_listens"),
-        F.count_if(F.col(value) == 1).alias("n_listens_eq_1"),
-    )
+    plain = {
+        "n_rows": F.count(F.lit(1)),
+        "mean_listens": F.avg(value),
+        "min_listens": F.min(value),
+        "max_listens": F.max(value),
+        "approx_median_listens": F.percentile_approx(value, 0.5),
+        "n_listens_eq_1": F.count_if(F.col(value) == 1),
+    }
+    summary = ratings.agg(*[c.alias(name) for name, c in plain.items()], sketch_bracket(value).alias("bracket"))
+    figures = summary.first()
+    median = median_between(ratings, value, figures["bracket"])
+    types = dict(summary.dtypes)
+
+    def known(name: str):
+        return F.lit(figures[name]).cast(types[name]).alias(name)
+
+    return ratings.sparkSession.range(1).select(
+        known("n_rows"), distinct(user).alias("n_users"), distinct(item).alias("n_items"),
+        *[known(name) for name in ("mean_listens", "min_listens", "max_listens")],
+        F.lit(median).cast("double").alias("median_listens"), known("approx_median_listens"), known("n_listens_eq_1"))
 
 
 def profile_nulls(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from earworm.functions.exprs import unit_hash
+from earworm.session import write_once
 
 USER_SALT = "u:"
 HOLDIN_SALT = "h:"
@@ -92,3 +94,38 @@ def split_overlap(labelled: DataFrame, user: str = "user_id", value: str | None
     if value:
         cols += [F.coalesce(F.sum(f"_{p}_1"), F.lit(0)).cast("bigint").alias(f"{p}_listens_eq_1") for p in parts]
     return per_user.agg(*cols)
+
+
+def split_exact(df: DataFrame, train_fraction: float = 0.7, keys: tuple[str, ...] = ("user_id",),
+                salt: str = USER_SALT, out: str = "split") -> DataFrame:
+    """Label rows 'train' / 'val' so that exactly floor(fraction * n) of the n
+    distinct ``keys`` are in train: those least by (hash, keys).
+
+    The hash is that of ``unit_hash``; its k-th smallest is found from counts
+    of its first 16 bits, then of the other 16 inside one bucket (65,536 rows
+    each at most), then among the keys of that one value.  Three numbers come
+    to the driver; the rows are labelled by a comparison, not by a join.  Null
+    keys are keys.
+    """
+    place = (unit_hash(*keys, salt=salt) * 2**32).cast("bigint")
+    hashed = write_once(df.select(*keys).distinct().withColumn("_h", place))
+    n_train = int(hashed.count() * train_fraction + 1e-9)
+    if n_train <= 0:
+        return df.withColumn(out, F.lit("val"))
+
+    def bucket_of(rows: DataFrame, bucket, k: int) -> tuple[int, int]:
+        """(bucket that holds the k-th smallest, rows before it)."""
+        sizes = rows.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+        before = F.sum("n").over(Window.orderBy("b")) - F.col("n")
+        found = sizes.withColumn("before", before).where((F.col("before") < k) & (k <= F.col("before") + F.col("n"))).first()
+        return found.b, found.before
+
+    high, before = bucket_of(hashed, F.shiftright("_h", 16), n_train)
+    inside = hashed.where(F.shiftright("_h", 16) == high)
+    value, more = bucket_of(inside, F.col("_h"), n_train - before)
+    last = inside.where(F.col("_h") == value).orderBy(*[F.asc_nulls_first(k) for k in keys]).limit(
+        n_train - before - more).agg(F.max(F.struct(*keys)).alias("last")).first()["last"]
+    types = dict(df.dtypes)
+    limit = F.struct(*[F.lit(last[k]).cast(types[k]).alias(k) for k in keys])
+    in_train = (place < value) | ((place == value) & (F.struct(*keys) <= limit))
+    return df.withColumn(out, F.when(in_train, F.lit("train")).otherwise(F.lit("val")))

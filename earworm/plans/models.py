@@ -7,15 +7,17 @@ retrieval (``mips_exact``) does have one (plans/oracle.py).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from earworm.functions.exprs import unit_hash
 from earworm.operators import factorize as fz
-from earworm.operators import ranking, ratings, retrieve, splits
+from earworm.operators import bounded, foldin, forest, ranking, ratings, retrieve, splits, tuning
 from earworm.plans.queries import _round, canonical_counts_f1, canonical_counts_f2
-from earworm.session import write_once
+from earworm.session import checkpoint_dir, table_state, write_once
 from earworm.sources import testdata as td
 
 TOP = 100        # length of recommendation lists
@@ -31,15 +33,27 @@ def _explicit_setup(spark, sf):
     return idx, train, val
 
 
+#: Fitted implicit models of this process: what they were fitted from -> path
+#: of the saved model and the tables that belong to it.
+_FITTED: dict[tuple, tuple] = {}
+
+
 def _implicit_setup(spark, sf):
-    counts = canonical_counts_f2(spark, sf)
-    idx = fz.index_ratings(counts)
-    labelled = splits.split_rows(idx.ratings, 0.7, holdin=0.6)
-    train, val = splits.train_val(labelled)
-    train = write_once(train)
-    model = fz.fit_als(replace(idx, ratings=train), rank=20, reg=0.1, max_iter=20,
-                       implicit=True, seed=1234)
-    return idx, train, val, model
+    """Implicit ALS on F2, fitted once per session and state of the tables: the
+    model is saved (S5, S6) in the shared folder and loaded by every further
+    query; indexed ratings and splits are written tables."""
+    key = (spark.sparkContext.applicationId, checkpoint_dir(spark), sf,
+           *(table_state(spark, f"{sf}/{t}.parquet") for t in ("orders", "lineitem", "part")))
+    if key not in _FITTED:
+        idx = fz.index_ratings(canonical_counts_f2(spark, sf))
+        train, val = splits.train_val(write_once(splits.split_rows(idx.ratings, 0.7, holdin=0.6)))
+        model = fz.fit_als(replace(idx, ratings=train), rank=20, reg=0.1, max_iter=20,
+                           implicit=True, seed=1234)
+        path = f"{checkpoint_dir(spark)}/als-{uuid.uuid4().hex}"
+        fz.save_model(model, path)
+        _FITTED[key] = (path, idx, train, val)
+    path, idx, train, val = _FITTED[key]
+    return idx, train, val, fz.load_model(path)
 
 
 def als_explicit_rmse(spark: SparkSession, sf: str) -> DataFrame:
@@ -127,19 +141,20 @@ def als_tuned(spark, sf):
     """E9 + E10 + E12: a 5-fold cross-validated grid by RMSE, one row per
     setting (2 x 2 settings at rank 20-40)."""
     idx, train, _ = _explicit_setup(spark, sf)
-    _, report = fz.tune_als(replace(idx, ratings=train), {"rank": [20, 40], "regParam": [0.05, 0.1]},
-                            folds=5, max_iter=10, nonnegative=True, parallelism=4)
+    _, report = tuning.tune(replace(idx, ratings=train), {"rank": [20, 40], "reg": [0.05, 0.1], "max_iter": [10]},
+                            folds=5, nonnegative=True, parallelism=4, refit=False)
     return _round(report)
 
 
 def als_tuned_grid(spark, sf):
     """E9 + E10 + E12: the whole grid, rank {20, 40, 50} x reg {.01, .05, .1} x
-    iterations {10, 15}, 5 folds: 18 rows, the best flagged."""
+    iterations {10, 15}, 5 folds: 18 rows, the best flagged.  A search that
+    has been cut short goes on from its ledger in the checkpoint folder."""
     idx, train, _ = _explicit_setup(spark, sf)
-    _, report = fz.tune_als(
+    _, report = tuning.tune(
         replace(idx, ratings=train),
-        {"rank": [20, 40, 50], "regParam": [0.01, 0.05, 0.1], "maxIter": [10, 15]},
-        folds=5, nonnegative=True, parallelism=6)
+        {"rank": [20, 40, 50], "reg": [0.01, 0.05, 0.1], "max_iter": [10, 15]},
+        folds=5, nonnegative=True, parallelism=6, refit=False)
     return _round(report)
 
 
@@ -147,11 +162,45 @@ def als_holdout_tuned(spark, sf):
     """One holdout fit per setting around rank 20 and 20 iterations, the
     minimum flagged."""
     idx, train, _ = _explicit_setup(spark, sf)
-    _, report = fz.tune_als(replace(idx, ratings=train), {"rank": [10, 20], "maxIter": [10, 20]},
-                            method="holdout", nonnegative=True, parallelism=4)
+    _, report = tuning.tune(replace(idx, ratings=train), {"rank": [10, 20], "max_iter": [10, 20]},
+                            train_ratio=0.8, nonnegative=True, parallelism=4, refit=False)
     return _round(report)
 
 
+#: Users of the fold-in queries that the model does not see: a hash share.
+NEW_USERS, NEW_SALT = 0.2, "n:"
+
+
+def _new_users(spark, sf):
+    """(item factors, listens known of the new users, listens to be predicted):
+    a fifth of the users of F1 is kept from the fit, 60 percent of their pairs
+    are then folded in."""
+    counts = write_once(canonical_counts_f1(spark, sf))
+    new = unit_hash("user_id", salt=NEW_SALT) < NEW_USERS
+    idx = fz.index_ratings(counts.where(~new))
+    model = fz.fit_als(idx, rank=20, reg=0.1, max_iter=20, implicit=True, seed=1234)
+    _, items = fz.factors_with_ids(model, idx)
+    known = unit_hash("user_id", "recording_msid", salt=splits.HOLDIN_SALT) < 0.6
+    return write_once(items), counts.where(new & known), counts.where(new & ~known)
+
+
+def als_fold_in(spark, sf):
+    """R6 + S6: users that the model has not seen get factors from their known
+    listens; their other listened items are scored with them."""
+    items, known, asked = _new_users(spark, sf)
+    users = foldin.fold_in(known, items, reg=0.1, implicit=True)
+    return _round(foldin.score_with(users, items, asked))
+
+
+def als_fold_in_map(spark, sf):
+    """R6 + R7 + E1-E3: top-100 of users that the model has not seen, from
+    folded-in factors and exact search, against their other items."""
+    items, known, asked = _new_users(spark, sf)
+    found = bounded.mips_bounded(foldin.fold_in(known, items, reg=0.1, implicit=True), items, TOP)
+    recs = found.select(F.col("query_id").alias("user_id"), "pos", F.col("item_id").alias("recording_msid"))
+    return _round(ranking.ranking_metrics(recs, asked, TOP, distinct_truth=False))
+
+
 def als_factors(spark, sf):
     """Item factors of the implicit model, keyed by the original item id."""
     idx, _, _, model = _implicit_setup(spark, sf)
@@ -166,12 +215,16 @@ def mips_exact(spark, sf):
     return _round(retrieve.mips_exact(vec, vec, NEIGHBOURS))
 
 
+def _sign_vectors(spark, sf):
+    return td.vectors_f3(spark, sf).select(
+        F.concat(F.lit("v"), F.col("id").cast("string")).alias("id"),
+        F.transform(F.slice("features", 1, 2), lambda x: F.signum(x).cast("float")).alias("features"))
+
+
 def mips_exact_ties(spark, sf):
     """R10 on vectors with many ties: embeddings cut to two signs each, so
     hundreds of items share each score; ids as text."""
-    vec = td.vectors_f3(spark, sf).select(
-        F.concat(F.lit("v"), F.col("id").cast("string")).alias("id"),
-        F.transform(F.slice("features", 1, 2), lambda x: F.signum(x).cast("float")).alias("features"))
+    vec = _sign_vectors(spark, sf)
     return _round(retrieve.mips_exact(vec, vec, NEIGHBOURS))
 
 
@@ -202,6 +255,51 @@ def mips_lsh_candidates(spark, sf):
     return _round(retrieve.lsh_candidate_share(vec, vec))
 
 
+def mips_forest(spark, sf):
+    """Approximate top-10 items of every user by a forest of projection
+    trees over ALS item factors."""
+    idx, _, _, model = _implicit_setup(spark, sf)
+    users, items = fz.factors_with_ids(model, idx)
+    return _round(forest.mips_forest(users, items, NEIGHBOURS))
+
+
+def mips_forest_recall(spark, sf):
+    """recall@10 of the forest search against exact search, and the share
+    of all pairs that it scores, on ALS factors."""
+    idx, _, _, model = _implicit_setup(spark, sf)
+    users, items = (write_once(f) for f in fz.factors_with_ids(model, idx))
+    recall = retrieve.retrieval_recall(forest.mips_forest(users, items, NEIGHBOURS),
+                                       retrieve.mips_exact(users, items, NEIGHBOURS))
+    share = forest.forest_candidate_share(users, items, NEIGHBOURS).select("candidate_share")
+    return _round(recall.withColumn("candidate_share", share.scalar()))
+
+
+def mips_bounded(spark, sf):
+    """Exact top-10 with norm bounds, every embedding against all."""
+    vec = td.vectors_f3(spark, sf)
+    return _round(bounded.mips_bounded(vec, vec, NEIGHBOURS))
+
+
+def mips_bounded_ties(spark, sf):
+    """R10 with norm bounds on the vectors of ``mips_exact_ties``."""
+    vec = _sign_vectors(spark, sf)
+    return _round(bounded.mips_bounded(vec, vec, NEIGHBOURS))
+
+
+def mips_bounded_als(spark, sf):
+    """R10 + R7: users' top-100 items by exact search with norm bounds."""
+    idx, _, _, model = _implicit_setup(spark, sf)
+    users, items = fz.factors_with_ids(model, idx)
+    return _round(bounded.mips_bounded(users, items, TOP))
+
+
+def mips_bounded_pairs(spark, sf):
+    """The pairs that the norm bounds leave to be scored, on ALS factors."""
+    idx, _, _, model = _implicit_setup(spark, sf)
+    users, items = fz.factors_with_ids(model, idx)
+    return _round(bounded.mips_bounded_share(users, items, NEIGHBOURS, block_items=256))
+
+
 def relevance_auc(spark, sf):
     """AUC of the ALS score against "observed in validation" (D9)."""
     idx, _, val, model = _implicit_setup(spark, sf)
@@ -235,6 +333,14 @@ MODEL_REGISTRY = {
     "mips_lsh": mips_lsh,
     "mips_lsh_recall": mips_lsh_recall,
     "mips_lsh_candidates": mips_lsh_candidates,
+    "als_fold_in": als_fold_in,
+    "als_fold_in_map": als_fold_in_map,
+    "mips_forest": mips_forest,
+    "mips_forest_recall": mips_forest_recall,
+    "mips_bounded": mips_bounded,
+    "mips_bounded_ties": mips_bounded_ties,
+    "mips_bounded_als": mips_bounded_als,
+    "mips_bounded_pairs": mips_bounded_pairs,
     "relevance_auc": relevance_auc,
     "hit_accuracy": hit_accuracy,
 }

@@ -262,6 +262,15 @@ FAVOURITES = f"""
                              from c) where pos <= 10),
     obs as (select user_id, recording_msid from c where listens > 1)"""
 
+def exact_split(log: str, salt: str, *keys: str) -> str:
+    """The keys with the least 70 percent (rounded down) of hashes are in train."""
+    names = ", ".join(keys)
+    return f"""
+        select {names}, case when row_number() over (order by h, {names}) <= floor(0.7 * (count(*) over ()) + 1e-9)
+                             then 'train' else 'val' end as split
+          from (select *, {H(salt, *keys)} as h from (select distinct {names} from ({log})))"""
+
+
 ORACLE = {
     "attach_left_gaps": LEFT_GAPS,
     "null_profile_gaps": f"""
@@ -413,4 +422,36 @@ ORACLE = {
                                                                 cast(i.embedding as double[])) desc,
                                              i.vec_id) as pos
             from embeddings q, embeddings i) where pos <= 10""",
+    "heavy_total_top": top_by("count(*)", F2_LOG),
+    "split_overlap_sketches": f"""
+        with l as (select user_id, case when {H('r:', 'user_id', 'recording_msid')} < 0.5 then 'train' else 'val' end as split
+                     from ({F2_LOG}) where year("timestamp") between 1993 and 1997),
+             t as (select distinct user_id from l where split = 'train'),
+             v as (select distinct user_id from l where split = 'val')
+        select (select count(*) from l where split = 'train') as train_rows,
+               (select count(*) from l where split = 'val') as val_rows,
+               (select count(*) from t) as train_users, (select count(*) from v) as val_users,
+               (select count(*) from t join v using (user_id)) as common_train_val""",
+    "exact_split_f2": exact_split(F2_LOG, "u:", "user_id"),
+    "exact_row_split_f1": exact_split(F1_LOG, "r:", "user_id", "recording_msid"),
+    "canonical_counts_f2_delta": CANON_F2,
+    "canonical_changes_f1": f"""
+        with j as (select l.user_id, l.recording_msid, l."timestamp" as ts, t.recording_mbid
+                     from ({F1_LOG}) l join ({F1_TRACKS}) t using (recording_msid) where t.recording_mbid is not null),
+             now as (select distinct recording_mbid, first_value(recording_msid) over (
+                       partition by recording_mbid order by ts, recording_msid) as new_item from j),
+             old as (select distinct recording_mbid, first_value(recording_msid) over (
+                       partition by recording_mbid order by ts, recording_msid) as old_item from j where hour(ts) % 2 = 0),
+             c as (select recording_mbid, user_id, count(distinct ts) as listens from j group by 1, 2)
+        select recording_mbid, old_item, new_item, user_id, listens
+          from now join old using (recording_mbid) join c using (recording_mbid) where old_item <> new_item""",
+    "laid_out_top": f"""
+        select user_id, recording_msid, listens, cast(rn as integer) as pos from (
+          select *, row_number() over (partition by user_id order by listens desc, recording_msid) as rn
+            from ({counts_of(F2_LOG)})) where rn <= 10""",
+    "csv_round_trip": counts_of(F2_LOG),
+    "tuning_folds_f1": f"""
+        select *, cast(floor({H('f:', 'user_id', 'recording_msid')} * 5) as integer) as fold from ({counts_of(F1_LOG)})""",
 }
+for _name in ("mips_exact", "mips_exact_ties"):
+    ORACLE[_name.replace("exact", "bounded")] = ORACLE[_name]

@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earworm.operators import identity, popularity, profile, ranking, ratings, splits
+from earworm.operators import delta, identity, popularity, profile, ranking, ratings, sketches, splits
 from earworm.session import checkpoint_dir, write_once
 from earworm.sources import tables
 from earworm.sources import testdata as td
@@ -388,7 +388,94 @@ def listen_counts_sql(spark, sf):
         FROM listens_f2 GROUP BY user_id, recording_msid""")
 
 
+def heavy_total_top(spark, sf):
+    """T1/R1 in two passes: bounded summaries per task, then exact counts of
+    the candidates that their error bound leaves."""
+    found, _ = sketches.heavy_hitters(td.listens_f2(spark, sf), K)
+    return found
+
+
+def split_overlap_sketches(spark, sf):
+    """U3/L5/A11 from stored sketches: the F2 log in two parts by (user, item),
+    a sketch of the users of each part and year; sizes and overlaps of the years
+    1993 to 1997 from the sketches alone (estimates beyond 4,096 users)."""
+    years = F.year("timestamp").alias("year")
+    labelled = splits.split_rows(td.listens_f2(spark, sf), 0.5, None).select("user_id", "split", years)
+    stored = write_once(sketches.user_sketches(labelled, "year"))
+    return sketches.sketch_overlap(stored.where("year between 1993 and 1997"), ("train", "val"))
+
+
+def exact_split_f2(spark, sf):
+    """L1/L2: exactly floor(0.7 n) of the users of F2 in train."""
+    counts = ratings.count_listens(td.listens_f2(spark, sf))
+    return splits.split_exact(counts, 0.7).select("user_id", "split").distinct()
+
+
+def exact_row_split_f1(spark, sf):
+    """L4 with exactly floor(0.7 n) of the (user, item) pairs of F1 in train."""
+    counts = ratings.count_listens(td.listens_f1(spark, sf))
+    return splits.split_exact(counts, 0.7, ("user_id", "recording_msid"), splits.ROW_SALT).drop("listens")
+
+
+def canonical_counts_f2_delta(spark, sf):
+    """I4 kept up batch by batch: the F2 log year by year, late years first."""
+    log, tracks = td.listens_f2(spark, sf), td.tracks_f2(spark, sf)
+    state = delta.IdentityState(spark, f"{checkpoint_dir(spark)}/identity-{uuid.uuid4().hex}")
+    for part in (1997, 1996, 1995, 1994, 1993):
+        year = F.year("timestamp")
+        rows = log.where((year >= 1997) | year.isNull() if part == 1997 else (year <= 1993) if part == 1993 else year == part)
+        state.merge(rows, tracks, str(part))
+    return state.counts()
+
+
+def canonical_changes_f1(spark, sf):
+    """I4: what the listens of F1 at odd hours, coming after the others, change:
+    mbids of another canonical item, with all their users' counts as they now
+    are."""
+    log, tracks = td.listens_f1(spark, sf), td.tracks_f1(spark, sf)
+    state = delta.IdentityState(spark, f"{checkpoint_dir(spark)}/identity-{uuid.uuid4().hex}")
+    odd = F.hour("timestamp") % 2 == 1
+    state.merge(log.where(~odd), tracks, "even")
+    return state.merge(log.where(odd), tracks, "odd").where("old_item is not null")
+
+
+def laid_out_top(spark, sf):
+    """T3/S3 + W1: listen counts written once in buckets by user, sorted; each
+    user's top items from that table, without an exchange."""
+    path = f"{checkpoint_dir(spark)}/laid-out-{uuid.uuid4().hex}"
+    counts = ratings.count_listens(td.listens_f2(spark, sf))
+    tables.write_laid_out(counts, path, ["user_id"], 16, ["recording_msid"])
+    return ranking.user_top_k(tables.read_laid_out(spark, path), 10)
+
+
+def csv_round_trip(spark, sf):
+    """S4 + S7: listen counts as CSV without a header, item and count swapped,
+    read back by position."""
+    path = f"{checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    order = ["user_id", "listens", "recording_msid"]
+    counts = ratings.count_listens(td.listens_f2(spark, sf))
+    tables.write_table(counts.select(*order), path, fmt="csv", header=False)
+    return tables.read_ratings(spark, path, fmt="csv", columns=order).select(
+        "user_id", "recording_msid", F.col("listens").cast("bigint").alias("listens"))
+
+
+def tuning_folds_f1(spark, sf):
+    """The fold of every rating (five folds by hash of user and item)."""
+    from earworm.operators import tuning
+
+    return tuning.with_folds(ratings.count_listens(td.listens_f1(spark, sf)), 5)
+
+
 REGISTRY = {
+    "heavy_total_top": heavy_total_top,
+    "split_overlap_sketches": split_overlap_sketches,
+    "exact_split_f2": exact_split_f2,
+    "exact_row_split_f1": exact_row_split_f1,
+    "canonical_counts_f2_delta": canonical_counts_f2_delta,
+    "canonical_changes_f1": canonical_changes_f1,
+    "laid_out_top": laid_out_top,
+    "csv_round_trip": csv_round_trip,
+    "tuning_folds_f1": tuning_folds_f1,
     "listen_counts_sql": listen_counts_sql,
     "popularity_map": popularity_map,
     "popularity_map_f1": popularity_map_f1,

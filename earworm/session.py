@@ -72,6 +72,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever store it names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def table_state(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """(name, bytes, time of change) of the files of a table: another state,
+    another tuple."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
+
+
 def is_local(master: str) -> bool:
     """Whether a master URL runs everything in one JVM."""
     return master == "local" or master.startswith("local[")

@@ -1,7 +1,9 @@
-"""Readers and writers."""
+"""Readers and writers."""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -52,10 +54,55 @@ def read_ratings(spark: SparkSession, path: str, fmt: str = "parquet",
     return read_table(spark, path, RATINGS)
 
 
+def write_sorted(df: DataFrame, path: str, *keys, fmt: str = "parquet", partitions: int | None = None,
+                 **options) -> None:
+    """Sink in one global order (T3): rows are dealt into ranges of ``keys``
+    and sorted inside each, so the files, by name, hold ascending ranges and no
+    task sorts more than its range."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+     .write.mode("overwrite").options(**options).format(fmt).save(path))
+
+
+LAYOUT = "keys array<string>, order array<string>, buckets int, ddl string"
+
+
+def write_laid_out(df: DataFrame, path: str, keys: list[str], buckets: int, order: list[str] | None = None) -> None:
+    """Parquet in ``buckets`` buckets of ``keys``, sorted inside each by ``keys``
+    and ``order``, one file a bucket; its layout is kept beside it.
+
+    Counts, top-k lists and truth lists by the key, and joins of two tables of
+    the same buckets, then need no exchange.  The table is external: it stays
+    where ``path`` says and any session can read it with ``read_laid_out``.
+    """
+    by = [*keys, *[c for c in order or [] if c not in keys]]
+    name = _table_name(path)
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    (df.repartition(buckets, *keys).sortWithinPartitions(*by).write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, *keys).sortBy(*by).format("parquet").saveAsTable(name))
+    df.sparkSession.createDataFrame([(keys, by, buckets, df.schema.toDDL())], LAYOUT).coalesce(1).write.mode(
+        "overwrite").parquet(f"{path.rstrip('/')}-layout")
+
+
+def read_laid_out(spark: SparkSession, path: str) -> DataFrame:
+    """A table that ``write_laid_out`` wrote, with its buckets known to the planner."""
+    name = _table_name(path)
+    if not spark.catalog.tableExists(name):
+        row = spark.read.schema(LAYOUT).parquet(f"{path.rstrip('/')}-layout").first()
+        keys, by = (", ".join(f"`{c}`" for c in columns) for columns in (row["keys"], row["order"]))
+        spark.sql(f"CREATE TABLE {name} ({row.ddl}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({by}) "
+                  f"INTO {row.buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
+def _table_name(path: str) -> str:
+    return f"laid_out_{hashlib.md5(path.rstrip('/').encode()).hexdigest()}"
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 compression: str = "snappy", partition_by: list[str] | None = None,
                 sort_by: list[str] | None = None, header: bool = True) -> None:
-    """Sink.  Sorting happens only here (T3), within partitions, never globally."""
+    """Sink.  ``sort_by`` sorts within partitions; see ``write_sorted`` for one order."""
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
     writer = df.write.mode(mode).option("compression", compression if fmt != "csv" else "none")
