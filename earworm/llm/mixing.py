@@ -45,12 +45,14 @@ def _uniform(*parts) -> Column:
 def with_sizes(docs: DataFrame, seed: int, doc_id: str = "doc_id", text: str = "text",
                source: str = "source") -> DataFrame:
     """``docs`` with _key (a source's key, never null), _size in words, and _u, the place of
-    the document in the permutation."""
+    the document in the permutation (by id and text: rows of one id, or of
+    none, are spread too, and equal rows are interchangeable)."""
     words = F.array_remove(F.split(F.coalesce(docs[text].cast("string"), F.lit("")), SPACE, -1), "")
     return docs.withColumns({
         "_key": F.when(docs[source].isNull(), "n").otherwise(F.concat(F.lit("v"), docs[source].cast("string"))),
         "_size": F.size(words).cast("bigint"),
-        "_u": _uniform(F.lit(seed), F.lit("permute"), docs[doc_id].cast("bigint"))})
+        "_u": _uniform(F.lit(seed), F.lit("permute"), docs[doc_id].cast("bigint"),
+                       F.xxhash64(docs[text].cast("string")))})
 
 
 def source_targets(sized: DataFrame, weights: tuple[float, ...], share: float, max_repeat: float) -> DataFrame:
@@ -172,8 +174,10 @@ def mix(sized: DataFrame, sizes: DataFrame, doc_id: str = "doc_id", weights: tup
     and should be a written table, as it is read for the sources and for the
     blocks.  Rows are shuffled once, by block, so a source of a third of all
     rows is as many tasks as it has blocks.  Shards hold about ``shard_words``
-    words, more where that would make over ``max_shards``.  Empty documents take 0 words; rows
-    with equal ids follow one another; an empty table stays empty.
+    words: where the tree would need over ``max_shards`` leaves, each leaf's
+    documents are dealt by hash to as many shards as its words ask for, so a
+    shard is no larger in a larger corpus.  Empty documents take 0 words; an
+    empty table stays empty.
     """
     if not 0 < max_repeat <= 2:
         raise ValueError("a source is passed over twice at most")
@@ -209,6 +213,7 @@ def mix(sized: DataFrame, sizes: DataFrame, doc_id: str = "doc_id", weights: tup
     taken = written(taken.withColumn("blocks", F.col("n_1") + F.col("n_2")), "taken")
     quota = sources.agg(F.sum("quota")).first()[0] or 0
     depth = max(0, math.ceil(math.log2(max(1, min(max_shards, quota / shard_words)))))
+    dealt = max(1, math.ceil(quota / (shard_words << depth)))
     ends = split_quotas(taken.select("rank", "blocks"), depth, seed)
     ends = written(taken.select("_key", "rank", "n_1", "n_2").join(ends, "rank").drop("rank"), "shards")
 
@@ -227,10 +232,14 @@ def mix(sized: DataFrame, sizes: DataFrame, doc_id: str = "doc_id", weights: tup
         return F.greatest(F.lit(0), F.least(F.col("_size"), F.col("quota") - start)).cast("bigint")
 
     rows = rows.withColumn("taken_1", words(0)).withColumn("taken_2", words(1))
-    return rows.select(
-        *sized.columns, "source_size", "target", "taken_1", "taken_2",
-        F.when(F.col("taken_1") > 0, F.col("shard_1")).alias("shard_1"),
-        F.when(F.col("taken_2") > 0, F.col("shard_2")).alias("shard_2"))
+
+    def shard_of(run: int) -> Column:
+        leaf = F.col(f"shard_{run}")
+        if dealt > 1:
+            leaf = leaf * dealt + F.pmod(F.xxhash64(F.lit(seed), F.lit("deal"), F.lit(run), "_u"), F.lit(dealt)).cast("int")
+        return F.when(F.col(f"taken_{run}") > 0, leaf).alias(f"shard_{run}")
+
+    return rows.select(*sized.columns, "source_size", "target", "taken_1", "taken_2", shard_of(1), shard_of(2))
 
 
 def _sizes(sized: DataFrame) -> DataFrame:

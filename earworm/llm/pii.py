@@ -22,7 +22,8 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from bisect import bisect_left, bisect_right
+from array import array
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -126,20 +127,30 @@ def term_of(word: str) -> str:
         f"{term[:CLASS_LETTERS]}#{xxhash.xxh64_hexdigest(term)}")
 
 
+def _mentions(text: str, spans: list[tuple[str, int, int]], window: int):
+    """(entity, [(start, end) of the words around], context) of each mention,
+    all mentions of an entity in a row.  The words are found once for all
+    mentions, so each has its ``window`` words a side, however far they are;
+    a long text's words are two arrays of numbers."""
+    mails = [(a, b) for kind, a, b in spans if kind == "email"]
+    starts = np.fromiter((m.start() for m in WORD.finditer(text)), np.int64)
+    ends = np.fromiter((m.end() for m in WORD.finditer(text)), np.int64)
+    entities = [entity_of(text, *s) for s in spans]
+    places = zip(np.searchsorted(ends, [a for _, a, _ in spans], "right").tolist(),
+                 np.searchsorted(starts, [b for _, _, b in spans], "left").tolist())
+    places = list(places)
+    for i in sorted(range(len(spans)), key=entities.__getitem__):
+        before, after = places[i]
+        around = [*range(max(0, before - window), before), *range(after, min(len(starts), after + window))]
+        words = [(a, b) for a, b in zip(starts[around].tolist(), ends[around].tolist()) if not _inside(mails, a, b)]
+        yield entities[i], words, xxhash.xxh64_intdigest(" ".join(text[a:b].lower() for a, b in words)) - (1 << 63)
+
+
 def contexts(text: str, spans: list[tuple[str, int, int]], window: int) -> list[dict]:
     """The words around each mention; ``n`` is 1 where the term stands with the
-    entity for the first time in this text.  The words are found once for all
-    mentions, so each has its ``window`` words a side, however far they are."""
-    mails = [(a, b) for kind, a, b in spans if kind == "email"]
-    found = [m.span() for m in WORD.finditer(text)]
-    starts, ends = [a for a, _ in found], [b for _, b in found]
+    entity for the first time in this text."""
     out, seen = [], set()
-    for kind, start, end in spans:
-        entity = entity_of(text, kind, start, end)
-        before, after = bisect_right(ends, start), bisect_left(starts, end)
-        words = [(a, b) for a, b in found[max(0, before - window): before] + found[after: after + window]
-                 if not _inside(mails, a, b)]
-        context = xxhash.xxh64_intdigest(" ".join(text[a:b].lower() for a, b in words)) - (1 << 63)
+    for entity, words, context in _mentions(text, spans, window):
         for a, b in words:
             term = term_of(text[a:b])
             for name, is_class in ((term, False), (class_of(term), True)):
@@ -149,6 +160,28 @@ def contexts(text: str, spans: list[tuple[str, int, int]], window: int) -> list[
     return out
 
 
+def entity_terms(text: str, spans: list[tuple[str, int, int]], window: int):
+    """(entity, term or class, is_class, least and greatest context) of what
+    stands near each entity, each once: what the statistics need of a text.
+    One entity's terms are held at a time."""
+    held, near = None, {}
+
+    def of_one():
+        for (name, is_class), (low, high) in near.items():
+            yield held, name, is_class, low, high
+
+    for entity, words, context in _mentions(text, spans, window):
+        if entity != held:
+            yield from of_one()
+            held, near = entity, {}
+        for a, b in words:
+            term = term_of(text[a:b])
+            for key in ((term, False), (class_of(term), True)):
+                low, high = near.get(key, (context, context))
+                near[key] = (min(low, context), max(high, context))
+    yield from of_one()
+
+
 def _inside(mails: list[tuple[int, int]], a: int, b: int) -> bool:
     """Whether a word overlaps an address (the other kinds hold no letters);
     ``mails`` are disjoint and ascending."""
@@ -156,17 +189,16 @@ def _inside(mails: list[tuple[int, int]], a: int, b: int) -> bool:
     return at >= 0 and mails[at][1] > a
 
 
-SCAN = ("part string, row bigint, spans array<struct<kind:string,start:int,end:int>>, "
-        "contexts array<struct<entity:bigint,term:string,is_class:boolean,context:bigint,n:int>>, "
-        "entities array<bigint>, term string, n_docs bigint")
+SCAN = ("part string, row bigint, spans array<struct<kind:string,start:int,end:int>>, entities array<bigint>, "
+        "term string, n_docs bigint, entity bigint, is_class boolean, c0 bigint, c1 bigint")
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-_CONTEXT = pa.struct([("entity", pa.int64()), ("term", pa.string()), ("is_class", pa.bool_()),
-                      ("context", pa.int64()), ("n", pa.int32())])
-_ARROW = [("_part", pa.string()), ("_row", pa.int64()), ("_spans", pa.list_(_SPAN)), ("_contexts", pa.list_(_CONTEXT)),
-          ("_entities", pa.list_(pa.int64())), ("_term", pa.string()), ("_n_docs", pa.int64())]
+_ARROW = [("_part", pa.string()), ("_row", pa.int64()), ("_spans", pa.list_(_SPAN)), ("_entities", pa.list_(pa.int64())),
+          ("_term", pa.string()), ("_n_docs", pa.int64()), ("_entity", pa.int64()), ("_is_class", pa.bool_()),
+          ("_c0", pa.int64()), ("_c1", pa.int64())]
 _DDL = ", ".join("_" + c for c in SCAN.split(", "))
-#: Terms that a task counts before it passes the counts on.
-HELD_TERMS = 500_000
+#: Terms that a task counts before it passes the counts on, and (entity, term)
+#: that it passes on together.
+HELD_TERMS, HELD_NEAR = 500_000, 20_000
 #: Bits that tell which terms or rows cannot match, whatever their number.
 SLOTS = 1 << 24
 
@@ -176,9 +208,10 @@ def _quoted(name: str) -> str:
 
 
 def _scan(docs: DataFrame, text: str, keep: list[str], window: int, path: str) -> StructType:
-    """One pass over the texts writes two tables: ``_part=row``, the rows with
-    the columns to keep, spans and contexts, and ``_part=term``, partial
-    document counts of terms and classes.  Returns their schema."""
+    """One pass over the texts writes three tables: ``_part=row``, the rows
+    with the columns to keep, spans and entities, ``_part=near``, what stands
+    near the entities of a text, and ``_part=term``, partial document counts of
+    terms and classes.  Returns their schema."""
     at, kept = docs.columns.index(text), [docs.columns.index(c) for c in keep]
 
     def scan(batches):
@@ -186,27 +219,34 @@ def _scan(docs: DataFrame, text: str, keep: list[str], window: int, path: str) -
 
         row, counts, schema = TaskContext.get().partitionId() << 33, {}, None
 
-        def terms():
-            n = len(counts)
-            empty = [pa.nulls(n, f.type) for f in schema]
-            values = {"_part": pa.array(["term"] * n), "_term": pa.array(counts.keys(), pa.string()),
-                      "_n_docs": pa.array(counts.values(), pa.int64())}
+        def table(part: str, n: int, **values):
+            given = {"_part": [part] * n, **values}
             return pa.RecordBatch.from_arrays(
-                [values.get(f.name, e) for f, e in zip(schema, empty)], schema=schema)
+                [pa.array(given[f.name], f.type) if f.name in given else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+        def terms():
+            return table("term", len(counts), _term=counts.keys(), _n_docs=counts.values())
+
+        def near(held: list[tuple]):
+            entity, term, is_class, low, high = zip(*held)
+            return table("near", len(held), _entity=entity, _term=term, _is_class=is_class, _c0=low, _c1=high)
 
         for batch in batches:
             schema = pa.schema([*(batch.schema.field(i) for i in kept), *[pa.field(*f) for f in _ARROW]])
-            rows, spans, near, entities = [], [], [], []
+            rows, spans, entities, held = [], [], [], []
             for value in batch.column(at):
                 whole = value.as_py() or ""
                 found = base_spans(whole)
-                around = contexts(whole, found, window) if found else []
+                for record in entity_terms(whole, found, window) if found else ():
+                    held.append(record)
+                    if len(held) >= HELD_NEAR:
+                        yield near(held)
+                        held = []
                 rows.append(row)
                 spans.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
-                near.append(around)
                 entities.append(sorted({entity_of(whole, *s) for s in found}))
                 row += 1
-                words = {term_of(w) for w in set(WORD.findall(whole))}
+                words = {term_of(w) for w in {m[0] for m in WORD.finditer(whole)}}
                 for term in words:
                     counts[term] = counts.get(term, 0) + 1
                 for term in {w[:CLASS_LETTERS] for w in words}:
@@ -214,11 +254,14 @@ def _scan(docs: DataFrame, text: str, keep: list[str], window: int, path: str) -
                 if len(counts) >= HELD_TERMS:
                     yield terms()
                     counts.clear()
+            if held:
+                yield near(held)
+            own = {f"_{name}": values for name, values in zip(("row", "spans", "entities"), (rows, spans, entities))}
+            kept_columns = {batch.schema.field(i).name: batch.column(i) for i in kept}
             n = len(rows)
-            yield pa.RecordBatch.from_arrays([
-                *(batch.column(i) for i in kept), pa.array(["row"] * n), pa.array(rows, pa.int64()), pa.array(spans, _ARROW[2][1]),
-                pa.array(near, _ARROW[3][1]), pa.array(entities, _ARROW[4][1]), pa.nulls(n, pa.string()),
-                pa.nulls(n, pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays(
+                [kept_columns[f.name] if f.name in kept_columns else pa.array(["row"] * n) if f.name == "_part"
+                 else pa.array(own[f.name], f.type) if f.name in own else pa.nulls(n, f.type) for f in schema], schema=schema)
         if counts:
             yield terms()
 
@@ -243,7 +286,7 @@ def _occurrences(rows: DataFrame, text: str, terms: DataFrame) -> DataFrame:
     bits[table["slot_word"].to_numpy()] = table["bits"].to_numpy()
     sent = rows.sparkSession.sparkContext.broadcast(bits.tobytes())
     names = ["_row", "term", "places"]
-    place = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    place = pa.struct([("start", pa.int32()), ("end", pa.int32())])
 
     def find(batches):
         held = sent.value
@@ -263,21 +306,26 @@ def _occurrences(rows: DataFrame, text: str, terms: DataFrame) -> DataFrame:
             return known[word]
 
         for batch in batches:
-            at, terms, places = [], [], []
+            at, terms, places, ends = [], [], array("i"), [0]
             for row, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 whole = value.as_py() or ""
-                if not any(map(term_at, set(WORD.findall(whole)))):
+                if not any(map(term_at, {m[0] for m in WORD.finditer(whole)})):
                     continue
                 mails, here = emails(whole), {}
                 for m in WORD.finditer(whole):
                     term = term_at(m[0])
                     if term is not None and not _inside(mails, *m.span()):
-                        here.setdefault(term, []).append({"start": m.start(), "end": m.end()})
+                        here.setdefault(term, array("i")).extend(m.span())
                 at += [row] * len(here)
                 terms += here.keys()
-                places += here.values()
+                for found in here.values():
+                    places.extend(found)
+                    ends.append(len(places) // 2)
+            both = np.frombuffer(places, np.int32).reshape(-1, 2)
+            spans = pa.StructArray.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], fields=list(place))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at, pa.int64()), pa.array(terms, pa.string()), pa.array(places, place)], names=names)
+                [pa.array(at, pa.int64()), pa.array(terms, pa.string()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spans)], names=names)
 
     return rows.select("_row", _quoted(text)).mapInArrow(
         find, "_row bigint, term string, places array<struct<start:int,end:int>>")
@@ -302,11 +350,11 @@ def find_private(docs: DataFrame, text: str = "text", window: int = 8, threshold
     path, keep = shared_path(spark, "pii"), docs.columns if keep is None else keep
     schema = _scan(docs, text, keep if text in keep else [*keep, text], window, path)
     scanned = spark.read.schema(schema).parquet(path)
-    rows = scanned.where("_part = 'row'").drop("_part", "_term", "_n_docs")
+    rows = scanned.where("_part = 'row'").drop("_part", "_term", "_n_docs", "_entity", "_is_class", "_c0", "_c1")
     n_docs = rows.count()
-    near = rows.where("size(_contexts) > 0").select(F.explode("_contexts").alias("c")).select("c.*")
-    pairs = (near.groupBy("entity", "term", "is_class")
-             .agg(F.sum("n").alias("n_ct"), F.min("context").alias("c0"), F.max("context").alias("c1"))
+    pairs = (scanned.where("_part = 'near'")
+             .groupBy(F.col("_entity").alias("entity"), F.col("_term").alias("term"), F.col("_is_class").alias("is_class"))
+             .agg(F.count(F.lit(1)).alias("n_ct"), F.min("_c0").alias("c0"), F.max("_c1").alias("c1"))
              .where("n_ct >= 2 and c0 <> c1").drop("c0", "c1"))
     entities = rows.select(F.explode("_entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
     terms = (scanned.where("_part = 'term'").select(F.col("_term").alias("term"), F.col("_n_docs").alias("n"))

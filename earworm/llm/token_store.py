@@ -137,7 +137,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: bytes, end_id: int
                  text: str = "text", shard_ids: int = 1 << 21, partitions: int | None = None) -> None:
     """Encode every row's whole text, append ``end_id``, write shards to ``path``.
 
-    One shuffle: rows are range-partitioned by ``doc_id`` (equal ids by text),
+    One shuffle: rows are range-partitioned by ``doc_id`` (equal ids by a hash
+    of the text, so that rows of one id, or of none, are many tasks' too),
     then each task encodes its range in order and closes a shard at
     ``shard_ids`` ids, so its memory holds one shard.  Null text: empty; null
     ids come first; repeated rows are stored once each.  An empty table writes
@@ -167,8 +168,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: bytes, end_id: int
             yield pa.RecordBatch.from_pylist([_pack(part, first, ids, pieces, width)], _ARROW)
 
     rows = docs.select(docs[doc_id].cast("bigint").alias("_id"), docs[text].cast("string").alias("_text"))
-    (rows.repartitionByRange(n, "_id").sortWithinPartitions("_id", "_text")
-     .mapInArrow(pack, SHARD).write.parquet(path))
+    (rows.withColumn("_hash", F.xxhash64("_text")).repartitionByRange(n, "_id", "_hash")
+     .sortWithinPartitions("_id", "_hash", "_text").select("_id", "_text").mapInArrow(pack, SHARD).write.parquet(path))
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

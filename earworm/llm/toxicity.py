@@ -43,9 +43,10 @@ def text_words(text: str | None) -> set[str]:
 
 def sample_labels(labels: DataFrame, per_class: int, doc_id: str = "doc_id") -> DataFrame:
     """At most ``per_class`` toxic and as many other labelled ids, least hash
-    first; a doc_id labelled twice is toxic if one label says so, good if all do."""
-    marks = labels.select(labels[doc_id].cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"),
-                          F.col("quality").cast("int").alias("quality")).where("doc_id is not null and toxic is not null")
+    first; a doc_id labelled twice is toxic if one label says so, good if all do.
+    Only 1 says toxic and only 0 says poor quality, whatever else a label holds."""
+    marks = labels.select(labels[doc_id].cast("bigint").alias("doc_id"), (F.col("toxic") == 1).cast("int").alias("toxic"),
+                          (F.col("quality") != 0).cast("int").alias("quality")).where("doc_id is not null and toxic is not null")
     marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     order = F.xxhash64(F.lit(SEED), "doc_id")
     return marks.where("toxic = 1").orderBy(order, "doc_id").limit(per_class).unionByName(

@@ -135,7 +135,9 @@ def test_sanitised_texts(spark):
 def test_windows_of_long_runs():
     t = "x" * 10_000 + " a@b.co " + "y" * 10_000
     (span,) = [s for s in pii.base_spans(t) if s[0] == "email"]
-    assert pii.contexts(t, [span], 8) == []  # words that reach beyond the margin are left out
+    near = pii.contexts(t, [span], 8)  # runs of any length are terms, known by a hash
+    assert [t[c["start"]:c["end"]][0] for c in near if not c["is_class"]] == ["x", "y"]
+    assert [c["term"] for c in near if c["is_class"]] == ["xxx*", "yyy*"]
     near = pii.contexts("one two a@b.co three", [("email", 8, 14)], 1)
     assert [(c["term"], c["start"]) for c in near if not c["is_class"]] == [("two", 4), ("three", 15)]
 
@@ -174,3 +176,88 @@ def test_short_names_are_removed(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert pii.sanitised(df).count() == 0 and pii.find_private(df.select("doc_id", "text")).count() == 0
+
+
+def test_entity_terms_are_the_contexts_summed_up():
+    rng = random.Random(4)
+    for _ in range(200):
+        t = " ".join(rng.choice(["ann@ex.org", "bob@ex.org", "10.0.0.1", "Red", "blue", "x" * 70, "12"])
+                     for _ in range(rng.randint(0, 40)))
+        spans, want = pii.base_spans(t), {}
+        for c in pii.contexts(t, spans, 3):
+            low, high = want.get((c["entity"], c["term"], c["is_class"]), (c["context"],) * 2)
+            want[c["entity"], c["term"], c["is_class"]] = (min(low, c["context"]), max(high, c["context"]))
+        assert {r[:3]: r[3:] for r in pii.entity_terms(t, spans, 3)} == want
+
+
+def test_memory_of_a_long_text():
+    """5 MB with 100,000 addresses: what is held at a time stays small."""
+    import tracemalloc
+
+    rng = random.Random(6)
+    t = " ".join(f"word{rng.randint(0, 999)} u{i}@ex{i % 977}.org some other words here"[:52] for i in range(100_000))
+    assert len(t) > 4_500_000
+    spans = pii.base_spans(t)
+    assert len(spans) == 100_000
+    tracemalloc.start()
+    n = sum(1 for _ in pii.entity_terms(t, spans, 8))
+    assert n > 800_000 and tracemalloc.get_traced_memory()[1] < 150 << 20
+    tracemalloc.stop()
+
+
+def brute_terms(texts, window, threshold):
+    """The revealing terms by their definition, text by text."""
+    import math
+
+    beside, holds, has, contexts = {}, {}, {}, {}
+    for i, t in enumerate(texts):
+        spans = pii.base_spans(t)
+        names = {pii.term_of(w) for w in pii.WORD.findall(t)}
+        for name in names | {n[:3] + "*" for n in names}:
+            has.setdefault(name, set()).add(i)
+        for c in pii.contexts(t, spans, window):
+            key = (c["entity"], c["term"])
+            beside.setdefault(key, set()).add(i)
+            contexts.setdefault(key, set()).add(c["context"])
+        for s in spans:
+            holds.setdefault(pii.entity_of(t, *s), set()).add(i)
+    n, out = len(texts), {}
+
+    def reveals(entity, name):
+        docs = beside.get((entity, name), ())
+        n_c = len(holds[entity])
+        if len(docs) < 2 or len(contexts[entity, name]) < 2 or n_c >= n:
+            return False
+        return math.log(len(docs) * n / (n_c * len(has[name]))) / math.log(n / n_c) >= threshold
+
+    for entity, name in beside:
+        if not name.endswith("*") and reveals(entity, name):
+            removed = reveals(entity, name[:3] + "*") or len(name) <= 3
+            out[name] = "term" if removed or out.get(name) == "term" else "class"
+    return out
+
+
+def test_revealing_terms_against_brute_force(spark):
+    rng = random.Random(11)
+    common = ["river", "house", "walks", "green", "paper", "stone", "under", "light"]
+    names = {"ann@ex.org": ["Zyglot", "Liu"], "bob@ex.org": ["Oxbow", "Oxen"], "10.1.2.3": ["Qu" + "ab" * 40]}
+    texts = []
+    for entity, own in names.items():
+        for _ in range(9):
+            words = [rng.choice(common) for _ in range(rng.randint(4, 10))]
+            words.insert(rng.randint(0, len(words)), entity)
+            for o in own:
+                if rng.random() < 0.9:
+                    words.insert(rng.randint(0, len(words)), o)
+            texts.append(" ".join(words))
+    texts += [" ".join(rng.choice(["zygote", "oxygen", "liuto"] if rng.random() < .2 else common)
+                       for _ in range(12)) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    want = brute_terms(texts, 8, 0.8)
+    assert set(want.values()) == {"term", "class"}
+    for r in pii.find_private(df).collect():
+        mails = [(a, b) for k, a, b in pii.base_spans(r.text) if k == "email"]
+        terms = [(kind if m.end() - m.start() > 3 else "term", m.start(), m.end()) for m in pii.WORD.finditer(r.text)
+                 if (kind := want.get(pii.term_of(m[0]))) and not pii._inside(mails, *m.span())]
+        got = [(s.kind, s.start, s.end) for s in r._spans if s.kind in ("term", "class")]
+        assert got == sorted(terms, key=lambda s: (s[0] != "term", s[1]))

@@ -88,3 +88,13 @@ def test_odd_tables(spark, fitted):
     for marks in ([], [(1, 1, 0), (4, 0, 0), (None, 1, 1), (7, None, None), (1, 1, 0)]):
         model = toxicity.fit_chain(frame(spark, data), spark.createDataFrame(marks, LABELS))
         assert not any(r.toxic for r in toxicity.scored(frame(spark, data), model).collect())
+
+
+def test_labels_outside_0_and_1(spark):
+    """Only 1 is toxic, only 0 is poor quality; a null mark is no label."""
+    docs, marks = planted(3, 300)
+    odd = [(i, q if i % 3 else 7, t if t else [0, 2, -1, None][i % 4]) for i, q, t in marks]
+    got = {r.doc_id: (r.toxic, r.quality) for r in toxicity.sample_labels(spark.createDataFrame(odd, LABELS), 1000).collect()}
+    assert got == {i: (int(t == 1), int(q != 0)) for i, q, t in odd if t is not None}
+    model = toxicity.fit_chain(frame(spark, docs), spark.createDataFrame(odd, LABELS), n_terms=64)
+    assert len(model.thresholds) == 3
