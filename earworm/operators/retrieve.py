@@ -29,11 +29,13 @@ import time
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
 from earworm.session import cut_lineage
@@ -46,8 +48,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TILE, PAIRS = 256, 1 << 16
 
 
-def _matrix(series: pd.Series) -> np.ndarray:
-    return np.vstack([np.asarray(v, dtype=np.float64) for v in series])
+def _values(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
+
+
+def _matrix(table: pa.Table, name: str) -> np.ndarray:
+    """A column of vectors of one length as a matrix."""
+    flat = table.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return np.asarray(flat, dtype=np.float64).reshape(table.num_rows, -1)
 
 
 def _in_order(q: np.ndarray, x: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
@@ -64,12 +72,19 @@ def _in_order(q: np.ndarray, x: np.ndarray, rows: np.ndarray, cols: np.ndarray)
 
 def top_k_of_block(qids: np.ndarray, q: np.ndarray, iids: np.ndarray, x: np.ndarray, k: int) -> pd.DataFrame:
     """The best k items of a block per query, ties by smaller item id."""
+    places, ids, scores = _best_of_block(q, iids, x, k)
+    return pd.DataFrame({"query_id": qids[places], "item_id": ids, "score": scores})
+
+
+def _best_of_block(q: np.ndarray, iids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query place, item id, score) of the best k items of a block per query,
+    ties by smaller item id."""
     by_id = np.argsort(iids, kind="stable")
     iids, x = iids[by_id], x[by_id]
     n, kk = len(iids), min(k, len(iids))
     reach = np.abs(x).sum(axis=1).max()
     found = []
-    for at in range(0, len(qids), TILE):
+    for at in range(0, len(q), TILE):
         tile = q[at: at + TILE]
         scores = tile @ x.T
         kth = np.partition(scores, n - kk, axis=1)[:, n - kk]
@@ -81,25 +96,26 @@ def top_k_of_block(qids: np.ndarray, q: np.ndarray, iids: np.ndarray, x: np.ndar
         rows, cols, exact = rows[order], cols[order], exact[order]
         place = np.arange(len(rows)) - np.searchsorted(rows, rows, "left")
         kept = place < kk
-        found.append(pd.DataFrame({"query_id": qids[at + rows[kept]], "item_id": iids[cols[kept]],
-                                   "score": exact[kept]}))
-    return pd.concat(found)
+        found.append((at + rows[kept], iids[cols[kept]], exact[kept]))
+    return tuple(np.concatenate(column) for column in zip(*found))
 
 
 def _score_blocks(queries: DataFrame, items: DataFrame, keys: list[str], k: int) -> DataFrame:
     """Best k per (query, block) of blocks that share ``keys``; queries hold
     query_id and _qv, items item_id and _iv, ids of any type."""
-    q_type, i_type = dict(queries.dtypes)["query_id"], dict(items.dtypes)["item_id"]
+    q_field, i_field = queries.schema["query_id"], items.schema["item_id"]
+    q_type, i_type = to_arrow_type(q_field.dataType), to_arrow_type(i_field.dataType)
 
-    def score(q: pd.DataFrame, i: pd.DataFrame) -> pd.DataFrame:
-        if len(q) == 0 or len(i) == 0:
-            return pd.DataFrame({"query_id": [], "item_id": [], "score": []})
-        return top_k_of_block(q["query_id"].to_numpy(), _matrix(q["_qv"]), i["item_id"].to_numpy(),
-                              _matrix(i["_iv"]), k)
+    def score(q: pa.Table, i: pa.Table) -> pa.Table:
+        places, ids, scores = np.zeros(0, np.int64), [], np.zeros(0)
+        if q.num_rows and i.num_rows:
+            places, ids, scores = _best_of_block(_matrix(q, "_qv"), _values(i, "item_id"), _matrix(i, "_iv"), k)
+        return pa.table([q.column("query_id").combine_chunks().take(pa.array(places)).cast(q_type),
+                         pa.array(ids, i_type), pa.array(scores)], names=["query_id", "item_id", "score"])
 
     # Both sides must carry identical key types, or cogroup hashes them apart.
-    return queries.groupBy(*keys).cogroup(items.groupBy(*keys)).applyInPandas(
-        score, f"query_id {q_type}, item_id {i_type}, score double")
+    return queries.groupBy(*keys).cogroup(items.groupBy(*keys)).applyInArrow(
+        score, f"query_id {q_field.dataType.simpleString()}, item_id {i_field.dataType.simpleString()}, score double")
 
 
 def _rank(cands: DataFrame, k: int) -> DataFrame:
