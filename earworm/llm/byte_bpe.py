@@ -49,15 +49,22 @@ class Merges:
         self.bytes = {i: t for t, i in ranks.items()}
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("needs a token for every byte")
-        self.halves: dict[int, tuple[int, int]] = {}
+        ids = max(self.bytes) + 1
+        # of a token's last merge; -1: a single byte, or a token never made
+        self.first_half, self.last_half = [-1] * ids, [-1] * ids
+        self.joined: dict[int, int] = {}  # left << 32 | right -> the token that both make
         self.child: dict[int, int] = {}  # node * 256 + byte -> node; the root is 0
         self.token = [-1]  # the token that ends at a node
         for text, token in ranks.items():
+            for cut in range(1, len(text)):
+                left, right = ranks.get(text[:cut]), ranks.get(text[cut:])
+                if left is not None and right is not None:
+                    self.joined[left << 32 | right] = token
             if len(text) > 1:
                 parts = self.merge(text, token)
                 if len(parts) != 2:
                     continue  # merging never makes this token
-                self.halves[token] = (ranks[parts[0]], ranks[parts[1]])
+                self.first_half[token], self.last_half[token] = ranks[parts[0]], ranks[parts[1]]
             node = 0
             for b in text:
                 key = node << 8 | b
@@ -66,9 +73,9 @@ class Merges:
                     node = self.child[key] = len(self.token)
                     self.token.append(-1)
             self.token[node] = token
-        self._children: dict[int, list[int]] = {}
+        self.children: dict[int, list[int]] = {}
         for key, node in self.child.items():
-            self._children.setdefault(key >> 8, []).append(node)
+            self.children.setdefault(key >> 8, []).append(node)
         self._longer: dict[int, list[int]] = {}
         self._alive: dict[int, bool] = {}
 
@@ -90,18 +97,18 @@ class Merges:
         joined the two parts that then meet at the boundary before the undone
         merge came (of equal ranks, the one further left comes first).
         """
-        ranks, text, halves = self.ranks, self.bytes, self.halves
-        a, b, before = left, right, len(text) + 1
+        joined, first_half, last_half = self.joined, self.first_half, self.last_half
+        a, b, before = left, right, len(first_half) + 1
         while True:
-            if ranks.get(text[a] + text[b], before) < before:
+            if joined.get(a << 32 | b, before) < before:
                 return False
-            undo_a, undo_b = halves.get(a), halves.get(b)
-            if undo_a is None and undo_b is None:
+            tail, head = last_half[a], first_half[b]
+            if head < 0 and tail < 0:
                 return True
-            if undo_b is None or (undo_a is not None and a > b):
-                before, a = a, undo_a[1]
+            if head < 0 or (tail >= 0 and a > b):
+                before, a = a, tail
             else:
-                before, b = b + 1, undo_b[0]
+                before, b = b + 1, head
 
     def longer(self, node: int) -> list[int]:
         """Tokens that go on from a node of the trie, short ones first."""
@@ -109,7 +116,7 @@ class Merges:
         if known is None:
             known, nodes = [], [node]
             while nodes:
-                nodes = [below for n in nodes for below in self._children.get(n, ())]
+                nodes = [below for n in nodes for below in self.children.get(n, ())]
                 known += [self.token[n] for n in nodes if self.token[n] >= 0]
             self._longer[node] = known
         return known
@@ -129,18 +136,18 @@ class Merges:
 
 
 class State(dict):
-    """``byte -> (state, tokens emitted)``.  ``tree`` holds, three integers a
-    boundary, (parent, last token, trie node or -1) of the open boundaries in
-    reading order."""
+    """``byte -> (state, tokens emitted)``.  ``tree`` holds, three numbers a
+    boundary, parent, last token and trie node (or -1) of the open boundaries
+    in reading order."""
 
     __slots__ = ("tree",)
 
-    def __init__(self, tree: bytes):
+    def __init__(self, tree: tuple[int, ...]):
         self.tree = tree
 
     def final(self) -> list[int]:
         """The tokens that are still to emit if the input ends here."""
-        tree, out = array("i", self.tree), []
+        tree, out = self.tree, []
         at = len(tree) - 3
         while at > 0:
             out.append(tree[at + 1])
@@ -156,48 +163,57 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.states: dict[bytes, State] = {}
-        self.start = self._state(array("i", (-1, -1, 0)).tobytes())
+        self.states: dict[tuple[int, ...], State] = {}
+        self.start = self._state((-1, -1, 0))
 
-    def _state(self, tree: bytes) -> State:
+    def _state(self, tree: tuple[int, ...]) -> State:
         state = self.states.get(tree)
         if state is None:
             state = self.states[tree] = State(tree)
         return state
 
     def _step(self, state: State, byte: int) -> tuple[State, tuple]:
-        merges, child, token_at = self.merges, self.merges.child, self.merges.token
-        flat, tree, closed = array("i", state.tree), [], None
-        for i, (parent, last, node) in enumerate(zip(flat[::3], flat[1::3], flat[2::3])):
+        merges = self.merges
+        child, token_at, inner, alive = merges.child, merges.token, merges.children, merges.alive
+        parents, lasts, nodes = [], [], []
+        closed = shut = -1
+        numbers = iter(state.tree)
+        for parent, last, node in zip(numbers, numbers, numbers):
             if node >= 0:
                 node = child.get(node << 8 | byte, -1)
-            if node >= 0:
-                token = token_at[node]
-                if closed is None and token >= 0 and (last < 0 or merges.neighbours(last, token)):
-                    closed = (i, token, 0)  # no other boundary can close here too
-                if not merges.alive(last, node):
-                    node = -1
-            tree.append((parent, last, node))
-        tree.append(closed)
-        children = [0] * len(tree)  # of those that are open or have such children
-        for i in range(len(tree) - 1, 0, -1):
-            if tree[i][2] >= 0 or children[i]:
-                children[tree[i][0]] += 1
+                if node >= 0:
+                    if shut < 0:
+                        token = token_at[node]
+                        if token >= 0 and (last < 0 or merges.neighbours(last, token)):
+                            closed, shut = len(nodes), token  # no other boundary can close here too
+                    if node not in inner or not alive(last, node):
+                        node = -1
+            parents.append(parent)
+            lasts.append(last)
+            nodes.append(node)
+        parents.append(closed)
+        lasts.append(shut)
+        nodes.append(0)
+        below = [0] * len(nodes)  # children that are open or have such children
+        for i in range(len(nodes) - 1, 0, -1):
+            if nodes[i] >= 0 or below[i]:
+                below[parents[i]] += 1
         root, emitted = 0, []
-        while tree[root][2] < 0 and children[root] == 1:
-            root = next(i for i in range(root + 1, len(tree))
-                        if tree[i][0] == root and (tree[i][2] >= 0 or children[i]))
-            emitted.append(tree[root][1])
-        _, last, node = tree[root]
-        place, smaller = {root: 0}, array("i", (-1, last if node >= 0 else -1, node))
-        for i in range(root + 1, len(tree)):
-            parent, last, node = tree[i]
-            if parent in place and (node >= 0 or children[i]):
+        while nodes[root] < 0 and below[root] == 1:
+            only = root + 1
+            while parents[only] != root or (nodes[only] < 0 and not below[only]):
+                only += 1
+            root = only
+            emitted.append(lasts[root])
+        place = {root: 0}
+        tree = [-1, lasts[root] if nodes[root] >= 0 else -1, nodes[root]]
+        for i in range(root + 1, len(nodes)):
+            if (nodes[i] >= 0 or below[i]) and parents[i] in place:
+                tree += (place[parents[i]], lasts[i], nodes[i])
                 place[i] = len(place)
-                smaller.extend((place[parent], last, node))
         if len(self.states) >= self.max_states:
             self._forget()  # the state in hand lives on until it is left
-        step = state[byte] = (self._state(smaller.tobytes()), tuple(emitted))
+        step = state[byte] = (self._state(tuple(tree)), tuple(emitted))
         return step
 
     def __call__(self, word: bytes) -> list[int]:
