@@ -110,6 +110,18 @@ def hex_of(lanes: Column) -> Column:
     return F.rpad(used, 8 * LANES, "0")
 
 
+def compact_of(lanes: Column) -> Column:
+    """Text of a fingerprint, as long as what it took in: 8 digits of the count
+    and of each dense lane, then, of the sparse lanes that are not 0, place (4
+    digits) and value (8).  Equal lanes have equal texts and the other way
+    round."""
+    used = short(lanes)
+    dense = F.array_join(F.transform(F.slice(used, 1, 1 + DENSE), lambda v: F.lpad(F.hex(v), 8, "0")), "")
+    sparse = F.transform(F.slice(used, 2 + DENSE, LANES), lambda v, i: F.when(
+        v != 0, F.concat(F.lpad(F.hex(i.cast("bigint")), 4, "0"), F.lpad(F.hex(v), 8, "0"))))
+    return F.lower(F.concat(dense, F.array_join(sparse, "")))  # nulls are not joined
+
+
 def likeness(left: Column, right: Column) -> Column:
     """2 s / (2 s + u), 0 to 1; equal: 1.  s: distinct paragraphs that occur
     equally often on both sides; u: the other distinct paragraphs.
@@ -203,9 +215,11 @@ def with_next(rows: DataFrame, order: str, tie: str, carry: list[str], buckets:
 
 
 def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                        buckets: int | None = None) -> DataFrame:
+                        buckets: int | None = None, shown=hex_of) -> DataFrame:
     """Fingerprints of every text and of its edited text (the last half of its
     characters replaced by as many of the next document), and their likeness.
+    ``shown`` makes the text of a fingerprint: ``hex_of``, of one width, or
+    ``compact_of``.
 
     Rows of equal doc_id follow one another by text; a null doc_id comes last;
     one lone row follows itself.  Null text counts as empty.
@@ -220,12 +234,12 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     rows = with_lanes(rows.select("doc_id", "n_chars", whole(F.col("lanes")).alias("lanes"),
                                   whole(F.col("next_lanes")).alias("next_lanes"), "edited"), "edited", "edited_lanes")
     return rows.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), hex_of(F.col("lanes")).alias("fingerprint"),
-        hex_of(F.col("edited_lanes")).alias("edited_fingerprint"),
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), shown(F.col("lanes")).alias("fingerprint"),
+        shown(F.col("edited_lanes")).alias("edited_fingerprint"),
         likeness(F.col("lanes"), F.col("edited_lanes")).alias("near_edited"),
         likeness(F.col("lanes"), F.col("next_lanes")).alias("near_next"))
 
 
 def op2_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multiset fingerprints of all documents, their edits and successors."""
-    return edited_fingerprints(documents(spark, sf_dir))
+    return edited_fingerprints(documents(spark, sf_dir), shown=compact_of)

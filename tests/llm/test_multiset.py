@@ -110,3 +110,20 @@ def test_empty_one_and_null_ids(spark):
 def test_runs_without_python(spark):
     plan = mh.edited_fingerprints(frame(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_compact_texts_of_fingerprints(spark):
+    """As long as what the text took in; equal for equal texts in any order,
+    and another text for each other fingerprint."""
+    data = [*rows(), (7001, "one\ntwo", "en", "a", 1, 1, "", 1, "", ""), (7002, "two\none", "en", "a", 1, 1, "", 1, "", "")]
+    wide = {r.doc_id: r for r in mh.edited_fingerprints(frame(spark, data)).collect()}
+    slim = {r.doc_id: r for r in mh.edited_fingerprints(frame(spark, data), shown=mh.compact_of).collect()}
+    for side in ("fingerprint", "edited_fingerprint"):
+        same, other = {}, {}
+        for i in wide:
+            assert same.setdefault(wide[i][side], slim[i][side]) == slim[i][side]
+            assert other.setdefault(slim[i][side], wide[i][side]) == wide[i][side]
+    assert slim[7001].fingerprint == slim[7002].fingerprint
+    for d in data:
+        n = len((d[1] or "").split("\n"))
+        assert d[0] is None or len(slim[d[0]].fingerprint) <= 8 * 9 + 12 * n * 3
