@@ -29,6 +29,8 @@ from earworm.llm.store import documents, neutral, written
 RADIUS = 3
 SHINGLE = 3
 PIVOTS = 16
+#: Fingerprints under one key of three blocks that one task takes.
+HOT_ROWS = 4096
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = 42) -> int:
@@ -124,6 +126,10 @@ def _links_of_sorted(keys: np.ndarray, fps: np.ndarray, pivots: np.ndarray, radi
     return np.concatenate(out)
 
 
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
 def near_links(distinct: DataFrame, radius: int = RADIUS, n_pivots: int = PIVOTS) -> DataFrame:
     """(a, b): links between the distinct fingerprints of column ``fp`` that
     join every linked pair's components, all pairs with radius or fewer bits
@@ -132,7 +138,12 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, n_pivots: int = PIVOTS
     Each fingerprint goes to one row per choice of three blocks, dealt by
     (choice, the three blocks): about 32 of 64 bits, so rows meet by chance
     only in tables of billions.  A task streams its sorted keys and holds the
-    16 bytes a row of one key at a time.
+    16 bytes a row of one key at a time.  A key of over ``HOT_ROWS``
+    fingerprints (texts that share most of a boilerplate) is dealt on: the 64
+    bits lie in ``radius + 2`` stripes, of which a linked pair keeps two
+    unchanged, so each of its rows goes to one row per choice of two stripes.
+    Under one such key at most 2^26 fingerprints can differ, some of them
+    hot by chance only.
     """
     blocks = radius + 3
     cuts = [round(64 * i / blocks) for i in range(blocks + 1)]
@@ -164,9 +175,19 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, n_pivots: int = PIVOTS
         signed = np.ascontiguousarray(pairs).view(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(signed[:, 0]), pa.array(signed[:, 1])], names=["a", "b"])
 
+    def linked(dealt: DataFrame) -> DataFrame:
+        return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(link, "a bigint, b bigint")
+
     dealt = distinct.select(F.explode(F.array(*keys)).alias("key"), "fp")
-    return (dealt.repartition("key").sortWithinPartitions("key")
-            .mapInArrow(link, "a bigint, b bigint").distinct())
+    hot = written(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_ROWS).select("key"), "hot-keys")
+    if hot.isEmpty():
+        return linked(dealt).distinct()
+    stripes = [sum(1 << b for b in range(i, 64, radius + 2)) for i in range(radius + 2)]
+    masks = [_signed(stripes[i] | stripes[j]) for i, j in combinations(range(radius + 2), 2)]
+    further = F.array(*[F.xxhash64("key", F.lit(i), F.col("fp").bitwiseAND(F.lit(mask).cast("bigint")))
+                        for i, mask in enumerate(masks)])
+    again = dealt.join(hot, "key", "left_semi").select(F.explode(further).alias("key"), "fp")
+    return linked(dealt.join(hot, "key", "left_anti")).unionByName(linked(again)).distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,

@@ -120,3 +120,49 @@ def test_empty_table(spark):
 def test_no_cross_join_in_the_plan(spark):
     plan = simhash.near_links(spark.range(10).select(F.col("id").alias("fp")))._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def family(n: int, seed: int):
+    """Distinct fingerprints that share 36 bits: one key of three blocks holds
+    them all; some are near each other, most are not."""
+    rng = random.Random(seed)
+    shared = rng.getrandbits(64) & ~((1 << 28) - 1)
+    out = set()
+    while len(out) < n:
+        x = shared | rng.getrandbits(28)
+        out.add(x)
+        if rng.random() < 0.2:
+            out.add(x ^ (1 << rng.randrange(28)) ^ (1 << rng.randrange(28)))
+    return sorted(out)
+
+
+def test_a_key_of_many_fingerprints_is_dealt_on(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "HOT_ROWS", 100)
+    fps = family(1500, 3) + [random.Random(9).getrandbits(64) for _ in range(200)]
+    frame_ = spark.createDataFrame([(int(np.uint64(f).astype(np.int64)),) for f in fps], "fp bigint")
+    links = simhash.near_links(frame_).collect()
+    signed = [int(np.uint64(f).astype(np.int64)) for f in fps]
+    node = {r.node: r.root for r in components.component_roots(
+        spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert [node.get(s, s) for s in signed] == brute_components(list(zip(signed, fps)))
+    assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 3 for a, b in links)
+
+
+def test_a_hot_key_is_many_bounded_tasks(spark):
+    """20,000 distinct fingerprints under one key: the same components as with
+    one task, no further key holds more than a part of them."""
+    fps = family(20_000, 5)
+    frame_ = spark.createDataFrame([(int(np.uint64(f).astype(np.int64)),) for f in fps], "fp bigint")
+    links = simhash.near_links(frame_)
+    node = {r.node: r.root for r in components.component_roots(links).collect()}
+    array = np.array(fps, np.uint64)
+    whole = simhash.spanning_links(array, simhash.pivot_table(array, simhash.pivot_references()), 3)
+    pairs = spark.createDataFrame([(int(array[a].astype(np.int64)), int(array[b].astype(np.int64))) for a, b in whole],
+                                  "a bigint, b bigint")
+    want = {r.node: r.root for r in components.component_roots(pairs).collect()}
+    assert node == want and len(want) > 1000
+    stripes = [sum(1 << b for b in range(i, 64, 5)) for i in range(5)]
+    for i in range(5):
+        for j in range(i):
+            kept = array & np.uint64(stripes[i] | stripes[j])
+            assert np.unique(kept, return_counts=True)[1].max() < 2000
