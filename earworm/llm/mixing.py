@@ -34,6 +34,8 @@ from earworm.llm.store import documents, neutral, written
 WEIGHTS = (5, 2, 1)
 #: Tables over sources are broadcast up to this size.
 BROADCAST_BYTES = 16 << 20
+#: Levels of the splitting tree between two exchanges of its nodes.
+DEAL_LEVELS = 4
 #: Blocks per group of the two-level running sums.
 GROUP = 1024
 
@@ -118,10 +120,14 @@ def split_quotas(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
 
     ``quotas`` has (rank, blocks), ranks from 0 without gap.  A node of the tree
     is one row with an array over the sources; each level is one projection.
+    Every ``DEAL_LEVELS`` levels the nodes are dealt out anew, so the tree is
+    drawn by as many tasks as it has nodes there.
     """
     nodes = quotas.agg(F.array_sort(F.collect_list(F.struct("rank", "blocks"))).alias("all")).select(
         F.lit(0).cast("bigint").alias("node"), F.transform("all", lambda x: x["blocks"]).alias("counts"))
     for level in range(depth):
+        if level and level % DEAL_LEVELS == 0:
+            nodes = nodes.repartition("node")
         total = F.aggregate("counts", F.lit(0).cast("bigint"), lambda acc, x: acc + x)
 
         def draw(acc: Column, marked: Column) -> Column:
