@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -201,6 +202,8 @@ def _keyed(rows: DataFrame) -> DataFrame:
 
 #: What tells rows apart, and their order (Spark's: nulls come first).
 KEY = ("conv_id", "turn", "role", "digest")
+SOUND, CUT, BLANK = range(3)
+FAULTS = ("", "truncated", "blank")
 
 
 def judged(rows: DataFrame) -> DataFrame:
@@ -213,17 +216,17 @@ def judged(rows: DataFrame) -> DataFrame:
     a long conversation nor a message repeated at every turn is one task's.
     """
     seen = F.expr(f"trim(TRAILING '{SPACES}' FROM text)")
-    fault = F.when(seen == "", "blank").when(~F.right(seen, F.lit(1)).isin(".", "!", "?"), "truncated").otherwise("")
-    found = rows.where("copies > 0").withColumn("fault", fault).groupBy(*KEY).agg(
-        F.sum("copies").alias("copies"), F.max("fault").alias("fault"))
-    first = found.where("fault <> 'blank'").groupBy("conv_id", "digest").agg(
-        F.min(F.struct("turn", "role")).alias("at")).select(
-        F.col("conv_id").alias("_c"), F.col("at.turn").alias("_t"), F.col("at.role").alias("_r"),
-        F.col("digest").alias("_d"))
+    fault = F.when(seen == "", BLANK).when(~F.right(seen, F.lit(1)).isin(".", "!", "?"), CUT).otherwise(SOUND)
+    found = written(rows.where("copies > 0").withColumn("fault", fault).groupBy(*KEY).agg(
+        F.sum("copies").alias("copies"), F.max("fault").alias("fault")), "turns-found")
+    first = found.where(F.col("fault") != BLANK).groupBy("conv_id", "digest").agg(
+        F.min("turn").alias("turn"), F.max(F.col("turn").isNull()).alias("none")).select(
+        F.col("conv_id").alias("_c"), F.when(~F.col("none"), F.col("turn")).alias("_t"), F.col("digest").alias("_d"))
     same = (F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("turn").eqNullSafe(F.col("_t"))
-            & (F.col("role") == F.col("_r")) & (F.col("digest") == F.col("_d")))
+            & (F.col("digest") == F.col("_d")))
+    names = F.array(*[F.lit(n) for n in FAULTS])
     return found.join(first, same, "left").select(
-        *KEY, "copies", F.when((F.col("fault") == "blank") | F.col("_d").isNotNull(), F.col("fault"))
+        *KEY, "copies", F.when((F.col("fault") == BLANK) | F.col("_d").isNotNull(), F.get(names, F.col("fault")))
         .otherwise("duplicate").alias("fault"))
 
 
@@ -320,31 +323,22 @@ def edited(rows: DataFrame, parts: int | None = None) -> DataFrame:
     return live.mapInArrow(edit, EDIT).unionByName(rows.where(dead).withColumn("edits", F.lit("D")))
 
 
+_DEALT = (*KEY, "edits", "fault", "copies", "text")
 REPAIRED = ("conv_id bigint, edit string, turn bigint, was string, fault string, role string, text string")
 _REPAIRED = pa.schema([("conv_id", pa.int64()), ("edit", pa.string()), ("turn", pa.int64()), ("was", pa.string()),
                        ("fault", pa.string()), ("role", pa.string()), ("text", pa.string())])
 
 
-def _edits_of(row: dict, text: str, last: str) -> tuple[list[tuple], str]:
-    """The repaired rows that one group of equal rows becomes, and the role
-    letter that stands last behind them."""
-    out = []
-    for edit in row["edits"]:
-        if edit == "D":
-            out.append(("D", row["turn"], row["role"], row["fault"], None, None))
-        elif edit == "K":
-            last = row["role"][:1]
-            out.append(("K", row["turn"], row["role"], row["fault"], row["role"], text))
-        else:
-            last = "a" if last == "u" else "u"
-            if edit == "I":
-                out.append(("I", None, None, "", ROLE[last], ""))
-            else:
-                out.append(("R", row["turn"], row["role"], row["fault"], ROLE[last], text))
-        if edit != "I":  # the copies go at once
-            again = "blank" if row["fault"] == "blank" else "duplicate"
-            out += [("D", row["turn"], row["role"], again, None, None)] * (row["copies"] - 1)
-    return out, last
+def _edits_and_texts(conversations: DataFrame, parts: int | None) -> DataFrame:
+    """Rows' edits, each followed by the row's text, conversation by
+    conversation.  Texts are shuffled once, by conversation, and meet their
+    edits in the sort order; a task holds one batch of rows, whatever a
+    conversation's length."""
+    rows = _keyed(conversations)
+    edits = edited(judged(rows), parts)
+    texts = rows.select(*KEY, F.when(F.col("copies") > 0, F.col("text")).alias("text"))
+    both = edits.withColumn("text", F.lit(None).cast("string")).unionByName(texts, allowMissingColumns=True)
+    return both.select(*_DEALT).repartition("conv_id").sortWithinPartitions(*KEY, F.asc_nulls_last("edits"))
 
 
 def repaired(conversations: DataFrame, parts: int | None = None) -> DataFrame:
@@ -357,45 +351,56 @@ def repaired(conversations: DataFrame, parts: int | None = None) -> DataFrame:
     gives them, with their number of copies; equal turns are ordered by role,
     then by the hash of role and text.  A conversation without rows: one row
     with a null edit.  Null conv_ids are one conversation.  No rows: no rows.
-
-    Texts are shuffled once, by conversation, and meet their edits in the sort
-    order; a task holds one batch of rows, whatever a conversation's length.
     """
-    rows = _keyed(conversations)
-    edits = edited(judged(rows), parts)
-    texts = rows.select(*KEY, F.when(F.col("copies") > 0, F.col("text")).alias("text"))
-    both = edits.withColumn("text", F.lit(None).cast("string")).unionByName(texts, allowMissingColumns=True)
-    dealt = both.repartition("conv_id").sortWithinPartitions(*KEY, F.asc_nulls_last("edits"))
-
-    def repair(batches):
-        nothing = object()
-        conv, row, last, empty = nothing, None, "", False
-
-        def ended():
-            if empty:
-                return [(conv, None, None, None, None, None, None)]
-            roles = ["user", "assistant"][2 - len(TAIL[PHASE[last]][1]):]
-            return [(conv, "I", None, None, "", role, "") for role in roles]
-
-        for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                if conv is nothing or r["conv_id"] != conv:
-                    out += ended() if conv is not nothing else []
-                    conv, row, last, empty = r["conv_id"], None, "", True
-                if r["edits"] is not None:
-                    row, empty = r, False
-                elif row is not None and r["text"] is not None and all(row[k] == r[k] for k in KEY):
-                    made, last = _edits_of(row, r["text"], last)
-                    out += [(conv, *m) for m in made]
-                    row = None  # texts of copies follow
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, f.type) for v, f in zip(zip(*out), _REPAIRED)], schema=_REPAIRED)
-        if conv is not nothing and (out := ended()):
-            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*out), _REPAIRED)], schema=_REPAIRED)
-
-    return dealt.mapInArrow(repair, REPAIRED)
+    return _edits_and_texts(conversations, parts).mapInArrow(_repair, REPAIRED)
+
+
+def _repaired_rows(batches):
+    """Repaired rows, one by one, of edits and texts in order."""
+    nothing = object()
+    conv, group, last, empty = nothing, None, "", False
+
+    def ended():
+        if empty:
+            return [(conv, None, None, None, None, None, None)]
+        roles = ["user", "assistant"][2 - len(TAIL[PHASE[last]][1]):]
+        return [(conv, "I", None, None, "", role, "") for role in roles]
+
+    for batch in batches:
+        for at, turn, role, digest, edits, fault, copies, text in zip(*(c.to_pylist() for c in batch.columns)):
+            if at != conv or conv is nothing:
+                if conv is not nothing:
+                    yield from ended()
+                conv, group, last, empty = at, None, "", True
+            if edits is not None:
+                group, empty = (turn, role, digest, edits, fault, copies), False
+                continue
+            if group is None or text is None or group[:3] != (turn, role, digest):
+                continue  # a text of a row that is not left, or of a further copy
+            _, _, _, edits, fault, copies = group
+            group = None
+            for edit in edits:
+                if edit == "K":
+                    last = role[:1]
+                    yield conv, "K", turn, role, fault, role, text
+                elif edit == "D":
+                    yield conv, "D", turn, role, fault, None, None
+                else:
+                    last = "a" if last == "u" else "u"
+                    yield (conv, "I", None, None, "", ROLE[last], "") if edit == "I" else (
+                        conv, "R", turn, role, fault, ROLE[last], text)
+                if edit != "I":  # the copies go at once
+                    again = "blank" if fault == "blank" else "duplicate"
+                    for _ in range(copies - 1):
+                        yield conv, "D", turn, role, again, None, None
+    if conv is not nothing:
+        yield from ended()
+
+
+def _repair(batches):
+    rows = _repaired_rows(batches)
+    while held := list(islice(rows, 10_000)):
+        yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*held), _REPAIRED)], schema=_REPAIRED)
 
 
 DIGEST = ("conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, "
@@ -437,32 +442,41 @@ class _Tally:
                 self.sha.hexdigest())
 
 
-def digests(edits: DataFrame) -> DataFrame:
-    """One row a conversation of ``repaired``'s rows, read in their order."""
+def _tallied(rows):
+    """One row a conversation of repaired rows in their order."""
     names = [name for name, _ in (c.split() for c in DIGEST.split(", "))]
+    types = [pa.int64()] * 7 + [pa.string()] * 2
 
-    def frame(rows):
-        types = [pa.int64()] * 7 + [pa.string()] * 2
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), types)], names=names)
-
-    def tally(batches):
+    def conversations():
         now = None
-        for batch in batches:
-            out = []
-            for conv, *edit in zip(*(c.to_pylist() for c in batch.columns)):
-                if now is None or now.conv != conv:
-                    if now is not None:
-                        out.append(now.row())
-                    now = _Tally(conv)
-                now.add(*edit)
-            if out:
-                yield frame(out)
+        for conv, *edit in rows:
+            if now is None or now.conv != conv:
+                if now is not None:
+                    yield now.row()
+                now = _Tally(conv)
+            now.add(*edit)
         if now is not None:
-            yield frame([now.row()])
+            yield now.row()
+
+    found = conversations()
+    while held := list(islice(found, 1000)):
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*held), types)], names=names)
+
+
+def digests(edits: DataFrame) -> DataFrame:
+    """One row a conversation of ``repaired``'s rows, read in their order."""
+    def tally(batches):
+        return _tallied(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
 
     return edits.mapInArrow(tally, DIGEST)
 
 
+def repair_digests(conversations: DataFrame, parts: int | None = None) -> DataFrame:
+    """``digests(repaired(conversations))`` in one pass of the tasks."""
+    return _edits_and_texts(conversations, parts).mapInArrow(
+        lambda batches: _tallied(_repaired_rows(batches)), DIGEST)
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, damaged, then repaired."""
-    return digests(repaired(damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))))
+    return repair_digests(damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
