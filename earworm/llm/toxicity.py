@@ -41,13 +41,20 @@ def text_words(text: str | None) -> set[str]:
     return set(WORD.findall((text or "").lower()))
 
 
-def sample_labels(labels: DataFrame, per_class: int, doc_id: str = "doc_id") -> DataFrame:
-    """At most ``per_class`` toxic and as many other labelled ids, least hash
-    first; a doc_id labelled twice is toxic if one label says so, good if all do.
-    Only 1 says toxic and only 0 says poor quality, whatever else a label holds."""
+def all_labels(labels: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, toxic, quality), 0 or 1, of every labelled id: a doc_id
+    labelled twice is toxic if one label says so, good if all do.  Only 1 says
+    toxic and only 0 says poor quality, whatever else a label holds; a null
+    mark of toxicity is no label."""
     marks = labels.select(labels[doc_id].cast("bigint").alias("doc_id"), (F.col("toxic") == 1).cast("int").alias("toxic"),
                           (F.col("quality") != 0).cast("int").alias("quality")).where("doc_id is not null and toxic is not null")
-    marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    return marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+
+
+def sample_labels(labels: DataFrame, per_class: int, doc_id: str = "doc_id") -> DataFrame:
+    """At most ``per_class`` toxic and as many other labelled ids, least hash
+    first."""
+    marks = all_labels(labels, doc_id)
     order = F.xxhash64(F.lit(SEED), "doc_id")
     return marks.where("toxic = 1").orderBy(order, "doc_id").limit(per_class).unionByName(
         marks.where("toxic <> 1").orderBy(order, "doc_id").limit(per_class))
@@ -75,12 +82,49 @@ def telling_terms(sample: DataFrame, n_terms: int, min_docs: int = 5) -> list[tu
 
     found = sample.select("text", "toxic").mapInArrow(count, "term string, a bigint, b bigint").groupBy("term").agg(
         F.sum("a").alias("a"), F.sum("b").alias("b")).where(F.col("a") + F.col("b") >= min_docs)
-    a, b, n = F.col("a").cast("double"), F.col("b").cast("double"), float(n1 + n0)
-    chi = (a * n0 - b * n1) ** 2 * n / ((a + b) * F.greatest(n - a - b, F.lit(0.5)) * n1 * n0)
-    return [tuple(r) for r in found.select("term", "a", "b", chi.alias("chi")).orderBy(
+    a, b = F.col("a").cast("double"), F.col("b").cast("double")
+    return [tuple(r) for r in found.select("term", "a", "b", _chi_squared(a, b, n1, n0, F.greatest).alias("chi")).orderBy(
         F.desc("chi"), "term").limit(n_terms).select("term", "a", "b").collect()]
 
 
+def _chi_squared(a, b, n1, n0, greatest):
+    """Of a term in ``a`` of n1 toxic and ``b`` of n0 other documents."""
+    n = float(n1 + n0)
+    half = F.lit(0.5) if greatest is F.greatest else 0.5
+    return (a * n0 - b * n1) ** 2 * n / ((a + b) * greatest(n - a - b, half) * n1 * n0)
+
+
+def _labelled_rows(batches, model: ChainModel):
+    """(places of the terms, text, toxic, quality) of each labelled document."""
+    for batch in batches:
+        for text, toxic, quality in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "quality"))):
+            yield model.places(text), text, toxic, quality
+
+
+def counted_terms(labelled: DataFrame, terms: list[str], n_terms: int) -> list[tuple[str, int, int]]:
+    """The ``n_terms`` of ``terms`` with the highest chi-squared over all
+    labelled documents, as (term, toxic documents, clean documents).  A task
+    passes on one row a term; as many reach the driver."""
+    lookup = ChainModel.of(terms)
+
+    def count(batches):
+        n, counts = len(terms), np.zeros((2, len(terms) + 1), np.int64)
+        for places, _, toxic, _ in _labelled_rows(batches, lookup):
+            counts[toxic, places] += 1
+            counts[toxic, n] += 1
+        at = np.flatnonzero(counts.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[1, at]), pa.array(counts[0, at])],
+                                         names=["place", "a", "b"])
+
+    sums = {r.place: (r.a, r.b) for r in labelled.select("text", "toxic", "quality").mapInArrow(
+        count, "place bigint, a bigint, b bigint").groupBy("place").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect()}
+    n1, n0 = sums.pop(len(terms), (0, 0))
+    if not n1 or not n0:
+        return []
+    found = [(-_chi_squared(float(a), float(b), n1, n0, max), terms[place], a, b) for place, (a, b) in sums.items()]
+    return [(term, a, b) for _, term, a, b in sorted(found)[:n_terms]]
+
+
 def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, steps: int = 200) -> np.ndarray:
     """Weights (last: intercept) of a logistic model with both classes given the
     same weight in sum, by accelerated gradient steps; one class only: a
@@ -120,6 +164,28 @@ def best_threshold(p: np.ndarray, y: np.ndarray, clean_weight: float) -> float:
     return float(max(0.5, (float(p[order][best]) + float(below)) / 2))
 
 
+#: Bins of probability in the histogram of the labelled documents' scores.
+BINS = 4096
+
+
+def threshold_of_bins(hits: np.ndarray, misses: np.ndarray) -> float:
+    """The bin's edge, 0.5 or more, from which on calling a text positive gives
+    the best F1, put halfway down to the next bin that holds anything;
+    ``hits`` and ``misses`` count positive and other documents by bin."""
+    total = int(hits.sum())
+    if not total:
+        return 0.5
+    hit, miss = np.cumsum(hits[::-1])[::-1], np.cumsum(misses[::-1])[::-1]
+    f1 = 2 * hit / np.maximum(hit + miss + total, 1)
+    usable = np.flatnonzero((hits + misses > 0) & (np.arange(len(hits)) >= len(hits) // 2))
+    if not len(usable):
+        return 0.5
+    best = int(usable[::-1][np.argmax(f1[usable[::-1]])])
+    lower = np.flatnonzero(hits[:best] + misses[:best])
+    below = (lower[-1] + 1) / len(hits) if len(lower) else 0.0
+    return float(max(0.5, (best / len(hits) + below) / 2))
+
+
 def _probability(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
 
@@ -131,6 +197,11 @@ class ChainModel:
     weights: list[list[np.ndarray]]  # by category, by fold; terms, earlier probabilities, intercept
     thresholds: list[float]          # by category
 
+    @classmethod
+    def of(cls, terms: list[str]) -> ChainModel:
+        """A chain without links yet."""
+        return cls({t: i for i, t in enumerate(terms)}, frozenset(t.rstrip("*")[: PREFIXES[0]] for t in terms), [], [])
+
     def places(self, text: str | None) -> list[int]:
         words = {w for w in text_words(text) if w[: PREFIXES[0]] in self.heads}
         return sorted(self.terms[t] for t in terms_of(words) if t in self.terms)
@@ -145,58 +216,93 @@ class ChainModel:
                 for w in folds])))
         return earlier
 
+    def unseen(self, places: list[int], fold: int) -> list[float]:
+        """The chain by the models that have not seen texts of ``fold``."""
+        earlier: list[float] = []
+        k = len(self.terms)
+        for folds in self.weights:
+            w = folds[fold]
+            earlier.append(float(1.0 / (1.0 + np.exp(-np.clip(
+                w[places].sum() + np.dot(w[k:-1], earlier) + w[-1], -30, 30)))))
+        return earlier
+
 
 def fit_chain(docs: DataFrame, labels: DataFrame, per_class: int = 3000, n_terms: int = 512, folds: int = 3,
-              doc_id: str = "doc_id", text: str = "text") -> ChainModel:
-    """Fit on a bounded sample of the labelled documents.
-
-    ``per_class`` bounds the sample (its ids are broadcast, its texts written to
-    the shared folder), ``n_terms`` the features, so the matrix on the driver
-    is at most 2 x per_class x (n_terms + 3) floats at any size of the corpus.
-    Equal texts share a fold.  Without toxic labels nothing is toxic.
+              doc_id: str = "doc_id", text: str = "text", candidates: int = 4) -> ChainModel:
+    """Weights fitted on a bounded sample of the labelled documents, all counts
+    and thresholds from all of them.
+
+    ``per_class`` bounds the sample, ``n_terms`` the features, so the matrix on
+    the driver is at most 2 x per_class x (n_terms + 3) floats at any size of
+    the corpus.  ``candidates * n_terms`` terms that tell most in the sample
+    are counted in all labelled documents, which decides.  The thresholds come
+    from a histogram of the labelled documents' probabilities, each from the
+    models that have not seen its fold.  Equal texts share a fold.  The
+    labelled texts are written once to the shared folder.  Without toxic
+    labels nothing is toxic.
     """
-    n_clean = labels.where("toxic <> 1").select(labels[doc_id]).distinct().count()
-    ids = F.broadcast(sample_labels(labels, per_class))
     texts = docs.select(docs[doc_id].cast("bigint").alias("doc_id"), docs[text].cast("string").alias("text"))
-    sample = written(texts.join(ids, "doc_id"), "labelled")
-    chosen = telling_terms(sample, n_terms)
-    terms = {t: i for i, (t, _, _) in enumerate(chosen)}
-    heads = frozenset(t.rstrip("*")[: PREFIXES[0]] for t in terms)
-    model = ChainModel(terms, heads, [], [])
+    labelled = written(texts.join(all_labels(labels, doc_id), "doc_id"), "labelled")
+    ids = F.broadcast(sample_labels(labels, per_class).select("doc_id"))
+    sample = written(labelled.join(ids, "doc_id", "left_semi"), "sampled")
+    likely = telling_terms(sample, candidates * n_terms)
+    chosen = counted_terms(labelled, [t for t, _, _ in likely], n_terms) if likely else []
+    model = ChainModel.of([t for t, _, _ in chosen])
+    terms = model.terms
     telling = {terms[t] for t, a, b in chosen if a >= TELLING * max(b, 0.2)}
 
+    def fold_of(t: str | None) -> int:
+        return xxhash.xxh64_intdigest(t or "", SEED) % folds
+
+    def marks_of(places: list[int], toxic: int, quality: int | None) -> tuple[bool, bool, bool]:
+        return quality == 0, toxic == 1, toxic == 1 and len(telling.intersection(places)) >= SEVERE_TERMS
+
     def index(batches):
         for batch in batches:
             rows = batch.to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r["doc_id"] for r in rows], pa.int64()), pa.array([r["toxic"] for r in rows], pa.int32()),
                  pa.array([r["quality"] for r in rows], pa.int32()),
-                 pa.array([xxhash.xxh64_intdigest(r["text"] or "", SEED) % folds for r in rows], pa.int32()),
+                 pa.array([fold_of(r["text"]) for r in rows], pa.int32()),
                  pa.array([model.places(r["text"]) for r in rows], pa.list_(pa.int32()))],
                 names=["doc_id", "toxic", "quality", "fold", "places"])
 
-    rows = sample.mapInArrow(index, "doc_id bigint, toxic int, quality int, fold int, places array<int>").collect()
+    rows = sample.select("doc_id", "text", "toxic", "quality").mapInArrow(
+        index, "doc_id bigint, toxic int, quality int, fold int, places array<int>").collect()
     rows.sort(key=lambda r: (r.doc_id, r.fold, r.places))
     x = np.zeros((len(rows), len(terms)), np.float32)
     for i, r in enumerate(rows):
         x[i, r.places] = 1.0
-    toxic = np.array([r.toxic == 1 for r in rows], bool)
-    marks = {
-        "low_quality": np.array([r.quality == 0 for r in rows], bool),
-        "toxic": toxic,
-        "severe": toxic & np.array([len(telling.intersection(r.places)) >= SEVERE_TERMS for r in rows], bool),
-    }
+    marks = np.array([marks_of(r.places, r.toxic, r.quality) for r in rows], bool).reshape(len(rows), len(CHAIN))
     fold = np.array([r.fold for r in rows], int)
-    for name in CHAIN:
-        y, out_of_fold = marks[name], np.zeros((len(rows), 1), np.float32)
+    for y in marks.T:
+        out_of_fold = np.zeros((len(rows), 1), np.float32)
         fitted = []
         for k in range(folds):
             w = logistic(x[fold != k], y[fold != k])
             out_of_fold[fold == k, 0] = _probability(x[fold == k], w)
             fitted.append(w)
         model.weights.append(fitted)
-        model.thresholds.append(best_threshold(out_of_fold[:, 0], y, n_clean / max(1, int((~toxic).sum()))))
         x = np.concatenate([x, out_of_fold], axis=1)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def bins(batches):
+        counts = np.zeros((len(CHAIN), BINS, 2), np.int64)
+        for places, t, toxic, quality in _labelled_rows(batches, sent.value):
+            p = sent.value.unseen(places, fold_of(t))
+            for c, is_one in enumerate(marks_of(places, toxic, quality)):
+                counts[c, min(BINS - 1, int(p[c] * BINS)), int(is_one)] += 1
+        category, at = np.nonzero(counts.any(axis=2))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(category), pa.array(at), pa.array(counts[category, at, 1]), pa.array(counts[category, at, 0])],
+            names=["category", "bin", "hits", "misses"])
+
+    histogram = np.zeros((len(CHAIN), 2, BINS), np.int64)
+    for r in labelled.select("text", "toxic", "quality").mapInArrow(
+            bins, "category bigint, bin bigint, hits bigint, misses bigint").groupBy("category", "bin").agg(
+            F.sum("hits").alias("hits"), F.sum("misses").alias("misses")).collect():
+        histogram[r.category, :, r["bin"]] = r.hits, r.misses
+    model.thresholds = [threshold_of_bins(hits, misses) for hits, misses in histogram]
     return model
 
 

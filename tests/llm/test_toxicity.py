@@ -98,3 +98,85 @@ def test_labels_outside_0_and_1(spark):
     assert got == {i: (int(t == 1), int(q != 0)) for i, q, t in odd if t is not None}
     model = toxicity.fit_chain(frame(spark, docs), spark.createDataFrame(odd, LABELS), n_terms=64)
     assert len(model.thresholds) == 3
+
+
+def test_threshold_of_bins_equals_a_search():
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        bins = 64
+        hits, misses = rng.integers(0, 4, bins) * (rng.random(bins) < 0.2), rng.integers(0, 4, bins) * (rng.random(bins) < 0.2)
+        got = toxicity.threshold_of_bins(hits, misses)
+        best, want = -1.0, 0.5
+        for edge in range(bins - 1, bins // 2 - 1, -1):
+            if hits[edge] + misses[edge]:
+                f1 = 2 * hits[edge:].sum() / max(1, hits[edge:].sum() + misses[edge:].sum() + hits.sum())
+                if f1 > best:
+                    lower = [b for b in range(edge) if hits[b] + misses[b]]
+                    best, want = f1, max(0.5, (edge + (lower[-1] + 1 if lower else 0)) / 2 / bins)
+        assert got == (want if hits.sum() else 0.5)
+
+
+def test_terms_are_counted_in_all_labelled_documents(spark):
+    docs, marks = planted(4, 400)
+    labelled = frame(spark, docs).join(toxicity.all_labels(spark.createDataFrame(marks, LABELS)), "doc_id")
+    terms = ["vile*", "vilewort", "scornling", "and", "heer*", "unmet"]
+    counts = {t: [0, 0] for t in terms}
+    toxic = {i: t for i, _, t in marks}
+    for d in docs:
+        for t in toxicity.terms_of(toxicity.text_words(d[1])) & counts.keys():
+            counts[t][toxic[d[0]]] += 1
+    got = toxicity.counted_terms(labelled, terms, 10)
+    assert {t: [b, a] for t, a, b in got} == {t: c for t, c in counts.items() if any(c)}
+    n1, n0 = sum(toxic.values()), 400 - sum(toxic.values())
+
+    def chi(a, b):
+        return (a * n0 - b * n1) ** 2 * 400 / ((a + b) * max(400 - a - b, 0.5) * n1 * n0)
+
+    assert [t for t, _, _ in got] == [t for t, a, b in sorted(got, key=lambda r: (-chi(r[1], r[2]), r[0]))]
+    assert toxicity.counted_terms(labelled, terms, 2) == got[:2]
+
+
+def test_chain_against_a_plain_one(spark):
+    """The whole fit again in plain loops: folds, out-of-fold columns, thresholds."""
+    docs, marks = planted(5, 500)
+    model = toxicity.fit_chain(frame(spark, docs), spark.createDataFrame(marks, LABELS), per_class=120, n_terms=40, folds=3)
+    labels = {i: (q, t) for i, q, t in marks}
+    import xxhash
+
+    order = {i: None for i in labels}
+    sampled = {r.doc_id for r in toxicity.sample_labels(spark.createDataFrame(marks, LABELS), 120).collect()}
+    assert len(sampled) < len(order)
+    counts = {t: [0, 0] for t in model.terms}
+    for d in docs:
+        for t in toxicity.terms_of(toxicity.text_words(d[1])) & counts.keys():
+            counts[t][labels[d[0]][1]] += 1
+    telling = {t for t, (b, a) in counts.items() if a >= toxicity.TELLING * max(b, 0.2)}
+    fold = {d[0]: xxhash.xxh64_intdigest(d[1], toxicity.SEED) % 3 for d in docs}
+    rows = {}
+    for d in docs:
+        present = toxicity.terms_of(toxicity.text_words(d[1])) & counts.keys()
+        q, t = labels[d[0]]
+        rows[d[0]] = ([1.0 if term in present else 0.0 for term in model.terms],
+                      (q == 0, t == 1, t == 1 and len(present & telling) >= toxicity.SEVERE_TERMS))
+    features = {i: list(x) for i, (x, _) in rows.items()}
+    ids = sorted(sampled)
+    for c in range(3):
+        weights = []
+        for k in range(3):
+            train = [i for i in ids if fold[i] != k]
+            weights.append(toxicity.logistic(np.array([features[i] for i in train], np.float32),
+                                             np.array([rows[i][1][c] for i in train], bool)))
+            assert np.allclose(weights[k], model.weights[c][k], atol=1e-3)
+        p = {}
+        for i, x in features.items():
+            w = weights[fold[i]]
+            p[i] = 1 / (1 + np.exp(-np.clip(np.dot(w[:-1], x) + w[-1], -30, 30)))
+        ones = [p[i] for i in p if rows[i][1][c]]
+        if ones:  # no other cut at 0.5 or more has a better F1
+            def f1(cut):
+                called = [i for i in p if p[i] >= cut]
+                return 2 * sum(rows[i][1][c] for i in called) / max(1, len(called) + len(ones))
+
+            assert f1(model.thresholds[c]) >= max(f1(v) for v in p.values() if v >= 0.5) - 0.01
+        for i in features:
+            features[i].append(np.float32(p[i]))
