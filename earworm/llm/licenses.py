@@ -41,11 +41,32 @@ TEMPLATES = {
         "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software "
         "distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY "
         "KIND, either express or implied."),
+    "Apache-2.0-text": (
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, "
+        "REPRODUCTION, AND DISTRIBUTION 1. Definitions. \"License\" shall mean the terms and conditions for use, "
+        "reproduction, and distribution as defined by Sections 1 through 9 of this document."),
     "GPL": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-notice": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version."),
+    "GPL-3.0-text": (
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. Everyone "
+        "is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed. "
+        "Preamble The GNU General Public License is a free, copyleft license for software and other kinds of works."),
+    "AGPL-notice": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version."),
+    "LGPL-notice": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+        "your option) any later version."),
+    "LGPL-2.1-text": (
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999 Copyright (C) 1991, 1999 Free Software Foundation, "
+        "Inc. Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is "
+        "not allowed. This is the first released version of the Lesser GPL. It also counts as the successor of the GNU "
+        "Library Public License, version 2, hence the version number 2.1."),
     "LGPL": "This library is licensed under the GNU Lesser General Public License, version 2.1.",
     "BSD": "Licensed under the BSD 3-Clause License.",
     "BSD-notice": (
@@ -53,6 +74,27 @@ TEMPLATES = {
         "the following conditions are met: Redistributions of source code must retain the above copyright notice, this "
         "list of conditions and the following disclaimer."),
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "MPL-2.0-text": (
+        "Mozilla Public License Version 2.0 1. Definitions 1.1. \"Contributor\" means each individual or legal entity "
+        "that creates, contributes to the creation of, or owns Covered Software."),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at https://www.eclipse.org/legal/epl-2.0"),
+    "Artistic-2.0-text": (
+        "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not "
+        "allowed. Preamble This license establishes the terms under which a given free software Package may be copied, "
+        "modified, distributed, and/or redistributed. The intent is that the Copyright Holder maintains some artistic "
+        "control over the development of that Package while still keeping the Package available as open source and free "
+        "software."),
+    "BSL-1.0-notice": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+        "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, "
+        "execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties "
+        "to whom the Software is furnished to do so"),
+    "Zlib-notice": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this "
+        "software for any purpose, including commercial applications, and to alter it and redistribute it freely"),
     "ISC-notice": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies."),
@@ -61,6 +103,12 @@ TEMPLATES = {
     "CC-BY-SA": "Licensed under CC BY-SA 4.0.",
     "CC-BY": "Licensed under CC BY 4.0.",
     "CC0": "Released under the CC0 1.0 Universal public domain dedication.",
+    "CC0-1.0-text": (
+        "CREATIVE COMMONS CORPORATION IS NOT A LAW FIRM AND DOES NOT PROVIDE LEGAL SERVICES. DISTRIBUTION OF THIS DOCUMENT "
+        "DOES NOT CREATE AN ATTORNEY-CLIENT RELATIONSHIP. CREATIVE COMMONS PROVIDES THIS INFORMATION ON AN \"AS-IS\" "
+        "BASIS. CREATIVE COMMONS MAKES NO WARRANTIES REGARDING THE USE OF THIS DOCUMENT OR THE INFORMATION OR WORKS "
+        "PROVIDED HEREUNDER, AND DISCLAIMS LIABILITY FOR DAMAGES RESULTING FROM THE USE OF THIS DOCUMENT OR THE "
+        "INFORMATION OR WORKS PROVIDED HEREUNDER."),
     "All-rights": "Copyright. All rights reserved.",
 }
 
@@ -190,8 +238,9 @@ def scan(text: str, templates: list[Template], vocabulary: frozenset[str], cover
         for lo, hi in t.stretches(words, places):
             pairs = align(words[lo:hi], t.words)
             share = len(pairs) / len(t.words)
-            if share >= coverage:
-                first, last = lo + pairs[0][0], lo + pairs[-1][0]
+            first, last = (lo + pairs[0][0], lo + pairs[-1][0]) if pairs else (lo, lo)
+            # words that lie further apart are not one notice
+            if share >= coverage and last - first < 2 * len(t.words):
                 best.append((t.name, found[first].start(), found[last].end(), share, len(pairs)))
         # of one notice in several windows: most words matched, then closest together
         out += apart(best, lambda h: (-h[4], h[2] - h[1], h[1]))

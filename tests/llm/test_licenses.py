@@ -114,3 +114,43 @@ def test_table(spark):
     hits = [r for r in got if r.n_licenses]
     assert [(r.doc_id, r.licenses, r.spans) for r in hits] == [(900, "CC-BY-NC", "CC-BY-NC:2:29:1.000")]
     assert licenses.license_spans(frame(spark, [])).count() == 0
+
+
+def test_like_notices_have_their_own_names():
+    """The GNU notices share nearly all words; each is reported as itself."""
+    templates, vocabulary = made()
+    rng = random.Random(9)
+    for name in ("GPL-notice", "AGPL-notice", "LGPL-notice", "GPL-3.0-text", "LGPL-2.1-text", "Artistic-2.0-text"):
+        t = f"{text(rng, 30)} {licenses.TEMPLATES[name]} {text(rng, 30)}"
+        assert [h[0] for h in licenses.scan(t, templates, vocabulary, 0.8)] == [name]
+
+
+def brute_scan(t, templates, coverage):
+    """Names found by aligning every window of the text with every template."""
+    words, hits = licenses.words_of(t), []
+    for m in templates:
+        best = []
+        for lo in range(len(words)):
+            for hi in range(lo + 1, min(len(words), lo + 2 * len(m.words)) + 1):
+                pairs = licenses.align(words[lo:hi], m.words)
+                if len(pairs) >= coverage * len(m.words) - 1e-9:
+                    best.append((m.name, lo + pairs[0][0], lo + pairs[-1][0] + 1, len(pairs) / len(m.words), len(pairs)))
+        hits += licenses.apart(best, lambda h: (-h[4], h[2] - h[1], h[1]))
+    return [h[0] for h in licenses.apart(hits, lambda h: (-h[4], -h[3], h[1], h[0]))]
+
+
+def test_scan_against_every_window():
+    short = {n: t for n, t in licenses.TEMPLATES.items() if len(licenses.words_of(t)) <= 13}
+    templates = [licenses.Template(n, t, 0.8) for n, t in short.items()]
+    vocabulary = frozenset(w for t in templates for w in t.telling)
+    rng = random.Random(12)
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randint(0, 3)):
+            words = short[rng.choice(sorted(short))].split()
+            if rng.random() < 0.5 and len(words) > 4:
+                words[rng.randrange(len(words))] = "zzz"
+            parts += [" ".join(words), " ".join(rng.choice(["license", "the", "gap", "under", "work"])
+                                                for _ in range(rng.randint(0, 6)))]
+        t = " ".join(parts)
+        assert [h[0] for h in licenses.scan(t, templates, vocabulary, 0.8)] == brute_scan(t, templates, 0.8), t
