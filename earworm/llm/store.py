@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from earworm.session import checkpoint_dir
+from earworm.session import table_path
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,8 +12,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the session's shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the session's shared checkpoint folder; an enclosing
+    ``session.table_scope`` drops what is there at its end."""
+    return table_path(spark, name)
 
 
 def neutral(docs: DataFrame, *roles: str) -> tuple[DataFrame, list[str]]:
@@ -25,14 +24,15 @@ def neutral(docs: DataFrame, *roles: str) -> tuple[DataFrame, list[str]]:
     return docs.toDF(*names), [names[docs.columns.index(r)] for r in roles]
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, outer: bool = False) -> DataFrame:
     """``df`` written once as Parquet into the shared folder and read back.
 
     Unlike ``checkpoint()``, which computes a frame once to count it and once
     to write it, the frame is computed exactly once; any executor can read the
-    result after another one is lost.
+    result after another one is lost.  With ``outer`` the table outlives the
+    innermost ``table_scope``.
     """
     spark = df.sparkSession
-    path = shared_path(spark, name)
+    path = table_path(spark, name, outer)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
