@@ -16,6 +16,7 @@ from earworm.llm.pii import sanitised
 from earworm.llm.simhash import without_near_duplicates
 from earworm.llm.store import documents, written
 from earworm.llm.toxicity import fit_chain, without_toxic
+from earworm.session import table_scope
 
 
 def _recounted(docs: DataFrame) -> DataFrame:
@@ -56,9 +57,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the last one's rows."""
+    """All stages over ``documents``; the last one's rows.  What a stage has
+    written for itself is dropped when its result is."""
     docs = documents(spark, sf_dir)
     *stages, (_, last) = STAGES
     for name, stage in stages:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with table_scope(spark):
+            docs = written(stage(spark, docs, sf_dir), name, outer=True)
     return last(spark, docs, sf_dir)
