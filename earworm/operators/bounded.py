@@ -104,3 +104,11 @@ def _search(queries, items, k, id_col, vec_col, block_items, block_queries):
         found = _score_blocks(asked_blocks, held_blocks, _KEY, k)
         best = write_once(_rank(found.unionByName(best.select("query_id", "item_id", "score")), k))
     return best, scored, n_queries, n_items
+
+
+def recommend_bounded(user_factors: DataFrame, item_factors: DataFrame, k: int = 100, user: str = "user_id",
+                      item: str = "recording_msid", **blocks) -> DataFrame:
+    """R7 by norm bounds: (user, pos, item, score) of each user's best k items,
+    from factor tables (id, features) by the original ids."""
+    found = mips_bounded(user_factors, item_factors, k, **blocks)
+    return found.select(F.col("query_id").alias(user), "pos", F.col("item_id").alias(item), "score")

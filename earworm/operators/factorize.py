@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earworm.operators.identity import dense_ids
-from earworm.session import checkpoint_dir, cut_lineage
+from earworm.session import checkpoint_dir, write_once
 
 UIDX, IIDX = "_uidx", "_iidx"
 
@@ -48,12 +48,12 @@ def index_ratings(ratings: DataFrame, user: str = "user_id", item: str = "record
     named in ``keep_ids``: the caller states that they are integers in
     [0, 2^31) (the cast raises otherwise).  The ratings (an aggregate, far
     smaller than the log) are read by the id passes, the join and every later
-    fit and evaluation, so their lineage is cut once into the shared
-    checkpoint folder, and so is the indexed result; both and the id passes run
-    when this is called.
+    fit and evaluation, so they are written once into the shared checkpoint
+    folder, and so is the indexed result; both and the id passes run when this
+    is called.
     """
     if checkpoint:
-        ratings = cut_lineage(ratings.select(user, item, value))
+        ratings = write_once(ratings.select(user, item, value))
     types = dict(ratings.dtypes)
     users = None if user in keep_ids else dense_ids(ratings, user, UIDX)
     items = None if item in keep_ids else dense_ids(ratings, item, IIDX)
@@ -61,8 +61,8 @@ def index_ratings(ratings: DataFrame, user: str = "user_id", item: str = "record
     rated = _encode(_encode(ratings, idx, "user"), idx, "item")
     indexed = to_als_frame(rated, UIDX, IIDX, value).select(user, item, UIDX, IIDX, value)
     if checkpoint and (users is not None or items is not None):
-        # id-table joins were added: cut again (a projection needs no cut)
-        indexed = cut_lineage(indexed)
+        # id-table joins were added: write again (a projection needs no table)
+        indexed = write_once(indexed)
     idx.ratings = indexed
     return idx
 
@@ -104,10 +104,10 @@ def to_als_frame(ratings: DataFrame, user: str, item: str, value: str) -> DataFr
 
 
 #: ALS initialises its factors block by block, so the blocks are part of the
-#: model: the same number on every cluster and for every size of data.  Set
-#: ``num_user_blocks`` / ``num_item_blocks`` for large data (a block's factors
-#: and ratings must fit an executor).
-ALS_BLOCKS = 4
+#: model: their number follows from the ratings alone, not from the cluster.  A
+#: block's ratings must fit an executor, so there is one for so many ratings,
+#: and ``ALS_BLOCKS`` at least.
+ALS_BLOCKS, RATINGS_PER_BLOCK = 4, 5_000_000
 
 
 def als_estimator(rank: int = 10, reg: float = 0.1, max_iter: int = 10, implicit: bool = False,
@@ -124,14 +124,23 @@ def als_estimator(rank: int = 10, reg: float = 0.1, max_iter: int = 10, implicit
     )
 
 
+def als_blocks(n_ratings: int) -> int:
+    return max(ALS_BLOCKS, -(-n_ratings // RATINGS_PER_BLOCK))
+
+
 def fit_als(indexed: Indexed, value: str = "listens", **params) -> ALSModel:
     """R3 (explicit, e.g. nonnegative=True) and R4 (implicit=True).
 
+    Blocks that are not given are counted from the ratings (``als_blocks``).
+
     Runs when called.  Factor lineage is cut every ``checkpoint_interval``
     iterations into the session's checkpoint folder, so a lost executor does
     not replay all iterations.
     """
     checkpoint_dir(indexed.ratings.sparkSession)
+    if not {"num_user_blocks", "num_item_blocks"} <= params.keys():
+        blocks = als_blocks(indexed.ratings.count())
+        params = {"num_user_blocks": blocks, "num_item_blocks": blocks, **params}
     return als_estimator(value=value, **params).fit(indexed.ratings)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from earworm.session import cut_lineage
+from earworm.session import write_once
 
 
 def attach_tracks(log: DataFrame, tracks: DataFrame, how: str = "inner",
@@ -88,8 +88,21 @@ def canonicalize(log: DataFrame, tracks: DataFrame, dedupe: bool | str = True, h
     # of the item.  A row that may repeat is given back as often as it was.
     rows = resolved.groupBy(user, item, ts).agg(
         F.count(F.lit(1)).alias("_n"), F.max("_has_mbid").alias("_has_mbid"))
-    times = F.lit(1) if dedupe == "both" else F.when(F.col("_has_mbid"), 1).otherwise(F.col("_n").cast("int"))
-    return rows.withColumn("_i", F.explode(F.sequence(F.lit(1), times))).select(user, item, ts)
+    times = F.lit(1).cast("bigint") if dedupe == "both" else F.when(F.col("_has_mbid"), 1).otherwise(F.col("_n"))
+    return _repeated(rows, times).select(user, item, ts)
+
+
+#: Rows that one row is given back as at a time.
+REPEATS = 1 << 16
+
+
+def _repeated(rows: DataFrame, times) -> DataFrame:
+    """Each row ``times`` (a bigint, 1 at least) over, by two explodes, so that
+    no array has more than ``REPEATS`` elements for up to 2^32 repeats."""
+    whole = rows.withColumn("_times", times).withColumn(
+        "_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_times") - 1) / REPEATS))))
+    left = F.least(F.lit(REPEATS).cast("bigint"), F.col("_times") - F.col("_chunk") * REPEATS)
+    return whole.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), left)))
 
 
 def canonical_listens(log: DataFrame, tracks: DataFrame, dedupe: bool | str = True, how: str = "inner",
@@ -123,7 +136,7 @@ def dense_ids(values: DataFrame, key: str, id_col: str = "id", num_partitions: i
       1. distinct keys, range-partitioned and sorted within partitions
       2. (partition, position in partition) from spark_partition_id and the
          low bits of monotonically_increasing_id, in one projection
-      3. reliable checkpoint, so the positions cannot change on a re-read
+      3. written once, so the positions cannot change on a re-read
       4. per-partition row counts (one row per partition) -> running offsets,
          broadcast back (bounded by the partition count)
     """
@@ -136,7 +149,7 @@ def dense_ids(values: DataFrame, key: str, id_col: str = "id", num_partitions: i
         (F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))).alias("_pos"),
     )
     if checkpoint:
-        located = cut_lineage(located)
+        located = write_once(located)
     sizes = located.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
         "_part",
@@ -166,10 +179,10 @@ def encode_dense(df: DataFrame, key: str = "recording_msid", code_col: str = "co
     """Give ``key`` dense codes and substitute them in ``df`` (I1 + J5).
 
     ``df`` is read twice (for the vocabulary and for the join) in two separate
-    executions, which cannot share an exchange, so its lineage is cut first
+    executions, which cannot share an exchange, so it is written once first
     (unless ``checkpoint=False``): the input is computed once, not twice.
     """
     if checkpoint:
-        df = cut_lineage(df)
+        df = write_once(df)
     codes = dense_ids(df, key, code_col)
     return encode_items(df, codes, key, code_col, replace=replace)

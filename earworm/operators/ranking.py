@@ -57,7 +57,7 @@ def per_user_ranking(predictions: DataFrame, truth: DataFrame, k: int | None = 1
     follows.  No window, and the truth is read once.
 
     ``predictions`` without a user column is one list for everyone (popularity):
-    it is broadcast (it has k rows) and joined on the item.
+    it is joined on the item, and broadcast where ``k`` bounds it.
     ``users='truth'`` scores every truth user (a user without predictions
     scores 0); ``users='both'`` only users present in both (the reference's
     inner join of truth and recommendations); a DataFrame of users scores
@@ -74,7 +74,8 @@ def per_user_ranking(predictions: DataFrame, truth: DataFrame, k: int | None = 1
     if user in preds.columns:
         joined = t.join(preds, [user, item], "left")
     else:
-        joined = t.join(F.broadcast(preds), item, "left")
+        # k rows at most are broadcast; a list without a cutoff is of any length
+        joined = t.join(F.broadcast(preds) if k is not None else preds, item, "left")
 
     per_user = joined.groupBy(user).agg(
         F.count(F.lit(1)).alias("_t"),

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
-from earworm.session import cut_lineage
+from earworm.session import write_once
 
 # The scoring functions below run in Python workers; ship them by value so
 # executors need no installed copy of this package.
@@ -253,7 +253,7 @@ def mips_lsh(queries: DataFrame, items: DataFrame, k: int = 10, id_col: str = "i
         F.pmod(F.xxhash64("query_id"), F.col("_qb")).cast("int").alias("_qx"), "query_id", "_qv")
     cands = _score_blocks(qu_b, it_b, [*_KEY, "_ix", "_qx"], k)
     # The same pair can meet in several hash tables.
-    found = cut_lineage(_rank(cands.groupBy("query_id", "item_id").agg(F.max("score").alias("score")), k))
+    found = write_once(_rank(cands.groupBy("query_id", "item_id").agg(F.max("score").alias("score")), k))
     full = found.where(F.col("pos") == k).select(F.col("query_id").alias(id_col))
     short = queries.join(full, id_col, "left_anti")
     answered = found.join(full.withColumnRenamed(id_col, "query_id"), "query_id", "left_semi")
@@ -272,9 +272,9 @@ def bench_retrieval(queries: DataFrame, items: DataFrame, k: int = 10, id_col: s
                     vec_col: str = "features", **lsh_params) -> dict:
     """recall@k of LSH against exact search, and the seconds of each."""
     t0 = time.time()
-    exact = cut_lineage(mips_exact(queries, items, k, id_col, vec_col))
+    exact = write_once(mips_exact(queries, items, k, id_col, vec_col))
     t1 = time.time()
-    approx = cut_lineage(mips_lsh(queries, items, k, id_col, vec_col, **lsh_params))
+    approx = write_once(mips_lsh(queries, items, k, id_col, vec_col, **lsh_params))
     t2 = time.time()
     rec = retrieval_recall(approx, exact).first()
     return {"recall_at_k": rec["recall_at_k"], "exact_sec": t1 - t0, "lsh_sec": t2 - t1}

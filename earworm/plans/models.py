@@ -196,8 +196,7 @@ def als_fold_in_map(spark, sf):
     """R6 + R7 + E1-E3: top-100 of users that the model has not seen, from
     folded-in factors and exact search, against their other items."""
     items, known, asked = _new_users(spark, sf)
-    found = bounded.mips_bounded(foldin.fold_in(known, items, reg=0.1, implicit=True), items, TOP)
-    recs = found.select(F.col("query_id").alias("user_id"), "pos", F.col("item_id").alias("recording_msid"))
+    recs = bounded.recommend_bounded(foldin.fold_in(known, items, reg=0.1, implicit=True), items, TOP)
     return _round(ranking.ranking_metrics(recs, asked, TOP, distinct_truth=False))
 
 

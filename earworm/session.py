@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -108,6 +109,41 @@ def write_once(df):
     """``df`` as a Parquet table in the shared checkpoint folder, read back:
     computed exactly once, whatever reads it."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    path = table_path(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SCOPES: list[list[str]] = []
+
+
+def table_path(spark: SparkSession, name: str, outer: bool = False) -> str:
+    """A fresh path for a table below the checkpoint folder; the innermost
+    ``table_scope`` (or, with ``outer``, the one around it) drops it."""
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    scopes = _SCOPES[:-1] if outer else _SCOPES
+    if scopes:
+        scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def table_scope(spark: SparkSession):
+    """Intermediate tables that are written inside are dropped at the end:
+
+        with table_scope(spark):
+            popularity(...).write.parquet(result)
+
+    Frames that still read them are of no use afterwards, so the result is
+    written (or collected) inside.  Without a scope tables stay, as a returned
+    frame may be read at any time.  For one thread at a time.
+    """
+    mine: list[str] = []
+    _SCOPES.append(mine)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(mine)
+        for path in mine:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -69,3 +69,10 @@ def test_encode_items_replaces_key(spark):
     codes = identity.dense_ids(counts, "recording_msid", "codes")
     out = identity.encode_items(counts, codes, code_col="codes", replace=True)
     assert sorted((r.user_id, r.recording_msid) for r in out.collect()) == [(1, 1), (2, 0)]
+
+
+def test_rows_repeated_more_often_than_an_array_holds(spark, monkeypatch):
+    monkeypatch.setattr(identity, "REPEATS", 7)
+    rows = spark.createDataFrame([(1, 1), (2, 6), (3, 7), (4, 8), (5, 50)], "id int, n bigint")
+    got = {r.id: r["count"] for r in identity._repeated(rows, rows.n).groupBy("id").count().collect()}
+    assert got == {1: 1, 2: 6, 3: 7, 4: 8, 5: 50}

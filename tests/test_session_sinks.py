@@ -68,3 +68,26 @@ def test_write_once_computes_once(spark):
     table = write_once(spark.range(100).mapInArrow(touch, "id bigint"))
     assert table.count() == 100 and table.agg(F.sum("id")).first()[0] == 4950
     assert seen.value == 100
+
+
+def test_a_scope_drops_its_tables(spark, scratch):
+    from earworm.session import path_exists, table_path, table_scope
+
+    kept = write_once(spark.range(5))
+    with table_scope(spark):
+        table = write_once(spark.range(10))
+        inside = table.inputFiles()[0]
+        with table_scope(spark):
+            inner = write_once(table.where("id > 3"))
+            path = table_path(spark, "result", outer=True)
+            inner.write.parquet(path)
+            gone = inner.inputFiles()[0]
+        assert not path_exists(spark, gone) and path_exists(spark, path)
+        spark.read.parquet(path).write.parquet(f"{scratch}/out")
+    assert not path_exists(spark, inside) and not path_exists(spark, path)
+    assert kept.count() == 5 and spark.read.parquet(f"{scratch}/out").count() == 6
+    with pytest.raises(ZeroDivisionError):
+        with table_scope(spark):
+            gone = write_once(spark.range(3)).inputFiles()[0]
+            1 / 0
+    assert not path_exists(spark, gone)
