@@ -1,5 +1,6 @@
 """Checkpoint folder contract and partitioned split sinks."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF01
