@@ -94,31 +94,47 @@ def _chi_squared(a, b, n1, n0, greatest):
     return (a * n0 - b * n1) ** 2 * n / ((a + b) * greatest(n - a - b, half) * n1 * n0)
 
 
-def _labelled_rows(batches, model: ChainModel):
-    """(places of the terms, text, toxic, quality) of each labelled document."""
-    for batch in batches:
-        for text, toxic, quality in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "quality"))):
-            yield model.places(text), text, toxic, quality
+def _fold(text: str | None, folds: int) -> int:
+    """Equal texts share a fold."""
+    return xxhash.xxh64_intdigest(text or "", SEED) % folds
+
+
+def features(docs: DataFrame, lookup: ChainModel, folds: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, fold, places) of every row with an id: its terms among
+    ``lookup``'s.  A map; what follows is shuffled without the texts."""
+    def find(batches):
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([_fold(t, folds) for t in texts], pa.int32()),
+                 pa.array([lookup.places(t) for t in texts], pa.list_(pa.int32()))], names=["doc_id", "fold", "places"])
+
+    return docs.where(docs[doc_id].isNotNull()).select(
+        docs[doc_id].cast("bigint"), docs[text].cast("string")).mapInArrow(find, "doc_id bigint, fold int, places array<int>")
 
 
 def counted_terms(labelled: DataFrame, terms: list[str], n_terms: int) -> list[tuple[str, int, int]]:
     """The ``n_terms`` of ``terms`` with the highest chi-squared over all
-    labelled documents, as (term, toxic documents, clean documents).  A task
-    passes on one row a term; as many reach the driver."""
-    lookup = ChainModel.of(terms)
+    labelled documents (places and toxic), as (term, toxic documents, clean
+    documents).  A task passes on one row a term; as many reach the driver."""
+    n = len(terms)
 
     def count(batches):
-        n, counts = len(terms), np.zeros((2, len(terms) + 1), np.int64)
-        for places, _, toxic, _ in _labelled_rows(batches, lookup):
-            counts[toxic, places] += 1
-            counts[toxic, n] += 1
+        counts = np.zeros((2, n + 1), np.int64)
+        for batch in batches:
+            places, toxic = batch.column(0), batch.column(1).to_numpy()
+            flat = places.flatten().to_numpy()
+            marks = np.repeat(toxic, np.diff(places.offsets.to_numpy()))
+            for mark in (0, 1):
+                counts[mark, :n] += np.bincount(flat[marks == mark], minlength=n)
+                counts[mark, n] += int((toxic == mark).sum())
         at = np.flatnonzero(counts.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[1, at]), pa.array(counts[0, at])],
                                          names=["place", "a", "b"])
 
-    sums = {r.place: (r.a, r.b) for r in labelled.select("text", "toxic", "quality").mapInArrow(
+    sums = {r.place: (r.a, r.b) for r in labelled.select("places", "toxic").mapInArrow(
         count, "place bigint, a bigint, b bigint").groupBy("place").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect()}
-    n1, n0 = sums.pop(len(terms), (0, 0))
+    n1, n0 = sums.pop(n, (0, 0))
     if not n1 or not n0:
         return []
     found = [(-_chi_squared(float(a), float(b), n1, n0, max), terms[place], a, b) for place, (a, b) in sums.items()]
@@ -238,22 +254,19 @@ def fit_chain(docs: DataFrame, labels: DataFrame, per_class: int = 3000, n_terms
     are counted in all labelled documents, which decides.  The thresholds come
     from a histogram of the labelled documents' probabilities, each from the
     models that have not seen its fold.  Equal texts share a fold.  The
-    labelled texts are written once to the shared folder.  Without toxic
-    labels nothing is toxic.
+    texts are read once more for the candidate terms in them, which meet the
+    labels without the texts.  Without toxic labels nothing is toxic.
     """
     texts = docs.select(docs[doc_id].cast("bigint").alias("doc_id"), docs[text].cast("string").alias("text"))
-    labelled = written(texts.join(all_labels(labels, doc_id), "doc_id"), "labelled")
-    ids = F.broadcast(sample_labels(labels, per_class).select("doc_id"))
-    sample = written(labelled.join(ids, "doc_id", "left_semi"), "sampled")
-    likely = telling_terms(sample, candidates * n_terms)
-    chosen = counted_terms(labelled, [t for t, _, _ in likely], n_terms) if likely else []
+    sample = written(texts.join(F.broadcast(sample_labels(labels, per_class, doc_id)), "doc_id"), "sampled")
+    likely = [t for t, _, _ in telling_terms(sample, candidates * n_terms)]
+    labelled = written(features(texts, ChainModel.of(likely), folds).join(all_labels(labels, doc_id), "doc_id"), "labelled")
+    chosen = counted_terms(labelled, likely, n_terms) if likely else []
     model = ChainModel.of([t for t, _, _ in chosen])
     terms = model.terms
+    position = np.array([terms.get(t, -1) for t in likely], np.int64)  # of the candidates in the model
     telling = {terms[t] for t, a, b in chosen if a >= TELLING * max(b, 0.2)}
 
-    def fold_of(t: str | None) -> int:
-        return xxhash.xxh64_intdigest(t or "", SEED) % folds
-
     def marks_of(places: list[int], toxic: int, quality: int | None) -> tuple[bool, bool, bool]:
         return quality == 0, toxic == 1, toxic == 1 and len(telling.intersection(places)) >= SEVERE_TERMS
 
@@ -263,7 +276,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, per_class: int = 3000, n_terms
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r["doc_id"] for r in rows], pa.int64()), pa.array([r["toxic"] for r in rows], pa.int32()),
                  pa.array([r["quality"] for r in rows], pa.int32()),
-                 pa.array([fold_of(r["text"]) for r in rows], pa.int32()),
+                 pa.array([_fold(r["text"], folds) for r in rows], pa.int32()),
                  pa.array([model.places(r["text"]) for r in rows], pa.list_(pa.int32()))],
                 names=["doc_id", "toxic", "quality", "fold", "places"])
 
@@ -288,8 +301,10 @@ def fit_chain(docs: DataFrame, labels: DataFrame, per_class: int = 3000, n_terms
 
     def bins(batches):
         counts = np.zeros((len(CHAIN), BINS, 2), np.int64)
-        for places, t, toxic, quality in _labelled_rows(batches, sent.value):
-            p = sent.value.unseen(places, fold_of(t))
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        for candidate_places, in_fold, toxic, quality in rows:
+            places = [i for i in position[candidate_places].tolist() if i >= 0]
+            p = sent.value.unseen(places, in_fold)
             for c, is_one in enumerate(marks_of(places, toxic, quality)):
                 counts[c, min(BINS - 1, int(p[c] * BINS)), int(is_one)] += 1
         category, at = np.nonzero(counts.any(axis=2))
@@ -298,7 +313,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, per_class: int = 3000, n_terms
             names=["category", "bin", "hits", "misses"])
 
     histogram = np.zeros((len(CHAIN), 2, BINS), np.int64)
-    for r in labelled.select("text", "toxic", "quality").mapInArrow(
+    for r in labelled.select("places", "fold", "toxic", "quality").mapInArrow(
             bins, "category bigint, bin bigint, hits bigint, misses bigint").groupBy("category", "bin").agg(
             F.sum("hits").alias("hits"), F.sum("misses").alias("misses")).collect():
         histogram[r.category, :, r["bin"]] = r.hits, r.misses

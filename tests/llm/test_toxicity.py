@@ -118,8 +118,9 @@ def test_threshold_of_bins_equals_a_search():
 
 def test_terms_are_counted_in_all_labelled_documents(spark):
     docs, marks = planted(4, 400)
-    labelled = frame(spark, docs).join(toxicity.all_labels(spark.createDataFrame(marks, LABELS)), "doc_id")
     terms = ["vile*", "vilewort", "scornling", "and", "heer*", "unmet"]
+    found = toxicity.features(frame(spark, docs), toxicity.ChainModel.of(terms), 3)
+    labelled = found.join(toxicity.all_labels(spark.createDataFrame(marks, LABELS)), "doc_id")
     counts = {t: [0, 0] for t in terms}
     toxic = {i: t for i, _, t in marks}
     for d in docs:
