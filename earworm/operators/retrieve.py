@@ -1,13 +1,14 @@
 """Top-k inner-product retrieval over factor vectors.
 
-Both searches score on executors only, block against block: at most
-``block_items`` items with ``block_queries`` queries at a time, in tiles of
-``TILE`` queries, so a task holds a few tens of MB whatever the tables hold.
-No row of a pair is emitted: each block gives its best k per query, and a
-per-query top-k merges the blocks.
-
-Scores are sums in the order of the coordinates.  A matrix product finds the
-candidates of a tile with a margin for its rounding; the candidates are then
+Both searches score on executors only, block against block.  A block of one
+side is copied to those of the other, so blocks are as large as a task may hold
+(``block_sizes``: some hundred MB with all that belongs to them, whatever the
+tables hold) and are scored ``TILE`` queries by ``CHUNK`` items at a time.  No
+row of a pair is emitted: each block gives its best k per query, and a per-query
+top-k merges the blocks.
+
+Scores are sums in the order of the coordinates.  A matrix product finds what
+can enter a query's best k so far, with a margin for its rounding; that is then
 summed in order, so a pair has the same score in every block and equal scores
 are equal.  Ties go to the smaller item id, whatever their number.
 
@@ -44,8 +45,26 @@ from earworm.session import write_once
 # executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Queries of a block that are scored at a time, and pairs summed at a time.
-TILE, PAIRS = 256, 1 << 16
+#: Queries of a block that are scored at a time, items that they are held
+#: against at a time, and pairs summed at a time.
+TILE, CHUNK, PAIRS = 256, 2048, 1 << 16
+#: Numbers that the items, and the queries, of a block hold, and rows of its
+#: result: what a task keeps is bounded by these.
+ITEM_VALUES, QUERY_VALUES, FOUND = 1 << 23, 1 << 21, 1 << 22
+#: Blocks of queries of fewer rows are not made smaller to get more tasks.
+LEAST, TASKS = 2048, 48
+
+
+def block_sizes(rank: int | None, k: int) -> tuple[int, int]:
+    """(items, queries) that a block holds at most, by the length of vectors."""
+    rank = max(1, rank or 1)
+    return max(LEAST, ITEM_VALUES // rank), max(LEAST, min(QUERY_VALUES // rank, FOUND // max(1, k)))
+
+
+def query_blocks(n_queries: int, size: int, n_item_blocks: int) -> int:
+    """Blocks of queries: of ``size`` at most, and enough for ``TASKS`` tasks
+    where there are the queries for it."""
+    return max(1, -(-n_queries // size), min(-(-n_queries // LEAST), -(-TASKS // max(1, n_item_blocks))))
 
 
 def _values(table: pa.Table, name: str) -> np.ndarray:
@@ -53,75 +72,182 @@ def _values(table: pa.Table, name: str) -> np.ndarray:
 
 
 def _matrix(table: pa.Table, name: str) -> np.ndarray:
-    """A column of vectors of one length as a matrix."""
+    """A column of vectors of one length as a matrix, 32-bit ones as such."""
     flat = table.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return np.asarray(flat, dtype=np.float64).reshape(table.num_rows, -1)
+    return np.asarray(flat, np.float32 if flat.dtype == np.float32 else np.float64).reshape(table.num_rows, -1)
 
 
-def _in_order(q: np.ndarray, x: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
-    """Inner products of the given pairs, summed in the order of coordinates."""
+def _in_order(q: np.ndarray, x: np.ndarray, rows: np.ndarray, cols: np.ndarray, single: bool = False) -> np.ndarray:
+    """Inner products of the given pairs, summed in the order of coordinates;
+    ``q`` and ``x`` hold a vector a column.  ``single``: in 32 bits, as Spark
+    ML's models score."""
     out = np.empty(len(rows))
     for at in range(0, len(rows), PAIRS):
         r, c = rows[at: at + PAIRS], cols[at: at + PAIRS]
-        total = np.zeros(len(r))
-        for j in range(q.shape[1]):
-            total += q[r, j] * x[c, j]
+        kind = np.float32 if single else np.float64
+        total = np.zeros(len(r), kind)
+        for j in range(len(q)):
+            total += q[j].take(r).astype(kind, copy=False) * x[j].take(c)
         out[at: at + PAIRS] = total
     return out
 
 
+def _few_equal(x: np.ndarray, k: int) -> np.ndarray:
+    """Places of the vectors (columns, by ascending id) that can be among the
+    best k of a query: one that equals k vectors of smaller ids cannot, so ties
+    of equal vectors stay few, whatever their number."""
+    n = x.shape[1]
+    if n <= k:
+        return np.arange(n)
+    key = np.zeros(n)
+    for j, weight in enumerate(np.random.default_rng(0).standard_normal(len(x))):
+        key += x[j] * weight
+    order = np.argsort(key, kind="stable")
+    if not (key[order[k:]] == key[order[:-k]]).any():
+        return np.arange(n)
+    same = np.concatenate([[False], (x[:, order[1:]] == x[:, order[:-1]]).all(axis=0)])
+    first = np.flatnonzero(~same)
+    place = np.arange(n) - first[np.cumsum(~same) - 1]
+    return np.sort(order[place < k])
+
+
+def _places(flags: np.ndarray) -> np.ndarray:
+    """``np.flatnonzero`` of flags few of which are set: eight at a time."""
+    if flags.size % 8:
+        return np.flatnonzero(flags)
+    words = np.flatnonzero(flags.reshape(-1).view(np.uint64))
+    row, col = np.nonzero(flags.reshape(-1, 8)[words])
+    return words[row] * 8 + col
+
+
+class _Best:
+    """The best k of each query of a tile so far: scores and ranks of ids."""
+
+    def __init__(self, n: int, k: int):
+        self.scores, self.ranks = np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
+
+    def take(self, rows: np.ndarray, ranks: np.ndarray, scores: np.ndarray) -> None:
+        last, rank = self.scores[rows, -1], self.ranks[rows, -1]
+        enters = (scores > last) | ((scores == last) & (ranks < rank))
+        rows, ranks, scores = rows[enters], ranks[enters], scores[enters]
+        if not len(rows):
+            return
+        order = np.argsort(rows, kind="stable")
+        rows, ranks, scores = rows[order], ranks[order], scores[order]
+        at, place, counts = np.unique(rows, return_inverse=True, return_counts=True)
+        k, starts = self.scores.shape[1], np.cumsum(counts) - counts
+        s = np.full((len(at), k + counts.max()), -np.inf)
+        r = np.full(s.shape, np.iinfo(np.int64).max)
+        s[:, :k], r[:, :k] = self.scores[at], self.ranks[at]
+        col = k + np.arange(len(rows)) - starts[place]
+        s[place, col], r[place, col] = scores, ranks
+        best = np.lexsort((r, -s), axis=-1)[:, :k]
+        self.scores[at], self.ranks[at] = np.take_along_axis(s, best, axis=1), np.take_along_axis(r, best, axis=1)
+
+
+class _Items:
+    """Items of a block, a vector a column, in the order in which they are
+    scored; ``ranks`` are the places of their ids."""
+
+    def __init__(self, x: np.ndarray, ranks: np.ndarray, single: bool = False):
+        self.x, self.ranks, self.single = np.ascontiguousarray(x), ranks, single
+        self.reach = float(np.abs(x).sum(axis=0, dtype=np.float64).max()) if x.size else 0.0
+
+    def scan(self, tile: np.ndarray, best: _Best, rows: np.ndarray, start: int, stop: int) -> None:
+        """Hold the given rows of ``tile`` against the items start .. stop.
+
+        A matrix product, of 32 bits where the vectors are, finds what can enter
+        the best so far, with a margin for its rounding; only that is summed in
+        order."""
+        k, q = best.scores.shape[1], tile[rows]
+        most = np.abs(q).max(axis=1, initial=0.0).astype(np.float64)
+        kind = np.float64
+        if q.dtype == self.x.dtype == np.float32 and self.reach * most.max(initial=0.0) < 1e36:
+            kind = np.float32
+        eps = np.finfo(np.float32 if self.single else kind).eps
+        # more than the rounding of a sum of products can amount to
+        margin = 4 * len(self.x) * (eps * self.reach * most + (1e-37 if kind == np.float32 else 0.0))
+        q, by_column, at, held, n_held = q.astype(kind, copy=False), np.ascontiguousarray(q.T), start, [], 0
+        due = start + CHUNK
+
+        def enter() -> None:
+            r, c = (np.concatenate(part) for part in zip(*held))
+            best.take(rows[r], self.ranks[c], _in_order(by_column, self.x, r, c, self.single))
+
+        while at < stop:
+            end = min(at + CHUNK, stop)
+            scores = q @ self.x[:, at:end].astype(kind, copy=False)
+            floor = best.scores[rows, -1] - margin
+            if end - at > k and np.isneginf(floor).any():
+                floor = np.maximum(floor, np.partition(scores, end - at - k, axis=1)[:, end - at - k] - 2 * margin)
+            floor = np.nextafter(floor.astype(kind), kind(-np.inf))
+            flat = _places(scores >= floor[:, None])
+            if len(flat):
+                r, c = np.divmod(flat, end - at)
+                held.append((r, c + at))
+                n_held += len(flat)
+            at = end
+            if held and (at >= due or at == stop or n_held > 2 * k * len(rows)):
+                enter()
+                held, n_held, due = [], 0, at + max(CHUNK, at - start)
+
+
 def top_k_of_block(qids: np.ndarray, q: np.ndarray, iids: np.ndarray, x: np.ndarray, k: int) -> pd.DataFrame:
     """The best k items of a block per query, ties by smaller item id."""
-    places, ids, scores = _best_of_block(q, iids, x, k)
+    places, ids, scores, _ = _best_of_block(q, iids, x, k)
     return pd.DataFrame({"query_id": qids[places], "item_id": ids, "score": scores})
 
 
-def _best_of_block(q: np.ndarray, iids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query place, item id, score) of the best k items of a block per query,
-    ties by smaller item id."""
+def _best_of_block(q: np.ndarray, iids: np.ndarray, x: np.ndarray, k: int, single: bool = False
+                   ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(query place, item id, score, position) of the best k items of a block
+    per query, ties by smaller item id (``single``: by larger)."""
     by_id = np.argsort(iids, kind="stable")
-    iids, x = iids[by_id], x[by_id]
-    n, kk = len(iids), min(k, len(iids))
-    reach = np.abs(x).sum(axis=1).max()
-    found = []
+    by_id = by_id[::-1] if single else by_id
+    iids, x = iids[by_id], x[by_id].T
+    few = _few_equal(x, k)
+    items, found = _Items(x[:, few], few, single), []
     for at in range(0, len(q), TILE):
         tile = q[at: at + TILE]
-        scores = tile @ x.T
-        kth = np.partition(scores, n - kk, axis=1)[:, n - kk]
-        # more than the rounding of a sum of products can amount to
-        margin = 4 * x.shape[1] * np.finfo(np.float64).eps * reach * np.abs(tile).max(axis=1)
-        rows, cols = np.nonzero(scores >= (kth - margin)[:, None])
-        exact = _in_order(tile, x, rows, cols)
-        order = np.lexsort((cols, -exact, rows))
-        rows, cols, exact = rows[order], cols[order], exact[order]
-        place = np.arange(len(rows)) - np.searchsorted(rows, rows, "left")
-        kept = place < kk
-        found.append((at + rows[kept], iids[cols[kept]], exact[kept]))
-    return tuple(np.concatenate(column) for column in zip(*found))
-
-
-def _score_blocks(queries: DataFrame, items: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """Best k per (query, block) of blocks that share ``keys``; queries hold
-    query_id and _qv, items item_id and _iv, ids of any type."""
+        best = _Best(len(tile), min(k, len(iids)))
+        items.scan(tile, best, np.arange(len(tile)), 0, len(few))
+        found.append(_found(best, at))
+    rows, ranks, scores, pos = (np.concatenate(column) for column in zip(*found))
+    return rows, iids[ranks], scores, pos
+
+
+def _found(best: _Best, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(query place, rank, score, position) of what a tile at place ``at`` has."""
+    rows, cols = np.nonzero(best.ranks < np.iinfo(np.int64).max)
+    return at + rows, best.ranks[rows, cols], best.scores[rows, cols], (cols + 1).astype(np.int32)
+
+
+def _score_blocks(queries: DataFrame, items: DataFrame, keys: list[str], k: int, single: bool = False) -> DataFrame:
+    """Best k per (query, block) of blocks that share ``keys``, with their
+    positions; queries hold query_id and _qv, items item_id and _iv, ids of any
+    type."""
     q_field, i_field = queries.schema["query_id"], items.schema["item_id"]
     q_type, i_type = to_arrow_type(q_field.dataType), to_arrow_type(i_field.dataType)
 
     def score(q: pa.Table, i: pa.Table) -> pa.Table:
-        places, ids, scores = np.zeros(0, np.int64), [], np.zeros(0)
+        places, ids, scores, pos = np.zeros(0, np.int64), [], np.zeros(0), np.zeros(0, np.int32)
         if q.num_rows and i.num_rows:
-            places, ids, scores = _best_of_block(_matrix(q, "_qv"), _values(i, "item_id"), _matrix(i, "_iv"), k)
-        return pa.table([q.column("query_id").combine_chunks().take(pa.array(places)).cast(q_type),
-                         pa.array(ids, i_type), pa.array(scores)], names=["query_id", "item_id", "score"])
+            places, ids, scores, pos = _best_of_block(
+                _matrix(q, "_qv"), _values(i, "item_id"), _matrix(i, "_iv"), k, single)
+        return pa.table([q.column("query_id").combine_chunks().take(pa.array(places)).cast(q_type), pa.array(pos),
+                         pa.array(ids, i_type), pa.array(scores)], names=["query_id", "pos", "item_id", "score"])
 
     # Both sides must carry identical key types, or cogroup hashes them apart.
     return queries.groupBy(*keys).cogroup(items.groupBy(*keys)).applyInArrow(
-        score, f"query_id {q_field.dataType.simpleString()}, item_id {i_field.dataType.simpleString()}, score double")
+        score, f"query_id {q_field.dataType.simpleString()}, pos int, "
+               f"item_id {i_field.dataType.simpleString()}, score double")
 
 
-def _rank(cands: DataFrame, k: int) -> DataFrame:
-    """Merge candidates: per-query top-k by (score desc, item asc), positions 1..k.
-    Each query has at most k rows per block."""
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("item_id").asc())
+def _rank(cands: DataFrame, k: int, larger: bool = False) -> DataFrame:
+    """Merge candidates: per-query top-k by (score desc, item asc or, with
+    ``larger``, desc), positions 1..k.  Each query has at most k rows per block."""
+    w = Window.partitionBy("query_id").orderBy(
+        F.col("score").desc(), F.col("item_id").desc() if larger else F.col("item_id").asc())
     return cands.select("query_id", F.row_number().over(w).alias("pos"), "item_id", "score") \
         .where(F.col("pos") <= k)
 
@@ -139,19 +265,33 @@ def _blocks(df: DataFrame, key: str, n: int, mine: str, other: str, n_other: int
         other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
 
 
+def _measured(df: DataFrame, vec: str) -> tuple[int, int | None]:
+    """(rows, longest vector)."""
+    return tuple(df.agg(F.count(F.lit(1)), F.max(F.size(vec))).first())
+
+
 def mips_exact(queries: DataFrame, items: DataFrame, k: int = 10, id_col: str = "id",
-               vec_col: str = "features", block_items: int = 2048, block_queries: int = 2048) -> DataFrame:
+               vec_col: str = "features", block_items: int | None = None, block_queries: int | None = None,
+               single: bool = False, unique: bool = False) -> DataFrame:
     """Exact top-k items by inner product for every query vector.
 
     Returns ``(query_id, pos, item_id, score)``; ids keep their type.  The two
     sizes are counted first (two numbers come to the driver); they fix the
-    number of blocks, nothing else.
+    number of blocks, nothing else.  A query is copied to every block of items
+    and an item to every block of queries, so blocks are as large as a task may
+    hold (``block_sizes``).  ``unique``: the caller knows that each query id
+    comes once; where the items are one block, its result is the result.
+    ``single``: scores of 32 bits and ties to the larger id, as Spark ML's
+    models have them.
     """
     q, i = _sides(queries, items, id_col, vec_col)
-    n_q, n_i = (max(1, -(-df.count() // size)) for df, size in ((q, block_queries), (i, block_items)))
-    found = _score_blocks(_blocks(q, "query_id", n_q, "_qx", "_ix", n_i),
-                          _blocks(i, "item_id", n_i, "_ix", "_qx", n_q), ["_qx", "_ix"], k)
-    return _rank(found, k)
+    (n_q, _), (n_i, rank) = _measured(q, "_qv"), _measured(i, "_iv")
+    most_i, most_q = block_sizes(rank, k)
+    n_ib = max(1, -(-n_i // (block_items or most_i)))
+    n_qb = max(1, -(-n_q // block_queries)) if block_queries else query_blocks(n_q, most_q, n_ib)
+    found = _score_blocks(_blocks(q, "query_id", n_qb, "_qx", "_ix", n_ib),
+                          _blocks(i, "item_id", n_ib, "_ix", "_qx", n_qb), ["_qx", "_ix"], k, single)
+    return found if unique and n_ib == 1 else _rank(found, k, single)
 
 
 def _norm(vec: str):
@@ -231,7 +371,7 @@ def lsh_candidate_share(queries: DataFrame, items: DataFrame, id_col: str = "id"
 
 
 def mips_lsh(queries: DataFrame, items: DataFrame, k: int = 10, id_col: str = "id", vec_col: str = "features",
-             block_items: int = 2048, block_queries: int = 2048, **lsh) -> DataFrame:
+             block_items: int | None = None, block_queries: int | None = None, **lsh) -> DataFrame:
     """Approximate top-k by inner product (the columns of ``mips_exact``).
 
     A bucket is dealt into blocks by its size, so one that holds a third of all
@@ -240,9 +380,10 @@ def mips_lsh(queries: DataFrame, items: DataFrame, k: int = 10, id_col: str = "i
     """
     p = {**LSH_DEFAULTS, **lsh}
     kq, ki = _lsh_buckets(queries, items, id_col, vec_col, **p)
+    most_i, most_q = block_sizes(_measured(items, vec_col)[1], k)
     sizes = _bucket_sizes(kq, ki).select(
-        *_KEY, F.ceil(F.col("_ni") / block_items).cast("int").alias("_ib"),
-        F.ceil(F.col("_nq") / block_queries).cast("int").alias("_qb"))
+        *_KEY, F.ceil(F.col("_ni") / (block_items or most_i)).cast("int").alias("_ib"),
+        F.ceil(F.col("_nq") / (block_queries or most_q)).cast("int").alias("_qb"))
     # Items go to one item block and are copied to each query block of their
     # bucket; queries go to one query block and are copied to each item block.
     it_b = ki.join(sizes, _KEY).select(

@@ -231,7 +231,7 @@ def mips_exact_als(spark, sf):
     """R10 on ALS factors: users' top-10 items by inner product."""
     idx, _, _, model = _implicit_setup(spark, sf)
     users, items = fz.factors_with_ids(model, idx)
-    return _round(retrieve.mips_exact(users, items, NEIGHBOURS))
+    return _round(retrieve.mips_exact(users, items, NEIGHBOURS, unique=True))
 
 
 def mips_lsh(spark, sf):
@@ -268,7 +268,7 @@ def mips_forest_recall(spark, sf):
     idx, _, _, model = _implicit_setup(spark, sf)
     users, items = (write_once(f) for f in fz.factors_with_ids(model, idx))
     recall = retrieve.retrieval_recall(forest.mips_forest(users, items, NEIGHBOURS),
-                                       retrieve.mips_exact(users, items, NEIGHBOURS))
+                                       retrieve.mips_exact(users, items, NEIGHBOURS, unique=True))
     share = forest.forest_candidate_share(users, items, NEIGHBOURS).select("candidate_share")
     return _round(recall.withColumn("candidate_share", share.scalar()))
 
@@ -289,14 +289,14 @@ def mips_bounded_als(spark, sf):
     """R10 + R7: users' top-100 items by exact search with norm bounds."""
     idx, _, _, model = _implicit_setup(spark, sf)
     users, items = fz.factors_with_ids(model, idx)
-    return _round(bounded.mips_bounded(users, items, TOP))
+    return _round(bounded.mips_bounded(users, items, TOP, unique=True))
 
 
 def mips_bounded_pairs(spark, sf):
     """The pairs that the norm bounds leave to be scored, on ALS factors."""
     idx, _, _, model = _implicit_setup(spark, sf)
     users, items = fz.factors_with_ids(model, idx)
-    return _round(bounded.mips_bounded_share(users, items, NEIGHBOURS, block_items=256))
+    return _round(bounded.mips_bounded_share(users, items, NEIGHBOURS, block_items=256, unique=True))
 
 
 def relevance_auc(spark, sf):
