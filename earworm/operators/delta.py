@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earworm.session import path_exists
+from earworm.session import path_exists, write_once
 
 #: Parts that readers list; a part of another batch is another folder.
 TABLES = ("first", "plays", "counts")
@@ -76,7 +76,8 @@ class IdentityState:
             raise ValueError("a batch needs a name that can be a folder's")
         before = self._labels(but=batch)
         user, item, ts, mbid = self.user, self.item, self.ts, self.mbid
-        known = log.select(user, item, ts).join(tracks.select(item, mbid), item)
+        # read by all that follows: the log, however it is made, is made once
+        known = write_once(log.select(user, item, ts).join(tracks.select(item, mbid), item))
         first = known.groupBy(item).agg(F.first(mbid).alias(mbid), F.min(ts).alias("first_ts"))
         self._write(first, "first", batch)
 
