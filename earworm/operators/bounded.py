@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from earworm.operators.retrieve import (TILE, _Best, _few_equal, _found, _Items, _matrix, _measured, _norm, _rank,
+from earworm.operators.retrieve import (TILE, _Best, _dealt, _few_equal, _found, _Items, _matrix, _measured, _norm, _rank,
                                         _sides, _values, block_sizes, query_blocks)
 from earworm.session import write_once
 
@@ -193,6 +193,7 @@ def _search(queries, items, k, id_col, vec_col, block_items, block_queries, task
         held_blocks = sized.where(F.col("_class").between(first, last)).select(
             F.pmod(F.xxhash64("item_id"), F.lit(n_ib)).cast("int").alias("_ix"),
             F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1))).alias("_qx"), "item_id", "_iv", "_class")
+        asked_blocks, held_blocks = (_dealt(side, _KEY, n_ib * n_qb) for side in (asked_blocks, held_blocks))
         found = write_once(asked_blocks.groupBy(*_KEY).cogroup(held_blocks.groupBy(*_KEY)).applyInArrow(
             _scorer(rounds, k, q_type, i_type), f"{kinds}, scored bigint"))
         n_scored = found.where(F.col("pos") == 0).agg(F.sum("scored")).first()[0] or 0

@@ -8,6 +8,7 @@ form ``(user, pos, item, score)`` with the original ids.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -42,7 +43,8 @@ class Indexed:
 
 
 def index_ratings(ratings: DataFrame, user: str = "user_id", item: str = "recording_msid",
-                  value: str = "listens", checkpoint: bool = True, keep_ids: tuple[str, ...] = ()) -> Indexed:
+                  value: str = "listens", checkpoint: bool = True, keep_ids: tuple[str, ...] = (),
+                  label: Callable[[DataFrame], DataFrame] | None = None) -> Indexed:
     """Ratings with int user and item ids for ALS.
 
     Every id column gets dense ids, whatever its type and values, except those
@@ -51,7 +53,8 @@ def index_ratings(ratings: DataFrame, user: str = "user_id", item: str = "record
     smaller than the log) are read by the id passes, the join and every later
     fit and evaluation, so they are written once into the shared checkpoint
     folder, and so is the indexed result; both and the id passes run when this
-    is called.
+    is called.  ``label`` adds columns to the result (a split, by row), so they
+    are written with it and need no table of their own.
     """
     if checkpoint:
         ratings = write_once(ratings.select(user, item, value))
@@ -61,6 +64,8 @@ def index_ratings(ratings: DataFrame, user: str = "user_id", item: str = "record
     idx = Indexed(ratings, users, items, user, item, types[user], types[item])
     rated = _encode(_encode(ratings, idx, "user"), idx, "item")
     indexed = to_als_frame(rated, UIDX, IIDX, value).select(user, item, UIDX, IIDX, value)
+    if label is not None:
+        indexed = label(indexed)
     if checkpoint and (users is not None or items is not None):
         # id-table joins were added: write again (a projection needs no table)
         indexed = write_once(indexed)

@@ -51,8 +51,13 @@ TILE, CHUNK, PAIRS = 256, 2048, 1 << 16
 #: Numbers that the items, and the queries, of a block hold, and rows of its
 #: result: what a task keeps is bounded by these.
 ITEM_VALUES, QUERY_VALUES, FOUND = 1 << 23, 1 << 21, 1 << 22
+#: Beyond what the rounding of two lengths can amount to.
+LENGTH_MARGIN = 1e-9
 #: Blocks of queries of fewer rows are not made smaller to get more tasks.
 LEAST, TASKS = 2048, 48
+#: Partitions a block, and of all blocks where that is more: blocks are few and
+#: heavy, so few of them may share a task.
+SPREAD, MOST_PARTS = 2, 512
 
 
 def block_sizes(rank: int | None, k: int) -> tuple[int, int]:
@@ -92,6 +97,11 @@ def _in_order(q: np.ndarray, x: np.ndarray, rows: np.ndarray, cols: np.ndarray,
     return out
 
 
+def _lengths(x: np.ndarray) -> np.ndarray:
+    """Lengths of the vectors (columns)."""
+    return np.sqrt(np.einsum("ij,ij->j", x, x, dtype=np.float64))
+
+
 def _few_equal(x: np.ndarray, k: int) -> np.ndarray:
     """Places of the vectors (columns, by ascending id) that can be among the
     best k of a query: one that equals k vectors of smaller ids cannot, so ties
@@ -153,6 +163,16 @@ class _Items:
         self.x, self.ranks, self.single = np.ascontiguousarray(x), ranks, single
         self.reach = float(np.abs(x).sum(axis=0, dtype=np.float64).max()) if x.size else 0.0
 
+    def rounding(self, q: np.ndarray) -> tuple[type, np.ndarray]:
+        """(kind of the matrix product, more than the rounding of a sum of
+        products can amount to) of the queries ``q``."""
+        most = np.abs(q).max(axis=1, initial=0.0).astype(np.float64)
+        kind = np.float64
+        if q.dtype == self.x.dtype == np.float32 and self.reach * most.max(initial=0.0) < 1e36:
+            kind = np.float32
+        eps = np.finfo(np.float32 if self.single else kind).eps
+        return kind, 4 * len(self.x) * (eps * self.reach * most + (1e-37 if kind == np.float32 else 0.0))
+
     def scan(self, tile: np.ndarray, best: _Best, rows: np.ndarray, start: int, stop: int) -> None:
         """Hold the given rows of ``tile`` against the items start .. stop.
 
@@ -160,13 +180,7 @@ class _Items:
         the best so far, with a margin for its rounding; only that is summed in
         order."""
         k, q = best.scores.shape[1], tile[rows]
-        most = np.abs(q).max(axis=1, initial=0.0).astype(np.float64)
-        kind = np.float64
-        if q.dtype == self.x.dtype == np.float32 and self.reach * most.max(initial=0.0) < 1e36:
-            kind = np.float32
-        eps = np.finfo(np.float32 if self.single else kind).eps
-        # more than the rounding of a sum of products can amount to
-        margin = 4 * len(self.x) * (eps * self.reach * most + (1e-37 if kind == np.float32 else 0.0))
+        kind, margin = self.rounding(q)
         q, by_column, at, held, n_held = q.astype(kind, copy=False), np.ascontiguousarray(q.T), start, [], 0
         due = start + CHUNK
 
@@ -201,16 +215,30 @@ def top_k_of_block(qids: np.ndarray, q: np.ndarray, iids: np.ndarray, x: np.ndar
 def _best_of_block(q: np.ndarray, iids: np.ndarray, x: np.ndarray, k: int, single: bool = False
                    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(query place, item id, score, position) of the best k items of a block
-    per query, ties by smaller item id (``single``: by larger)."""
+    per query, ties by smaller item id (``single``: by larger).
+
+    Long items come first, so few later ones enter a query's best k; a query is
+    done when its length times the longest item left is below its k-th score."""
     by_id = np.argsort(iids, kind="stable")
     by_id = by_id[::-1] if single else by_id
     iids, x = iids[by_id], x[by_id].T
     few = _few_equal(x, k)
+    length = _lengths(x[:, few])
+    longest_first = np.argsort(-length, kind="stable")
+    few, length = few[longest_first], length[longest_first]
     items, found = _Items(x[:, few], few, single), []
     for at in range(0, len(q), TILE):
         tile = q[at: at + TILE]
         best = _Best(len(tile), min(k, len(iids)))
-        items.scan(tile, best, np.arange(len(tile)), 0, len(few))
+        asked, beyond = _lengths(tile.T) * (1 + LENGTH_MARGIN), items.rounding(tile)[1]
+        rows, start, width = np.arange(len(tile)), 0, CHUNK
+        while len(rows) and start < len(few):
+            stop = min(start + width, len(few))
+            items.scan(tile, best, rows, start, stop)
+            start, width = stop, 2 * width
+            if start < len(few):  # one that cannot be compared stays
+                with np.errstate(invalid="ignore", over="ignore"):
+                    rows = rows[~(asked[rows] * length[start] + beyond[rows] < best.scores[rows, -1])]
         found.append(_found(best, at))
     rows, ranks, scores, pos = (np.concatenate(column) for column in zip(*found))
     return rows, iids[ranks], scores, pos
@@ -222,6 +250,12 @@ def _found(best: _Best, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return at + rows, best.ranks[rows, cols], best.scores[rows, cols], (cols + 1).astype(np.int32)
 
 
+def _dealt(blocks: DataFrame, keys: list[str], n_blocks: int) -> DataFrame:
+    """Blocks in partitions of a fixed number: by their bytes, which tell
+    nothing of their work, several would be put into one task."""
+    return blocks.repartition(max(n_blocks, min(SPREAD * n_blocks, MOST_PARTS)), *keys)
+
+
 def _score_blocks(queries: DataFrame, items: DataFrame, keys: list[str], k: int, single: bool = False) -> DataFrame:
     """Best k per (query, block) of blocks that share ``keys``, with their
     positions; queries hold query_id and _qv, items item_id and _iv, ids of any
@@ -289,8 +323,9 @@ def mips_exact(queries: DataFrame, items: DataFrame, k: int = 10, id_col: str =
     most_i, most_q = block_sizes(rank, k)
     n_ib = max(1, -(-n_i // (block_items or most_i)))
     n_qb = max(1, -(-n_q // block_queries)) if block_queries else query_blocks(n_q, most_q, n_ib)
-    found = _score_blocks(_blocks(q, "query_id", n_qb, "_qx", "_ix", n_ib),
-                          _blocks(i, "item_id", n_ib, "_ix", "_qx", n_qb), ["_qx", "_ix"], k, single)
+    keys = ["_qx", "_ix"]
+    found = _score_blocks(_dealt(_blocks(q, "query_id", n_qb, "_qx", "_ix", n_ib), keys, n_qb * n_ib),
+                          _dealt(_blocks(i, "item_id", n_ib, "_ix", "_qx", n_qb), keys, n_qb * n_ib), keys, k, single)
     return found if unique and n_ib == 1 else _rank(found, k, single)
 
 

@@ -95,3 +95,81 @@ def test_the_log_of_a_batch_is_made_once(spark, tmp_path):
         F.col("id") % 3).cast("string")).alias("recording_mbid"))
     delta.IdentityState(spark, str(tmp_path)).merge(log.mapInPandas(seen, log.schema), tracks, "a")
     assert read.value == 200
+
+
+def _scanned(monkeypatch, q, x, k, single):
+    """(best k of a block, pairs that were scored, pairs that were summed)."""
+    n = {"scored": 0, "summed": 0}
+    scan, in_order = retrieve._Items.scan, retrieve._in_order
+
+    def counted(self, tile, best, rows, start, stop):
+        n["scored"] += len(rows) * (stop - start)
+        return scan(self, tile, best, rows, start, stop)
+
+    def summed(q, x, rows, cols, single=False):
+        n["summed"] += len(rows)
+        return in_order(q, x, rows, cols, single)
+
+    monkeypatch.setattr(retrieve._Items, "scan", counted)
+    monkeypatch.setattr(retrieve, "_in_order", summed)
+    found = retrieve._best_of_block(q, np.arange(len(x)), x, k, single)
+    monkeypatch.undo()
+    return found, n["scored"], n["summed"]
+
+
+@pytest.mark.parametrize("single", [True, False])
+def test_long_items_first_leave_most_pairs_unscored(monkeypatch, single):
+    """Few long items at the far end of the ids, as popular ones are: a block
+    used to hold every query against every item."""
+    rng = np.random.default_rng(11)
+    q, x = (rng.random((n, 8)).astype(np.float32) for n in (300, 20_000))
+    order = np.arange(20_000) if single else np.arange(20_000)[::-1]
+    x[order[:400]] *= 1000
+    (places, ids, scores, pos), scored, summed = _scanned(monkeypatch, q, x, 20, single)
+    assert scored < 0.2 * len(q) * len(x) and summed < 0.05 * len(q) * len(x)
+    want = np.zeros((len(q), len(x)), np.float32 if single else np.float64)
+    for j in range(8):  # in the order of coordinates
+        want += (q[:, j, None].astype(want.dtype) * x[None, :, j].astype(want.dtype))
+    tie = -np.arange(len(x)) if single else np.arange(len(x))
+    for at in range(len(q)):
+        best = np.lexsort((tie, -want[at]))[:20]
+        assert ids[places == at].tolist() == best.tolist() and scores[places == at].tolist() == want[at][best].tolist()
+    assert (pos.reshape(len(q), 20) == np.arange(1, 21)).all()
+
+
+def test_a_bound_stops_no_query_that_may_still_change():
+    """Negative scores, equal lengths, zeros and nothing to compare."""
+    rng = np.random.default_rng(3)
+    x = np.vstack([-np.ones((2500, 2)), np.zeros((2500, 2)), rng.choice([-1.0, 1.0], (2500, 2))])
+    q = np.array([[1.0, 1.0], [0.0, 0.0], [-1e-300, 1e300], [1.0, -1.0]])
+    places, ids, scores, _ = retrieve._best_of_block(q, np.arange(len(x)), x, 30)
+    want = q[:, :1] * x[None, :, 0] + q[:, 1:] * x[None, :, 1]
+    for at in range(len(q)):
+        assert ids[places == at].tolist() == np.lexsort((np.arange(len(x)), -want[at]))[:30].tolist()
+
+
+def test_the_split_is_written_with_the_indexed_ratings(spark, monkeypatch):
+    """One table holds ids and split; it used to be written again for the split."""
+    from conftest import SF001
+    from earworm.plans import models
+
+    again = []
+    monkeypatch.setattr(models, "_FITTED", {})
+    monkeypatch.setattr(models, "write_once", lambda df: again.append(df) or df)
+    monkeypatch.setattr(fz, "fit_als", lambda *args, **params: None)
+    monkeypatch.setattr(fz, "save_model", lambda model, path: None)
+    monkeypatch.setattr(fz, "load_model", lambda path: None)
+    idx, train, val, _ = models._implicit_setup(spark, SF001)
+    assert not again and "split" in idx.ratings.columns
+    both = train.unionByName(val)
+    assert both.count() == idx.ratings.count() and both.exceptAll(idx.ratings.drop("split")).count() == 0
+
+
+def test_blocks_are_not_put_into_one_task(spark, vectors):
+    """Twenty blocks, small by their bytes: they used to share a task or two."""
+    rows = vectors.limit(2000)
+    found = retrieve.mips_exact(rows, rows, 3, block_queries=100, unique=True)
+    held = found.withColumn("_task", F.spark_partition_id()).select("query_id", "_task").distinct()
+    assert held.select("_task").distinct().count() >= 10
+    assert "Exchange hashpartitioning(_qx" in found._jdf.queryExecution().toString()
+    assert found._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(_qx") == 2
