@@ -252,3 +252,19 @@ def test_median_by_sketch(spark, monkeypatch):
     assert ordered.median_of(df, "x") == 9999.5
     whole = spark.createDataFrame([(2**53 + i,) for i in range(3)], "x bigint")
     assert ordered.median_of(whole, "x") == float(2**53 + 1)
+
+
+def test_what_the_fits_train_on_is_counted_once_a_search(spark, indexed, scratch, monkeypatch):
+    """Every fit used to put its ratings in order and count them first."""
+    given, counted = [], []
+    monkeypatch.setattr(tuning, "train_sizes", lambda *a, f=tuning.train_sizes: counted.append(f(*a)) or counted[-1])
+    fit = tuning.fit_als
+
+    def seen(idx, sizes=None, **params):
+        given.append((sizes, tuple(idx.ratings.agg(*fz.rating_sizes()).first())))
+        return fit(idx, sizes=sizes, **params)
+
+    monkeypatch.setattr(tuning, "fit_als", seen)
+    tuning.tune(indexed, {"rank": [2, 3], "max_iter": [1]}, folds=2, ledger=f"{scratch}/ledger", refit=False)
+    assert len(counted) == 1 and len(given) == 4
+    assert all(sizes == own for sizes, own in given) and len({own for _, own in given}) == 2
