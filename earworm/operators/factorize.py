@@ -17,9 +17,10 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from earworm.operators import few_items
 from earworm.operators.identity import dense_ids
 from earworm.operators.retrieve import mips_exact
-from earworm.session import checkpoint_dir, write_once
+from earworm.session import checkpoint_dir, table_path, write_once
 
 UIDX, IIDX = "_uidx", "_iidx"
 
@@ -153,23 +154,69 @@ def rating_sizes(where: Column | None = None) -> tuple[Column, Column, Column]:
 
 
 def fit_als(indexed: Indexed, value: str = "listens", sizes: tuple[int, int, int] | None = None,
-            **params) -> ALSModel:
+            held_out: DataFrame | None = None, stops: list[int] | None = None, **params):
     """R3 (explicit, e.g. nonnegative=True) and R4 (implicit=True).
 
     Blocks that are not given are counted from the ratings (``als_blocks``);
-    ``sizes`` are the ``rating_sizes`` where the caller has them.
+    ``sizes`` are the ``rating_sizes`` where the caller has them.  An explicit
+    model of few items is fitted by ``few_items``, any other by Spark ML.
+
+    With ``held_out`` (rows of ALS ids and values) no model is returned but a
+    list: (predicted rows, sum of squared errors) after each number of iterations
+    in ``stops``, instead of ``max_iter``.  ALS is a sequence, so a few-items fit
+    of the most iterations passes through all others.
 
     Runs when called.  Factor lineage is cut every ``checkpoint_interval``
     iterations into the session's checkpoint folder, so a lost executor does
     not replay all iterations.
     """
-    checkpoint_dir(indexed.ratings.sparkSession)
+    ratings = indexed.ratings
+    checkpoint_dir(ratings.sparkSession)
+    n, users, items = sizes or ratings.agg(*rating_sizes()).first()
+    rank = params.get("rank", 10)
     if not {"num_user_blocks", "num_item_blocks"} <= params.keys():
-        n, users, items = sizes or indexed.ratings.agg(*rating_sizes()).first()
-        rank = params.get("rank", 10)
         params = {"num_user_blocks": als_blocks(n, users, items, rank),
                   "num_item_blocks": als_blocks(n, items, users, rank), **params}
-    return als_estimator(value=value, **params).fit(indexed.ratings)
+    estimator = als_estimator(value=value, **params)
+    stops = sorted(stops or [estimator.getMaxIter()])
+    if (n and stops[0] > 0 and not estimator.getImplicitPrefs() and estimator.getRegParam() > 0
+            and few_items.few(items, rank)):
+        return _fit_few_items(ratings, estimator, n, users, value, held_out, stops)
+    if held_out is None:
+        return estimator.fit(ratings)
+    # in order, so the fit starts from the same tables whatever the partitions were
+    ratings = ratings.repartition(8, UIDX).sortWithinPartitions(UIDX, IIDX)
+    models = (estimator.copy({estimator.maxIter: most}).fit(ratings) for most in stops)
+    return [_squared_errors(model, held_out, value) for model in models]
+
+
+def _squared_errors(model: ALSModel, rows: DataFrame, value: str) -> tuple[int, float]:
+    error = F.col("prediction").cast("double") - F.col(value).cast("double")
+    row = model.transform(rows).agg(F.count(F.lit(1)).alias("n"), F.sum(error * error).alias("squares")).first()
+    return row.n, row.squares or 0.0
+
+
+def _fit_few_items(ratings: DataFrame, estimator: ALS, n: int, users: int, value: str,
+                   held_out: DataFrame | None, stops: list[int]):
+    """``fit_als`` by ``few_items``.  The first user factors are those of Spark
+    ML, which depend on the users, the rank, the seed and the blocks: the factors
+    of a fit of no iteration over one rating a user."""
+    spark, rank = ratings.sparkSession, estimator.getRank()
+    first = estimator.copy({estimator.maxIter: 0})
+    one = ratings.groupBy(UIDX).agg(F.min(IIDX).alias(IIDX), F.lit(1.0).cast("float").alias(value))
+
+    def kept(factors, known, item_factors) -> ALSModel:
+        # a model that holds these factors: one of no iterations is saved, its tables replaced
+        path = table_path(spark, "als")
+        save_model(first.fit(spark.createDataFrame([(0, 0, 1.0)], f"{UIDX} int, {IIDX} int, {value} float")), path)
+        few_items.user_table(spark, factors).write.mode("overwrite").parquet(f"{path}/userFactors")
+        few_items.item_table(spark, known, item_factors).write.mode("overwrite").parquet(f"{path}/itemFactors")
+        return load_model(path)
+
+    found = few_items.fit(
+        ratings, first.fit(one).userFactors, few_items.n_blocks(n, users, rank), stops,
+        estimator.getRegParam(), estimator.getNonnegative(), UIDX, IIDX, value, held_out, kept)
+    return found if held_out is not None else found[0]
 
 
 def score_pairs(model: ALSModel, indexed: Indexed, pairs: DataFrame, user: str = "user_id",

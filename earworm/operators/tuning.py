@@ -90,16 +90,13 @@ def train_sizes(folded: DataFrame, folds: int) -> list[tuple[int, int, int]]:
 
 
 def fit_and_test(indexed: Indexed, folded: DataFrame, setting: dict, fold: int, value: str, fixed: dict,
-                 sizes: tuple[int, int, int] | None = None) -> tuple[int, float]:
+                 sizes: tuple[int, int, int] | None = None, stops: list[int] | None = None) -> list[tuple[int, float]]:
     """(predicted rows, sum of squared errors) on one fold of a model fitted on
-    the others, whose ``rating_sizes`` may be given.  Rows are put in order first, so the fit starts from the same
-    tables whatever the partitions were."""
-    train = folded.where(F.col("fold") != fold).repartition(8, UIDX).sortWithinPartitions(UIDX, IIDX)
-    model = fit_als(replace(indexed, ratings=train), value=value, sizes=sizes, **setting, **fixed)
-    error = F.col("prediction").cast("double") - F.col(value).cast("double")
-    row = model.transform(folded.where(F.col("fold") == fold)).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(error * error).alias("squares")).first()
-    return row.n, row.squares or 0.0
+    the others, whose ``rating_sizes`` may be given, after each number of
+    iterations in ``stops`` (ascending; the setting's by default)."""
+    train, test = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+    return fit_als(replace(indexed, ratings=train), value=value, sizes=sizes, held_out=test,
+                   stops=stops or [setting["max_iter"]], **setting, **fixed)
 
 
 def tune(indexed: Indexed, grid: dict[str, list], folds: int = 5, train_ratio: float | None = None,
@@ -130,18 +127,33 @@ def tune(indexed: Indexed, grid: dict[str, list], folds: int = 5, train_ratio: f
     settings = settings_of(grid)
     sizes = train_sizes(folded, folds)
 
-    def result(at: tuple[dict, int]) -> tuple[int, float]:
-        found = held.get(*at)
-        if found is None:
-            found = fit_and_test(indexed, folded, *at, value, fixed, sizes[at[1]])
-            held.put(*at, *found)
-        return found
+    # settings that differ in their iterations only are one fit, to the most of them
+    groups: dict[tuple, list[int]] = {}
+    for i, s in enumerate(settings):
+        groups.setdefault(tuple(s[name] for name in SETTING if name != "max_iter"), []).append(i)
+    results: dict[tuple[int, int], tuple[int, float]] = {}
+
+    def fit_missing(at: tuple[list[int], int]) -> None:
+        members, fold = at
+        missing: dict[int, list[int]] = {}
+        for i in members:
+            results[i, fold] = held.get(settings[i], fold)
+            if results[i, fold] is None:
+                missing.setdefault(settings[i]["max_iter"], []).append(i)
+        if not missing:
+            return
+        stops = sorted(missing)
+        longest = settings[missing[stops[-1]][0]]
+        for stop, found in zip(stops, fit_and_test(indexed, folded, longest, fold, value, fixed, sizes[fold], stops)):
+            for i in missing[stop]:
+                held.put(settings[i], fold, *found)
+                results[i, fold] = found
 
     with ThreadPoolExecutor(max(1, parallelism)) as pool:
-        results = list(pool.map(result, itertools.product(settings, range(folds))))
+        list(pool.map(fit_missing, itertools.product(groups.values(), range(folds))))
     rmse = []
     for i in range(len(settings)):
-        tested = [(n, s) for n, s in results[i * folds:(i + 1) * folds] if n]
+        tested = [(n, s) for n, s in (results[i, fold] for fold in range(folds)) if n]
         rmse.append(sum((s / n) ** 0.5 for n, s in tested) / len(tested) if tested else float("inf"))
     best = min(range(len(settings)), key=rmse.__getitem__)
     report = spark.createDataFrame(

@@ -1,0 +1,91 @@
+"""Explicit ALS of few items: the model of Spark ML, by systems of a user's ratings."""
+
+from dataclasses import replace
+
+import numpy as np
+import pytest
+
+from conftest import SF01
+from earworm.operators import factorize as fz
+from earworm.operators import few_items, ratings, tuning
+from earworm.plans.queries import canonical_counts_f1
+
+
+@pytest.fixture(scope="module")
+def indexed(spark):
+    return fz.index_ratings(ratings.filter_min_listens(canonical_counts_f1(spark, SF01), 1))
+
+
+def _factors(model):
+    return [np.array([r.features for r in f.orderBy("id").collect()]) for f in fz.factors(model)]
+
+
+@pytest.mark.parametrize("params", [{"rank": 6, "nonnegative": True}, {"rank": 40}])
+def test_the_model_is_that_of_spark_ml(spark, indexed, monkeypatch, params):
+    monkeypatch.setattr(few_items, "BLOCK_RATINGS", 2000)  # several blocks
+    found = _factors(fz.fit_als(indexed, reg=0.05, max_iter=4, **params))
+    monkeypatch.setattr(few_items, "few", lambda *args: False)
+    for ours, theirs in zip(found, _factors(fz.fit_als(indexed, reg=0.05, max_iter=4, **params))):
+        assert ours.shape == theirs.shape and np.abs(ours - theirs).max() < 1e-4
+
+
+def _least(h, c, x):
+    """Whether x is the least of x'hx / 2 - c'x over x >= 0."""
+    slope = h @ x - c
+    return (x >= 0).all() and (slope > -1e-8).all() and np.abs(slope * x).max() < 1e-8
+
+
+@pytest.mark.parametrize("m", [1, 5, 12, 30])
+def test_non_negative_solutions(monkeypatch, m):
+    rng = np.random.default_rng(m)
+    a, b = rng.standard_normal((200, m, 12)), rng.standard_normal((200, m)) + 1
+    a[:20, :, 3] = 0.0
+    a[20:40, :, 4] = a[20:40, :, 5]
+    h = a.transpose(0, 2, 1) @ a + 0.1 * np.eye(12)
+    c = (a.transpose(0, 2, 1) @ b[..., None])[..., 0]
+    guess = rng.random((200, 12)) < 0.5
+    for pivots in (30, 1):  # 1: by one coordinate at a time
+        monkeypatch.setattr(few_items, "PIVOTS", pivots)
+        for x, on in (few_items._nnls(h, c, guess), few_items._nnls_by_rows(a, b, 0.1, guess)):
+            assert all(_least(*each) for each in zip(h, c, x)) and np.array_equal(on, x > 0)
+
+
+def test_one_fit_for_all_iterations_of_a_setting(spark, indexed, scratch, monkeypatch):
+    """Each number of iterations used to be a fit of its own, and every fit sent
+    the factors of all users."""
+    fits, fit = [], tuning.fit_als
+    monkeypatch.setattr(tuning, "fit_als", lambda *a, **params: fits.append(params["stops"]) or fit(*a, **params))
+    sent = []
+    monkeypatch.setattr(few_items, "fit", lambda *a, f=few_items.fit: sent.append(1) or f(*a))
+    run = dict(folds=2, nonnegative=True, refit=False)
+    _, both = tuning.tune(indexed, {"rank": [4], "max_iter": [3, 2]}, ledger=f"{scratch}/a", **run)
+    assert fits == [[2, 3]] * 2 and len(sent) == 2
+    monkeypatch.setattr(few_items, "few", lambda *args: False)  # Spark ML, a fit each
+    _, each = tuning.tune(indexed, {"rank": [4], "max_iter": [3, 2]}, ledger=f"{scratch}/b", **run)
+    assert len(sent) == 2
+    for a, b in zip(both.collect(), each.collect()):
+        assert (a.max_iter, a.best) == (b.max_iter, b.best) and abs(a.rmse - b.rmse) < 1e-5
+
+
+def test_held_out_rows_of_unknown_users_and_items_are_left_out(spark):
+    rows = [(u, i, float(1 + (u * i) % 4)) for u in range(20) for i in range(6) if (u + i) % 3]
+    train = spark.createDataFrame(rows, "_uidx int, _iidx int, listens float")
+    test = spark.createDataFrame([(3, 0, 2.0), (99, 0, 2.0), (3, 77, 2.0)], train.schema)
+    idx = fz.Indexed(train, None, None)
+    (n, squares), = fz.fit_als(idx, held_out=test, stops=[2], rank=2)
+    model = fz.fit_als(replace(idx), rank=2, max_iter=2)
+    assert n == 1 and abs((model.transform(test).first().prediction - 2.0) ** 2 - squares) < 1e-5
+
+
+def test_the_log_of_the_explicit_fits_is_read_once(spark, monkeypatch):
+    """Its items are taken from text: a scan each for first listens, tracks and
+    counts took longer than the counts themselves."""
+    from earworm.plans import models
+    from earworm.sources import testdata as td
+
+    read, listens = [], td.listens_f1
+    want = sorted(map(tuple, fz.index_ratings(ratings.filter_min_listens(canonical_counts_f1(spark, SF01), 1))
+                      .ratings.collect()))
+    monkeypatch.setattr(td, "listens_f1", lambda *a: read.append(1) or listens(*a))
+    idx, _, _ = models._explicit_setup(spark, SF01)
+    assert len(read) == 1 and sorted(map(tuple, idx.ratings.collect())) == want
