@@ -173,3 +173,20 @@ def test_blocks_are_not_put_into_one_task(spark, vectors):
     assert held.select("_task").distinct().count() >= 10
     assert "Exchange hashpartitioning(_qx" in found._jdf.queryExecution().toString()
     assert found._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(_qx") == 2
+
+
+def test_best_of_queries_that_come_once_are_not_merged(spark, monkeypatch):
+    """Items of more than a block used to give k rows a block for each query."""
+    def vectors(n, seed):
+        rows = np.random.default_rng(seed).standard_normal((n, 4))
+        return spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "id long, features array<float>")
+
+    queries, items = vectors(50, 1), vectors(5000, 2)
+    monkeypatch.setattr(retrieve, "ITEM_VALUES", 4 * retrieve.LEAST)
+    found = retrieve.mips_exact(queries, items, 5, unique=True)
+    merged = retrieve.mips_exact(queries, items, 5)
+    plans = [x._jdf.queryExecution().optimizedPlan().toString() for x in (found, merged)]
+    assert "Window" not in plans[0] and "Window" in plans[1]
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, merged.collect()))
+    monkeypatch.setattr(retrieve, "ONE_BLOCK", 4 * 4999)
+    assert "Window" in retrieve.mips_exact(queries, items, 5, unique=True)._jdf.queryExecution().optimizedPlan().toString()
